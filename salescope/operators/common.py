@@ -32,14 +32,14 @@ def date_bounds_filter(t: SalesTables, date_col: Column, fiscal_years: int | Ite
 
     Redundant with the inner join on dim_date (every joined fact date lies
     in that range), so it never changes a result, but unlike the join it
-    reaches the fact scan: row groups and date partitions outside the fiscal
-    year are skipped.  The bounds come from dim_date itself (two scalar
-    subqueries), so no calendar rule is assumed.
+    reaches the fact scan: on date-partitioned facts it is a runtime
+    partition filter, elsewhere it drops rows before any join.  The bounds
+    come from dim_date itself, so no calendar rule is assumed; both are read
+    from one scalar subquery (Spark runs an identical subquery once).
     """
     dd = t.dim_date.where(F.col("fiscal_year").isin(_years(fiscal_years)))
-    lo = dd.agg(F.min("calendar_date")).scalar()
-    hi = dd.agg(F.max("calendar_date")).scalar()
-    return (date_col >= lo) & (date_col <= hi)
+    bounds = dd.agg(F.struct(F.min("calendar_date").alias("lo"), F.max("calendar_date").alias("hi"))).scalar()
+    return (date_col >= bounds.getField("lo")) & (date_col <= bounds.getField("hi"))
 
 
 def market_equals(col: str | Column, market: str | None) -> Column:

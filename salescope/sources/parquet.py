@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from salescope.schema import SCHEMAS
-from salescope.sources.tables import TABLE_NAMES, SalesTables
+from salescope.sources.tables import TABLE_NAMES, SalesTables, table_path
 
 FACTS_BY_DATE = ("fact_sales_monthly", "fact_forecast_monthly", "fact_post_invoice_deductions")
 
 
-def _path(root: str, name: str) -> str:
-    plain = os.path.join(root, name)
-    if root.startswith(("/", "file:")) and not os.path.exists(plain.replace("file:", "")):
-        return plain + ".parquet"
-    return plain
-
-
 def read_tables(spark: SparkSession, root: str) -> SalesTables:
     """Read the eight tables under ``root`` with their declared schemas
     (no inference job, predicate pushdown and column pruning apply)."""
     frames = {
-        name: spark.read.schema(SCHEMAS[name]).parquet(_path(root, name)).select(*SCHEMAS[name].fieldNames())
+        name: spark.read.schema(SCHEMAS[name]).parquet(table_path(spark, root, name) or f"{root}/{name}").select(*SCHEMAS[name].fieldNames())
         for name in TABLE_NAMES
     }
     return SalesTables(**frames)
@@ -32,16 +23,69 @@ def read_tables(spark: SparkSession, root: str) -> SalesTables:
 def write_tables(tables: SalesTables, root: str, mode: str = "overwrite") -> SalesTables:
     """Write every table under ``root`` and return readers of the written copy.
 
-    The three (date, customer, product) facts are range-clustered by
-    ``date`` and sorted by (date, customer_code, product_code) inside each
-    file, so a fiscal-year filter skips whole row groups through Parquet
-    min/max statistics and the 3-key joins read keys in order.  ``root``
-    should be shared storage on a cluster (see ``session.checkpoint_root``).
+    The three (date, customer, product) facts are partitioned by ``date``
+    (one folder per month: a fiscal year reads 12 of them, and a filtered
+    dim_date join prunes the rest at run time through dynamic partition
+    pruning).  Rows are clustered by date before the write so each task
+    writes few folders, and sorted by (customer_code, product_code) inside
+    each file, so the 3-key joins read keys in order and Parquet min/max
+    statistics are tight.  ``root`` should be shared storage on a cluster
+    (see ``session.checkpoint_root``).
     """
     spark = tables.sales.sparkSession
+    root = root.rstrip("/")
     for name, df in tables.as_dict().items():
-        out = df
+        w = df
         if name in FACTS_BY_DATE:
-            out = df.repartitionByRange("date").sortWithinPartitions("date", "customer_code", "product_code")
-        out.write.mode(mode).parquet(os.path.join(root, name))
+            w = (df.repartitionByRange("date")
+                 .sortWithinPartitions("date", "customer_code", "product_code")
+                 .write.partitionBy("date"))
+        else:
+            w = df.write
+        w.mode(mode).parquet(f"{root}/{name}")
     return read_tables(spark, root)
+
+
+BUCKET_KEYS = ("customer_code", "product_code")
+
+
+def save_tables(tables: SalesTables, database: str, location: str, buckets: int | None = None) -> SalesTables:
+    """Save every table as a catalog table of ``database`` (stored under
+    ``location``) and return readers of the saved tables.
+
+    Catalog tables keep their file listing in the session's relation cache,
+    so repeated reports do not list partition folders again.  The three
+    (date, customer, product) facts are partitioned by ``date`` and, when
+    ``buckets`` is given, bucketed and sorted by (customer_code,
+    product_code) with the same bucket count: the fact-fact joins on
+    (customer_code, date, product_code) then read co-partitioned buckets and
+    need no shuffle (``spark.sql.requireAllClusterKeysForCoPartition`` is
+    turned off so the bucket keys, a subset of the join keys, qualify).
+    """
+    spark = tables.sales.sparkSession
+    location = location.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    for name, df in tables.as_dict().items():
+        if name in FACTS_BY_DATE:
+            if buckets:
+                # one task per bucket: each writes one file per month
+                w = (df.repartition(buckets, *BUCKET_KEYS).write.partitionBy("date")
+                     .bucketBy(buckets, *BUCKET_KEYS).sortBy(*BUCKET_KEYS))
+            else:
+                w = (df.repartitionByRange("date")
+                     .sortWithinPartitions("date", "customer_code", "product_code")
+                     .write.partitionBy("date"))
+        else:
+            w = df.write
+        w.mode("overwrite").format("parquet").option("path", f"{location}/{name}").saveAsTable(
+            f"{database}.{name}")
+    if buckets:
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return catalog_tables(spark, database)
+
+
+def catalog_tables(spark: SparkSession, database: str) -> SalesTables:
+    """Readers of the eight tables saved in ``database``."""
+    return SalesTables(**{
+        name: spark.table(f"{database}.{name}").select(*SCHEMAS[name].fieldNames()) for name in TABLE_NAMES
+    })

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,9 +77,20 @@ class SalesTables:
         return out
 
 
-def _has_business_tables(path: str) -> bool:
-    return all(os.path.exists(os.path.join(path, n)) or os.path.exists(os.path.join(path, n + ".parquet"))
-               for n in TABLE_NAMES)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of ``path`` (works for
+    local paths, HDFS and object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def table_path(spark: SparkSession, root: str, name: str) -> str | None:
+    """``<root>/<name>`` or ``<root>/<name>.parquet``, whichever exists."""
+    for cand in (f"{root.rstrip('/')}/{name}", f"{root.rstrip('/')}/{name}.parquet"):
+        if path_exists(spark, cand):
+            return cand
+    return None
 
 
 def load_tables(spark: SparkSession, source: str) -> SalesTables:
@@ -89,9 +99,14 @@ def load_tables(spark: SparkSession, source: str) -> SalesTables:
     * a folder holding the eight business tables as Parquet (``<name>`` or
       ``<name>.parquet``) is read directly;
     * a folder holding the driver's TPC-H-like tables is mapped onto the
-      business schema by :mod:`salescope.sources.tpch`.
+      business schema by :mod:`salescope.sources.tpch`;
+    * ``catalog:<database>`` reads the tables saved in that database.
     """
-    if _has_business_tables(source):
+    if source.startswith("catalog:"):
+        from salescope.sources.parquet import catalog_tables
+
+        return catalog_tables(spark, source.split(":", 1)[1])
+    if all(table_path(spark, source, n) for n in TABLE_NAMES):
         from salescope.sources.parquet import read_tables
 
         return read_tables(spark, source)

@@ -42,8 +42,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_GRAIN = [F.col("month").alias("date"), F.col("o_custkey").alias("customer_code"),
-          F.col("l_partkey").alias("product_code")]
+def _grain():
+    return [F.col("month").alias("date"), F.col("o_custkey").alias("customer_code"),
+            F.col("l_partkey").alias("product_code")]
 
 
 def derive_tables(spark: SparkSession, sf_dir: str) -> SalesTables:
@@ -76,18 +77,18 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> SalesTables:
 
     sales = (
         L.where((F.col("l_orderkey") % 10 != 0) & (F.col("l_shipdate") < F.lit(SALES_CUTOFF)))
-        .groupBy(*_GRAIN)
+        .groupBy(*_grain())
         .agg(F.sum("l_quantity").cast("int").alias("sold_quantity"))
     )
     weight = F.lit(80) + (F.col("l_partkey") * 7 + F.col("l_linenumber") * 13) % 41
     forecast = (
         L.where(F.col("l_orderkey") % 10 != 1)
-        .groupBy(*_GRAIN)
+        .groupBy(*_grain())
         .agg(F.floor(F.sum(F.col("l_quantity") * weight) / 100).cast("int").alias("forecast_quantity"))
     )
     post = (
         L.where(F.col("l_partkey") % 40 != 3)
-        .groupBy(*_GRAIN)
+        .groupBy(*_grain())
         .agg(
             F.max("l_discount").cast("decimal(5,4)").alias("discounts_pct"),
             F.max("l_tax").cast("decimal(5,4)").alias("other_deductions_pct"),
