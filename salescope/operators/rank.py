@@ -1,13 +1,75 @@
-"""RANK / DENSE_RANK / ROW_NUMBER within groups."""
+"""RANK / DENSE_RANK / ROW_NUMBER within groups, safe for hot groups.
+
+A window ``PARTITION BY division`` sends every row of a division to one
+task; with a handful of divisions and one of them holding a third of the
+rows, that task holds a third of the table.  :func:`rank_within` computes the
+same numbers without any per-group task:
+
+1. one range-partitioned sort puts all rows in the global order
+   (group asc, value desc, tie-breakers asc); ``monotonically_increasing_id``
+   numbers rows inside each sorted partition and a prefix sum over the
+   per-partition row counts (one row per partition, so its size is bounded
+   by the partition count) turns that into a global 0-based position;
+2. groups and tie groups are contiguous in that order, so
+   ``row_num = pos - first_pos(group) + 1`` and
+   ``rnk = first_pos(group, value) - first_pos(group) + 1``, where the first
+   positions are MIN aggregates (combined map-side, so a hot group costs one
+   row per task);
+3. ``drnk`` is the same construction on the table of distinct
+   (group, value) pairs ordered by their first position.
+
+All steps are built-in expressions (whole-stage codegen); joins back to the
+rows are planned by AQE from measured sizes (broadcast when small, skew-split
+sort-merge otherwise).  ``strategy="window"`` gives the plain window form,
+for comparison and for groups known to be small.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _FUNCS = {"rnk": F.rank, "drnk": F.dense_rank, "row_num": F.row_number}
+_PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row index
+
+
+def _order(partition_by: Sequence[str], order_by: str, tie_breakers: Sequence[str]) -> list[Column]:
+    return ([F.col(c).asc() for c in partition_by] + [F.col(order_by).desc_nulls_last()]
+            + [F.col(c).asc() for c in tie_breakers])
+
+
+def global_positions(df: DataFrame, order: Sequence[Column], name: str = "_pos") -> DataFrame:
+    """``df`` plus the 0-based position of each row in ``order`` (LONG).
+
+    One range shuffle; the sorted relation is referenced twice (row counts
+    and positions) and Spark reuses the same exchange for both, so both see
+    identical partitions.  Give ``order`` a unique key for reproducible
+    positions among exact duplicates.
+    """
+    s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    s = s.withColumn("_pid", F.shiftright(F.col("_mid"), _PID_SHIFT))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per sorted partition: bounded by the partition count
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    pos = F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid"), _PID_SHIFT)
+    return s.join(F.broadcast(offsets), "_pid").withColumn(name, pos).drop("_mid", "_pid", "_off")
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL group is a
+    window partition too); the right side's key columns are dropped."""
+    r = right
+    for k in keys:
+        r = r.withColumnRenamed(k, f"_r_{k}")
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond) if cond is not None else left.join(r)
+    return out.drop(*[f"_r_{k}" for k in keys])
 
 
 def rank_within(
@@ -16,15 +78,57 @@ def rank_within(
     order_by: str,
     tie_breakers: Sequence[str] = (),
     kinds: Sequence[str] = ("rnk", "drnk", "row_num"),
+    strategy: str = "distributed",
 ) -> DataFrame:
-    """Add rank columns (``rnk``, ``drnk``, ``row_num``) of ``order_by``
-    descending within ``partition_by``.  RANK and DENSE_RANK see only the
-    value; ROW_NUMBER breaks ties by ``tie_breakers`` ascending."""
+    """Add rank columns (``rnk``, ``drnk``, ``row_num``; LONG) of ``order_by``
+    descending (NULLs last) within ``partition_by``.  RANK and DENSE_RANK see
+    only the value; ROW_NUMBER breaks ties by ``tie_breakers`` ascending."""
+    if strategy == "window":
+        return _rank_window(df, partition_by, order_by, tie_breakers, kinds)
+    cols = df.columns
+    P = list(partition_by)
+    g = global_positions(df, _order(P, order_by, tie_breakers))
+    first = g.groupBy(*P).agg(F.min("_pos").alias("_first"))
+    out = _join_null_safe(g, first, P)
+    if "rnk" in kinds or "drnk" in kinds:
+        ties = g.groupBy(*P, order_by).agg(F.min("_pos").alias("_tie"))
+        if "drnk" in kinds:
+            h = global_positions(ties, [F.col(c).asc() for c in P] + [F.col("_tie").asc()], "_hpos")
+            hfirst = h.groupBy(*P).agg(F.min("_hpos").alias("_hfirst"))
+            ties = _join_null_safe(h, hfirst, P).withColumn(
+                "drnk", F.col("_hpos") - F.col("_hfirst") + 1).drop("_hpos", "_hfirst")
+        out = _join_null_safe(out, ties, P + [order_by])
+    extra = {
+        "rnk": F.col("_tie") - F.col("_first") + 1,
+        "drnk": F.col("drnk"),
+        "row_num": F.col("_pos") - F.col("_first") + 1,
+    }
+    return out.select(*cols, *[extra[k].cast("long").alias(k) for k in kinds])
+
+
+def _rank_window(df, partition_by, order_by, tie_breakers, kinds) -> DataFrame:
     base = Window.partitionBy(*partition_by).orderBy(F.col(order_by).desc())
     numbered = Window.partitionBy(*partition_by).orderBy(
-        F.col(order_by).desc(), *[F.col(c).asc() for c in tie_breakers]
-    )
+        F.col(order_by).desc(), *[F.col(c).asc() for c in tie_breakers])
     out = df
     for k in kinds:
         out = out.withColumn(k, _FUNCS[k]().over(numbered if k == "row_num" else base).cast("long"))
     return out
+
+
+def top_dense_rank(df: DataFrame, partition_by: Sequence[str], order_by: str, n: int,
+                   name: str = "drnk") -> DataFrame:
+    """Rows whose DENSE_RANK of ``order_by`` (descending) within
+    ``partition_by`` is at most ``n`` (ties may give more than ``n`` rows).
+
+    The ranking runs on the distinct (group, value) pairs, where the rank
+    filter lets Spark put a partial WindowGroupLimit before the shuffle: each
+    task forwards at most ``n`` values per group, so a group's final window
+    holds at most ``n`` x tasks rows however large the group is.  The
+    winning values are joined back to the rows.
+    """
+    P = list(partition_by)
+    values = df.select(*P, order_by).distinct()
+    w = Window.partitionBy(*P).orderBy(F.col(order_by).desc())
+    top = values.withColumn(name, F.dense_rank().over(w).cast("long")).where(F.col(name) <= int(n))
+    return _join_null_safe(df, top, P + [order_by])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.money import gross_amount, to_millions
 from salescope.operators.common import date_bounds_filter, fiscal_dates
-from salescope.operators.rank import rank_within
+from salescope.operators.rank import rank_within, top_dense_rank
 from salescope.operators.revenue import net_sales_lines
 from salescope.sources.tables import SalesTables
 
@@ -74,17 +74,11 @@ def top_products_per_division(t: SalesTables, fiscal_year: int, n: int = 3) -> D
     at most ``n`` (ties can return more than ``n`` rows, as in the reference).
     -> (division, product, total_qty, drnk)
 
-    The rank filter sits right above the window, so Spark inserts a partial
-    WindowGroupLimit before the shuffle: each task forwards only its own top
-    ``n`` quantity values per division, and a hot division never reaches
-    one task whole.
+    Ranked on the distinct quantities with a partial WindowGroupLimit, so a
+    hot division never reaches one task whole (see ``top_dense_rank``).
     """
-    w = Window.partitionBy("division").orderBy(F.col("total_qty").desc())
-    return (
-        product_qty(t, fiscal_year)
-        .withColumn("drnk", F.dense_rank().over(w).cast("long"))
-        .where(F.col("drnk") <= n)
-    )
+    return top_dense_rank(product_qty(t, fiscal_year), ["division"], "total_qty", n).select(
+        "division", "product", "total_qty", "drnk")
 
 
 def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:

@@ -1,0 +1,68 @@
+import datetime as dt
+import os
+import sys
+from decimal import Decimal
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from salescope.schema import SCHEMAS  # noqa: E402
+from salescope.sources.calendar import build_dim_date  # noqa: E402
+from salescope.sources.tables import SalesTables  # noqa: E402
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    s = (
+        SparkSession.builder.master("local[*]")
+        .appName("salescope-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    from salescope.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(s)
+    yield s
+
+
+def D(s: str) -> dt.date:
+    return dt.date.fromisoformat(s)
+
+
+def dec(x) -> Decimal:
+    return Decimal(str(x))
+
+
+@pytest.fixture
+def make_tables(spark):
+    """Build a SalesTables from small row lists; missing tables are empty.
+    dim_date defaults to every first of month 2019-09 .. 2022-08."""
+
+    def build(**rows) -> SalesTables:
+        frames = {}
+        for name, schema in SCHEMAS.items():
+            if name == "dim_date" and "dim_date" not in rows:
+                frames[name] = build_dim_date(spark, D("2019-09-01"), D("2022-08-01"), "month")
+                continue
+            frames[name] = spark.createDataFrame(rows.get(name, []), schema)
+        return SalesTables(**frames)
+
+    return build
+
+
+def rows(df, *cols):
+    cols = cols or df.columns
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
