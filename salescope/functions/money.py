@@ -24,6 +24,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NET_INVOICE_TYPE = "decimal(30,8)"
+GROSS_SCALE = 4   # scale of qty * DECIMAL(15,4) price
+NET_SCALE = 12    # scale of the net amount
 # A summed amount is narrowed to 18 integer digits before scaling to
 # millions so that sum * 0.000001 stays inside 38 digits exactly.
 SUM_TYPE = "decimal(30,12)"
@@ -57,9 +59,19 @@ def to_money(total: str | Column, scale: int = 2) -> Column:
     return F.round(_col(total), scale).cast("double")
 
 
-def to_millions(total: str | Column, scale: int = 2) -> Column:
-    """ROUND(total / 1,000,000, scale) as DOUBLE, computed exactly in decimal."""
-    return F.round(_col(total).cast(SUM_TYPE) * F.lit(MILLION), scale).cast("double")
+# The reference engine's "/" returns a DECIMAL with 4 more fraction digits
+# than the dividend (default division precision increment), rounded half up.
+DIVISION_SCALE_INCREMENT = 4
+
+
+def to_millions(total: str | Column, total_scale: int, scale: int = 2) -> Column:
+    """ROUND(total / 1,000,000, scale) as DOUBLE, with the reference engine's
+    decimal semantics: the quotient is first rounded to ``total_scale + 4``
+    places (its division result type), then to ``scale``.  Computed exactly
+    in decimal; ``total_scale`` is the scale of the summed column (4 for
+    gross amounts, 12 for net amounts)."""
+    quotient = F.round(_col(total).cast(SUM_TYPE) * F.lit(MILLION), total_scale + DIVISION_SCALE_INCREMENT)
+    return F.round(quotient, scale).cast("double")
 
 
 def accuracy_pct(abs_error_sum: str | Column, forecast_sum: str | Column) -> Column:

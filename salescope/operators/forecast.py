@@ -31,8 +31,7 @@ def forecast_accuracy_base(t: SalesTables, fiscal_years: int | Iterable[int] | N
     dim_date filter it prunes both fact scans to the years' date range, which
     Catalyst cannot infer through the dimension join by itself.
     """
-    last_sale = t.sales.agg(F.max("date")).scalar()
-    f = t.forecast.where(F.col("date") <= last_sale)
+    f = t.forecast.where(F.col("date") <= last_sale_date(t))
     s = t.sales.select(*KEYS3, "sold_quantity")
     if fiscal_years is not None:
         f = f.where(date_bounds_filter(t, F.col("date"), fiscal_years))
@@ -49,6 +48,12 @@ def forecast_accuracy_base(t: SalesTables, fiscal_years: int | Iterable[int] | N
     )
 
 
+def last_sale_date(t: SalesTables) -> Column:
+    """MAX(date) of the whole sales table as a scalar subquery (evaluated
+    once per query; identical uses are shared by Spark)."""
+    return t.sales.agg(F.max("date")).scalar()
+
+
 def accuracy_metrics(base: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """B-4: Σsold, Σforecast, Σnet_error, Σabs_error and the accuracy % per ``keys``.
 
@@ -70,8 +75,7 @@ def _has_sales_through(t: SalesTables, fiscal_year: int) -> Column:
     The reference compares the year number with MAX(date) directly; its
     stated intent (no report for years without actual sales) is kept by
     comparing fiscal years."""
-    last_fy = t.sales.agg(fiscal_year_of(F.max("date"))).scalar()
-    return F.lit(int(fiscal_year)) <= last_fy
+    return F.lit(int(fiscal_year)) <= fiscal_year_of(last_sale_date(t))
 
 
 def forecast_accuracy_by_customer(t: SalesTables, fiscal_year: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.functions.money import gross_amount, to_millions
+from salescope.functions.money import GROSS_SCALE, NET_SCALE, gross_amount, to_millions
 from salescope.operators.common import date_bounds_filter, fiscal_dates
 from salescope.operators.rank import rank_within, top_dense_rank
 from salescope.operators.revenue import net_sales_lines
@@ -13,7 +13,7 @@ from salescope.sources.tables import SalesTables
 
 
 def top_n(lines: DataFrame, entity: str, n: int, value: str = "total_net_sales",
-          out: str = "net_sales_mln") -> DataFrame:
+          out: str = "net_sales_mln", value_scale: int = NET_SCALE) -> DataFrame:
     """B-5: Σvalue per ``entity`` in millions (2 places), the ``n`` largest.
 
     Ordered by the *rounded* value like the reference, with the entity name
@@ -23,7 +23,7 @@ def top_n(lines: DataFrame, entity: str, n: int, value: str = "total_net_sales",
     """
     return (
         lines.groupBy(entity)
-        .agg(to_millions(F.sum(value)).alias(out))
+        .agg(to_millions(F.sum(value), value_scale).alias(out))
         .orderBy(F.col(out).desc_nulls_last(), F.col(entity).asc())
         .limit(n)
     )
@@ -147,7 +147,7 @@ def market_year_gross(t: SalesTables) -> DataFrame:
         .join(t.gross_price, ["product_code", "fiscal_year"])
     )
     return lines.groupBy("market", "fiscal_year").agg(
-        to_millions(F.sum(gross_amount("sold_quantity", "gross_price"))).alias("gross_sales_mln")
+        to_millions(F.sum(gross_amount("sold_quantity", "gross_price")), GROSS_SCALE).alias("gross_sales_mln")
     )
 
 

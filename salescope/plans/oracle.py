@@ -78,8 +78,10 @@ def _with(*ctes: str) -> str:
     return "WITH" + TABLES + "".join(",\n" + c for c in ctes) + "\n"
 
 
-def _mln(expr: str) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(30,12)) * CAST(0.000001 AS DECIMAL(7,6)), 2) AS DOUBLE)"
+def _mln(expr: str, scale: int) -> str:
+    # the reference engine's "/" keeps scale + 4 digits (rounded), then ROUND(.., 2)
+    q = f"ROUND(CAST({expr} AS DECIMAL(30,12)) * CAST(0.000001 AS DECIMAL(7,6)), {scale + 4})"
+    return f"CAST(ROUND({q}, 2) AS DOUBLE)"
 
 
 def _fy_of(d: str) -> str:
@@ -121,7 +123,7 @@ def _net_ctes(market: str | None = None, dims: tuple[str, ...] = ()) -> tuple[st
 
 
 def _top(entity: str, n: int, market: str | None = None) -> str:
-    return _with(*_net_ctes(market, (entity,))) + f"""SELECT {entity}, {_mln('SUM(total_net_sales)')} AS net_sales_mln
+    return _with(*_net_ctes(market, (entity,))) + f"""SELECT {entity}, {_mln('SUM(total_net_sales)', 12)} AS net_sales_mln
 FROM n_sales GROUP BY {entity}
 ORDER BY net_sales_mln DESC NULLS LAST, {entity} ASC LIMIT {n}"""
 
@@ -276,10 +278,10 @@ ORDER BY dp.division, dp.product""",
     "row_number_products": _with(QTY) + f"SELECT *, {ROWNUM} AS row_num FROM sold ORDER BY division, row_num",
     "rank_comparison": _with(QTY) + f"""SELECT *, {RANK} AS rnk, {DENSE} AS drnk, {ROWNUM} AS row_num
 FROM sold ORDER BY division, drnk, product""",
-    "gross_sales_prev_year": _with(MARKET_YEAR) + f"""SELECT market, fiscal_year, {_mln('gross')} AS gross_sales_mln,
-  LAG({_mln('gross')}) OVER (PARTITION BY market ORDER BY fiscal_year) AS prev_year_sales_mln
+    "gross_sales_prev_year": _with(MARKET_YEAR) + f"""SELECT market, fiscal_year, {_mln('gross', 4)} AS gross_sales_mln,
+  LAG({_mln('gross', 4)}) OVER (PARTITION BY market ORDER BY fiscal_year) AS prev_year_sales_mln
 FROM my ORDER BY market, fiscal_year""",
-    "gross_sales_next_year": _with(MARKET_YEAR) + f"""SELECT market, fiscal_year, {_mln('gross')} AS gross_sales_mln,
-  LEAD({_mln('gross')}) OVER (PARTITION BY market ORDER BY fiscal_year) AS next_year_sales_mln
+    "gross_sales_next_year": _with(MARKET_YEAR) + f"""SELECT market, fiscal_year, {_mln('gross', 4)} AS gross_sales_mln,
+  LEAD({_mln('gross', 4)}) OVER (PARTITION BY market ORDER BY fiscal_year) AS next_year_sales_mln
 FROM my ORDER BY market, fiscal_year""",
 }

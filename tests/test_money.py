@@ -28,7 +28,17 @@ def test_net_is_exact_at_full_width(spark):
 
 def test_millions_rounding(spark):
     df = spark.createDataFrame([(Decimal("1234567.891234567890"),), (Decimal("-5000.000000000000"),)], "x decimal(38,12)")
-    assert sorted(r.m for r in df.select(to_millions("x").alias("m")).collect()) == [-0.01, 1.23]
+    assert sorted(r.m for r in df.select(to_millions("x", 12).alias("m")).collect()) == [-0.01, 1.23]
+
+
+def test_millions_follow_division_scale(spark):
+    # a scale-4 sum divided by 1e6 is a scale-8 decimal in the reference
+    # engine: 1004999.9950 / 1e6 = 1.004999995 -> 1.00500000 -> ROUND 2 = 1.01
+    df = spark.createDataFrame([(Decimal("1004999.9950"),)], "x decimal(36,4)")
+    assert df.select(to_millions("x", 4).alias("m")).first().m == 1.01
+    # with a scale-12 sum the quotient keeps 16 places: 1.004999995 stays -> 1.00
+    df = spark.createDataFrame([(Decimal("1004999.995000000000"),)], "x decimal(38,12)")
+    assert df.select(to_millions("x", 12).alias("m")).first().m == 1.0
 
 
 def _acc(spark, a, f):
