@@ -87,13 +87,22 @@ def rank_within(
         return _rank_window(df, partition_by, order_by, tie_breakers, kinds)
     cols = df.columns
     P = list(partition_by)
-    g = global_positions(df, _order(P, order_by, tie_breakers))
-    first = g.groupBy(*P).agg(F.min("_pos").alias("_first"))
-    out = _join_null_safe(g, first, P)
+    out = df
+    if "row_num" in kinds or "rnk" in kinds:
+        g = global_positions(df, _order(P, order_by, tie_breakers))
+        first = g.groupBy(*P).agg(F.min("_pos").alias("_first"))
+        out = _join_null_safe(g, first, P)
     if "rnk" in kinds or "drnk" in kinds:
-        ties = g.groupBy(*P, order_by).agg(F.min("_pos").alias("_tie"))
+        if "rnk" in kinds:
+            # first position of each tie group = its RANK offset
+            ties = g.groupBy(*P, order_by).agg(F.min("_pos").alias("_tie"))
+            value_order = [F.col("_tie").asc()]
+        else:
+            # DENSE_RANK needs only the distinct values: no sort of all rows
+            ties = df.select(*P, order_by).distinct()
+            value_order = [F.col(order_by).desc_nulls_last()]
         if "drnk" in kinds:
-            h = global_positions(ties, [F.col(c).asc() for c in P] + [F.col("_tie").asc()], "_hpos")
+            h = global_positions(ties, [F.col(c).asc() for c in P] + value_order, "_hpos")
             hfirst = h.groupBy(*P).agg(F.min("_hpos").alias("_hfirst"))
             ties = _join_null_safe(h, hfirst, P).withColumn(
                 "drnk", F.col("_hpos") - F.col("_hfirst") + 1).drop("_hpos", "_hfirst")

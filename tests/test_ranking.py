@@ -26,15 +26,17 @@ def test_rank_golden(qty, strategy):
     assert got["z1"] == (1, 1, 1) and got["z2"] == (1, 1, 2)  # NULL division is one group
 
 
-def test_distributed_equals_window_on_many_partitions(spark):
+@pytest.mark.parametrize("kinds", [("rnk", "drnk", "row_num"), ("drnk",), ("rnk",), ("row_num",), ("drnk", "rnk")])
+def test_distributed_equals_window_on_many_partitions(spark, kinds):
     # one hot group holding most rows, many ties, spread over many partitions
     df = spark.range(0, 5000, 1, 16).select(
         F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 13).cast("string"))).alias("division"),
         F.concat(F.lit("p"), F.col("id").cast("string")).alias("product"),
         (F.col("id") * 7919 % 97).alias("total_qty"),
     )
-    a = rank_within(df, ["division"], "total_qty", ["product"])
-    b = rank_within(df, ["division"], "total_qty", ["product"], strategy="window")
+    a = rank_within(df, ["division"], "total_qty", ["product"], kinds=kinds)
+    b = rank_within(df, ["division"], "total_qty", ["product"], kinds=kinds, strategy="window")
+    assert a.columns == b.columns
     assert rows(a) == rows(b)
 
 
