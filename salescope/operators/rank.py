@@ -40,15 +40,20 @@ def _order(partition_by: Sequence[str], order_by: str, tie_breakers: Sequence[st
             + [F.col(c).asc() for c in tie_breakers])
 
 
-def global_positions(df: DataFrame, order: Sequence[Column], name: str = "_pos") -> DataFrame:
+def global_positions(df: DataFrame, order: Sequence[Column], name: str = "_pos",
+                     partitions: int | None = None) -> DataFrame:
     """``df`` plus the 0-based position of each row in ``order`` (LONG).
 
-    One range shuffle; the sorted relation is referenced twice (row counts
-    and positions) and Spark reuses the same exchange for both, so both see
-    identical partitions.  Give ``order`` a unique key for reproducible
-    positions among exact duplicates.
+    One range shuffle into ``partitions`` (default: the session's shuffle
+    partitions).  The sorted relation is referenced twice (row counts and
+    positions); Spark reuses the same exchange for both, and because the
+    partition count is explicit AQE never coalesces it, so both references
+    see identical partition indices.  Give ``order`` a unique key for
+    reproducible positions among exact duplicates.
     """
-    s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+         .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumn("_pid", F.shiftright(F.col("_mid"), _PID_SHIFT))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
