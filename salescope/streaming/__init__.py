@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reports this library rebuilds are batch queries over monthly fact
+tables; they define no stream source, watermark, event-time window, late-data
+rule or stateful operator.  New months arrive as new ``date`` partitions of
+the fact tables (see ``salescope.sources.parquet.save_tables``), and every
+report re-reads only the partitions its fiscal year needs, so no streaming
+operator is needed to keep them current.
+"""

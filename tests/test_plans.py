@@ -67,3 +67,36 @@ def test_full_rank_has_no_window_over_division(saved):
 def test_forecast_scalar_subquery_not_cross_join(saved):
     plan = physical_plan(op.forecast_accuracy_by_market(saved, 1998))
     assert "Subquery" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _join_inputs_shuffled(plan: str, marker: str) -> bool:
+    """True when an Exchange sits directly under the join line containing ``marker``."""
+    lines = plan.splitlines()
+    for i, ln in enumerate(lines):
+        if "SortMergeJoin" in ln and marker in ln:
+            indent = len(ln) - len(ln.lstrip(" :+-"))
+            for sub in lines[i + 1:]:
+                d = len(sub) - len(sub.lstrip(" :+-"))
+                if d <= indent:
+                    break
+                if "Exchange hashpartitioning" in sub and "customer_code" in sub and "product_code" in sub:
+                    return True
+            return False
+    raise AssertionError("join not found")
+
+
+def test_bucketed_fact_joins_need_no_shuffle(spark, tmp_path_factory):
+    # facts too large to broadcast, rate tables small: the 3-key fact-fact
+    # joins read co-bucketed files with no exchange
+    loc = str(tmp_path_factory.mktemp("bucketed"))
+    t = save_tables(derive_tables(spark, SF001), "plan_checks_b", loc, buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(60 * 1024))
+    try:
+        net = physical_plan(op.net_sales_by_customer_code(t, 1998, 5))
+        base = physical_plan(op.forecast_accuracy_base(t))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in net and "Bucketed: true" in base
+    assert not _join_inputs_shuffled(net, "Inner")
+    assert not _join_inputs_shuffled(base, "LeftOuter")
