@@ -47,3 +47,22 @@ def market_equals(col: str | Column, market: str | None) -> Column:
     engine's default ('india' matches 'India')."""
     c = F.col(col) if isinstance(col, str) else col
     return F.lower(c) == F.lower(F.lit(market))
+
+
+# Largest relation (rows) broadcast after an explicit size check.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, bound: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when ``bound`` (a relation with at least as many rows
+    as ``df`` can ever have, typically a small dimension projection) has at
+    most ``max_rows`` rows; otherwise leave the join to the planner (sort-merge
+    with AQE skew splitting).
+
+    The check reads at most ``max_rows + 1`` rows of ``bound``, so it stays
+    cheap however large the data is.  It is used where the optimizer cannot
+    size ``df`` itself (the output of an aggregate) and would otherwise
+    shuffle the large side before AQE learns the real size.
+    """
+    n = bound.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -131,7 +131,7 @@ def _rank_window(df, partition_by, order_by, tie_breakers, kinds) -> DataFrame:
 
 
 def top_dense_rank(df: DataFrame, partition_by: Sequence[str], order_by: str, n: int,
-                   name: str = "drnk") -> DataFrame:
+                   name: str = "drnk", broadcast_top: bool = False) -> DataFrame:
     """Rows whose DENSE_RANK of ``order_by`` (descending) within
     ``partition_by`` is at most ``n`` (ties may give more than ``n`` rows).
 
@@ -139,10 +139,12 @@ def top_dense_rank(df: DataFrame, partition_by: Sequence[str], order_by: str, n:
     filter lets Spark put a partial WindowGroupLimit before the shuffle: each
     task forwards at most ``n`` values per group, so a group's final window
     holds at most ``n`` x tasks rows however large the group is.  The
-    winning values are joined back to the rows.
+    winning values (at most ``n`` per group) are joined back to the rows;
+    ``broadcast_top`` broadcasts them when the caller has checked that
+    ``n`` x groups is small.
     """
     P = list(partition_by)
     values = df.select(*P, order_by).distinct()
     w = Window.partitionBy(*P).orderBy(F.col(order_by).desc())
     top = values.withColumn(name, F.dense_rank().over(w).cast("long")).where(F.col(name) <= int(n))
-    return _join_null_safe(df, top, P + [order_by])
+    return _join_null_safe(df, F.broadcast(top) if broadcast_top else top, P + [order_by])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.money import GROSS_SCALE, NET_SCALE, gross_amount, to_millions
-from salescope.operators.common import date_bounds_filter, fiscal_dates
+from salescope.operators.common import BROADCAST_MAX_ROWS, broadcast_if_bounded, date_bounds_filter, fiscal_dates
 from salescope.operators.rank import rank_within, top_dense_rank
 from salescope.operators.revenue import net_sales_lines
 from salescope.sources.tables import SalesTables
@@ -75,10 +75,14 @@ def top_products_per_division(t: SalesTables, fiscal_year: int, n: int = 3) -> D
     -> (division, product, total_qty, drnk)
 
     Ranked on the distinct quantities with a partial WindowGroupLimit, so a
-    hot division never reaches one task whole (see ``top_dense_rank``).
+    hot division never reaches one task whole (see ``top_dense_rank``).  The
+    winning values (at most ``n`` per division) are broadcast back when
+    ``n`` x the divisions of dim_product passes the size check.
     """
-    return top_dense_rank(product_qty(t, fiscal_year), ["division"], "total_qty", n).select(
-        "division", "product", "total_qty", "drnk")
+    divisions = t.dim_product.select("division").distinct()
+    bounded = n * divisions.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    return top_dense_rank(product_qty(t, fiscal_year), ["division"], "total_qty", n,
+                          broadcast_top=bounded).select("division", "product", "total_qty", "drnk")
 
 
 def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
@@ -88,12 +92,14 @@ def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: boo
 
     The window has no order and no frame, so it equals a per-division
     aggregate joined back.  The aggregate is combined map-side (one row per
-    division per task) and AQE broadcasts the tiny result once measured;
-    a window would instead send each division whole to one task.
+    division per task) and broadcast back when the number of divisions in
+    dim_product (an upper bound of its size) passes the size check; a window
+    would instead send each division whole to one task.
     """
     rows = _product_rows(t, fiscal_year).select("division", "product", "sold_quantity")
     totals = rows.groupBy(F.col("division").alias("d")).agg(
         F.sum("sold_quantity").cast("long").alias("total_qty_by_division"))
+    totals = broadcast_if_bounded(totals, t.dim_product.select("division").distinct())
     # null-safe: a NULL division is one window partition too
     out = rows.join(totals, rows["division"].eqNullSafe(totals["d"])).select(
         "division", "product", "total_qty_by_division")

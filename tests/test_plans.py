@@ -100,3 +100,18 @@ def test_bucketed_fact_joins_need_no_shuffle(spark, tmp_path_factory):
     assert "Bucketed: true" in net and "Bucketed: true" in base
     assert not _join_inputs_shuffled(net, "Inner")
     assert not _join_inputs_shuffled(base, "LeftOuter")
+
+
+def test_division_totals_broadcast_after_size_check(saved):
+    plan = physical_plan(op.division_total_alongside_rows(saved, 1998))
+    assert "SortMergeJoin" not in plan
+
+
+def test_size_check_falls_back_to_planner(spark):
+    from salescope.operators.common import broadcast_if_bounded
+    small = spark.range(3)
+    big_bound = spark.range(10)
+    hinted = broadcast_if_bounded(small, big_bound, max_rows=100)
+    plain = broadcast_if_bounded(small, big_bound, max_rows=5)
+    assert "ResolvedHint (strategy=broadcast)" in hinted._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString()
