@@ -7,13 +7,14 @@ that still hold every realistic amount:
 
 * gross       = qty * price                          DECIMAL(26,4)  exact
 * net invoice = gross - gross * pre  -> DECIMAL(30,8)               exact
-  (|net invoice| < 10^22: gross < 10^22 would need > 10^11 units at the
-  largest DECIMAL(15,4) price)
+  (|gross| < 2.2e20 since qty is INT and a DECIMAL(15,4) price is < 1e11,
+  and |rate| < 10, so |net invoice| < 2.5e21 fits 22 integer digits)
 * net         = nis - nis * (discounts + other)      DECIMAL(38,12) exact
 
-Sums of DECIMAL(38,12) stay DECIMAL(38,12); reports round at the very end
-(ROUND half away from zero, like the reference engine) and are returned as
-DOUBLE.
+Sums of DECIMAL(38,12) stay DECIMAL(38,12); a sum is scaled to millions
+inside DECIMAL(30,12) (totals below 1e18; ANSI mode raises rather than
+wraps beyond).  Reports round at the very end (ROUND half away from zero,
+like the reference engine) and are returned as DOUBLE.
 """
 
 from __future__ import annotations

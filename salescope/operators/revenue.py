@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.fiscal import fiscal_year
+from salescope.functions.fiscal import fiscal_year as fiscal_year_of
 from salescope.functions.money import gross_amount, net_amount, net_invoice_amount, to_money
 from salescope.operators.common import date_bounds_filter, fiscal_dates, market_equals
 from salescope.sources.tables import SalesTables
@@ -80,7 +80,7 @@ def net_sales_lines(t: SalesTables, fiscal_year: int, **kw) -> DataFrame:
 def _gross_by_function(sales: DataFrame, t: SalesTables) -> DataFrame:
     """Sales joined to the gross price of the fiscal year computed by the
     fiscal-year function on the sale date (no dim_date join)."""
-    s = sales.withColumn("fiscal_year", fiscal_year("date"))
+    s = sales.withColumn("fiscal_year", fiscal_year_of("date"))
     return s.join(t.gross_price, ["product_code", "fiscal_year"])
 
 
