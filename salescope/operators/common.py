@@ -42,11 +42,15 @@ def date_bounds_filter(t: SalesTables, date_col: Column, fiscal_years: int | Ite
     return (date_col >= bounds.getField("lo")) & (date_col <= bounds.getField("hi"))
 
 
-def market_equals(col: str | Column, market: str | None) -> Column:
-    """Market match under a case-insensitive collation, like the reference
-    engine's default ('india' matches 'India')."""
+def text_equals(col: str | Column, value: str | None) -> Column:
+    """String match under a case-insensitive collation, like the reference
+    engine's default ('india' matches 'India').  Used for every market and
+    customer-name filter."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lower(c) == F.lower(F.lit(market))
+    return F.lower(c) == F.lower(F.lit(value))
+
+
+market_equals = text_equals
 
 
 # Largest relation (rows) broadcast after an explicit size check.

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.fiscal import fiscal_year as fiscal_year_of
 from salescope.functions.money import gross_amount, net_amount, net_invoice_amount, to_money
-from salescope.operators.common import date_bounds_filter, fiscal_dates, market_equals
+from salescope.operators.common import date_bounds_filter, fiscal_dates, market_equals, text_equals
 from salescope.sources.tables import SalesTables
 
 KEYS3 = ["customer_code", "date", "product_code"]
@@ -97,11 +97,12 @@ def gross_sales_one_customer(t: SalesTables, customer_code: int) -> DataFrame:
 
 def gross_sales_named_customer(t: SalesTables, customer: str, market: str) -> DataFrame:
     """O-02: monthly gross sales of every customer code carrying ``customer``
-    in ``market`` (a name may cover several codes), rounded to 2 places.
+    in ``market`` (a name may cover several codes; both match
+    case-insensitively), rounded to 2 places.
     The name lookup is an IN-subquery, planned as a left-semi join.
     -> (date, total_gross_sales_amount)"""
     codes = t.dim_customer.where(
-        (F.col("customer") == F.lit(customer)) & market_equals("market", market)
+        text_equals("customer", customer) & text_equals("market", market)
     ).select("customer_code")
     s = t.sales.join(codes, "customer_code", "left_semi")
     return (

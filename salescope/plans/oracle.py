@@ -201,7 +201,7 @@ WHERE s.customer_code = {P['customer_code']} AND g.fiscal_year = {_fy_of('s.date
 GROUP BY s.date""",
     "gross_sales_named_customer": _with(f"""customer_name AS (
   SELECT customer_code FROM dim_customer
-  WHERE customer = '{P['customer_name']}' AND lower(market) = lower('{MKT}')
+  WHERE lower(customer) = lower('{P['customer_name']}') AND lower(market) = lower('{MKT}')
 )""") + f"""SELECT s.date,
   CAST(ROUND(SUM(g.gross_price * s.sold_quantity), 2) AS DOUBLE) AS total_gross_sales_amount
 FROM fact_gross_price g JOIN fact_sales_monthly s ON g.product_code = s.product_code

@@ -74,6 +74,7 @@ def test_gross_sales_routes(make_tables):
         (D("2020-09-01"), 200.0), (D("2020-10-01"), 100.0), (D("2021-09-01"), 90.0)]
     # O-02: by name and market through the semi join
     assert rows(op.gross_sales_named_customer(t, "Croma", "India")) == rows(op.gross_sales_one_customer(t, 1))
+    assert rows(op.gross_sales_named_customer(t, "CROMA", "india")) == rows(op.gross_sales_one_customer(t, 1))
     # O-03 with one code equals O-01 (before rounding)
     assert rows(op.gross_sales_monthly(t, "1")) == rows(op.gross_sales_one_customer(t, 1))
     assert rows(op.gross_sales_monthly(t, "1,2")) == [
