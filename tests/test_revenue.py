@@ -122,3 +122,24 @@ def test_code_and_market_pipelines_agree_on_sf001(spark):
     by_code = op.net_sales_lines(t, 1998).agg(F.sum("total_net_sales")).first()[0]
     by_market = op.net_sales_lines(t, 1998, with_market=True).agg(F.sum("total_net_sales")).first()[0]
     assert by_code == by_market and by_code > 0
+
+
+def test_grouping_by_name_merges_codes(make_tables):
+    # Two codes share the name "Croma" -> one row in the customer report
+    t = _base(make_tables, dim_customer=[(1, "Croma", "India", "APAC"), (2, "Croma", "India", "APAC")])
+    assert rows(op.top_customers_by_net_sales(t, "India", 2021, 5)) == [("Croma", 0.0)]
+    lines = op.net_sales_lines(t, 2021, market="India", with_customer=True)
+    assert rows(op.top_n(lines, "customer", 5, out="x")) == [("Croma", 0.0)]
+
+
+def test_procedure_with_fixed_five_equals_top_n(make_tables):
+    # The fiscal-year procedure is the top-markets procedure with n = 5
+    t = _base(make_tables)
+    assert rows(op.net_sales_by_fiscal_year(t, 2021)) == rows(op.top_markets_by_net_sales(t, 2021, 5))
+
+
+def test_round_half_away_from_zero(spark):
+    # Decimal ROUND is half away from zero, never banker's rounding
+    from salescope.functions.money import to_money
+    df = spark.createDataFrame([(dec("0.125"),), (dec("-0.125"),), (dec("2.345"),), (dec("0.135"),)], "x decimal(10,3)")
+    assert [r.m for r in df.select(to_money("x").alias("m")).collect()] == [0.13, -0.13, 2.35, 0.14]
