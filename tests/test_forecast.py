@@ -8,7 +8,7 @@ from salescope.sources.tables import load_tables
 def _t(make_tables, sales, forecast, customers=None):
     return make_tables(
         fact_sales_monthly=sales, fact_forecast_monthly=forecast,
-        dim_customer=customers or [(1, "Croma", "India", "APAC"), (2, "Amazon", "USA", "NA")])
+        dim_customer=customers or [(1, "Acme", "India", "APAC"), (2, "Globex", "USA", "NA")])
 
 
 def test_base_left_join_and_errors(make_tables):
@@ -55,7 +55,7 @@ def test_guard_future_year(make_tables):
 def test_market_report_counts_distinct_customers(make_tables):
     sales = [(D("2020-10-01"), 1, 10, 4), (D("2020-10-01"), 2, 10, 4)]
     fc = [(D("2020-10-01"), 1, 10, 5), (D("2020-10-01"), 1, 11, 5), (D("2020-10-01"), 2, 10, 4)]
-    cust = [(1, "Croma", "India", "APAC"), (2, "Amazon", "India", "APAC")]
+    cust = [(1, "Acme", "India", "APAC"), (2, "Globex", "India", "APAC")]
     r = op.forecast_accuracy_by_market(_t(make_tables, sales, fc, cust), 2021).collect()
     assert [(r_.market, r_.customer_count, r_.total_forecast_qty, r_.total_abs_error, r_.forecast_accuracy_pct)
             for r_ in r] == [("India", 2, 14, 6, 57.14)]
