@@ -4,7 +4,7 @@ from salescope import operators as op
 
 def _t(make_tables, qty, market="India"):
     sales = [(D("2020-10-01"), 1, 10, qty)]
-    return make_tables(fact_sales_monthly=sales, dim_customer=[(1, "Croma", market, "APAC")])
+    return make_tables(fact_sales_monthly=sales, dim_customer=[(1, "Acme", market, "APAC")])
 
 
 def _one(df):
