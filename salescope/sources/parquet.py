@@ -47,6 +47,13 @@ def write_tables(tables: SalesTables, root: str, mode: str = "overwrite") -> Sal
 
 
 BUCKET_KEYS = ("customer_code", "product_code")
+TARGET_FILE_BYTES = 512 * 1024 * 1024
+
+
+def bucket_count(fact_bytes: int, n_dates: int, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Buckets so that one bucket file of one date partition holds about
+    ``target_file_bytes`` (100 TB over 120 months -> ~1,700 buckets)."""
+    return max(1, -(-fact_bytes // (max(1, n_dates) * target_file_bytes)))
 
 
 def save_tables(tables: SalesTables, database: str, location: str, buckets: int | None = None) -> SalesTables:
