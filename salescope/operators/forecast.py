@@ -84,9 +84,11 @@ def forecast_accuracy_by_customer(t: SalesTables, fiscal_year: int) -> DataFrame
         total_net_error, total_abs_error, forecast_accuracy_pct)"""
     base = forecast_accuracy_base(t, fiscal_year).where(
         (F.col("fiscal_year") == fiscal_year) & _has_sales_through(t, fiscal_year))
+    # customer_code breaks ties: equal accuracies stay splittable across
+    # range partitions instead of landing in one sort task
     return (
         accuracy_metrics(base, ["customer_code", "customer", "market"])
-        .orderBy(F.col("forecast_accuracy_pct").desc_nulls_last())
+        .orderBy(F.col("forecast_accuracy_pct").desc_nulls_last(), F.col("customer_code").asc())
     )
 
 
@@ -98,7 +100,7 @@ def forecast_accuracy_by_market(t: SalesTables, fiscal_year: int) -> DataFrame:
         (F.col("fiscal_year") == fiscal_year) & _has_sales_through(t, fiscal_year))
     return (
         accuracy_metrics(base, ["market"], [F.countDistinct("customer_code").cast("long").alias("customer_count")])
-        .orderBy(F.col("forecast_accuracy_pct").desc_nulls_last())
+        .orderBy(F.col("forecast_accuracy_pct").desc_nulls_last(), F.col("market").asc())
     )
 
 
@@ -140,5 +142,5 @@ def forecast_decline_pivot(t: SalesTables, y1: int, y2: int) -> DataFrame:
     return (
         piv.where(F.col("accuracy_y2") < F.col("accuracy_y1"))
         .withColumn("accuracy_change", change)
-        .orderBy(F.col("accuracy_change").asc())
+        .orderBy(F.col("accuracy_change").asc(), F.col("customer_code").asc())
     )

@@ -96,14 +96,18 @@ def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: boo
     dim_product (an upper bound of its size) passes the size check; a window
     would instead send each division whole to one task.
     """
-    rows = _product_rows(t, fiscal_year).select("division", "product", "sold_quantity")
+    rows = _product_rows(t, fiscal_year).select(
+        "division", "product", "sold_quantity", "customer_code", "date", "product_code")
     totals = rows.groupBy(F.col("division").alias("d")).agg(
         F.sum("sold_quantity").cast("long").alias("total_qty_by_division"))
     totals = broadcast_if_bounded(totals, t.dim_product.select("division").distinct())
     # null-safe: a NULL division is one window partition too
-    out = rows.join(totals, rows["division"].eqNullSafe(totals["d"])).select(
-        "division", "product", "total_qty_by_division")
-    return out.orderBy("division", "product") if ordered else out
+    out = rows.join(totals, rows["division"].eqNullSafe(totals["d"]))
+    if ordered:
+        # the sale key after (division, product) keeps the range-partitioned
+        # sort splittable when one product holds many rows
+        out = out.orderBy("division", "product", "customer_code", "date", "product_code")
+    return out.select("division", "product", "total_qty_by_division")
 
 
 def _ranked(t: SalesTables, fiscal_year: int, kinds: tuple[str, ...], ordered: bool) -> DataFrame:
