@@ -16,7 +16,9 @@ same numbers without any per-group task:
    positions are MIN aggregates (combined map-side, so a hot group costs one
    row per task);
 3. ``drnk`` is the same construction on the table of distinct
-   (group, value) pairs ordered by their first position.
+   (group, value) pairs, ordered by value (or by the tie group's first
+   position, the same order, when RANK is computed too); a DENSE_RANK alone
+   never sorts the full rows.
 
 All steps are built-in expressions (whole-stage codegen); joins back to the
 rows are planned by AQE from measured sizes (broadcast when small, skew-split
@@ -48,8 +50,11 @@ def global_positions(df: DataFrame, order: Sequence[Column], name: str = "_pos",
     partitions).  The sorted relation is referenced twice (row counts and
     positions); Spark reuses the same exchange for both, and because the
     partition count is explicit AQE never coalesces it, so both references
-    see identical partition indices.  Give ``order`` a unique key for
-    reproducible positions among exact duplicates.
+    see identical partition indices; a recomputed partition goes through the
+    same range partitioner, so it holds the same rows.  Give ``order`` a
+    unique key for reproducible positions among exact duplicates.  On a
+    large cluster ranking a small relation, pass a smaller ``partitions``
+    to avoid many near-empty tasks.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
