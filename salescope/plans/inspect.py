@@ -39,3 +39,69 @@ def pushed_filters(df: DataFrame, table: str) -> list[str]:
             if m:
                 out.append(m.group(1))
     return out
+
+
+def final_plan(df: DataFrame):
+    """The final adaptive physical plan (JVM object) of ``df``, after AQE's
+    runtime re-planning.  Runs ``df`` once; meant for review runs."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+
+
+def _nodes(plan):
+    """Every physical node once: query stages, reused exchanges and subquery
+    plans are followed; nodes are de-duplicated by plan id."""
+    seen, stack, out = set(), [plan], []
+    while stack:
+        node = stack.pop()
+        cls = node.getClass().getSimpleName()
+        key = (cls, node.id())  # query stages reuse small ids of their own
+        if key in seen:
+            continue
+        seen.add(key)
+        out.append((cls, node))
+        if cls == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+            continue
+        if cls.endswith("QueryStageExec"):
+            stack.append(node.plan())
+            continue
+        if cls == "ReusedExchangeExec":
+            continue
+        children = node.children()
+        for i in range(children.size()):
+            stack.append(children.apply(i))
+        subs = node.subqueries()
+        for i in range(subs.size()):
+            stack.append(subs.apply(i))
+    return out
+
+
+def plan_summary(plan) -> dict[str, int]:
+    """Counts of the operators a reviewer looks for in a final physical plan."""
+    nodes = _nodes(plan)
+    classes = [c for c, _ in nodes]
+
+    def exchanges(kind: str) -> int:
+        return sum(1 for c, n in nodes if c == "ShuffleExchangeExec"
+                   and n.outputPartitioning().getClass().getSimpleName().startswith(kind))
+
+    def scans_with(pattern: str) -> int:
+        return sum(1 for c, n in nodes if c == "FileSourceScanExec" and re.search(pattern, n.toString()))
+
+    return {
+        "hash_exchanges": exchanges("HashPartitioning"),
+        "range_exchanges": exchanges("RangePartitioning"),
+        "single_partition_exchanges": exchanges("SinglePartition"),
+        "reused_exchanges": classes.count("ReusedExchangeExec"),
+        "broadcast_hash_joins": classes.count("BroadcastHashJoinExec"),
+        "sort_merge_joins": classes.count("SortMergeJoinExec"),
+        "windows": classes.count("WindowExec"),
+        "window_group_limits": classes.count("WindowGroupLimitExec"),
+        "take_ordered": classes.count("TakeOrderedAndProjectExec"),
+        "partition_filters_with_subquery": scans_with(r"PartitionFilters: \[[^\]]*(Subquery|scalar-subquery)"),
+        "dynamic_pruning": scans_with(r"dynamicpruning"),
+        "cartesian_or_nested_loop": classes.count("CartesianProductExec") + classes.count("BroadcastNestedLoopJoinExec"),
+        "python_udf": classes.count("BatchEvalPythonExec") + classes.count("ArrowEvalPythonExec"),
+    }

@@ -115,3 +115,13 @@ def test_size_check_falls_back_to_planner(spark):
     plain = broadcast_if_bounded(small, big_bound, max_rows=5)
     assert "ResolvedHint (strategy=broadcast)" in hinted._jdf.queryExecution().analyzed().toString()
     assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString()
+
+
+def test_plan_summary_counts_final_plan(saved):
+    from salescope.plans.inspect import final_plan, plan_summary
+    s = plan_summary(final_plan(op.top_markets_by_net_sales(saved, 1998, 5)))
+    assert s["take_ordered"] == 1 and s["hash_exchanges"] >= 1
+    assert s["partition_filters_with_subquery"] >= 1 and s["single_partition_exchanges"] >= 1
+    assert s["cartesian_or_nested_loop"] == 0 and s["python_udf"] == 0
+    r = plan_summary(final_plan(op.rank_comparison(saved, 1998)))
+    assert r["reused_exchanges"] >= 1 and r["range_exchanges"] >= 2
