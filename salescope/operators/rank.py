@@ -22,8 +22,10 @@ same numbers without any per-group task:
 
 All steps are built-in expressions (whole-stage codegen); joins back to the
 rows are planned by AQE from measured sizes (broadcast when small, skew-split
-sort-merge otherwise).  ``strategy="window"`` gives the plain window form,
-for comparison and for groups known to be small.
+sort-merge otherwise).  ``strategy="window"`` gives the plain window form;
+``strategy="auto"`` uses it only when a caller-supplied bound proves that no
+group exceeds ``max_group_rows`` rows (one small aggregate job), and the
+distributed form otherwise.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from pyspark.sql import functions as F
 
 _FUNCS = {"rnk": F.rank, "drnk": F.dense_rank, "row_num": F.row_number}
 _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row index
+# Largest group a single window task may hold (rows): a few tens of MB.
+WINDOW_MAX_GROUP_ROWS = 1_000_000
 
 
 def _order(partition_by: Sequence[str], order_by: str, tie_breakers: Sequence[str]) -> list[Column]:
@@ -89,10 +93,22 @@ def rank_within(
     tie_breakers: Sequence[str] = (),
     kinds: Sequence[str] = ("rnk", "drnk", "row_num"),
     strategy: str = "distributed",
+    group_bound: DataFrame | None = None,
+    max_group_rows: int = WINDOW_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add rank columns (``rnk``, ``drnk``, ``row_num``; LONG) of ``order_by``
     descending (NULLs last) within ``partition_by``.  RANK and DENSE_RANK see
-    only the value; ROW_NUMBER breaks ties by ``tie_breakers`` ascending."""
+    only the value; ROW_NUMBER breaks ties by ``tie_breakers`` ascending.
+
+    ``strategy="auto"`` needs ``group_bound``: a relation with a column ``n``
+    whose maximum is at least the row count of the largest group of ``df``
+    (e.g. per-group row counts of the dimension the groups come from).  The
+    plain window is used when that maximum is at most ``max_group_rows``,
+    the distributed form otherwise (or without a bound)."""
+    if strategy == "auto":
+        largest = group_bound.agg(F.max("n")).first()[0] if group_bound is not None else None
+        small = group_bound is not None and (largest is None or largest <= max_group_rows)
+        strategy = "window" if small else "distributed"
     if strategy == "window":
         return _rank_window(df, partition_by, order_by, tie_breakers, kinds)
     cols = df.columns

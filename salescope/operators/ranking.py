@@ -110,39 +110,45 @@ def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: boo
     return out.select("division", "product", "total_qty_by_division")
 
 
-def _ranked(t: SalesTables, fiscal_year: int, kinds: tuple[str, ...], ordered: bool) -> DataFrame:
+def _ranked(t: SalesTables, fiscal_year: int, kinds: tuple[str, ...], ordered: bool,
+            strategy: str = "auto") -> DataFrame:
+    # every (division, product) row of product_qty comes from a dim_product
+    # row, so dim_product's rows per division bound the window groups
+    bound = t.dim_product.groupBy("division").agg(F.count(F.lit(1)).alias("n"))
     out = rank_within(
         product_qty(t, fiscal_year),
         partition_by=["division"],
         order_by="total_qty",
         tie_breakers=["product"],
         kinds=kinds,
+        strategy=strategy,
+        group_bound=bound,
     )
     return out.orderBy("division", kinds[0], "product") if ordered else out
 
 
-def rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
+def rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
     """O-19: RANK (gaps after ties) of Σquantity per division.
     -> (division, product, total_qty, rnk)"""
-    return _ranked(t, fiscal_year, ("rnk",), ordered)
+    return _ranked(t, fiscal_year, ("rnk",), ordered, strategy)
 
 
-def dense_rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
+def dense_rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
     """O-20: DENSE_RANK (no gaps) of Σquantity per division.
     -> (division, product, total_qty, drnk)"""
-    return _ranked(t, fiscal_year, ("drnk",), ordered)
+    return _ranked(t, fiscal_year, ("drnk",), ordered, strategy)
 
 
-def row_number_products(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
+def row_number_products(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
     """O-21: ROW_NUMBER of Σquantity per division; equal quantities are
     numbered by product name. -> (division, product, total_qty, row_num)"""
-    return _ranked(t, fiscal_year, ("row_num",), ordered)
+    return _ranked(t, fiscal_year, ("row_num",), ordered, strategy)
 
 
-def rank_comparison(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
+def rank_comparison(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
     """O-22: RANK, DENSE_RANK and ROW_NUMBER side by side.
     -> (division, product, total_qty, rnk, drnk, row_num)"""
-    out = _ranked(t, fiscal_year, ("rnk", "drnk", "row_num"), False)
+    out = _ranked(t, fiscal_year, ("rnk", "drnk", "row_num"), False, strategy)
     return out.orderBy("division", "drnk", "product") if ordered else out
 
 

@@ -64,5 +64,7 @@ def make_tables(spark):
 
 
 def rows(df, *cols):
+    """Rows as tuples in natural sort order (NULLs last in each position)."""
     cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()),
+                  key=lambda t: tuple((v is None, v) for v in t))

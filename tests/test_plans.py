@@ -60,8 +60,11 @@ def test_top_dense_rank_uses_window_group_limit(saved):
 
 def test_full_rank_has_no_window_over_division(saved):
     # the distributed rank never partitions a window by the (possibly hot) group
-    plan = physical_plan(op.rank_comparison(saved, 1998))
+    plan = physical_plan(op.rank_comparison(saved, 1998, strategy="distributed"))
     assert "windowspecdefinition(division" not in plan
+    # "auto" keeps the plain window only because dim_product bounds every
+    # division far below the single-task limit
+    assert "windowspecdefinition(division" in physical_plan(op.rank_comparison(saved, 1998))
 
 
 def test_forecast_scalar_subquery_not_cross_join(saved):
@@ -123,5 +126,5 @@ def test_plan_summary_counts_final_plan(saved):
     assert s["take_ordered"] == 1 and s["hash_exchanges"] >= 1
     assert s["partition_filters_with_subquery"] >= 1 and s["single_partition_exchanges"] >= 1
     assert s["cartesian_or_nested_loop"] == 0 and s["python_udf"] == 0
-    r = plan_summary(final_plan(op.rank_comparison(saved, 1998)))
+    r = plan_summary(final_plan(op.rank_comparison(saved, 1998, strategy="distributed")))
     assert r["reused_exchanges"] >= 1 and r["range_exchanges"] >= 2

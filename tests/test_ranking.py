@@ -97,3 +97,32 @@ def test_lag_lead_positional(make_tables):
     assert [(r.fiscal_year, r.gross_sales_mln, r.prev_year_sales_mln) for r in prev] == [(2020, 1.0, None), (2022, 2.0, 1.0)]
     nxt = op.gross_sales_next_year(t).collect()
     assert [(r.fiscal_year, r.next_year_sales_mln) for r in nxt] == [(2020, 2.0), (2022, None)]
+
+
+def test_auto_strategy_follows_the_bound(qty, spark):
+    from pyspark.sql import functions as F
+    bound = qty.groupBy("division").agg(F.count(F.lit(1)).alias("n"))
+    window = rank_within(qty, ["division"], "total_qty", ["product"], strategy="window")
+    for limit in (1, 2, 1000):  # below and above the largest group (5 rows)
+        auto = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto",
+                           group_bound=bound, max_group_rows=limit)
+        assert rows(auto) == rows(window)
+    big = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto", group_bound=bound, max_group_rows=2)
+    small = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto", group_bound=bound)
+    assert "windowspecdefinition(division" not in big._jdf.queryExecution().analyzed().toString()
+    assert "windowspecdefinition(division" in small._jdf.queryExecution().analyzed().toString()
+    # no bound: never trust the group size
+    none = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto")
+    assert "windowspecdefinition(division" not in none._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.slow
+@pytest.mark.parametrize("name", ["rank_products", "dense_rank_products", "row_number_products", "rank_comparison"])
+def test_distributed_rank_reports_match_oracle(spark, name):
+    from conftest import SF01
+    from oracle_compare import compare, duck
+    from salescope.plans.oracle import ORACLE_SQL
+    from salescope.sources.tables import load_tables
+    df = getattr(op, name)(load_tables(spark, SF01), 1998, strategy="distributed")
+    ok, msg = compare(df, duck(SF01), ORACLE_SQL[name])
+    assert ok, msg

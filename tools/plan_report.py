@@ -74,8 +74,13 @@ Read with README "Designed for scale":
   `rank_within` (one row per partition).
 - **reused**: an exchange computed once and read again.
 - **runtime part. filters** / **DPP**: date partitions skipped at run time.
-- **Window** appears only where groups are bounded: fiscal years per customer or market, the offsets' prefix sum,
-  and O-09's distinct values behind a WindowGroupLimit.
+- **Window** appears only where groups are bounded:
+  - fiscal years per customer or market;
+  - the offsets' prefix sum (one row per partition);
+  - O-09's distinct values behind a WindowGroupLimit;
+  - the rank reports when `dim_product` proves that no division exceeds 1,000,000 rows (`strategy="auto"`).
+    Beyond that they switch to the distributed rank, which `tests/test_ranking.py` and `tests/test_skew.py` also
+    check against the oracle.
 - **cartesian/BNLJ** and **Python UDF** must be 0.
 
 At sf0.01 every dimension and most fact sides are broadcast. At scale the facts exceed the threshold and the
