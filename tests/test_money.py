@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from salescope.functions.money import accuracy_pct, gross_amount, net_amount, net_invoice_amount, to_millions
 
