@@ -42,12 +42,18 @@ def date_bounds_filter(t: SalesTables, date_col: Column, fiscal_years: int | Ite
     return (date_col >= bounds.getField("lo")) & (date_col <= bounds.getField("hi"))
 
 
+# Fixed value: Spark's ICU collation closest to the reference engine's
+# default (case- and accent-insensitive, no padding).
+TEXT_COLLATION = "UNICODE_CI_AI"
+
+
 def text_equals(col: str | Column, value: str | None) -> Column:
-    """String match under a case-insensitive collation, like the reference
-    engine's default ('india' matches 'India').  Used for every market and
-    customer-name filter."""
+    """String match under a case- and accent-insensitive collation, like the
+    reference engine's default ('india' matches 'India', 'México' matches
+    'MEXICO'; trailing spaces still count).  Used for every market and
+    customer-name filter; these filters run on dimension tables."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lower(c) == F.lower(F.lit(value))
+    return F.collate(c, TEXT_COLLATION) == F.collate(F.lit(value).cast("string"), TEXT_COLLATION)
 
 
 market_equals = text_equals

@@ -77,6 +77,11 @@ fact_pre_invoice_deductions AS (
 _TABLES_MARK = "WITH __business_tables__"
 
 
+def _text_eq(col: str, value: str) -> str:
+    # case- and accent-insensitive match (the Spark side uses UNICODE_CI_AI)
+    return f"lower(strip_accents({col})) = lower(strip_accents('{value}'))"
+
+
 def _with(*ctes: str) -> str:
     return _TABLES_MARK + "".join(",\n" + c for c in ctes) + "\n"
 
@@ -96,7 +101,7 @@ def _net_ctes(market: str | None = None, dims: tuple[str, ...] = ()) -> tuple[st
     join_c = "JOIN dim_customer dc ON dc.customer_code = s.customer_code" if (market or "market" in dims
                                                                               or "customer" in dims) else ""
     join_p = "JOIN dim_product dp ON dp.product_code = s.product_code" if "product" in dims else ""
-    where_m = f"AND lower(dc.market) = lower('{market}')" if market else ""
+    where_m = f"AND {_text_eq('dc.market', market)}" if market else ""
     sel = "".join(f"{'dp' if d == 'product' else 'dc'}.{d}, " for d in dims)
     keep = "".join(f"{d}, " for d in dims)
     g = f"""g_price AS (
@@ -204,7 +209,7 @@ WHERE s.customer_code = {P['customer_code']} AND g.fiscal_year = {_fy_of('s.date
 GROUP BY s.date""",
     "gross_sales_named_customer": _with(f"""customer_name AS (
   SELECT customer_code FROM dim_customer
-  WHERE lower(customer) = lower('{P['customer_name']}') AND lower(market) = lower('{MKT}')
+  WHERE {_text_eq('customer', P['customer_name'])} AND {_text_eq('market', MKT)}
 )""") + f"""SELECT s.date,
   CAST(ROUND(SUM(g.gross_price * s.sold_quantity), 2) AS DOUBLE) AS total_gross_sales_amount
 FROM fact_gross_price g JOIN fact_sales_monthly s ON g.product_code = s.product_code
@@ -253,7 +258,7 @@ FROM pivoted WHERE accuracy_y2 < accuracy_y1 ORDER BY accuracy_change ASC""",
   CAST({_badge_qty()} AS BIGINT) AS total_qty,
   CASE WHEN {_badge_qty()} > {P['badge_threshold']} THEN 'Gold' ELSE 'Silver' END AS badge
 FROM fact_sales_monthly s JOIN dim_customer c ON s.customer_code = c.customer_code
-WHERE {_fy_of('s.date')} = {FY} AND lower(c.market) = lower('{MKT}')""",
+WHERE {_fy_of('s.date')} = {FY} AND {_text_eq('c.market', MKT)}""",
     "market_badges": _with(f"""q AS (
   SELECT c.market, SUM(s.sold_quantity) AS qty
   FROM fact_sales_monthly s JOIN dim_customer c ON s.customer_code = c.customer_code

@@ -35,3 +35,9 @@ def test_threshold_parameter_and_all_markets(make_tables):
         dim_customer=[(1, "a", "India", "r"), (2, "b", "USA", "r"), (3, "c", "Chile", "r")])
     assert rows(op.market_badges(t, 2021, threshold=10)) == [
         ("Chile", 2021, 0, "Silver"), ("India", 2021, 20, "Gold"), ("USA", 2021, 5, "Silver")]
+
+
+def test_market_match_is_accent_insensitive(make_tables):
+    # the reference engine's default collation ignores case and accents
+    assert _one(op.market_badge(_t(make_tables, 6_000_000, "México"), "MEXICO", 2021))[2:] == (6_000_000, "Gold")
+    assert _one(op.market_badge(_t(make_tables, 6_000_000, "India "), "India", 2021))[2:] == (0, "Silver")
