@@ -57,17 +57,21 @@ def main() -> None:
     source_tables = f"catalog:{database}"
 
     results: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         source = sf_dir if name.startswith("with_fiscal") else source_tables
-        _run(fn(spark, source))  # warm-up (also plans and caches file listings)
-        times = []
-        for _ in range(repeat):
-            t = time.perf_counter()
-            _run(fn(spark, source))
-            times.append(time.perf_counter() - t)
-        results[name] = round(statistics.median(times), 4)
+        try:
+            _run(fn(spark, source))  # warm-up (also plans and caches file listings)
+            times = []
+            for _ in range(repeat):
+                t = time.perf_counter()
+                _run(fn(spark, source))
+                times.append(time.perf_counter() - t)
+            results[name] = round(statistics.median(times), 4)
+        except Exception as e:  # keep measuring the others; report the failure
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -81,6 +85,7 @@ def main() -> None:
         "repeat": repeat,
         "tables_dir": tables_dir,
         "buckets": buckets,
+        "errors": errors,
     }))
     spark.stop()
 
