@@ -76,3 +76,12 @@ def test_no_python_udf_in_plan(spark):
     df = spark.range(3).select(F.date_add(F.lit(D("2020-01-01")), F.col("id").cast("int")).alias("d"))
     plan = with_fiscal_quarter(with_fiscal_year(df, "d"), "d")._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_daily_calendar(spark):
+    from salescope.sources.calendar import build_dim_date
+    d = build_dim_date(spark, D("2020-08-30"), D("2020-09-02"), "day").orderBy("calendar_date").collect()
+    assert [(r.calendar_date.isoformat(), r.fiscal_year) for r in d] == [
+        ("2020-08-30", 2020), ("2020-08-31", 2020), ("2020-09-01", 2021), ("2020-09-02", 2021)]
+    m = build_dim_date(spark, D("1994-09-01"), D("2002-08-01"), "month")
+    assert m.count() == 96 and m.select("fiscal_year").distinct().count() == 8
