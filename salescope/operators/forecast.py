@@ -13,8 +13,6 @@ from salescope.operators.common import date_bounds_filter, fiscal_dates
 from salescope.sources.tables import SalesTables
 
 KEYS3 = ["customer_code", "date", "product_code"]
-BASE_COLUMNS = ["customer_code", "customer", "market", "fiscal_year", "forecast_quantity",
-                "sold_quantity", "date", "net_error", "abs_error"]
 
 
 def forecast_accuracy_base(t: SalesTables, fiscal_years: int | Iterable[int] | None = None) -> DataFrame:
@@ -25,11 +23,13 @@ def forecast_accuracy_base(t: SalesTables, fiscal_years: int | Iterable[int] | N
     forecast is dropped.  ``net_error = forecast - ifnull(sold, 0)`` (signed,
     + means over-forecast), ``abs_error = |net_error|``.  Only forecast dates
     up to MAX(date) of the *whole* sales table are kept (a scalar subquery,
-    evaluated once and pushed to the forecast scan).
+    evaluated once; on date-partitioned facts it prunes partitions at run
+    time).
 
     ``fiscal_years`` restricts the relation to those years; besides the
-    dim_date filter it prunes both fact scans to the years' date range, which
-    Catalyst cannot infer through the dimension join by itself.
+    dim_date filter it bounds both fact scans to the years' date range.  The
+    sales side of the left join could not be pruned through the dimension
+    join otherwise.
     """
     f = t.forecast.where(F.col("date") <= last_sale_date(t))
     s = t.sales.select(*KEYS3, "sold_quantity")
