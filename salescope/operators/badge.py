@@ -34,7 +34,7 @@ def market_badge(t: SalesTables, market: str | None, fiscal_year: int,
                  threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """O-15: one row (market, fiscal_year, total_qty, badge).
 
-    An empty market means 'india'; markets match case-insensitively.  With no
+    An empty market means 'india'; markets match case- and accent-insensitively.  With no
     matching sale the quantity is 0 and the badge Silver — never an error.
     The result is a one-row DataFrame: nothing is collected to the driver.
     """
