@@ -70,3 +70,10 @@ def test_accuracy_huge_sums_exact(spark):
     a, f = 123_456_789_012_345_678, 987_654_321_098_765_432
     expect = (10000 - (a * 10000 * 2 + f) // (2 * f)) / 100
     assert _acc(spark, a, f) == expect
+
+
+def test_accuracy_negative_forecast_sum(spark):
+    # 1 - 10 / -20 = 1.5 -> 150.00; the ratio is rounded half away from zero:
+    # 1 - round(-1/3, 4) = 1.3333 -> 133.33
+    assert _acc(spark, 10, -20) == 150.0
+    assert _acc(spark, 1, -3) == 133.33
