@@ -1,7 +1,8 @@
 """Run a registered query in Spark and its SQL oracle in DuckDB; compare.
 
-Comparison is order-insensitive: columns by name, rows as sorted tuples,
-values exact (money is rounded before it becomes DOUBLE on both sides).
+Comparison is order-insensitive: columns by name (with matching types),
+rows as sorted tuples, values exact (money is rounded before it becomes
+DOUBLE on both sides).
 """
 
 from __future__ import annotations
@@ -37,14 +38,23 @@ def _rows(cols: list[str], rows) -> list[tuple]:
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark type -> DuckDB type of the same values
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR"}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
+    s_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.sql(sql)
     d_cols = [c for c in rel.columns]
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    if s_types != d_types:
+        return False, f"types differ: spark={s_types} duck={d_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row counts differ: spark={len(s_rows)} duck={len(d_rows)}"
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
