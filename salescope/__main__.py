@@ -3,6 +3,7 @@
     python -m salescope top_markets_by_net_sales --source catalog:sales --fiscal-year 2021 --n 5
     python -m salescope gross_sales_monthly --source /data/sales --customer-codes 90002002,90002003 \\
         --output /data/reports/gross
+    python -m salescope call get_top_n_markets_by_net_sales 2021 5 --source catalog:sales
 
 ``--source`` is anything ``load_tables`` accepts.  The result is written as
 Parquet to ``--output`` (a distributed write, nothing passes through the
@@ -36,7 +37,33 @@ def _params(fn):
     return [p for p in list(inspect.signature(fn).parameters.values())[1:]]
 
 
+def _call(argv: list[str]) -> None:
+    from salescope.procedures import PROCEDURES, call
+
+    ap = argparse.ArgumentParser(prog="python -m salescope call")
+    ap.add_argument("procedure", choices=sorted(PROCEDURES))
+    ap.add_argument("args", nargs="*", help="the procedure's arguments, in order")
+    ap.add_argument("--source", required=True, help="folder of tables or catalog:<database>")
+    ap.add_argument("--output", help="write the result as Parquet here")
+    ap.add_argument("--show", type=int, default=20)
+    a = ap.parse_args(argv)
+    spark = get_session(app=f"salescope-{a.procedure}")
+    try:
+        df = call(load_tables(spark, a.source), a.procedure, *a.args)
+    except (TypeError, ValueError) as e:
+        ap.error(str(e))
+    if a.output:
+        df.write.mode("overwrite").parquet(a.output)
+    else:
+        df.show(a.show, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> None:
+    import sys
+
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv and argv[0] == "call":
+        return _call(argv[1:])
     ap = argparse.ArgumentParser(prog="python -m salescope", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("report", choices=sorted(REPORTS))
