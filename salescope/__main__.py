@@ -46,13 +46,16 @@ def _call(argv: list[str]) -> None:
     ap.add_argument("--source", required=True, help="folder of tables or catalog:<database>")
     ap.add_argument("--output", help="write the result as Parquet here")
     ap.add_argument("--show", type=int, default=20)
+    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
     a = ap.parse_args(argv)
     spark = get_session(app=f"salescope-{a.procedure}")
     try:
         df = call(load_tables(spark, a.source), a.procedure, *a.args)
     except (TypeError, ValueError) as e:
         ap.error(str(e))
-    if a.output:
+    if a.explain:
+        df.explain(mode="formatted")
+    elif a.output:
         df.write.mode("overwrite").parquet(a.output)
     else:
         df.show(a.show, truncate=False)
@@ -70,6 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", required=True, help="folder of tables or catalog:<database>")
     ap.add_argument("--output", help="write the result as Parquet here")
     ap.add_argument("--show", type=int, default=20, help="rows to print when --output is not given")
+    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
     seen = set()
     for fn in REPORTS.values():
         for p in _params(fn):
@@ -93,7 +97,9 @@ def main(argv: list[str] | None = None) -> None:
         kwargs[p.name] = v
     spark = get_session(app=f"salescope-{args.report}")
     df = fn(load_tables(spark, args.source), **kwargs)
-    if args.output:
+    if args.explain:
+        df.explain(mode="formatted")
+    elif args.output:
         df.write.mode("overwrite").parquet(args.output)
     else:
         df.show(args.show, truncate=False)

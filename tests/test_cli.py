@@ -37,3 +37,9 @@ def test_procedure_argument_count_is_checked(spark):
     from salescope.sources.tables import load_tables
     with pytest.raises(TypeError):
         call(load_tables(spark, SF001), "get_top_n_markets_by_net_sales", 1998)
+
+
+def test_cli_explain(capsys):
+    main(["top_markets_by_net_sales", "--source", SF001, "--fiscal-year", "1998", "--n", "3", "--explain"])
+    out = capsys.readouterr().out
+    assert "TakeOrderedAndProject" in out and "== Physical Plan ==" in out
