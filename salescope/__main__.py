@@ -33,8 +33,29 @@ REPORTS = {
 }
 
 
+TEXT_PARAMS = ("market", "customer", "customer_codes", "strategy")
+SKIPPED_PARAMS = ("ordered",)
+
+
 def _params(fn):
-    return [p for p in list(inspect.signature(fn).parameters.values())[1:]]
+    """Parameters after the tables argument."""
+    return list(inspect.signature(fn).parameters.values())[1:]
+
+
+def _outputs(ap: argparse.ArgumentParser) -> None:
+    ap.add_argument("--source", required=True, help="folder of tables or catalog:<database>")
+    ap.add_argument("--output", help="write the result as Parquet here")
+    ap.add_argument("--show", type=int, default=20, help="rows to print when --output is not given")
+    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
+
+
+def _emit(df, args) -> None:
+    if args.explain:
+        df.explain(mode="formatted")
+    elif args.output:
+        df.write.mode("overwrite").parquet(args.output)  # distributed write
+    else:
+        df.show(args.show, truncate=False)
 
 
 def _call(argv: list[str]) -> None:
@@ -43,22 +64,14 @@ def _call(argv: list[str]) -> None:
     ap = argparse.ArgumentParser(prog="python -m salescope call")
     ap.add_argument("procedure", choices=sorted(PROCEDURES))
     ap.add_argument("args", nargs="*", help="the procedure's arguments, in order")
-    ap.add_argument("--source", required=True, help="folder of tables or catalog:<database>")
-    ap.add_argument("--output", help="write the result as Parquet here")
-    ap.add_argument("--show", type=int, default=20)
-    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
+    _outputs(ap)
     a = ap.parse_args(argv)
     spark = get_session(app=f"salescope-{a.procedure}")
     try:
         df = call(load_tables(spark, a.source), a.procedure, *a.args)
     except (TypeError, ValueError) as e:
         ap.error(str(e))
-    if a.explain:
-        df.explain(mode="formatted")
-    elif a.output:
-        df.write.mode("overwrite").parquet(a.output)
-    else:
-        df.show(a.show, truncate=False)
+    _emit(df, a)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -70,20 +83,14 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="python -m salescope", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("report", choices=sorted(REPORTS))
-    ap.add_argument("--source", required=True, help="folder of tables or catalog:<database>")
-    ap.add_argument("--output", help="write the result as Parquet here")
-    ap.add_argument("--show", type=int, default=20, help="rows to print when --output is not given")
-    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
-    seen = set()
+    _outputs(ap)
+    seen = set(SKIPPED_PARAMS)
     for fn in REPORTS.values():
         for p in _params(fn):
-            if p.name in seen:
-                continue
-            seen.add(p.name)
-            kind = str if p.name in ("market", "customer", "customer_codes") else int
-            if p.name in ("ordered",):
-                continue
-            ap.add_argument("--" + p.name.replace("_", "-"), type=kind, default=None)
+            if p.name not in seen:
+                seen.add(p.name)
+                kind = str if p.name in TEXT_PARAMS else int
+                ap.add_argument("--" + p.name.replace("_", "-"), type=kind, default=None)
     args = ap.parse_args(argv)
 
     fn = REPORTS[args.report]
@@ -96,13 +103,7 @@ def main(argv: list[str] | None = None) -> None:
             continue
         kwargs[p.name] = v
     spark = get_session(app=f"salescope-{args.report}")
-    df = fn(load_tables(spark, args.source), **kwargs)
-    if args.explain:
-        df.explain(mode="formatted")
-    elif args.output:
-        df.write.mode("overwrite").parquet(args.output)
-    else:
-        df.show(args.show, truncate=False)
+    _emit(fn(load_tables(spark, args.source), **kwargs), args)
 
 
 if __name__ == "__main__":

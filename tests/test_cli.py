@@ -43,3 +43,9 @@ def test_cli_explain(capsys):
     main(["top_markets_by_net_sales", "--source", SF001, "--fiscal-year", "1998", "--n", "3", "--explain"])
     out = capsys.readouterr().out
     assert "TakeOrderedAndProject" in out and "== Physical Plan ==" in out
+
+
+def test_cli_rank_strategy_option(spark, tmp_path):
+    out = str(tmp_path / "ranks")
+    main(["rank_products", "--source", SF001, "--fiscal-year", "1998", "--strategy", "distributed", "--output", out])
+    assert spark.read.parquet(out).count() > 0
