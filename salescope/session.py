@@ -97,6 +97,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the session's checkpoint folder, registering ``spark.checkpoint.dir``
+    when only the setting is present; a scratch folder is created only when
+    neither exists (local runs and tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
