@@ -98,18 +98,16 @@ def _fy_of(d: str) -> str:
 
 def _net_ctes(market: str | None = None, dims: tuple[str, ...] = ()) -> tuple[str, str, str]:
     """g_price / n_i_sales / n_sales for fiscal year FY."""
-    join_c = "JOIN dim_customer dc ON dc.customer_code = s.customer_code" if (market or "market" in dims
-                                                                              or "customer" in dims) else ""
-    join_p = "JOIN dim_product dp ON dp.product_code = s.product_code" if "product" in dims else ""
+    need_c = market or "market" in dims or "customer" in dims
+    join_c = "\n  JOIN dim_customer dc ON dc.customer_code = s.customer_code" if need_c else ""
+    join_p = "\n  JOIN dim_product dp ON dp.product_code = s.product_code" if "product" in dims else ""
     where_m = f"AND {_text_eq('dc.market', market)}" if market else ""
     sel = "".join(f"{'dp' if d == 'product' else 'dc'}.{d}, " for d in dims)
     keep = "".join(f"{d}, " for d in dims)
     g = f"""g_price AS (
   SELECT {sel}s.customer_code, s.date, s.product_code,
          s.sold_quantity * g.gross_price AS gross_price_total, pid.pre_invoice_discount_pct
-  FROM fact_sales_monthly s
-  {join_c}
-  {join_p}
+  FROM fact_sales_monthly s{join_c}{join_p}
   JOIN dim_date dd ON dd.calendar_date = s.date
   JOIN fact_gross_price g ON s.product_code = g.product_code AND g.fiscal_year = dd.fiscal_year
   JOIN fact_pre_invoice_deductions pid ON s.customer_code = pid.customer_code AND pid.fiscal_year = dd.fiscal_year
@@ -138,7 +136,8 @@ ORDER BY net_sales_mln DESC NULLS LAST, {entity} ASC LIMIT {n}"""
 
 # accuracy: the reference engine rounds abs/forecast to 4 places (half up)
 # before turning it into a percentage; written here with integer quotient
-# and remainder.
+# and remainder, for the non-negative forecast sums of the test data (the
+# Spark side also handles negative sums, rounding half away from zero).
 def _acc(a: str, f: str) -> str:
     num = f"(CAST({a} AS HUGEINT) * 10000)"
     den = f"CAST({f} AS HUGEINT)"
