@@ -39,6 +39,8 @@ _FUNCS = {"rnk": F.rank, "drnk": F.dense_rank, "row_num": F.row_number}
 _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row index
 # Largest group a single window task may hold (rows): a few tens of MB.
 WINDOW_MAX_GROUP_ROWS = 1_000_000
+# Rows per range partition of the distributed form when a bound is known.
+ROWS_PER_RANGE_PARTITION = 2_000_000
 
 
 def _order(partition_by: Sequence[str], order_by: str, tie_breakers: Sequence[str]) -> list[Column]:
@@ -104,18 +106,26 @@ def rank_within(
     whose maximum is at least the row count of the largest group of ``df``
     (e.g. per-group row counts of the dimension the groups come from).  The
     plain window is used when that maximum is at most ``max_group_rows``,
-    the distributed form otherwise (or without a bound)."""
+    the distributed form otherwise (or without a bound).  The bound's total
+    also sizes the distributed form's range partitions (about 2 million rows
+    each, at most the session's shuffle partitions), so a small relation on
+    a large cluster does not fan out into many near-empty tasks."""
+    partitions = None
     if strategy == "auto":
-        largest = group_bound.agg(F.max("n")).first()[0] if group_bound is not None else None
+        largest, total = (group_bound.agg(F.max("n"), F.sum("n")).first()
+                          if group_bound is not None else (None, None))
         small = group_bound is not None and (largest is None or largest <= max_group_rows)
         strategy = "window" if small else "distributed"
+        if total is not None:
+            shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            partitions = max(1, min(shuffle, -(-int(total) // ROWS_PER_RANGE_PARTITION)))
     if strategy == "window":
         return _rank_window(df, partition_by, order_by, tie_breakers, kinds)
     cols = df.columns
     P = list(partition_by)
     out = df
     if "row_num" in kinds or "rnk" in kinds:
-        g = global_positions(df, _order(P, order_by, tie_breakers))
+        g = global_positions(df, _order(P, order_by, tie_breakers), partitions=partitions)
         first = g.groupBy(*P).agg(F.min("_pos").alias("_first"))
         out = _join_null_safe(g, first, P)
     if "rnk" in kinds or "drnk" in kinds:
@@ -128,7 +138,8 @@ def rank_within(
             ties = df.select(*P, order_by).distinct()
             value_order = [F.col(order_by).desc_nulls_last()]
         if "drnk" in kinds:
-            h = global_positions(ties, [F.col(c).asc() for c in P] + value_order, "_hpos")
+            h = global_positions(ties, [F.col(c).asc() for c in P] + value_order, "_hpos",
+                                 partitions=partitions)
             hfirst = h.groupBy(*P).agg(F.min("_hpos").alias("_hfirst"))
             ties = _join_null_safe(h, hfirst, P).withColumn(
                 "drnk", F.col("_hpos") - F.col("_hfirst") + 1).drop("_hpos", "_hfirst")

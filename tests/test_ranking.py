@@ -126,3 +126,14 @@ def test_distributed_rank_reports_match_oracle(spark, name):
     df = getattr(op, name)(load_tables(spark, SF01), 1998, strategy="distributed")
     ok, msg = compare(df, duck(SF01), ORACLE_SQL[name])
     assert ok, msg
+
+
+def test_bound_sizes_the_range_partitions(qty):
+    from pyspark.sql import functions as F
+    from salescope.plans.inspect import physical_plan
+    bound = qty.groupBy("division").agg(F.count(F.lit(1)).alias("n"))
+    out = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto",
+                      group_bound=bound, max_group_rows=2)
+    # 8 bounded rows -> one range partition instead of the session's shuffle partitions
+    assert "product ASC NULLS FIRST, 1)" in physical_plan(out)
+    assert rows(out) == rows(rank_within(qty, ["division"], "total_qty", ["product"], strategy="window"))
