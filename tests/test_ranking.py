@@ -128,12 +128,18 @@ def test_distributed_rank_reports_match_oracle(spark, name):
     assert ok, msg
 
 
-def test_bound_sizes_the_range_partitions(qty):
+def test_bound_sizes_the_range_partitions(qty, monkeypatch):
     from pyspark.sql import functions as F
+
+    import salescope.operators.rank as rank_mod
     from salescope.plans.inspect import physical_plan
+    monkeypatch.setattr(rank_mod, "ROWS_PER_RANGE_PARTITION", 3)
     bound = qty.groupBy("division").agg(F.count(F.lit(1)).alias("n"))
     out = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto",
                       group_bound=bound, max_group_rows=2)
-    # 8 bounded rows -> one range partition instead of the session's shuffle partitions
-    assert "product ASC NULLS FIRST, 1)" in physical_plan(out)
+    # 8 bounded rows at 3 rows per range partition -> 3 partitions, not the
+    # session's shuffle partitions
+    import re
+    assert re.search(r"rangepartitioning\(division#\d+ ASC NULLS FIRST, total_qty#\d+L DESC NULLS LAST, "
+                     r"product#\d+ ASC NULLS FIRST, 3\)", physical_plan(out))
     assert rows(out) == rows(rank_within(qty, ["division"], "total_qty", ["product"], strategy="window"))
