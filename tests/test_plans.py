@@ -128,3 +128,11 @@ def test_plan_summary_counts_final_plan(saved):
     assert s["cartesian_or_nested_loop"] == 0 and s["python_udf"] == 0
     r = plan_summary(final_plan(op.rank_comparison(saved, 1998, strategy="distributed")))
     assert r["reused_exchanges"] >= 1 and r["range_exchanges"] >= 2
+
+
+@pytest.mark.parametrize("name", ["with_fiscal_year", "with_fiscal_quarter"])
+def test_calendar_enrichment_is_map_only(spark, name):
+    from salescope.plans.inspect import final_plan, plan_summary
+    s = plan_summary(final_plan(QUERIES[name](spark, SF001)))
+    assert s["hash_exchanges"] == s["range_exchanges"] == s["single_partition_exchanges"] == 0
+    assert s["python_udf"] == 0
