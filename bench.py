@@ -25,7 +25,7 @@ import uuid
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from salescope.plans.catalog import QUERIES  # noqa: E402
-from salescope.session import checkpoint_root, get_session  # noqa: E402
+from salescope.session import checkpoint_root, get_session, scale_settings  # noqa: E402
 from salescope.sources.parquet import save_tables  # noqa: E402
 from salescope.sources.tpch import derive_tables  # noqa: E402
 
@@ -34,6 +34,14 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _input_bytes(spark, path: str) -> int:
+    """Bytes under ``path``, through the Hadoop FileSystem (any storage)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -42,10 +50,13 @@ def main() -> None:
     spark = get_session(
         app="salescope-bench",
         master=f"local[{cpus}]",
-        shuffle_partitions=2 * cpus,
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # size shuffle partitions, splits and skew thresholds from the input
+    input_bytes = _input_bytes(spark, sf_dir)
+    for key, value in scale_settings(input_bytes, cpus).items():
+        spark.conf.set(key, value)
 
     buckets = int(os.environ.get("BENCH_BUCKETS", "0")) or None
     root = checkpoint_root(spark).rstrip("/")
@@ -82,6 +93,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "prepare_sec": round(prepare, 3),
         "cpus": cpus,
+        "input_bytes": input_bytes,
+        "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
         "repeat": repeat,
         "tables_dir": tables_dir,
         "buckets": buckets,
