@@ -7,18 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salescope.llm.packing import pack_documents
+from salescope.llm.pii import find_personal_data
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, plain and disguised."""
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, packed into sequences of 1024 ids."""
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pii": op3_pii,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
