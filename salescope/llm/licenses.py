@@ -57,7 +57,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     t = templates(docs.sparkSession).alias("t")
     votes = pairs.alias("p").join(F.broadcast(t), (F.xxhash64("p.pair.a", "p.pair.b") == F.col("t.hash")) & (F.col("p.pair.a") == F.col("t.a")) & (F.col("p.pair.b") == F.col("t.b")))
     diagonals = votes.groupBy("doc_id", "digest", "template", "base", "label", "n", (F.col("i") - F.col("j")).alias("diagonal")).agg(
-        F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("j"))).alias("bits"), F.min("i").alias("low"), (F.max("i") + 2).alias("high")
+        F.expr("bit_or(shiftleft(1L, t.j))").alias("bits"), F.min("i").alias("low"), (F.max("i") + 2).alias("high")
     )
     exact = diagonals.where("base and bit_count(bits) = n - 1").select("doc_id", "digest", "base", "label", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover"))
     order = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salescope.llm.fingerprint import fingerprints
+from salescope.llm.licenses import scan_licenses
 from salescope.llm.packing import pack_documents
 from salescope.llm.pii import find_personal_data
 
@@ -14,18 +16,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and likenesses."""
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, plain and disguised."""
     return find_personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, packed into sequences of 1024 ids."""
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op3_pii": op3_pii,
+    "op6_licenses": op6_licenses,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -12,7 +12,7 @@ def brute(text):
 
 
 def base(rows):
-    return sorted(((r.doc_id or -1, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows), key=str)
+    return sorted(((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows), key=str)
 
 
 def test_table_against_brute_force(spark):
@@ -30,7 +30,7 @@ def test_edge_rows(spark):
     rows = [(i, t, "x", 1) for i, t in enumerate(texts)] + [(0, texts[0], "x", 1), (None, "cc by", "x", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, words string, n int")
     got = scan_licenses(docs).collect()
-    assert base(got) == sorted(((k if k else -1 if k is None else k or -1, *brute(t)) for k, t, *_ in rows), key=str)
+    assert base(got) == sorted(((-1 if k is None else k, *brute(t)) for k, t, *_ in rows), key=str)
     by = {r.doc_id: r for r in got}
     assert by[5].labels == "mit" and by[5].base_labels == "" and by[5].score == (len(mit) - 2) / (len(mit) - 1)
     assert by[6].labels == "" and by[6].score == 0
