@@ -10,6 +10,7 @@ from salescope.llm.fingerprint import fingerprints
 from salescope.llm.licenses import scan_licenses
 from salescope.llm.packing import pack_documents
 from salescope.llm.pii import find_personal_data
+from salescope.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from labels that aren't held out."""
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, packed into sequences of 1024 ids."""
     return pack_documents(_table(spark, sf_dir, "documents"))
@@ -40,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_pii": op3_pii,
     "op6_licenses": op6_licenses,
+    "op7_toxicity": op7_toxicity,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}

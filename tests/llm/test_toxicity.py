@@ -1,0 +1,64 @@
+import zlib
+
+import numpy as np
+
+from salescope.llm.toxicity import Trainer, highest, keep_clean, score_toxicity, two_highest, with_score
+
+BAD = ["scumbag", "worthless", "pathetic", "disgusting"]
+
+
+def made(n, seed=3):
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("aeinorst"), 6)) for _ in range(400)]
+    texts, labels = [], []
+    for i in range(n):
+        text = list(rng.choice(words, 60))
+        if i % 3 == 0:
+            for at in rng.integers(0, 60, 3):
+                text[at] = str(rng.choice(BAD))
+        texts.append(" ".join(text))
+        labels.append(int(i % 3 == 0))
+    return texts, np.array(labels)
+
+
+def test_unseen_misspellings_score_by_shared_grams():
+    texts, labels = made(600)
+    score = Trainer(texts, labels).train().scorer()
+    clean = made(60, 9)[0][1]
+    assert score(clean) < 0.3 < score(clean + " worthlesss disgustingg patheticc scumbagg")
+    assert 0 <= score("") < 0.3
+
+
+def test_windows_against_brute_force():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 3, 4, 7, 50):
+        v = rng.normal(size=n)
+        means = [v[i : i + 3].mean() for i in range(max(1, n - 2))] if n else [0.0]
+        top, at = highest(v)
+        assert abs(top - max(means)) < 1e-9
+        apart = [m for i, m in enumerate(means) if abs(i - at) >= 3] if n > 3 else []
+        assert abs(two_highest(v)[1] - max(apart, default=0.0)) < 1e-9
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = score_toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    toxic, clean = [r.predicted for r in got if r.toxic], [r.predicted for r in got if not r.toxic]
+    assert len(toxic) > 50 and np.mean(toxic) > 0.65 and np.mean(clean) < 0.03
+
+
+def test_edge_rows(spark):
+    texts, labels = made(90)
+    rows = [(i, t, "c", 1) for i, t in enumerate(texts)] + [(None, texts[0], "c", 1), (500, None, "c", 1), (501, "", "c", 1), (0, texts[0], "c", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic string, held_out int")
+    known = spark.createDataFrame([(i, int(x), 9) for i, x in enumerate(labels)] + [(None, 1, 9), (3, None, 9)], "doc_id long, toxic int, text int")
+    got = score_toxicity(docs, known).collect()
+    assert len(got) == len(rows) and {r.score for r in got if r.doc_id == 500} == {r.score for r in got if r.doc_id == 501}
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
+    kept = keep_clean(docs, known)
+    assert kept.columns == docs.columns and kept.where("doc_id = 500").count() == 1
+    assert score_toxicity(docs.limit(0), known).count() == 0
+    assert score_toxicity(docs, known.limit(0)).count() == len(rows)
+    model = Trainer([], np.array([], dtype=np.int64)).train()
+    assert with_score(docs, model).count() == len(rows)
