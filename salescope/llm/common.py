@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def text_steps(batches: Iterator[pa.RecordBatch], text: str, step_bytes: int = S
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
         ends, start = np.cumsum(sizes), 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
@@ -81,7 +82,7 @@ def text_steps(batches: Iterator[pa.RecordBatch], text: str, step_bytes: int = S
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts of a column end to end, and the n + 1 offsets."""
-    column = pa.compute.fill_null(column, "").cast(pa.large_string()) if column.null_count else column.cast(pa.large_string())
+    column = pc.fill_null(column, "").cast(pa.large_string()) if column.null_count else column.cast(pa.large_string())
     if not len(column):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salescope.llm.fingerprint import fingerprints
+from salescope.llm.jaccard_join import jaccard_components
 from salescope.llm.licenses import scan_licenses
 from salescope.llm.packing import pack_documents
 from salescope.llm.pii import find_personal_data
@@ -37,6 +38,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle sets of every document and the component of its links."""
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, packed into sequences of 1024 ids."""
     return pack_documents(_table(spark, sf_dir, "documents"))
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op6_licenses": op6_licenses,
     "op7_toxicity": op7_toxicity,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
