@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from salescope.llm.common import lower_ascii, whole_text
 
 SIZE, SHINGLE, PART = 128, 5, 8192
-#: Ranges that documents are dealt into to find each one's successor; bounds a driver list, not the data.
-RANGES = 240
+#: Documents are dealt into ranges of about so many rows to find each one's successor; the
+#: numbers of ranges bound a driver list, not the data.
+RANGE_ROWS, LEAST_RANGES, MOST_RANGES = 2048, 200, 20_000
 LEAST = -(1 << 63)
 
 
@@ -72,31 +73,39 @@ def as_text(sketch: Column) -> Column:
     return F.concat_ws("", F.transform(sketch, lambda x: F.lpad(F.hex(x), 16, "0")))
 
 
-def _search(key: Column, bounds: list[int], values: list) -> Column:
-    """values[i] for the i bounds that are at most key, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(values[0])
-    i = len(bounds) // 2
-    return F.when(key < bounds[i], _search(key, bounds[:i], values[: i + 1])).otherwise(_search(key, bounds[i + 1 :], values[i + 1 :]))
+def _numbers(values: list[int]) -> Column:
+    """The values as one constant array."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.expr("cast(array() as array<bigint>)")
 
 
-def with_ranges(rows: DataFrame, ranges: int = RANGES) -> DataFrame:
+def _place(key: Column, marks: list[int]) -> Column:
+    """How many of the ascending marks are at most key, by binary search."""
+    steps = [1 << i for i in reversed(range(len(marks).bit_length()))]
+    if not steps:
+        return F.lit(0)
+    array = _numbers(marks)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda low, step: F.when(F.get(array, low + step - 1) <= key, low + step).otherwise(low))
+
+
+def with_ranges(rows: DataFrame, ranges: int | None = None) -> DataFrame:
     """Rows with a column ``range`` of consecutive keys, and the first row of each
     range once more, as a ``guest`` of the range before (the first range's: of
     the last), so that each row's successor is found within its range."""
-    marks = rows.agg(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], 20_000)).first()[0] or []
-    marks = sorted(set(marks))
-    own = _search(F.col("key"), marks, list(range(len(marks) + 1)))
-    starts = sorted(r[0] for r in rows.select(own.alias("range"), "key").groupBy("range").agg(F.min("key").alias("start")).select("start").collect())
-    own = _search(F.col("key"), starts[1:], list(range(max(1, len(starts)))))
-    places = F.array(F.struct(own.alias("range"), F.lit(False).alias("guest")))
-    if starts:
-        before = F.struct(((own + (len(starts) - 1)) % len(starts)).alias("range"), F.lit(True).alias("guest"))
-        places = F.when(F.col("key").isin(starts), F.concat(places, F.array(before))).otherwise(places)
-    return rows.withColumn("at", F.explode(places)).select(*rows.columns, "at.range", "at.guest")
-
-
-def fingerprints(docs: DataFrame, size: int = SIZE, ranges: int = RANGES) -> DataFrame:
+    ranges = ranges or min(MOST_RANGES, max(LEAST_RANGES, rows.count() // RANGE_ROWS))
+    marks = rows.agg(F.percentile_approx("key", [i / ranges for i in range(1, ranges)] or [0.5], 4 * max(ranges, 2500))).first()[0] or []
+    marks = sorted(set(marks[: ranges - 1]))
+    starts = sorted(r[0] for r in rows.select(_place(F.col("key"), marks).alias("range"), "key").groupBy("range").agg(F.min("key").alias("start")).select("start").collect())
+    # every key is at least the first start
+    rows = rows.withColumn("range", _place(F.col("key"), starts[1:]))
+    own = F.struct("range", F.lit(False).alias("guest"))
+    if not starts:
+        return rows.withColumn("guest", F.lit(False))
+    before = F.struct(F.pmod(F.col("range") - 1, F.lit(len(starts))).alias("range"), F.lit(True).alias("guest"))
+    is_start = F.get(_numbers(starts), F.col("range")) == F.col("key")
+    return rows.withColumn("at", F.explode(F.when(is_start, F.array(own, before)).otherwise(F.array(own)))).select(*[c for c in rows.columns if c != "range"], "at.range", "at.guest")
+
+
+def fingerprints(docs: DataFrame, size: int = SIZE, ranges: int | None = None) -> DataFrame:
     """Fingerprint of every document, of its text with the last quarter replaced
     by the start of the next document's, and likenesses.
 
