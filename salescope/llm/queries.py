@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salescope.llm.fingerprint import fingerprints
+from salescope.llm.inner_product import top_inner_products
 from salescope.llm.jaccard_join import jaccard_components
 from salescope.llm.licenses import scan_licenses
 from salescope.llm.packing import pack_documents
@@ -23,6 +24,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op2_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every 20th vector with all others."""
+    return top_inner_products(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, plain and disguised."""
     return find_personal_data(_table(spark, sf_dir, "documents"))
@@ -50,10 +56,30 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_top_inner_products": op2_top_inner_products,
     "op3_pii": op3_pii,
     "op6_licenses": op6_licenses,
     "op7_toxicity": op7_toxicity,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_top_inner_products": """
+        WITH parts AS (
+            SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), whole AS (
+            SELECT vec_id, i, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS w FROM parts
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.i = c.i AND q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+            GROUP BY q.vec_id, c.vec_id
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score
+            FROM scored
+        )
+        SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 20""",
+}
