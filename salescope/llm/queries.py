@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from salescope.llm.fingerprint import fingerprints
 from salescope.llm.inner_product import top_inner_products
 from salescope.llm.jaccard_join import jaccard_components
+from salescope.llm.language_model import score_documents
 from salescope.llm.licenses import scan_licenses
 from salescope.llm.packing import pack_documents
 from salescope.llm.pii import find_personal_data
@@ -34,6 +35,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney score of every document."""
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices in every document."""
     return scan_licenses(_table(spark, sf_dir, "documents"))
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_top_inner_products": op2_top_inner_products,
     "op3_pii": op3_pii,
+    "op4_language_model": op4_language_model,
     "op6_licenses": op6_licenses,
     "op7_toxicity": op7_toxicity,
     "op8_jaccard_join": op8_jaccard_join,

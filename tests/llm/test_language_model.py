@@ -1,0 +1,88 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import salescope.llm.language_model as L
+from salescope.llm.language_model import Scorer, fit, score_documents
+
+
+def tokens(text):
+    low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return [*re.findall(r"[^\x20\x09-\x0D]+", low), "\n"]
+
+
+def discounts(kinds):
+    if min(kinds) == 0:
+        return [0.5, 0.75, 1.0]
+    y = kinds[0] / (kinds[0] + 2 * kinds[1])
+    return [min(max(0.05, i - (i + 1) * y * kinds[i] / kinds[i - 1]), i) for i in (1, 2, 3)]
+
+
+def brute(rows):
+    out = lambda k: k is not None and zlib.crc32(str(k).encode()) % 7 == 2
+    train = [tokens(t) for k, t in rows if not out(k)]
+    c = Counter(w for t in train for w in t)
+    pairs = Counter(p for t in train for p in zip(["\t", *t], t, strict=False))
+    lead, total = Counter(w for _, w in pairs), Counter()
+    kinds = {}
+    for (v, _), n in pairs.items():
+        total[v] += n
+        kinds.setdefault(v, [0, 0, 0])[min(n, 3) - 1] += 1
+    high = discounts([sum(n == i for n in pairs.values()) for i in (1, 2, 3, 4)])
+    low = discounts([sum(n == i for n in lead.values()) for i in (1, 2, 3, 4)])
+    rest = sum(low[min(n, 3) - 1] for n in lead.values()) / len(pairs)
+
+    def p(v, w):
+        one = max(lead[w] - low[min(lead[w], 3) - 1], 0) / len(pairs) if lead[w] else 0
+        one += rest / (len(c) + 1)
+        if not total[v]:
+            return one
+        n = pairs[v, w]
+        return (max(n - high[min(n, 3) - 1], 0) if n else 0) / total[v] + sum(d * k for d, k in zip(high, kinds[v], strict=True)) / total[v] * one
+
+    N, V = sum(c.values()), len(c)
+    rows_out = []
+    for k, t in rows:
+        t = tokens(t)
+        rows_out.append((k, out(k), len(t), sum(c[w] > 0 for w in t), N, sum(math.log10((c[w] + 1) / (N + V + 1)) for w in t), sum(math.log10(p(v, w)) for v, w in zip(["\t", *t], t, strict=False))))
+    return rows_out
+
+
+def compare(got, want):
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[6])
+    got, want = sorted((tuple(r)[:7] for r in got), key=key), sorted(want, key=key)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("shard", [2_000_000, 20_000])
+def test_table_against_brute_force(spark, shard, monkeypatch):
+    monkeypatch.setattr(L, "SHARD_TOKENS", shard)
+    monkeypatch.setattr(L, "HELD_TOKENS", 30_000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = score_documents(docs).collect()
+    compare(got, brute([(r.doc_id, r.text) for r in docs.collect()]))
+
+
+def test_edge_rows(spark):
+    rows = [(1, "a b A b c"), (1, "a b A b c"), (2, None), (3, ""), (None, "a b"), (9, "zz " * 500), *[(i, f"a b w{i % 4}") for i in range(10, 40)]]
+    docs = spark.createDataFrame([(*r, 0.0) for r in rows], "doc_id long, text string, score double")
+    compare(score_documents(docs).collect(), brute(rows))
+    assert score_documents(docs.limit(0)).count() == 0
+
+
+def test_probabilities_sum_to_one(spark):
+    texts = ["a b c a b d", "b c d e a a a", "c c c", "a b c"] * 3 + ["x y", "z"]
+    model = fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    scorer = Scorer(model)
+    words = sorted({w for t in texts for w in t.split()}) + ["unknown"]
+    data = " ".join(words).encode()
+    hashes, _ = L.word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    every = np.append(hashes, L.END)
+    for before in [*hashes, L.START]:
+        logs, _, _ = scorer.log10(every, np.full(len(every), before))
+        assert abs((10**logs).sum() - 1) < 1e-9
