@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from salescope.llm.fingerprint import fingerprints
 from salescope.llm.inner_product import top_inner_products
 from salescope.llm.jaccard_join import jaccard_components
+from salescope.llm.language_id import identify
 from salescope.llm.language_model import score_documents
 from salescope.llm.licenses import scan_licenses
 from salescope.llm.packing import pack_documents
 from salescope.llm.pii import find_personal_data
+from salescope.llm.segmentation import sample_segmentations
 from salescope.llm.toxicity import score_toxicity
 
 
@@ -40,6 +42,11 @@ def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document and every page."""
+    return identify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices in every document."""
     return scan_licenses(_table(spark, sf_dir, "documents"))
@@ -60,15 +67,22 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sampled segmentations of every conversation turn."""
+    return sample_segmentations(_table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_top_inner_products": op2_top_inner_products,
     "op3_pii": op3_pii,
     "op4_language_model": op4_language_model,
+    "op5_language_id": op5_language_id,
     "op6_licenses": op6_licenses,
     "op7_toxicity": op7_toxicity,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
+    "op10_segmentation": op10_segmentation,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_top_inner_products": """
