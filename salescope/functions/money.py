@@ -13,8 +13,8 @@ that still hold every realistic amount:
 
 Sums of DECIMAL(38,12) stay DECIMAL(38,12); a sum is scaled to millions
 inside DECIMAL(30,12) (totals below 1e18; ANSI mode raises rather than
-wraps beyond).  Reports round at the very end (ROUND half away from zero,
-like the reference engine) and are returned as DOUBLE.
+wraps beyond).  Reports round once, at the very end (ROUND half away from
+zero, like the reference engine), and are returned as DECIMAL.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NET_INVOICE_TYPE = "decimal(30,8)"
-GROSS_SCALE = 4   # scale of qty * DECIMAL(15,4) price
-NET_SCALE = 12    # scale of the net amount
 # A summed amount is narrowed to 18 integer digits before scaling to
 # millions so that sum * 0.000001 stays inside 38 digits exactly.
 SUM_TYPE = "decimal(30,12)"
@@ -56,45 +54,30 @@ def net_amount(net_invoice: str | Column, discounts: str | Column, other: str |
 
 
 def to_money(total: str | Column, scale: int = 2) -> Column:
-    """ROUND(total, scale) as DOUBLE."""
-    return F.round(_col(total), scale).cast("double")
+    """ROUND(total, scale), half away from zero (DECIMAL)."""
+    return F.round(_col(total), scale)
 
 
-# The reference engine's "/" returns a DECIMAL with 4 more fraction digits
-# than the dividend (default division precision increment), rounded half up.
-DIVISION_SCALE_INCREMENT = 4
-
-
-def to_millions(total: str | Column, total_scale: int, scale: int = 2) -> Column:
-    """ROUND(total / 1,000,000, scale) as DOUBLE, with the reference engine's
-    decimal semantics: the quotient is first rounded to ``total_scale + 4``
-    places (its division result type), then to ``scale``.  Computed exactly
-    in decimal; ``total_scale`` is the scale of the summed column (4 for
-    gross amounts, 12 for net amounts)."""
-    quotient = F.round(_col(total).cast(SUM_TYPE) * F.lit(MILLION), total_scale + DIVISION_SCALE_INCREMENT)
-    return F.round(quotient, scale).cast("double")
+def to_millions(total: str | Column, scale: int = 2) -> Column:
+    """ROUND(total / 1,000,000, scale): exact in decimals, rounded once, half
+    away from zero (DECIMAL)."""
+    return F.round(_col(total).cast(SUM_TYPE) * F.lit(MILLION), scale).cast("decimal(26,2)")
 
 
 def accuracy_pct(abs_error_sum: str | Column, forecast_sum: str | Column) -> Column:
-    """ROUND((1 - sum(abs_error) / sum(forecast)) * 100, 2) with the reference
-    engine's decimal semantics, as DOUBLE.
-
-    The reference divides integer sums with ``/``, which yields a DECIMAL with
-    4 more fraction digits than the dividend (the engine's default division
-    precision increment), i.e. the ratio is rounded half away from zero to 4
-    places before it is turned into a percentage.  So the result is
-    ``(10000 - q) / 100`` with ``q = round(10000 * abs / forecast)``, computed
-    here in exact integer arithmetic.  A zero forecast sum gives NULL (the
-    engine's division by zero), never an error.
+    """ROUND((forecast - abs_error) / forecast * 100, 2) of integer sums, rounded
+    once, half away from zero (DECIMAL).
+
+    With n = 10000 * (f - a) the result is sign * floor((2|n| + |f|) / (2|f|)) /
+    100, all in exact integers: floor(x / y) = (x - pmod(x, y)) / y has no
+    remainder that decimal division could round.  A zero forecast sum gives NULL
+    (the reference engine's division by zero), never an error.
     """
     a = _col(abs_error_sum).cast("decimal(38,0)")
     f = _col(forecast_sum).cast("decimal(38,0)")
-    af = F.abs(f)
-    # half away from zero: q = sign(f) * floor((20000*|a| + |f|) / (2*|f|)).
-    # floor(n / d) = (n - pmod(n, d)) / d keeps the division exact (the
-    # quotient is an integer, so decimal division cannot round it).
-    n = (F.lit(20000) * F.abs(a) + af).cast("decimal(38,0)")
-    d = (F.lit(2) * af).cast("decimal(38,0)")
-    q_abs = ((n - F.pmod(n, d)) / d).cast("decimal(38,0)")
-    q = F.when(f != 0, F.signum(f).cast("decimal(38,0)") * q_abs)
-    return ((F.lit(10000).cast("decimal(38,0)") - q) / F.lit(100)).cast("double")
+    n = (F.lit(10000) * (f - a)).cast("decimal(38,0)")
+    twice = (F.lit(2) * F.abs(f)).cast("decimal(38,0)")
+    x = (F.lit(2) * F.abs(n) + F.abs(f)).cast("decimal(38,0)")
+    q = ((x - F.pmod(x, twice)) / twice).cast("decimal(20,0)")
+    sign = (F.signum(n) * F.signum(f)).cast("decimal(1,0)")
+    return F.when(f != 0, (sign * q * F.lit(Decimal("0.01"))).cast("decimal(24,2)"))

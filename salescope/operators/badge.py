@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.fiscal import fiscal_year as fiscal_year_of
 from salescope.functions.fiscal import in_fiscal_year
-from salescope.operators.common import market_equals
+from salescope.operators.common import merge_names, text_equals
 from salescope.sources.tables import SalesTables
 
 # Fixed values of the reference: quantity threshold (strictly greater is
@@ -39,7 +39,7 @@ def market_badge(t: SalesTables, market: str | None, fiscal_year: int,
     The result is a one-row DataFrame: nothing is collected to the driver.
     """
     m = DEFAULT_MARKET if market == "" else market
-    cust = t.dim_customer.where(market_equals("market", m)).select("customer_code")
+    cust = t.dim_customer.where(text_equals("market", m)).select("customer_code")
     rows = _year_sales(t, fiscal_year).join(cust, "customer_code")
     # no row at all leaves the quantity at its default 0; rows whose
     # quantities are all NULL give NULL (and Silver)
@@ -55,15 +55,17 @@ def market_badge(t: SalesTables, market: str | None, fiscal_year: int,
 
 def market_badges(t: SalesTables, fiscal_year: int, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """O-15, all-markets form: one row per market of dim_customer.
-    -> (market, fiscal_year, total_qty, badge); markets without sales get 0."""
+    -> (market, fiscal_year, total_qty, badge); markets without sales get 0,
+    and spellings that differ only in case or accents are one market."""
     per_market = (
         _year_sales(t, fiscal_year)
         .join(t.dim_customer.select("customer_code", "market"), "customer_code")
         .groupBy("market").agg(F.sum("sold_quantity").cast("long").alias("qty"))
     )
     markets = t.dim_customer.select("market").distinct()
+    merged = merge_names(markets.join(per_market, "market", "left"), ["market"], qty=F.sum("qty"))
     qty = F.coalesce(F.col("qty"), F.lit(0).cast("long"))
-    return markets.join(per_market, "market", "left").select(
+    return merged.select(
         "market",
         F.lit(int(fiscal_year)).alias("fiscal_year"),
         qty.alias("total_qty"),

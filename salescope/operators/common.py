@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,23 +56,11 @@ def text_equals(col: str | Column, value: str | None) -> Column:
     return F.collate(c, TEXT_COLLATION) == F.collate(F.lit(value).cast("string"), TEXT_COLLATION)
 
 
-market_equals = text_equals
-
-
-# Largest relation (rows) broadcast after an explicit size check.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, bound: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` when ``bound`` (a relation with at least as many rows
-    as ``df`` can ever have, typically a small dimension projection) has at
-    most ``max_rows`` rows; otherwise leave the join to the planner (sort-merge
-    with AQE skew splitting).
-
-    The check reads at most ``max_rows + 1`` rows of ``bound``, so it stays
-    cheap however large the data is.  It is used where the optimizer cannot
-    size ``df`` itself (the output of an aggregate) and would otherwise
-    shuffle the large side before AQE learns the real size.
-    """
-    n = bound.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def merge_names(df: DataFrame, names: Sequence[str], keys: Sequence[str] = (), **sums: Column) -> DataFrame:
+    """Merge rows whose ``names`` differ only in case or accents, as the
+    reference engine's default collation does when it groups: one row per
+    (names, ``keys``) with the smallest spelling and the given aggregates.
+    ``df`` is already aggregated by the exact names, so this reads few rows."""
+    same = [F.collate(F.col(c), TEXT_COLLATION).alias(f"_{c}") for c in names]
+    out = df.groupBy(*same, *keys).agg(*[F.min(c).alias(c) for c in names], *[a.alias(k) for k, a in sums.items()])
+    return out.drop(*[f"_{c}" for c in names])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.fiscal import fiscal_year as fiscal_year_of
 from salescope.functions.money import accuracy_pct
-from salescope.operators.common import date_bounds_filter, fiscal_dates
+from salescope.operators.common import date_bounds_filter, fiscal_dates, merge_names
 from salescope.sources.tables import SalesTables
 
 KEYS3 = ["customer_code", "date", "product_code"]
@@ -31,6 +31,12 @@ def forecast_accuracy_base(t: SalesTables, fiscal_years: int | Iterable[int] | N
     sales side of the left join could not be pruned through the dimension
     join otherwise.
     """
+    rows = _errors(t, fiscal_years).join(t.dim_customer.select("customer_code", "customer", "market"), "customer_code")
+    return rows.select("customer_code", "customer", "market", "fiscal_year", "forecast_quantity", "sold_quantity", "date", "net_error", "abs_error")
+
+
+def _errors(t: SalesTables, fiscal_years: int | Iterable[int] | None) -> DataFrame:
+    """The base relation without dim_customer."""
     f = t.forecast.where(F.col("date") <= last_sale_date(t))
     s = t.sales.select(*KEYS3, "sold_quantity")
     if fiscal_years is not None:
@@ -39,13 +45,9 @@ def forecast_accuracy_base(t: SalesTables, fiscal_years: int | Iterable[int] | N
     rows = (
         f.join(fiscal_dates(t, fiscal_years), "date")
         .join(s, KEYS3, "left")
-        .join(t.dim_customer.select("customer_code", "customer", "market"), "customer_code")
     )
     net = F.col("forecast_quantity").cast("long") - F.coalesce(F.col("sold_quantity").cast("long"), F.lit(0))
-    return rows.select(
-        "customer_code", "customer", "market", "fiscal_year", "forecast_quantity", "sold_quantity", "date",
-        net.alias("net_error"), F.abs(net).alias("abs_error"),
-    )
+    return rows.select(*KEYS3, "fiscal_year", "forecast_quantity", "sold_quantity", net.alias("net_error"), F.abs(net).alias("abs_error"))
 
 
 def last_sale_date(t: SalesTables) -> Column:
@@ -54,21 +56,28 @@ def last_sale_date(t: SalesTables) -> Column:
     return t.sales.agg(F.max("date")).scalar()
 
 
+SUMS = {"total_sold_qty": "sold_quantity", "total_forecast_qty": "forecast_quantity",
+        "total_net_error": "net_error", "total_abs_error": "abs_error"}
+
+
 def accuracy_metrics(base: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """B-4: Σsold, Σforecast, Σnet_error, Σabs_error and the accuracy % per ``keys``.
 
     Σsold ignores NULLs, so a group without any sale has total_sold_qty NULL
     (not 0) while its errors count the missing sales as 0."""
-    sums = base.groupBy(*keys).agg(
-        *extra,
-        F.sum("sold_quantity").cast("long").alias("total_sold_qty"),
-        F.sum("forecast_quantity").cast("long").alias("total_forecast_qty"),
-        F.sum("net_error").cast("long").alias("total_net_error"),
-        F.sum("abs_error").cast("long").alias("total_abs_error"),
-    )
+    return _with_accuracy(base.groupBy(*keys).agg(*extra, *[F.sum(c).cast("long").alias(k) for k, c in SUMS.items()]))
+
+
+def _with_accuracy(sums: DataFrame) -> DataFrame:
     return sums.withColumn("forecast_accuracy_pct", accuracy_pct("total_abs_error", "total_forecast_qty"))
 
 
+def _customer_sums(t: SalesTables, fiscal_years: int | Iterable[int], *keys: str) -> DataFrame:
+    """The sums per customer code (and ``keys``), joined to dim_customer only then."""
+    sums = _errors(t, fiscal_years).groupBy("customer_code", *keys).agg(*[F.sum(c).cast("long").alias(k) for k, c in SUMS.items()])
+    return sums.join(t.dim_customer.select("customer_code", "customer", "market"), "customer_code").select("customer_code", "customer", "market", *keys, *SUMS)
+
+
 def _has_sales_through(t: SalesTables, fiscal_year: int) -> Column:
     """Guard: the fiscal year is not after the year of the last sale.
 
@@ -82,12 +91,10 @@ def forecast_accuracy_by_customer(t: SalesTables, fiscal_year: int) -> DataFrame
     """O-11: accuracy metrics per customer for one fiscal year, best first.
     -> (customer_code, customer, market, total_sold_qty, total_forecast_qty,
         total_net_error, total_abs_error, forecast_accuracy_pct)"""
-    base = forecast_accuracy_base(t, fiscal_year).where(
-        (F.col("fiscal_year") == fiscal_year) & _has_sales_through(t, fiscal_year))
     # customer_code breaks ties: equal accuracies stay splittable across
     # range partitions instead of landing in one sort task
     return (
-        accuracy_metrics(base, ["customer_code", "customer", "market"])
+        _with_accuracy(_customer_sums(t, fiscal_year)).where(_has_sales_through(t, fiscal_year))
         .orderBy(F.col("forecast_accuracy_pct").desc_nulls_last(), F.col("customer_code").asc())
     )
 
@@ -96,18 +103,10 @@ def forecast_accuracy_by_market(t: SalesTables, fiscal_year: int) -> DataFrame:
     """O-12: accuracy metrics per market plus the number of distinct
     customers, best first.
     -> (market, customer_count, total_sold_qty, ..., forecast_accuracy_pct)"""
-    base = forecast_accuracy_base(t, fiscal_year).where(
-        (F.col("fiscal_year") == fiscal_year) & _has_sales_through(t, fiscal_year))
-    return (
-        accuracy_metrics(base, ["market"], [F.countDistinct("customer_code").cast("long").alias("customer_count")])
-        .orderBy(F.col("forecast_accuracy_pct").desc_nulls_last(), F.col("market").asc())
-    )
-
-
-def _accuracy_by_year(t: SalesTables, y1: int, y2: int) -> DataFrame:
-    years = sorted({int(y1), int(y2)})
-    base = forecast_accuracy_base(t, years).where(F.col("fiscal_year").isin(years))
-    return accuracy_metrics(base, ["customer_code", "customer", "market", "fiscal_year"])
+    sums = _customer_sums(t, fiscal_year).where(_has_sales_through(t, fiscal_year))
+    per_market = sums.groupBy("market").agg(F.count("customer_code").alias("customer_count"), *[F.sum(k).alias(k) for k in SUMS])
+    merged = merge_names(per_market, ["market"], customer_count=F.sum("customer_count"), **{k: F.sum(k) for k in SUMS})
+    return _with_accuracy(merged).orderBy(F.col("forecast_accuracy_pct").desc_nulls_last(), F.col("market").asc())
 
 
 def forecast_decline_lag(t: SalesTables, y1: int, y2: int) -> DataFrame:
@@ -121,26 +120,30 @@ def forecast_decline_lag(t: SalesTables, y1: int, y2: int) -> DataFrame:
     LAG.  Each window group is one customer's (at most two) years."""
     w = Window.partitionBy("customer_code").orderBy("fiscal_year")
     return (
-        _accuracy_by_year(t, y1, y2)
+        _with_accuracy(_customer_sums(t, sorted({int(y1), int(y2)}), "fiscal_year"))
         .withColumn("prev_year_accuracy", F.lag("forecast_accuracy_pct", 1).over(w))
         .where((F.col("forecast_accuracy_pct") < F.col("prev_year_accuracy")) & (F.col("fiscal_year") == int(y2)))
     )
 
 
 def forecast_decline_pivot(t: SalesTables, y1: int, y2: int) -> DataFrame:
-    """O-14: both years' accuracy side by side (conditional-aggregate pivot),
+    """O-14: both years' accuracy side by side (conditional sums in one aggregate),
     customers whose accuracy fell, worst decline first.
     -> (customer_code, customer, market, accuracy_y1, accuracy_y2, accuracy_change)"""
-    acc = _accuracy_by_year(t, y1, y2)
-    piv = acc.groupBy("customer_code", "customer", "market").agg(
-        F.max(F.when(F.col("fiscal_year") == int(y1), F.col("forecast_accuracy_pct"))).alias("accuracy_y1"),
-        F.max(F.when(F.col("fiscal_year") == int(y2), F.col("forecast_accuracy_pct"))).alias("accuracy_y2"),
+    errors = _errors(t, sorted({int(y1), int(y2)}))
+
+    def of(year: int, c: str) -> Column:
+        return F.sum(F.when(F.col("fiscal_year") == int(year), F.col(c))).cast("long")
+
+    sums = errors.groupBy("customer_code").agg(
+        of(y1, "abs_error").alias("abs_y1"), of(y1, "forecast_quantity").alias("forecast_y1"),
+        of(y2, "abs_error").alias("abs_y2"), of(y2, "forecast_quantity").alias("forecast_y2"),
     )
-    change = F.round(
-        F.col("accuracy_y2").cast("decimal(20,2)") - F.col("accuracy_y1").cast("decimal(20,2)"), 2
-    ).cast("double")
+    both = sums.select("customer_code", accuracy_pct("abs_y1", "forecast_y1").alias("accuracy_y1"), accuracy_pct("abs_y2", "forecast_y2").alias("accuracy_y2"))
     return (
-        piv.where(F.col("accuracy_y2") < F.col("accuracy_y1"))
-        .withColumn("accuracy_change", change)
+        both.where(F.col("accuracy_y2") < F.col("accuracy_y1"))
+        .join(t.dim_customer.select("customer_code", "customer", "market"), "customer_code")
+        .select("customer_code", "customer", "market", "accuracy_y1", "accuracy_y2",
+                (F.col("accuracy_y2") - F.col("accuracy_y1")).alias("accuracy_change"))
         .orderBy(F.col("accuracy_change").asc(), F.col("customer_code").asc())
     )

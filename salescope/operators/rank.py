@@ -1,31 +1,21 @@
 """RANK / DENSE_RANK / ROW_NUMBER within groups, safe for hot groups.
 
 A window ``PARTITION BY division`` sends every row of a division to one
-task; with a handful of divisions and one of them holding a third of the
-rows, that task holds a third of the table.  :func:`rank_within` computes the
-same numbers without any per-group task:
-
-1. one range-partitioned sort puts all rows in the global order
-   (group asc, value desc, tie-breakers asc); ``monotonically_increasing_id``
-   numbers rows inside each sorted partition and a prefix sum over the
-   per-partition row counts (one row per partition, so its size is bounded
-   by the partition count) turns that into a global 0-based position;
-2. groups and tie groups are contiguous in that order, so
-   ``row_num = pos - first_pos(group) + 1`` and
-   ``rnk = first_pos(group, value) - first_pos(group) + 1``, where the first
-   positions are MIN aggregates (combined map-side, so a hot group costs one
-   row per task);
-3. ``drnk`` is the same construction on the table of distinct
-   (group, value) pairs, ordered by value (or by the tie group's first
-   position, the same order, when RANK is computed too); a DENSE_RANK alone
-   never sorts the full rows.
-
-All steps are built-in expressions (whole-stage codegen); joins back to the
-rows are planned by AQE from measured sizes (broadcast when small, skew-split
-sort-merge otherwise).  ``strategy="window"`` gives the plain window form;
-``strategy="auto"`` uses it only when a caller-supplied bound proves that no
-group exceeds ``max_group_rows`` rows (one small aggregate job), and the
-distributed form otherwise.
+task.  :func:`rank_within` computes the same numbers by value ranges, with one
+plan at every size:
+
+1. each group's values are cut into ranges at approximate quantiles (one row of
+   at most ``RANGES - 1`` bounds per group); equal values share a range;
+2. per (group, range) the rows and the distinct values are counted, and running
+   sums over a group's few ranges give where each range starts;
+3. inside a range a window over its *distinct* values gives RANK and
+   DENSE_RANK, which are joined back to the rows by value;
+4. ROW_NUMBER adds the position among equal values.  Ties are cut again, by
+   splitters of the first tie-breaker that a hash picks (about ``RANGES`` per
+   group), so a group of equal values of any size is numbered by many tasks.
+
+Bounds and splitters only decide how the work is cut; any choice of them gives
+the same ranks.  Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -35,57 +25,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_FUNCS = {"rnk": F.rank, "drnk": F.dense_rank, "row_num": F.row_number}
-_PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row index
-# Largest group a single window task may hold (rows): a few tens of MB.
-WINDOW_MAX_GROUP_ROWS = 1_000_000
-# Rows per range partition of the distributed form when a bound is known.
-ROWS_PER_RANGE_PARTITION = 2_000_000
-
-
-def _order(partition_by: Sequence[str], order_by: str, tie_breakers: Sequence[str]) -> list[Column]:
-    return ([F.col(c).asc() for c in partition_by] + [F.col(order_by).desc_nulls_last()]
-            + [F.col(c).asc() for c in tie_breakers])
-
-
-def global_positions(df: DataFrame, order: Sequence[Column], name: str = "_pos",
-                     partitions: int | None = None) -> DataFrame:
-    """``df`` plus the 0-based position of each row in ``order`` (LONG).
-
-    One range shuffle into ``partitions`` (default: the session's shuffle
-    partitions).  The sorted relation is referenced twice (row counts and
-    positions); Spark reuses the same exchange for both, and because the
-    partition count is explicit AQE never coalesces it, so both references
-    see identical partition indices; a recomputed partition goes through the
-    same range partitioner, so it holds the same rows.  Give ``order`` a
-    unique key for reproducible positions among exact duplicates.  On a
-    large cluster ranking a small relation, pass a smaller ``partitions``
-    to avoid many near-empty tasks.
-    """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    s = s.withColumn("_pid", F.shiftright(F.col("_mid"), _PID_SHIFT))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per sorted partition: bounded by the partition count
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    pos = F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid"), _PID_SHIFT)
-    return s.join(F.broadcast(offsets), "_pid").withColumn(name, pos).drop("_mid", "_pid", "_off")
+KINDS = ("rnk", "drnk", "row_num")
+# Value ranges of a group, and tie-breaker ranges of its ties.
+RANGES = 128
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (a NULL group is a
     window partition too); the right side's key columns are dropped."""
     r = right
+    cond = None
     for k in keys:
         r = r.withColumnRenamed(k, f"_r_{k}")
-    cond = None
     for k in keys:
         c = left[k].eqNullSafe(r[f"_r_{k}"])
         cond = c if cond is None else cond & c
-    out = left.join(r, cond) if cond is not None else left.join(r)
-    return out.drop(*[f"_r_{k}" for k in keys])
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+
+
+def _before(order: str, keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _sum_before(c: str, order: str, keys: Sequence[str]) -> Column:
+    return F.coalesce(F.sum(c).over(_before(order, keys)), F.lit(0))
 
 
 def rank_within(
@@ -93,77 +56,61 @@ def rank_within(
     partition_by: Sequence[str],
     order_by: str,
     tie_breakers: Sequence[str] = (),
-    kinds: Sequence[str] = ("rnk", "drnk", "row_num"),
-    strategy: str = "distributed",
-    group_bound: DataFrame | None = None,
-    max_group_rows: int = WINDOW_MAX_GROUP_ROWS,
+    kinds: Sequence[str] = KINDS,
 ) -> DataFrame:
-    """Add rank columns (``rnk``, ``drnk``, ``row_num``; LONG) of ``order_by``
-    descending (NULLs last) within ``partition_by``.  RANK and DENSE_RANK see
-    only the value; ROW_NUMBER breaks ties by ``tie_breakers`` ascending.
-
-    ``strategy="auto"`` needs ``group_bound``: a relation with a column ``n``
-    whose maximum is at least the row count of the largest group of ``df``
-    (e.g. per-group row counts of the dimension the groups come from).  The
-    plain window is used when that maximum is at most ``max_group_rows``,
-    the distributed form otherwise (or without a bound).  The bound's total
-    also sizes the distributed form's range partitions (about 2 million rows
-    each, at most the session's shuffle partitions), so a small relation on
-    a large cluster does not fan out into many near-empty tasks."""
-    partitions = None
-    if strategy == "auto":
-        largest, total = (group_bound.agg(F.max("n"), F.sum("n")).first()
-                          if group_bound is not None else (None, None))
-        small = group_bound is not None and (largest is None or largest <= max_group_rows)
-        strategy = "window" if small else "distributed"
-        if total is not None:
-            shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            partitions = max(1, min(shuffle, -(-int(total) // ROWS_PER_RANGE_PARTITION)))
-    if strategy == "window":
-        return _rank_window(df, partition_by, order_by, tie_breakers, kinds)
+    """Add rank columns (``rnk``, ``drnk``, ``row_num``; LONG) of the numeric
+    ``order_by`` descending (NULLs last) within ``partition_by``.  RANK and
+    DENSE_RANK see only the value; ROW_NUMBER breaks ties by ``tie_breakers``
+    ascending (NULLs first)."""
     cols = df.columns
-    P = list(partition_by)
-    out = df
-    if "row_num" in kinds or "rnk" in kinds:
-        g = global_positions(df, _order(P, order_by, tie_breakers), partitions=partitions)
-        first = g.groupBy(*P).agg(F.min("_pos").alias("_first"))
-        out = _join_null_safe(g, first, P)
-    if "rnk" in kinds or "drnk" in kinds:
-        if "rnk" in kinds:
-            # first position of each tie group = its RANK offset
-            ties = g.groupBy(*P, order_by).agg(F.min("_pos").alias("_tie"))
-            value_order = [F.col("_tie").asc()]
-        else:
-            # DENSE_RANK needs only the distinct values: no sort of all rows
-            ties = df.select(*P, order_by).distinct()
-            value_order = [F.col(order_by).desc_nulls_last()]
-        if "drnk" in kinds:
-            h = global_positions(ties, [F.col(c).asc() for c in P] + value_order, "_hpos",
-                                 partitions=partitions)
-            hfirst = h.groupBy(*P).agg(F.min("_hpos").alias("_hfirst"))
-            ties = _join_null_safe(h, hfirst, P).withColumn(
-                "drnk", F.col("_hpos") - F.col("_hfirst") + 1).drop("_hpos", "_hfirst")
-        out = _join_null_safe(out, ties, P + [order_by])
-    extra = {
-        "rnk": F.col("_tie") - F.col("_first") + 1,
-        "drnk": F.col("drnk"),
-        "row_num": F.col("_pos") - F.col("_first") + 1,
-    }
-    return out.select(*cols, *[extra[k].cast("long").alias(k) for k in kinds])
-
-
-def _rank_window(df, partition_by, order_by, tie_breakers, kinds) -> DataFrame:
-    base = Window.partitionBy(*partition_by).orderBy(F.col(order_by).desc())
-    numbered = Window.partitionBy(*partition_by).orderBy(
-        F.col(order_by).desc(), *[F.col(c).asc() for c in tie_breakers])
-    out = df
-    for k in kinds:
-        out = out.withColumn(k, _FUNCS[k]().over(numbered if k == "row_num" else base).cast("long"))
-    return out
-
-
-def top_dense_rank(df: DataFrame, partition_by: Sequence[str], order_by: str, n: int,
-                   name: str = "drnk", broadcast_top: bool = False) -> DataFrame:
+    rows = df.withColumn("_g", F.struct(F.lit(0).alias("_"), *partition_by))
+    bounds = rows.groupBy("_g").agg(
+        F.percentile_approx(order_by, [i / RANGES for i in range(1, RANGES)], 10_000).alias("_bounds"))
+    values = _join_null_safe(rows.groupBy("_g", order_by).agg(F.count(F.lit(1)).alias("_n")), bounds, ["_g"])
+    # range 0 holds the largest values; NULLs come after all others
+    above = F.size(F.filter(F.coalesce("_bounds", F.array()), lambda b: b > F.col(order_by)))
+    values = values.withColumn("_range", F.when(F.col(order_by).isNull(), RANGES).otherwise(above)).drop("_bounds")
+    starts = (
+        values.groupBy("_g", "_range").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+        .select("_g", "_range", _sum_before("_rows", "_range", ["_g"]).alias("_rows0"),
+                _sum_before("_values", "_range", ["_g"]).alias("_values0"))
+    )
+    inside = Window.partitionBy("_g", "_range").orderBy(F.col(order_by).desc_nulls_last())
+    earlier = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = (
+        _join_null_safe(values.withColumns({"_i": F.row_number().over(inside), "_e": earlier}), starts, ["_g", "_range"])
+        .select("_g", order_by, (F.col("_rows0") + F.col("_e") + 1).alias("_rnk"), (F.col("_values0") + F.col("_i")).alias("_drnk"))
+    )
+    out = _join_null_safe(rows, ranked, ["_g", order_by])
+    if "row_num" in kinds:
+        out = _number_ties(out, rows, order_by, tie_breakers)
+    have = {"rnk": "_rnk", "drnk": "_drnk", "row_num": "_row"}
+    return out.select(*cols, *[F.col(have[k]).cast("long").alias(k) for k in kinds])
+
+
+def _number_ties(ranked: DataFrame, rows: DataFrame, order_by: str, tie_breakers: Sequence[str]) -> DataFrame:
+    """``ranked`` with ``_row``: its ``_rnk`` plus the position among equal values."""
+    order = [F.col(c).asc() for c in tie_breakers] or [F.lit(0)]
+    if tie_breakers:
+        first = tie_breakers[0]
+        sizes = rows.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / RANGES).alias("_step"))
+        picked = _join_null_safe(rows.select("_g", first), sizes, ["_g"]).where(F.pmod(F.xxhash64(first), "_step") == 0)
+        splitters = picked.groupBy("_g").agg(F.collect_set(first).alias("_splitters"))
+        ranked = ranked.join(splitters.withColumnRenamed("_g", "_sg"), F.col("_g").eqNullSafe(F.col("_sg")), "left").drop("_sg")
+        below = F.size(F.filter(F.coalesce("_splitters", F.array()), lambda s: s < F.col(first)))
+        ranked = ranked.withColumn("_part", F.when(F.col(first).isNull(), -1).otherwise(below)).drop("_splitters")
+    else:
+        ranked = ranked.withColumn("_part", F.lit(0))
+    parts = (
+        ranked.groupBy("_g", order_by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_g", order_by, "_part", _sum_before("_n", "_part", ["_g", order_by]).alias("_n0"))
+    )
+    place = F.row_number().over(Window.partitionBy("_g", order_by, "_part").orderBy(*order))
+    numbered = _join_null_safe(ranked.withColumn("_place", place), parts, ["_g", order_by, "_part"])
+    return numbered.withColumn("_row", F.col("_rnk") - 1 + F.col("_n0") + F.col("_place"))
+
+
+def top_dense_rank(df: DataFrame, partition_by: Sequence[str], order_by: str, n: int, name: str = "drnk") -> DataFrame:
     """Rows whose DENSE_RANK of ``order_by`` (descending) within
     ``partition_by`` is at most ``n`` (ties may give more than ``n`` rows).
 
@@ -171,12 +118,10 @@ def top_dense_rank(df: DataFrame, partition_by: Sequence[str], order_by: str, n:
     filter lets Spark put a partial WindowGroupLimit before the shuffle: each
     task forwards at most ``n`` values per group, so a group's final window
     holds at most ``n`` x tasks rows however large the group is.  The
-    winning values (at most ``n`` per group) are joined back to the rows;
-    ``broadcast_top`` broadcasts them when the caller has checked that
-    ``n`` x groups is small.
+    winning values (at most ``n`` per group) are joined back to the rows.
     """
     P = list(partition_by)
     values = df.select(*P, order_by).distinct()
     w = Window.partitionBy(*P).orderBy(F.col(order_by).desc())
     top = values.withColumn(name, F.dense_rank().over(w).cast("long")).where(F.col(name) <= int(n))
-    return _join_null_safe(df, F.broadcast(top) if broadcast_top else top, P + [order_by])
+    return _join_null_safe(df, top, P + [order_by])

@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.functions.money import GROSS_SCALE, NET_SCALE, gross_amount, to_millions
-from salescope.operators.common import BROADCAST_MAX_ROWS, broadcast_if_bounded, date_bounds_filter, fiscal_dates
+from salescope.functions.money import gross_amount, to_millions
+from salescope.operators.common import date_bounds_filter, fiscal_dates, merge_names, text_equals
 from salescope.operators.rank import rank_within, top_dense_rank
-from salescope.operators.revenue import net_sales_lines
+from salescope.operators.revenue import net_sales_by_keys
 from salescope.sources.tables import SalesTables
 
 
-def top_n(lines: DataFrame, entity: str, n: int, value: str = "total_net_sales",
-          out: str = "net_sales_mln", value_scale: int = NET_SCALE) -> DataFrame:
-    """B-5: Σvalue per ``entity`` in millions (2 places), the ``n`` largest.
+def top_n(lines: DataFrame, entity: str, n: int, value: str = "total_net_sales", out: str = "net_sales_mln") -> DataFrame:
+    """B-5: Σvalue per ``entity`` in millions (2 places, DECIMAL), the ``n`` largest.
 
-    Ordered by the *rounded* value like the reference, with the entity name
-    as tie-breaker so equal rounded values come out deterministically.
-    ``orderBy().limit()`` plans as TakeOrderedAndProject: every task keeps
-    its own top ``n`` and only those rows reach the final merge.
+    Names that differ only in case or accents are one entity.  Ordered by the
+    *rounded* value like the reference, with the entity name as tie-breaker so
+    equal rounded values come out deterministically.  ``orderBy().limit()``
+    plans as TakeOrderedAndProject: every task keeps its own top ``n`` and only
+    those rows reach the final merge.
     """
+    sums = lines.groupBy(entity).agg(F.sum(value).alias("total"))
     return (
-        lines.groupBy(entity)
-        .agg(to_millions(F.sum(value), value_scale).alias(out))
+        merge_names(sums, [entity], total=F.sum("total"))
+        .select(entity, to_millions("total").alias(out))
         .orderBy(F.col(out).desc_nulls_last(), F.col(entity).asc())
         .limit(n)
     )
@@ -34,19 +35,26 @@ def net_sales_by_fiscal_year(t: SalesTables, fiscal_year: int) -> DataFrame:
     return top_markets_by_net_sales(t, fiscal_year, 5)
 
 
+def _customers(t: SalesTables, market: str | None = None) -> DataFrame:
+    c = t.dim_customer if market is None else t.dim_customer.where(text_equals("market", market))
+    return c.select("customer_code", "customer", "market")
+
+
 def top_customers_by_net_sales(t: SalesTables, market: str, fiscal_year: int, n: int = 5) -> DataFrame:
     """O-06: top ``n`` customer names in one market. -> (customer, net_sales_mln)"""
-    return top_n(net_sales_lines(t, fiscal_year, market=market, with_customer=True), "customer", n)
+    codes = _customers(t, market)
+    return top_n(net_sales_by_keys(t, fiscal_year, ["customer_code"], codes).join(codes, "customer_code"), "customer", n)
 
 
 def top_markets_by_net_sales(t: SalesTables, fiscal_year: int, n: int = 5) -> DataFrame:
     """O-07: top ``n`` markets. -> (market, net_sales_mln)"""
-    return top_n(net_sales_lines(t, fiscal_year, with_market=True), "market", n)
+    return top_n(net_sales_by_keys(t, fiscal_year, ["customer_code"]).join(_customers(t), "customer_code"), "market", n)
 
 
 def top_products_by_net_sales(t: SalesTables, market: str, fiscal_year: int, n: int = 5) -> DataFrame:
     """O-08: top ``n`` product names in one market. -> (product, net_sales_mln)"""
-    return top_n(net_sales_lines(t, fiscal_year, market=market, with_product=True), "product", n)
+    sums = net_sales_by_keys(t, fiscal_year, ["product_code"], _customers(t, market))
+    return top_n(sums.join(t.dim_product.select("product_code", "product"), "product_code"), "product", n)
 
 
 # ------------------------------------------------------------ quantity ranks
@@ -75,14 +83,10 @@ def top_products_per_division(t: SalesTables, fiscal_year: int, n: int = 3) -> D
     -> (division, product, total_qty, drnk)
 
     Ranked on the distinct quantities with a partial WindowGroupLimit, so a
-    hot division never reaches one task whole (see ``top_dense_rank``).  The
-    winning values (at most ``n`` per division) are broadcast back when
-    ``n`` x the divisions of dim_product passes the size check.
+    hot division never reaches one task whole (see ``top_dense_rank``).
     """
-    divisions = t.dim_product.select("division").distinct()
-    bounded = n * divisions.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
-    return top_dense_rank(product_qty(t, fiscal_year), ["division"], "total_qty", n,
-                          broadcast_top=bounded).select("division", "product", "total_qty", "drnk")
+    return top_dense_rank(product_qty(t, fiscal_year), ["division"], "total_qty", n).select(
+        "division", "product", "total_qty", "drnk")
 
 
 def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
@@ -92,15 +96,13 @@ def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: boo
 
     The window has no order and no frame, so it equals a per-division
     aggregate joined back.  The aggregate is combined map-side (one row per
-    division per task) and broadcast back when the number of divisions in
-    dim_product (an upper bound of its size) passes the size check; a window
-    would instead send each division whole to one task.
+    division per task); how it is joined back is left to statistics and AQE.
+    A window would instead send each division whole to one task.
     """
     rows = _product_rows(t, fiscal_year).select(
         "division", "product", "sold_quantity", "customer_code", "date", "product_code")
     totals = rows.groupBy(F.col("division").alias("d")).agg(
         F.sum("sold_quantity").cast("long").alias("total_qty_by_division"))
-    totals = broadcast_if_bounded(totals, t.dim_product.select("division").distinct())
     # null-safe: a NULL division is one window partition too
     out = rows.join(totals, rows["division"].eqNullSafe(totals["d"]))
     if ordered:
@@ -110,45 +112,33 @@ def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: boo
     return out.select("division", "product", "total_qty_by_division")
 
 
-def _ranked(t: SalesTables, fiscal_year: int, kinds: tuple[str, ...], ordered: bool,
-            strategy: str = "auto") -> DataFrame:
-    # every (division, product) row of product_qty comes from a dim_product
-    # row, so dim_product's rows per division bound the window groups
-    bound = t.dim_product.groupBy("division").agg(F.count(F.lit(1)).alias("n"))
-    out = rank_within(
-        product_qty(t, fiscal_year),
-        partition_by=["division"],
-        order_by="total_qty",
-        tie_breakers=["product"],
-        kinds=kinds,
-        strategy=strategy,
-        group_bound=bound,
-    )
+def _ranked(t: SalesTables, fiscal_year: int, kinds: tuple[str, ...], ordered: bool) -> DataFrame:
+    out = rank_within(product_qty(t, fiscal_year), ["division"], "total_qty", ["product"], kinds)
     return out.orderBy("division", kinds[0], "product") if ordered else out
 
 
-def rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
+def rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
     """O-19: RANK (gaps after ties) of Σquantity per division.
     -> (division, product, total_qty, rnk)"""
-    return _ranked(t, fiscal_year, ("rnk",), ordered, strategy)
+    return _ranked(t, fiscal_year, ("rnk",), ordered)
 
 
-def dense_rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
+def dense_rank_products(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
     """O-20: DENSE_RANK (no gaps) of Σquantity per division.
     -> (division, product, total_qty, drnk)"""
-    return _ranked(t, fiscal_year, ("drnk",), ordered, strategy)
+    return _ranked(t, fiscal_year, ("drnk",), ordered)
 
 
-def row_number_products(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
+def row_number_products(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
     """O-21: ROW_NUMBER of Σquantity per division; equal quantities are
     numbered by product name. -> (division, product, total_qty, row_num)"""
-    return _ranked(t, fiscal_year, ("row_num",), ordered, strategy)
+    return _ranked(t, fiscal_year, ("row_num",), ordered)
 
 
-def rank_comparison(t: SalesTables, fiscal_year: int, ordered: bool = True, strategy: str = "auto") -> DataFrame:
+def rank_comparison(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
     """O-22: RANK, DENSE_RANK and ROW_NUMBER side by side.
     -> (division, product, total_qty, rnk, drnk, row_num)"""
-    out = _ranked(t, fiscal_year, ("rnk", "drnk", "row_num"), False, strategy)
+    out = _ranked(t, fiscal_year, ("rnk", "drnk", "row_num"), False)
     return out.orderBy("division", "drnk", "product") if ordered else out
 
 
@@ -156,15 +146,23 @@ def rank_comparison(t: SalesTables, fiscal_year: int, ordered: bool = True, stra
 
 def market_year_gross(t: SalesTables) -> DataFrame:
     """B-7: gross sales in millions (2 places) per (market, fiscal year), all
-    years. -> (market, fiscal_year, gross_sales_mln)"""
-    lines = (
+    years. -> (market, fiscal_year, gross_sales_mln)
+
+    A price holds for a product and year, so quantities are summed per
+    (customer, product, year) before it is joined, and amounts per (customer,
+    year) before the market is."""
+    qty = (
         t.sales.join(fiscal_dates(t), "date")
-        .join(t.dim_customer.select("customer_code", "market"), "customer_code")
-        .join(t.gross_price, ["product_code", "fiscal_year"])
+        .groupBy("customer_code", "product_code", "fiscal_year").agg(F.sum("sold_quantity").alias("qty"))
     )
-    return lines.groupBy("market", "fiscal_year").agg(
-        to_millions(F.sum(gross_amount("sold_quantity", "gross_price")), GROSS_SCALE).alias("gross_sales_mln")
+    gross = (
+        qty.join(t.gross_price, ["product_code", "fiscal_year"])
+        .groupBy("customer_code", "fiscal_year").agg(F.sum(gross_amount("qty", "gross_price")).alias("gross"))
+        .join(t.dim_customer.select("customer_code", "market"), "customer_code")
+        .groupBy("market", "fiscal_year").agg(F.sum("gross").alias("gross"))
     )
+    return merge_names(gross, ["market"], ["fiscal_year"], gross=F.sum("gross")).select(
+        "market", "fiscal_year", to_millions("gross").alias("gross_sales_mln"))
 
 
 def gross_sales_prev_year(t: SalesTables, ordered: bool = True) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from salescope import operators as op
 from salescope.functions.fiscal import with_fiscal_quarter, with_fiscal_year
@@ -39,7 +40,9 @@ def _ship_dates(spark: SparkSession, source: str) -> DataFrame:
 
 def _on_tables(fn: Callable[[SalesTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, source: str) -> DataFrame:
-        return fn(load_tables(spark, source))
+        df = fn(load_tables(spark, source))
+        # decimals as DOUBLE, only for the comparison of values by hash
+        return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in df.schema.fields])
 
     run.__doc__ = fn.__doc__
     return run

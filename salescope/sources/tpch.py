@@ -1,34 +1,30 @@
 """Map the driver's TPC-H-like tables onto the sales star schema.
 
 This module only builds stand-in input in the business schema (the rules are
-those of FIXTURES.md §2); it computes none of the reports.  The operators
+those of FIXTURES.md §2); it computes none of the reports, and the operators
 never rely on how these rows were made.
 
-Holes are left on purpose so that the reports meet the edge cases of the
-reference: sales without a pre- or post-invoice rate, sales without a
-forecast, forecasts without a sale, forecasts after the last sales month.
-The modulo rules below only decide which of these holes a row falls into
-(each drops 2-10% of the lines from one table); every registered query still
-reads all tables whole, and its work grows with the input.
+All rows of the given tables are read.  Business columns decide what a line is:
+returned lines are no sales, urgent orders come without a forecast, and a line
+has a post-invoice row if it carries a discount or a tax.  So sales without a
+forecast, forecasts without a sale and sales without a rate occur; the other
+edge cases are in ``tests/skewed_fixture.py``.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.functions.fiscal import fiscal_year
-from salescope.sources.calendar import build_dim_date
 from salescope.sources.tables import SalesTables
 
 # Fixed values of the test-data mapping (FIXTURES.md §2).
-CALENDAR_FIRST = _dt.date(1994, 9, 1)
-CALENDAR_LAST = _dt.date(2002, 8, 1)
-SALES_CUTOFF = _dt.date(2001, 6, 1)
 PRICE_BASE_YEAR = 1995
+RETURNED = "R"
+URGENT = "1-URGENT"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,9 +33,9 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate"
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate"
     )
-    orders = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority")
     return li.join(orders, "l_orderkey").withColumn(
         "month", F.trunc(F.col("l_shipdate").cast("date"), "month")
     )
@@ -53,9 +49,17 @@ def _grain():
 def derive_tables(spark: SparkSession, sf_dir: str) -> SalesTables:
     L = _lines(spark, sf_dir)
 
-    dim_date = build_dim_date(spark, CALENDAR_FIRST, CALENDAR_LAST, "month")
-    # every fiscal year the calendar touches, generated per row (no join)
-    years = F.explode(F.sequence(fiscal_year(F.lit(CALENDAR_FIRST)), fiscal_year(F.lit(CALENDAR_LAST))))
+    # every month from the first to the last ship date
+    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
+    span = _read(spark, sf_dir, "lineitem").agg(F.min(month).alias("first"), F.max(month).alias("last"))
+    months = F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH")))
+    dim_date = (
+        span.where("first is not null").select(months.alias("calendar_date"))
+        .withColumn("fiscal_year", fiscal_year("calendar_date"))
+    )
+    # every fiscal year of the calendar, generated per row (no join)
+    ends = span.select(F.struct(fiscal_year("first").alias("first"), fiscal_year("last").alias("last")).alias("y")).scalar()
+    years = F.explode(F.sequence(ends.getField("first"), ends.getField("last")))
 
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -79,18 +83,18 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> SalesTables:
     )
 
     sales = (
-        L.where((F.col("l_orderkey") % 10 != 0) & (F.col("l_shipdate") < F.lit(SALES_CUTOFF)))
+        L.where(F.col("l_returnflag") != RETURNED)
         .groupBy(*_grain())
         .agg(F.sum("l_quantity").cast("int").alias("sold_quantity"))
     )
     weight = F.lit(80) + (F.col("l_partkey") * 7 + F.col("l_linenumber") * 13) % 41
     forecast = (
-        L.where(F.col("l_orderkey") % 10 != 1)
+        L.where(F.col("o_orderpriority") != URGENT)
         .groupBy(*_grain())
         .agg(F.floor(F.sum(F.col("l_quantity") * weight) / 100).cast("int").alias("forecast_quantity"))
     )
     post = (
-        L.where(F.col("l_partkey") % 40 != 3)
+        L.where(F.col("l_discount") + F.col("l_tax") > 0)
         .groupBy(*_grain())
         .agg(
             F.max("l_discount").cast("decimal(5,4)").alias("discounts_pct"),
@@ -105,8 +109,7 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> SalesTables:
         (F.col("p_retailprice").cast("decimal(10,2)") * growth).cast("decimal(15,4)").alias("gross_price"),
     )
     pre = (
-        customer.where(F.col("c_custkey") % 50 != 7)
-        .select("c_custkey", years.alias("fiscal_year"))
+        customer.select("c_custkey", years.alias("fiscal_year"))
         .select(
             F.col("c_custkey").alias("customer_code"),
             "fiscal_year",

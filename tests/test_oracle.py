@@ -2,12 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF01
 from oracle_compare import compare, duck
-
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from salescope.plans.catalog import QUERIES
+from salescope.plans.oracle import ORACLE_SQL as ORACLE
 
 
 def test_every_query_has_an_oracle():
