@@ -14,7 +14,8 @@ similarity of at least 0.75.  Steps:
 4. A unit returns a spanning forest of its links, never all pairs.  Rounds over
    more and more keys leave out groups that already are one component: the
    first rounds compare a large group's blocks with themselves and one hub, the
-   last compares all pairs of blocks of different components.
+   last compares all pairs of blocks; a component that makes up much of a group
+   meets the others once, not once for each key.
 
 Sets travel only for classes that share a key with another one.
 """
@@ -38,6 +39,8 @@ BANDS = 40
 ROUNDS = (2, 6, BANDS)
 #: Classes of a unit; members of a group that is compared as a whole.
 UNIT = 512
+#: Members of a group from which one component is set apart from the rest.
+MAIN = 16
 LEAF, FANOUT = 8, 4
 #: Bits of the fixed-size filter of wanted classes.
 FILTER_BITS = 1 << 22
@@ -235,32 +238,48 @@ def components(edges: DataFrame) -> DataFrame:
     return now
 
 
-def units(groups: DataFrame, last: bool) -> DataFrame:
-    """(unit, class, component) from rows (key, class, component) of groups that
-    span several components.
+def _blocks(n: str, size: int):
+    return F.ceil(F.col(n) / size).cast("int")
+
+
+def _cut(groups: DataFrame, last: bool) -> DataFrame:
+    """(unit, class, component) of groups that span several components.
 
     A group of at most UNIT members is a unit, equal ones once.  A larger one
-    is cut into blocks: in the early rounds each block with the group's hub; in
-    the last, every pair of blocks outside the largest component, and each of
-    those with each block of the largest component.
-    """
-    by_key = groups.groupBy("key").agg(F.count("*").alias("m"), F.min("class").alias("hub"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.bit_xor(F.xxhash64("class")).alias("list")).where("m > 1 and c0 <> c1").drop("c0", "c1")
-    rows = groups.join(by_key, "key")
+    is cut into blocks: in the early rounds each block with the group's hub, in
+    the last every pair of blocks."""
+    by_key = groups.groupBy("key").agg(F.count("*").alias("m"), F.min("class").alias("hub"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.bit_xor(F.xxhash64("class")).alias("list"))
+    rows = groups.join(by_key.where("c0 <> c1").drop("c0", "c1"), "key")
     small = rows.where(F.col("m") <= UNIT).select(F.xxhash64("list", "m", "hub").alias("unit"), "class", "component").distinct()
     large = rows.where(F.col("m") > UNIT)
-    blocks = F.ceil(F.col("m") / UNIT).cast("int")
-    block = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    if not last:
-        at = F.when(F.col("class") == F.col("hub"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(block))
-        return small.unionByName(large.select("key", "class", "component", F.explode(at).alias("i")).select(F.xxhash64("key", "i").alias("unit"), "class", "component"))
-    sizes = large.groupBy("key", "m", "component").agg(F.count("*").alias("n")).groupBy("key", "m").agg(F.max(F.struct("n", "component")).alias("most")).select("key", F.col("most.n").alias("n"), F.col("most.component").alias("main"))
-    large = large.join(sizes, "key").withColumn("in_main", F.col("component") == F.col("main"))
-    half = UNIT // 2
-    main, rest = F.ceil(F.col("n") / half).cast("int"), F.ceil((F.col("m") - F.col("n")) / half).cast("int")
-    own = F.pmod(F.xxhash64("class"), F.when(F.col("in_main"), main).otherwise(rest)).cast("int")
-    with_rest = F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.when(F.col("in_main"), F.xxhash64("key", j, F.col("own"), F.lit(1))).otherwise(F.xxhash64("key", F.least(j, F.col("own")), F.greatest(j, F.col("own")), F.lit(2))))
-    with_main = F.when(F.col("in_main"), F.array().cast("array<long>")).otherwise(F.transform(F.sequence(F.lit(0), main - 1), lambda j: F.xxhash64("key", F.col("own"), j, F.lit(1))))
-    return small.unionByName(large.withColumn("own", own).select(F.explode(F.concat(with_rest, with_main)).alias("unit"), "class", "component"))
+    blocks = _blocks("m", UNIT // 2 if last else UNIT)
+    large = large.withColumn("i", F.pmod(F.xxhash64("class"), blocks).cast("int"))
+    every = F.sequence(F.lit(0), blocks - 1)
+    if last:
+        unit = F.explode(F.transform(every, lambda j: F.xxhash64("key", F.least(j, F.col("i")), F.greatest(j, F.col("i")))))
+    else:
+        unit = F.explode(F.transform(F.when(F.col("class") == F.col("hub"), every).otherwise(F.array("i")), lambda j: F.xxhash64("key", j)))
+    return small.unionByName(large.select(unit.alias("unit"), "class", "component"))
+
+
+def units(groups: DataFrame, last: bool) -> DataFrame:
+    """(unit, class, component) from rows (key, class, component): what is to be
+    compared in groups that span several components.
+
+    Where one component has MAIN or more members of a group, the rest of the
+    group is compared with itself, and with that component once for all the
+    groups in which they meet, in blocks of half a unit of either side."""
+    most = F.max(F.struct("n", "component"))
+    by_key = groups.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("parts"), most.alias("most"))
+    by_key = by_key.where("parts > 1").select("key", F.when(F.col("most.n") >= MAIN, F.col("most.component")).alias("main"))
+    rows = groups.join(by_key, "key").withColumn("in_main", F.coalesce(F.col("component") == F.col("main"), F.lit(False)))
+    rest = rows.where(~F.col("in_main")).select("key", "class", "component")
+    met = rows.where("main is not null").select("main", "class", "component", "in_main").distinct()
+    sizes = met.groupBy("main").agg(F.count_if("in_main").alias("inner"), F.count_if(~F.col("in_main")).alias("outer"))
+    met = met.join(sizes, "main").withColumn("own", F.pmod(F.xxhash64("class"), F.when(F.col("in_main"), _blocks("inner", UNIT // 2)).otherwise(_blocks("outer", UNIT // 2))).cast("int"))
+    others = F.sequence(F.lit(0), F.when(F.col("in_main"), _blocks("outer", UNIT // 2)).otherwise(_blocks("inner", UNIT // 2)) - 1)
+    unit = F.transform(others, lambda j: F.when(F.col("in_main"), F.xxhash64("main", F.col("own"), j, F.lit(0))).otherwise(F.xxhash64("main", j, F.col("own"), F.lit(0))))
+    return _cut(rest, last).unionByName(met.select(F.explode(unit).alias("unit"), "class", "component"))
 
 
 def linked(docs: DataFrame) -> DataFrame:

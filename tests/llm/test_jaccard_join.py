@@ -71,6 +71,7 @@ def rows_with_groups(seed=5):
 @pytest.mark.parametrize("unit", [512, 16])
 def test_groups_against_brute_force(spark, unit, monkeypatch):
     monkeypatch.setattr(J, "UNIT", unit)
+    monkeypatch.setattr(J, "MAIN", unit // 4)
     rows = rows_with_groups()
     docs = spark.createDataFrame([(k, t, 1, "z") for k, t in rows], "doc_id long, text string, class int, row_key string")
     assert result(jaccard_components(docs)) == brute(rows)
