@@ -211,9 +211,18 @@ def fit(rows: DataFrame) -> dict:
             pair = pair_hash(before, word)
             order = np.argsort(pair, kind="stable")
             first = np.flatnonzero(np.concatenate(([True], pair[order][1:] != pair[order][:-1])))
-            at = order[first]
-            count = np.diff(np.append(first, len(order))).astype(np.uint32)
-            return _packed(shards, (pair[at] % _U(shards)).astype(np.int64), {"before": before[at], "word": word[at], "count": count}, ["shard", "before", "word", "count"])
+            at, count = order[first], np.diff(np.append(first, len(order))).astype(np.uint32)
+            shard = (pair[at] % _U(shards)).astype(np.int64)
+            order = np.lexsort((before[at], shard))  # a shard's pairs by first word, which is sent once
+            shard, before, word, count = shard[order], before[at[order]], word[at[order]], count[order]
+            edges, rows = np.searchsorted(shard, np.arange(shards + 1)), []
+            for s in np.unique(shard).tolist():
+                part = slice(edges[s], edges[s + 1])
+                cut = np.flatnonzero(np.concatenate(([True], before[part][1:] != before[part][:-1])))
+                runs = np.diff(np.append(cut, edges[s + 1] - edges[s])).astype(np.uint32)
+                rows.append((s, before[part][cut].tobytes(), runs.tobytes(), word[part].tobytes(), count[part].tobytes()))
+            kinds = [pa.int64(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["shard", "before", "runs", "word", "count"])
 
         for step in text_steps(batches, "text"):
             tokens, before, _ = tokens_of(step)
@@ -227,7 +236,8 @@ def fit(rows: DataFrame) -> dict:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Write the shard's pairs; send on what it knows of each word."""
-        for shard, (before, word, count) in _by_shard(batches, [_U, _U, np.uint32]):
+        for shard, (firsts, runs, word, count) in _by_shard(batches, [_U, np.uint32, _U, np.uint32]):
+            before = np.repeat(firsts, runs)
             pair = pair_hash(before, word)
             order = np.argsort(pair, kind="stable")
             pair = pair[order]
@@ -246,7 +256,7 @@ def fit(rows: DataFrame) -> dict:
                 kinds = pa.array([_kinds(total) if role == 0 and i == 0 else None for i in range(batch.num_rows)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([role] * batch.num_rows, pa.int32()), kinds], names=[*batch.schema.names, "role", "kinds"])
 
-    sent = rows.select("text").mapInArrow(send, "shard long, before binary, word binary, count binary")
+    sent = rows.select("text").mapInArrow(send, "shard long, before binary, runs binary, word binary, count binary")
     words = _dealt(sent, shards).mapInArrow(merge, "shard long, hash binary, a binary, b binary, c binary, n binary, role int, kinds array<long>")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
