@@ -33,7 +33,7 @@ REPORTS = {
 }
 
 
-TEXT_PARAMS = ("market", "customer", "customer_codes", "strategy")
+TEXT_PARAMS = ("market", "customer", "customer_codes")
 SKIPPED_PARAMS = ("ordered",)
 
 

@@ -27,7 +27,7 @@ PARAMS = {
     "customer_name": "FURNITURE-6",
     "y1": 1998,
     "y2": 1999,
-    "badge_threshold": 10_000,
+    "badge_threshold": 7_500,
 }
 
 P = PARAMS

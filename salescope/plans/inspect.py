@@ -43,9 +43,11 @@ def pushed_filters(df: DataFrame, table: str) -> list[str]:
 
 def final_plan(df: DataFrame):
     """The final adaptive physical plan (JVM object) of ``df``, after AQE's
-    runtime re-planning.  Runs ``df`` once; meant for review runs."""
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan()
+    runtime re-planning.  Runs ``df`` once on the executors and brings nothing to
+    the driver; meant for review runs."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    plan = execution.executedPlan()
     return plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
 
 

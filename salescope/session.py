@@ -22,18 +22,17 @@ def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     """Session settings sized for ``input_bytes`` of fact data on
     ``total_cores`` executor cores.
 
-    * shuffle partitions ~ input / 256 MB (at least 2 per core, at most
-      100,000), so a full-table shuffle stays near 256 MB per reducer; AQE
-      then coalesces small ones toward the same advisory size;
+    * shuffle partitions ~ input / 256 MB (at least 2 per core), so a
+      full-table shuffle stays near 256 MB per reducer; AQE then coalesces
+      small ones toward the same advisory size;
     * scans split files at 256 MB;
     * a shuffle partition counts as skewed at 5x the median and > 1 GB, and
       AQE splits it (joins) instead of leaving one straggler.
 
-    100 TB on 8,000 cores gives 100,000 shuffle partitions (the cap, ~1 GB
-    each for a full-table shuffle; a fiscal year is ~1/8 of that); 4 MB on
-    8 cores gives 16.
+    100 TB gives about 400,000 shuffle partitions (a fiscal year shuffles ~1/8
+    of that); 4 MB on 8 cores gives 16.
     """
-    parts = max(2 * total_cores, min(100_000, -(-input_bytes // TARGET_PARTITION_BYTES)))
+    parts = max(2 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
@@ -73,6 +72,8 @@ def get_session(
         "spark.sql.autoBroadcastJoinThreshold": BROADCAST_THRESHOLD,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST_THRESHOLD,
         "spark.sql.sources.bucketing.enabled": "true",
+        # facts bucketed by (customer, product) join on (customer, date, product) without a shuffle
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
     }
     if input_bytes and total_cores:
         conf.update(scale_settings(input_bytes, total_cores))
@@ -81,30 +82,23 @@ def get_session(
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, registered with the
+    session.
 
-    On a cluster this setting names shared storage (HDFS, object store); it is
-    read from the session.  Only when it is unset (local tests) a fresh
-    scratch folder is created and registered.
-    """
-    return ensure_checkpoint_dir(spark)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, registering ``spark.checkpoint.dir``
-    when only the setting is present; a scratch folder is created only when
-    neither exists (local runs and tests)."""
+    On a cluster that setting names shared storage (HDFS, object store) and
+    must be there: without it this raises rather than use a folder of one
+    machine.  Only a local session without it (tests) gets a scratch folder."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="salescope-ckpt-")
-        sc.setCheckpointDir(current)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="salescope-ckpt-")
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salescope.schema import SCHEMAS
 from salescope.sources.tables import TABLE_NAMES, SalesTables, table_path
@@ -67,8 +68,9 @@ def save_tables(tables: SalesTables, database: str, location: str, buckets: int
     ``buckets`` is given, bucketed and sorted by (customer_code,
     product_code) with the same bucket count: the fact-fact joins on
     (customer_code, date, product_code) then read co-partitioned buckets and
-    need no shuffle (``spark.sql.requireAllClusterKeysForCoPartition`` is
-    turned off so the bucket keys, a subset of the join keys, qualify).
+    need no shuffle where ``spark.sql.requireAllClusterKeysForCoPartition`` is
+    false, which ``get_session`` sets: the bucket keys are a subset of the join
+    keys.  The settings of a session made elsewhere are left alone.
     """
     spark = tables.sales.sparkSession
     location = location.rstrip("/")
@@ -76,8 +78,9 @@ def save_tables(tables: SalesTables, database: str, location: str, buckets: int
     for name, df in tables.as_dict().items():
         if name in FACTS_BY_DATE:
             if buckets:
-                # one task per bucket: each writes one file per month
-                w = (df.repartition(buckets, *BUCKET_KEYS).write.partitionBy("date")
+                # one task per (month, bucket): as many tasks as files, none holds a bucket of all months
+                slot = F.pmod(F.hash(*BUCKET_KEYS), F.lit(buckets))
+                w = (df.repartition("date", slot).write.partitionBy("date")
                      .bucketBy(buckets, *BUCKET_KEYS).sortBy(*BUCKET_KEYS))
             else:
                 w = (df.repartitionByRange("date", "customer_code", "product_code")
@@ -87,32 +90,19 @@ def save_tables(tables: SalesTables, database: str, location: str, buckets: int
             w = df.write
         w.mode("overwrite").format("parquet").option("path", f"{location}/{name}").saveAsTable(
             f"{database}.{name}")
-    spark.conf.set(_bucketed_key(database), "true" if buckets else "false")
     return catalog_tables(spark, database)
 
 
-def _is_bucketed(spark: SparkSession, table: str) -> bool:
-    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").collect()
-    return bool(info) and int(info[0]["data_type"]) > 0
+def catalog_tables(spark: SparkSession, database: str) -> SalesTables:
+    """Readers of the eight tables saved in ``database``; columns that the
+    schema names and no operator needs may be missing."""
 
+    def table(name: str) -> DataFrame:
+        df = spark.table(f"{database}.{name}")
+        return df.select(*[c for c in SCHEMAS[name].fieldNames() if c in df.columns or c not in OPTIONAL])
 
-def _bucketed_key(database: str) -> str:
-    # session-level memo, so repeated reports skip the catalog lookup
-    return f"spark.salescope.bucketed.{database}"
+    return SalesTables(**{name: table(name) for name in TABLE_NAMES})
 
 
-def catalog_tables(spark: SparkSession, database: str) -> SalesTables:
-    """Readers of the eight tables saved in ``database``.
-
-    When the facts are bucketed, co-partitioning on the bucket keys (a
-    subset of the 3-key join keys) is allowed for this session, so the
-    fact-fact joins skip their shuffle."""
-    bucketed = spark.conf.get(_bucketed_key(database), None)
-    if bucketed is None:
-        bucketed = str(_is_bucketed(spark, f"{database}.fact_sales_monthly")).lower()
-        spark.conf.set(_bucketed_key(database), bucketed)
-    if bucketed == "true":
-        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    return SalesTables(**{
-        name: spark.table(f"{database}.{name}").select(*SCHEMAS[name].fieldNames()) for name in TABLE_NAMES
-    })
+# Columns that no operator reads.
+OPTIONAL = ("region",)

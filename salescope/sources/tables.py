@@ -55,9 +55,15 @@ class SalesTables:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
     def register_views(self, prefix: str = "") -> None:
-        """Expose every table as a temporary view (for SQL users)."""
+        """For SQL users: every table and the view ``forecast_accuracy_base`` as
+        temporary views, ``get_fiscal_year`` and ``get_fiscal_quarter`` as functions."""
+        from salescope.functions.fiscal import register_sql_functions
+        from salescope.operators.forecast import forecast_accuracy_base
+
         for name, df in self.as_dict().items():
             df.createOrReplaceTempView(prefix + name)
+        forecast_accuracy_base(self).createOrReplaceTempView(prefix + "forecast_accuracy_base")
+        register_sql_functions(self.sales.sparkSession)
 
     def duplicate_keys(self) -> DataFrame:
         """Key violations of all tables as one DataFrame (table, n_dup_keys).

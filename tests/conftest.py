@@ -32,9 +32,9 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    from salescope.session import ensure_checkpoint_dir
+    from salescope.session import checkpoint_root
 
-    ensure_checkpoint_dir(s)
+    checkpoint_root(s)
     yield s
 
 

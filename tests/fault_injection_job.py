@@ -12,7 +12,7 @@ import tempfile
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark import TaskContext  # noqa: E402
-from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -41,8 +41,10 @@ def main() -> None:
         (F.col("id") * 7919 % 53).alias("total_qty"),
     )
     failing = base.withColumn("total_qty", flaky("total_qty"))
-    got = rank_within(failing, ["division"], "total_qty", ["product"], strategy="distributed").collect()
-    want = rank_within(base, ["division"], "total_qty", ["product"], strategy="window").collect()
+    got = rank_within(failing, ["division"], "total_qty", ["product"]).collect()
+    by = Window.partitionBy("division").orderBy(F.desc("total_qty"))
+    named = Window.partitionBy("division").orderBy(F.desc("total_qty"), "product")
+    want = base.select("*", F.rank().over(by).alias("rnk"), F.dense_rank().over(by).alias("drnk"), F.row_number().over(named).alias("row_num")).collect()
     key = lambda r: (r.division, r.product)
     a = sorted((key(r), r.rnk, r.drnk, r.row_num) for r in got)
     b = sorted((key(r), r.rnk, r.drnk, r.row_num) for r in want)

@@ -25,24 +25,16 @@ def test_net_is_exact_at_full_width(spark):
     assert r.n == nis - nis * (d + o)
 
 
-def test_millions_rounding(spark):
-    df = spark.createDataFrame([(Decimal("1234567.891234567890"),), (Decimal("-5000.000000000000"),)], "x decimal(38,12)")
-    assert sorted(r.m for r in df.select(to_millions("x", 12).alias("m")).collect()) == [-0.01, 1.23]
-
-
-def test_millions_follow_division_scale(spark):
-    # a scale-4 sum divided by 1e6 is a scale-8 decimal in the reference
-    # engine: 1004999.9950 / 1e6 = 1.004999995 -> 1.00500000 -> ROUND 2 = 1.01
-    df = spark.createDataFrame([(Decimal("1004999.9950"),)], "x decimal(36,4)")
-    assert df.select(to_millions("x", 4).alias("m")).first().m == 1.01
-    # with a scale-12 sum the quotient keeps 16 places: 1.004999995 stays -> 1.00
-    df = spark.createDataFrame([(Decimal("1004999.995000000000"),)], "x decimal(38,12)")
-    assert df.select(to_millions("x", 12).alias("m")).first().m == 1.0
+def test_millions_are_rounded_once(spark):
+    df = spark.createDataFrame([(Decimal(x),) for x in ("1234567.891234567890", "-5000", "1004999.995", "1005000")], "x decimal(38,12)")
+    got = sorted(r.m for r in df.select(to_millions("x").alias("m")).collect())
+    assert got == [Decimal("-0.01"), Decimal("1.00"), Decimal("1.01"), Decimal("1.23")]
 
 
 def _acc(spark, a, f):
     df = spark.createDataFrame([(a, f)], "a bigint, f bigint")
-    return df.select(accuracy_pct("a", "f").alias("p")).first().p
+    p = df.select(accuracy_pct("a", "f").alias("p")).first().p
+    return None if p is None else float(p)
 
 
 def test_accuracy_golden(spark):
@@ -52,14 +44,13 @@ def test_accuracy_golden(spark):
     assert _acc(spark, 30, 10) == -200.0  # accuracy can go negative
 
 
-def test_accuracy_ratio_rounded_to_4_places(spark):
-    # the reference engine's "/" keeps 4 fraction digits, rounded half up:
-    # 2469/20000 = 0.12345 -> 0.1235 -> 87.65 (exact arithmetic would give 87.655 -> 87.66)
-    assert _acc(spark, 2469, 20000) == 87.65
-    # 1/3 -> 0.3333 -> 66.67
-    assert _acc(spark, 1, 3) == 66.67
-    # 2/3 -> 0.6667 -> 33.33
-    assert _acc(spark, 2, 3) == 33.33
+def test_accuracy_is_rounded_once(spark):
+    assert _acc(spark, 4, 128) == 96.88
+    assert _acc(spark, 3, 32) == 90.63
+    assert _acc(spark, 2469, 20000) == 87.66
+    assert _acc(spark, 1, 3) == 66.67 and _acc(spark, 2, 3) == 33.33
+    assert _acc(spark, 20001, 10000) == -100.01  # half away from zero below zero too
+    assert _acc(spark, 400_002, 200_000) == -100.0
 
 
 def test_accuracy_zero_forecast_is_null(spark):
@@ -68,12 +59,10 @@ def test_accuracy_zero_forecast_is_null(spark):
 
 def test_accuracy_huge_sums_exact(spark):
     a, f = 123_456_789_012_345_678, 987_654_321_098_765_432
-    expect = (10000 - (a * 10000 * 2 + f) // (2 * f)) / 100
+    expect = ((f - a) * 10000 * 2 + f) // (2 * f) / 100
     assert _acc(spark, a, f) == expect
 
 
 def test_accuracy_negative_forecast_sum(spark):
-    # 1 - 10 / -20 = 1.5 -> 150.00; the ratio is rounded half away from zero:
-    # 1 - round(-1/3, 4) = 1.3333 -> 133.33
     assert _acc(spark, 10, -20) == 150.0
     assert _acc(spark, 1, -3) == 133.33

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import D, dec, rows
 from salescope import operators as op
-from salescope.operators.rank import global_positions, rank_within, top_dense_rank
+from salescope.operators.rank import rank_within, top_dense_rank
 
 
 @pytest.fixture
@@ -15,9 +15,16 @@ def qty(spark):
     return spark.createDataFrame(data, "division string, product string, total_qty bigint")
 
 
-@pytest.mark.parametrize("strategy", ["distributed", "window"])
-def test_rank_golden(qty, strategy):
-    out = rank_within(qty, ["division"], "total_qty", ["product"], strategy=strategy)
+def windowed(df, kinds=("rnk", "drnk", "row_num")):
+    """The plain window form."""
+    base = Window.partitionBy("division").orderBy(F.col("total_qty").desc_nulls_last())
+    numbered = Window.partitionBy("division").orderBy(F.col("total_qty").desc_nulls_last(), "product")
+    made = {"rnk": F.rank().over(base), "drnk": F.dense_rank().over(base), "row_num": F.row_number().over(numbered)}
+    return df.select("*", *[made[k].cast("long").alias(k) for k in kinds])
+
+
+def test_rank_golden(qty):
+    out = rank_within(qty, ["division"], "total_qty", ["product"])
     got = {r.product: (r.rnk, r.drnk, r.row_num) for r in out.collect()}
     # RANK 1,2,2,4 / DENSE_RANK 1,2,2,3 / ROW_NUMBER 1,2,3,4 (ties by product)
     assert [got[p] for p in ["p1", "p2", "p3", "p4"]] == [(1, 1, 1), (2, 2, 2), (2, 2, 3), (4, 3, 4)]
@@ -27,7 +34,7 @@ def test_rank_golden(qty, strategy):
 
 
 @pytest.mark.parametrize("kinds", [("rnk", "drnk", "row_num"), ("drnk",), ("rnk",), ("row_num",), ("drnk", "rnk")])
-def test_distributed_equals_window_on_many_partitions(spark, kinds):
+def test_equals_window_on_many_partitions(spark, kinds):
     # one hot group holding most rows, many ties, spread over many partitions
     df = spark.range(0, 5000, 1, 16).select(
         F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 13).cast("string"))).alias("division"),
@@ -35,16 +42,37 @@ def test_distributed_equals_window_on_many_partitions(spark, kinds):
         (F.col("id") * 7919 % 97).alias("total_qty"),
     )
     a = rank_within(df, ["division"], "total_qty", ["product"], kinds=kinds)
-    b = rank_within(df, ["division"], "total_qty", ["product"], kinds=kinds, strategy="window")
+    b = windowed(df, kinds)
     assert a.columns == b.columns
     assert rows(a) == rows(b)
 
 
-def test_global_positions_are_a_permutation(spark):
-    df = spark.range(0, 3000, 1, 7).select((F.col("id") * 31 % 3000).alias("k"))
-    pos = global_positions(df, [F.col("k").desc()])
-    got = sorted((r.k, r._pos) for r in pos.collect())
-    assert got == [(k, 2999 - k) for k in range(3000)]
+@pytest.mark.slow
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("extra", [[], ["note"]])
+def test_equals_window_with_many_values(spark, extra, reuse):
+    # 200,000 distinct values in 12 partitions, one group with most rows, one value with a third of them
+    h = F.abs(F.xxhash64("id"))
+    df = spark.range(0, 300_000, 1, 12).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("division"),
+        F.concat(F.lit("p"), h.cast("string")).alias("product"),
+        F.when(F.col("id") % 3 == 0, F.lit(77)).otherwise(h % 100_000_000).alias("total_qty"),
+        *[h.cast("string").alias(c) for c in extra],
+    )
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        keys = ["division", "product", "rnk", "drnk", "row_num"]
+        a, b = rank_within(df, ["division"], "total_qty", ["product"]), windowed(df)
+        assert a.columns == b.columns
+        assert a.select(keys).exceptAll(b.select(keys)).count() == 0 and a.count() == 300_000
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_no_group_and_no_tie_breaker(spark):
+    df = spark.createDataFrame([(3,), (1,), (3,), (None,)], "total_qty long")
+    got = sorted((r.total_qty or 0, r.rnk, r.drnk, r.row_num) for r in rank_within(df, [], "total_qty").collect())
+    assert got == [(0, 4, 3, 4), (1, 3, 2, 3), (3, 1, 1, 1), (3, 1, 1, 2)]
 
 
 def test_top_dense_rank_keeps_ties(qty):
@@ -97,49 +125,3 @@ def test_lag_lead_positional(make_tables):
     assert [(r.fiscal_year, r.gross_sales_mln, r.prev_year_sales_mln) for r in prev] == [(2020, 1.0, None), (2022, 2.0, 1.0)]
     nxt = op.gross_sales_next_year(t).collect()
     assert [(r.fiscal_year, r.next_year_sales_mln) for r in nxt] == [(2020, 2.0), (2022, None)]
-
-
-def test_auto_strategy_follows_the_bound(qty, spark):
-    from pyspark.sql import functions as F
-    bound = qty.groupBy("division").agg(F.count(F.lit(1)).alias("n"))
-    window = rank_within(qty, ["division"], "total_qty", ["product"], strategy="window")
-    for limit in (1, 2, 1000):  # below and above the largest group (5 rows)
-        auto = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto",
-                           group_bound=bound, max_group_rows=limit)
-        assert rows(auto) == rows(window)
-    big = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto", group_bound=bound, max_group_rows=2)
-    small = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto", group_bound=bound)
-    assert "windowspecdefinition(division" not in big._jdf.queryExecution().analyzed().toString()
-    assert "windowspecdefinition(division" in small._jdf.queryExecution().analyzed().toString()
-    # no bound: never trust the group size
-    none = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto")
-    assert "windowspecdefinition(division" not in none._jdf.queryExecution().analyzed().toString()
-
-
-@pytest.mark.slow
-@pytest.mark.parametrize("name", ["rank_products", "dense_rank_products", "row_number_products", "rank_comparison"])
-def test_distributed_rank_reports_match_oracle(spark, name):
-    from conftest import SF01
-    from oracle_compare import compare, duck
-    from salescope.plans.oracle import ORACLE_SQL
-    from salescope.sources.tables import load_tables
-    df = getattr(op, name)(load_tables(spark, SF01), 1998, strategy="distributed")
-    ok, msg = compare(df, duck(SF01), ORACLE_SQL[name])
-    assert ok, msg
-
-
-def test_bound_sizes_the_range_partitions(qty, monkeypatch):
-    from pyspark.sql import functions as F
-
-    import salescope.operators.rank as rank_mod
-    from salescope.plans.inspect import physical_plan
-    monkeypatch.setattr(rank_mod, "ROWS_PER_RANGE_PARTITION", 3)
-    bound = qty.groupBy("division").agg(F.count(F.lit(1)).alias("n"))
-    out = rank_within(qty, ["division"], "total_qty", ["product"], strategy="auto",
-                      group_bound=bound, max_group_rows=2)
-    # 8 bounded rows at 3 rows per range partition -> 3 partitions, not the
-    # session's shuffle partitions
-    import re
-    assert re.search(r"rangepartitioning\(division#\d+ ASC NULLS FIRST, total_qty#\d+L DESC NULLS LAST, "
-                     r"product#\d+ ASC NULLS FIRST, 3\)", physical_plan(out))
-    assert rows(out) == rows(rank_within(qty, ["division"], "total_qty", ["product"], strategy="window"))

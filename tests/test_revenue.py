@@ -49,7 +49,7 @@ def test_net_sales_by_customer_code_ignores_dimension(make_tables):
     # O-04 does not join dim_customer -> customer 2 counts without a dimension row
     t = _base(make_tables, dim_customer=[(1, "Acme", "India", "APAC")])
     got = rows(op.net_sales_by_customer_code(t, 2021, 5))
-    assert got == [(1, 243.0), (2, 100.8)]
+    assert got == [(1, dec("243.00")), (2, dec("100.80"))]
     # ...while the market report needs the dimension
     assert rows(op.top_markets_by_net_sales(t, 2021, 5)) == [("India", 0.0)]
 
@@ -142,4 +142,4 @@ def test_round_half_away_from_zero(spark):
     # Decimal ROUND is half away from zero, never banker's rounding
     from salescope.functions.money import to_money
     df = spark.createDataFrame([(dec("0.125"),), (dec("-0.125"),), (dec("2.345"),), (dec("0.135"),)], "x decimal(10,3)")
-    assert [r.m for r in df.select(to_money("x").alias("m")).collect()] == [0.13, -0.13, 2.35, 0.14]
+    assert [r.m for r in df.select(to_money("x").alias("m")).collect()] == [dec("0.13"), dec("-0.13"), dec("2.35"), dec("0.14")]

@@ -3,8 +3,8 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as E
 from oracle_compare import compare
+from salescope.plans.catalog import QUERIES
 from salescope.plans.oracle import REPORT_SQL
 from salescope.sources.tables import TABLE_NAMES, load_tables
 from skewed_fixture import build
@@ -36,7 +36,7 @@ def test_report_on_skewed_tables(spark, skewed, name):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "7")  # many partitions per hot group
     try:
-        ok, msg = compare(E.queries()[name](spark, root), con, REPORT_SQL[name])
+        ok, msg = compare(QUERIES[name](spark, root), con, REPORT_SQL[name])
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert ok, msg
@@ -46,19 +46,3 @@ def test_loaded_from_business_folder(spark, skewed):
     root, _ = skewed
     t = load_tables(spark, root)
     assert t.sales.count() > 10000
-
-
-@pytest.mark.slow
-@pytest.mark.parametrize("name", ["rank_products", "dense_rank_products", "row_number_products", "rank_comparison"])
-def test_distributed_rank_on_skewed_tables(spark, skewed, name):
-    # the hot division (90% of products) ranked without a per-division task
-    from salescope import operators as op
-    root, con = skewed
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "7")
-    try:
-        df = getattr(op, name)(load_tables(spark, root), 1998, strategy="distributed")
-        ok, msg = compare(df, con, REPORT_SQL[name])
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert ok, msg
