@@ -37,7 +37,7 @@ K, ALPHA, SEED = 3, 0.5, 17
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Word lattices that a worker keeps, and the longest word kept.
-CACHE_WORDS, CACHE_CHARS = 200_000, 40
+CACHE_WORDS, CACHE_CHARS = 60_000, 40
 BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
