@@ -57,6 +57,15 @@ def cached(key: str, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def latest(slot: str, name: str, make: Callable[[], object]) -> object:
+    """The value last made for a slot of the worker process, made anew under another name."""
+    held = cached(f"latest {slot}", dict)
+    if held.get("name") != name:
+        held.clear()
+        held.update(name=name, value=make())
+    return held["value"]
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

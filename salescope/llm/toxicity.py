@@ -16,6 +16,7 @@ per table row: that vector, whose size is fixed, is all that workers get.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from salescope.llm.common import prepare, whole_text
+from salescope.llm.common import latest, prepare, whole_text
 
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 3
 #: The training sample: at most so many documents of each label, in hash order of their ids, of at most so many characters.
@@ -36,7 +37,8 @@ RANDOM_WINDOWS = 2
 RANDOM_STEPS, TOP_STEPS, STEP, RATE, DECAY = 18, 36, 2048, 300.0, 1e-6
 THRESHOLD = 0.3
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”„…"
-CACHE_WORDS = 300_000
+#: Words whose numbers a worker keeps.
+CACHE_WORDS = 600_000
 
 
 def subwords(token: str) -> list[int]:
@@ -200,8 +202,10 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
     prepare(docs.sparkSession)
     at = docs.columns.index("text")
 
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = model.scorer()
+        score = latest("toxicity", name, model.scorer)
         for batch in batches:
             scores = pa.array([score(t.as_py() or "") for t in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[f"c{i}" for i in range(len(batch.columns))] + ["toxicity_score"])
