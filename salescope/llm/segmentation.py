@@ -23,6 +23,7 @@ import heapq
 import math
 import random
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import count
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import cached, prepare
+from salescope.llm.common import cached, latest, prepare
 
 K, ALPHA, SEED = 3, 0.5, 17
 SPACE = "▁"
@@ -171,9 +172,10 @@ def sample_segmentations(table: DataFrame, keys: list[str], k: int = K, alpha: f
     model_path = model_path or public_tokenizers.path("piece_bpe_32k.model")
     rows = table.select(F.array(*[F.col(c).cast("long") for c in keys]).alias("keys"), F.coalesce("text", F.lit("")).alias("text"))
     counts = spark.sparkContext.broadcast(piece_counts(rows, model_path))
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model_path, counts.value, alpha)
+        vocabulary = latest("vocabulary", name, lambda: Vocabulary(model_path, counts.value, alpha))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
