@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
+import uuid
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -35,13 +35,13 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session(master="local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
-    root = checkpoint_root(spark).replace("file:", "")
+    root = checkpoint_root(spark).rstrip("/")
     tables = derive_tables(spark, sf_dir)
-    save_tables(tables, "plan_report", tempfile.mkdtemp(prefix="plans-", dir=root))
+    save_tables(tables, "plan_report", f"{root}/plans-{uuid.uuid4().hex[:8]}")
     small = _table(spark, sf_dir, "plan_report")
     # scale emulation: facts no longer fit the broadcast threshold (the
     # dimensions and rate tables still do) and the facts are bucketed
-    save_tables(tables, "plan_report_b", tempfile.mkdtemp(prefix="plans-", dir=root), buckets=4)
+    save_tables(tables, "plan_report_b", f"{root}/plans-{uuid.uuid4().hex[:8]}", buckets=4)
     for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.set(key, str(128 * 1024))
     scaled = _table(spark, sf_dir, "plan_report_b")
@@ -69,18 +69,14 @@ adaptive plan of each query, after AQE's runtime re-planning; subquery plans are
 
 Read with README "Designed for scale":
 - **hash exch**: shuffles for aggregates and sort-merge joins.
-- **range exch**: global sorts (reports with ORDER BY, and `rank_within`'s global positions).
-- **single-part exch**: global aggregates (scalar subqueries, the badge) and the per-partition offsets of
-  `rank_within` (one row per partition).
+- **range exch**: global sorts (reports with ORDER BY).
+- **single-part exch**: global aggregates (scalar subqueries, the badge).
 - **reused**: an exchange computed once and read again.
 - **runtime part. filters** / **DPP**: date partitions skipped at run time.
 - **Window** appears only where groups are bounded:
   - fiscal years per customer or market;
-  - the offsets' prefix sum (one row per partition);
   - O-09's distinct values behind a WindowGroupLimit;
-  - the rank reports when `dim_product` proves that no division exceeds 1,000,000 rows (`strategy="auto"`).
-    Beyond that they switch to the distributed rank, which `tests/test_ranking.py` and `tests/test_skew.py` also
-    check against the oracle.
+  - O-19..O-22: the ranges of a division, the distinct values of a range, and equal values within a range of names.
 - **cartesian/BNLJ** and **Python UDF** must be 0.
 
 At sf0.01 every dimension and most fact sides are broadcast. At scale the facts exceed the threshold and the
@@ -95,8 +91,7 @@ Same queries, with both broadcast thresholds lowered to 128 KB. The dimensions a
 still broadcast, while the facts (1.2–1.6 MB each, about 200 KB per fiscal year) no longer do, as at 100 TB. The
 three facts are saved with 4 buckets on (customer_code, product_code).
 - The fact-fact joins (sales ⨝ post-invoice, forecast ⟕ sales) now appear as **SMJ**. Their inputs come
-  straight from the bucketed scans, so the hash exchanges left are those of the aggregates and of the rank
-  machinery.
+  straight from the bucketed scans, so the hash exchanges left are those of the aggregates and the ranks.
 - The rank reports keep their windows on bounded groups only.
 
 """
