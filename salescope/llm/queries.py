@@ -11,7 +11,7 @@ from salescope.llm.inner_product import top_inner_products
 from salescope.llm.jaccard_join import jaccard_components
 from salescope.llm.language_id import identify
 from salescope.llm.language_model import score_documents
-from salescope.llm.licenses import scan_licenses
+from salescope.llm.licenses import BASE, COVER, GAP, NOTICES, STRETCH, VOTES, scan_licenses
 from salescope.llm.packing import pack_documents
 from salescope.llm.pii import find_personal_data
 from salescope.llm.segmentation import sample_segmentations
@@ -84,13 +84,78 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_segmentation": op10_segmentation,
 }
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PAIRS = ", ".join(
+    f"({t}, {base}, '{label}', {len(words)}, {j}, '{a}', '{b}')"
+    for t, (base, label, words) in enumerate([(True, x, y.split()) for x, y in BASE] + [(False, x, y.split()) for x, y in NOTICES])
+    for j, (a, b) in enumerate(zip(words, words[1:], strict=False))
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_licenses": rf"""
+        WITH pairs(template, base, label, n, j, a, b) AS (VALUES {_PAIRS}),
+        docs AS (
+            SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), places AS (
+            SELECT doc_id, i, words[i + 1] AS a, words[i + 2] AS b
+            FROM (SELECT doc_id, words, unnest(range(0, len(words) - 1)) AS i FROM docs)
+        ), votes AS (
+            SELECT DISTINCT doc_id, template, base, label, n, i - j AS d, i, j FROM places JOIN pairs USING (a, b)
+        ), diagonals AS (
+            SELECT doc_id, template, base, label, n, d, count(*) AS votes, min(i) AS low, max(i) + 2 AS high
+            FROM votes GROUP BY ALL
+        ), strong AS (
+            SELECT *, d - lag(d) OVER (PARTITION BY doc_id, template ORDER BY d) AS gap
+            FROM diagonals WHERE NOT base AND votes >= {VOTES}
+        ), numbered AS (
+            SELECT *, sum(CASE WHEN gap <= {GAP} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, template ORDER BY d) AS run
+            FROM strong
+        ), covered AS (
+            SELECT doc_id, template, run, count(DISTINCT j) AS votes
+            FROM numbered JOIN votes v USING (doc_id, template, d) GROUP BY ALL
+        ), merged AS (
+            SELECT s.doc_id, s.label, min(s.low) AS low,
+                   CASE WHEN max(s.high) - min(s.low) <= {STRETCH} * s.n THEN any_value(c.votes) ELSE max(s.votes) END / (s.n - 1) AS cover
+            FROM numbered s JOIN covered c USING (doc_id, template, run)
+            GROUP BY s.doc_id, s.template, s.label, s.n, s.run
+        ), found AS (
+            SELECT doc_id, base, label, d AS start, 1.0::DOUBLE AS cover FROM diagonals WHERE base AND votes = n - 1
+            UNION ALL
+            SELECT doc_id, false, label, low, cover FROM merged WHERE cover >= {COVER}
+        ), summed AS (
+            SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score
+            FROM found GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+               last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+               coalesce(score, 0)::DOUBLE AS score
+        FROM docs LEFT JOIN summed USING (doc_id)""",
+    "op8_jaccard_join": rf"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' '))
+                                                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS s
+            FROM docs
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+        ), reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+        )
+        SELECT docs.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+        FROM docs LEFT JOIN sizes USING (doc_id) JOIN reached USING (doc_id) GROUP BY docs.doc_id""",
     "op2_top_inner_products": """
         WITH parts AS (
             SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), whole AS (
             SELECT vec_id, i, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS w FROM parts
         ), scored AS (
