@@ -163,9 +163,9 @@ def top_inner_products(table: DataFrame, k: int = K, every: int = EVERY, block:
     places = blocked.groupBy("block", "dim", "band").agg(F.max("length").alias("greatest")).collect()  # a row per block
     if not places:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    first = {r.dim: 0 for r in marks}
+    first: dict[int, int] = {}
     for r in places:
-        first[r.dim] = min(b.band for b in places if b.dim == r.dim) if first[r.dim] == 0 else first[r.dim]
+        first[r.dim] = min(r.band, first.get(r.dim, r.band))
     head = [(r.block, r.dim, r.greatest) for r in places if r.band == first[r.dim]]
     tail = [(r.block, r.dim, r.greatest) for r in places if r.band != first[r.dim]]
     queries = blocked.where(F.col("vec_id") % every == 0).select("vec_id", "v", "dim", "length")
