@@ -51,8 +51,8 @@ SCORE_BYTES = 4 << 20
 #: The model's files and their arrays: pairs; words and how many words come before them; first words and their pairs by count.
 FILES = {
     "pair": {"hash": _U, "count": np.uint32},
-    "word": {"hash": _U, "count": np.int64, "lead": np.int64},
-    "first": {"hash": _U, "total": np.int64, "one": np.int64, "two": np.int64, "more": np.int64},
+    "word": {"hash": _U, "count": np.int64, "lead": np.uint32},
+    "first": {"hash": _U, "total": np.int64, "one": np.uint32, "two": np.uint32, "more": np.uint32},
 }
 
 
@@ -170,7 +170,14 @@ def _by_shard(batches: Iterator[pa.RecordBatch], dtypes: list) -> Iterator[tuple
         yield shard, [np.concatenate(p) for p in zip(*parts, strict=True)]
 
 
-DTYPES = (_U, np.uint32, np.uint32, np.uint32, np.int64)
+DTYPES = (_U, np.uint32, np.uint32, np.uint32, np.uint32)
+
+
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits; raises where one doesn't fit (4 billion distinct neighbours of a word, or tokens of a shard)."""
+    if len(counts) and counts.max() >= 1 << 32:
+        raise OverflowError("a count beyond 32 bits")
+    return counts.astype(np.uint32)
 
 
 def _dealt(df: DataFrame, shards: int) -> DataFrame:
@@ -252,7 +259,7 @@ def fit(rows: DataFrame) -> dict:
                 zero = np.zeros(len(keys), np.uint32)
                 fields = [add(np.ones(len(names))), zero, zero] if role == 0 else [add(total == 1), add(total == 2), add(total >= 3)]
                 sums = np.bincount(inverse, weights=total, minlength=len(keys)).astype(np.int64)
-                batch = _packed(shards, (keys % _U(shards)).astype(np.int64), {"hash": keys, "a": fields[0], "b": fields[1], "c": fields[2], "n": sums}, ["shard", "hash", "a", "b", "c", "n"])
+                batch = _packed(shards, (keys % _U(shards)).astype(np.int64), {"hash": keys, "a": fields[0], "b": fields[1], "c": fields[2], "n": narrow(sums)}, ["shard", "hash", "a", "b", "c", "n"])
                 kinds = pa.array([_kinds(total) if role == 0 and i == 0 else None for i in range(batch.num_rows)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([role] * batch.num_rows, pa.int32()), kinds], names=[*batch.schema.names, "role", "kinds"])
 
@@ -271,8 +278,8 @@ def fit(rows: DataFrame) -> dict:
                 keys, inverse = np.unique(parts[0], return_inverse=True)
                 out.append((keys, *(np.bincount(inverse, weights=p, minlength=len(keys)).astype(np.int64) for p in parts[1:])))
             (words, lead, _, _, count), (firsts, one, two, more, total) = out
-            write_arrays(folder, f"word-{shard}", {"hash": words, "count": count, "lead": lead})
-            write_arrays(folder, f"first-{shard}", {"hash": firsts, "total": total, "one": one, "two": two, "more": more})
+            write_arrays(folder, f"word-{shard}", {"hash": words, "count": count, "lead": narrow(lead)})
+            write_arrays(folder, f"first-{shard}", {"hash": firsts, "total": total, "one": narrow(one), "two": narrow(two), "more": narrow(more)})
             return (shard, len(words), int(count.sum()), int(lead.sum()), int((lead == 1).sum()), int((lead == 2).sum()), int((lead >= 3).sum()), _kinds(lead), kinds.tolist())
 
         results = []
@@ -328,11 +335,11 @@ class Scorer:
         first = self.firsts.find(firsts)
         d = m["high"]
         seen = first["total"] > 0
-        rest = np.where(seen, (d[0] * first["one"] + d[1] * first["two"] + d[2] * first["more"]) / np.maximum(first["total"], 1), 1.0)
+        rest = np.where(seen, (d[0] * first["one"].astype(float) + d[1] * first["two"] + d[2] * first["more"]) / np.maximum(first["total"], 1), 1.0)
         pairs, pair_at = np.unique(pair_hash(before, tokens), return_inverse=True)
         count = self.pairs.find(pairs)["count"][pair_at].astype(np.int64)
         high = np.maximum(count - np.array([0.0, *d])[np.minimum(count, 3)], 0) / np.maximum(first["total"][first_at], 1)
-        return np.log10(high + rest[first_at] * self.low(word["lead"])[at]), base[at], known[at]
+        return np.log10(high + rest[first_at] * self.low(word["lead"].astype(np.int64))[at]), base[at], known[at]
 
 
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
