@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salescope.llm.fingerprint import fingerprints
 from salescope.llm.inner_product import top_inner_products
@@ -68,8 +69,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three sampled segmentations of every conversation turn."""
-    return sample_segmentations(_table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+    """Three sampled segmentations of every whole document (doc_id) and of every
+    conversation turn (conv_id, turn; the other table's keys are null).  Each
+    table's pieces are counted on its own."""
+    of_documents = sample_segmentations(_table(spark, sf_dir, "documents"), ["doc_id"])
+    of_turns = sample_segmentations(_table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+    nothing = F.lit(None).cast("long")
+    more = [c for c in of_documents.columns if c != "doc_id"]
+    return of_documents.select("doc_id", nothing.alias("conv_id"), nothing.alias("turn"), *more).unionByName(of_turns.withColumn("doc_id", nothing))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -7,6 +7,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from salescope.llm.queries import op10_segmentation
 from salescope.llm.segmentation import Vocabulary, marked, piece_counts, sample, sample_segmentations
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -77,3 +78,15 @@ def test_rows(spark):
     assert all(g[4] == (g[0] != 4) for g in got)
     assert sample_segmentations(table.limit(0), ["conv_id", "turn"]).count() == 0
     assert sum(piece_counts(table, PATH).values()) > 10
+
+
+def test_query_covers_documents_and_turns(spark):
+    sf = "/root/testdata/sf0.001"
+    got = op10_segmentation(spark, sf).select("doc_id", "conv_id", "turn", "sample", "ids", "round_trip").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    turns = {(r.conv_id, r.turn) for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()}
+    assert {r.doc_id for r in got if r.conv_id is None} == set(texts)
+    assert {(r.conv_id, r.turn) for r in got if r.doc_id is None} == turns
+    for r in got:
+        if r.doc_id is not None:
+            assert r.round_trip and VOCABULARY.decode(r.ids) == texts[r.doc_id] and r["sample"] in (1, 2, 3)
