@@ -18,6 +18,7 @@ Memory is bounded by the chunk; nothing depends on the number of documents.
 from __future__ import annotations
 
 import base64
+import json
 import math
 import re
 import zlib
@@ -41,21 +42,45 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 LOOKAHEAD = r"|\s+(?!\S)"
 
 
-def encoder(ranks_path: str):
+def added_tokens(tokenizer_path: str) -> dict[str, int]:
+    """The strings that a ``tokenizers`` file gives one id wherever they stand in a text."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"]:
+            raise ValueError(f"an added token that depends on its neighbours: {t['content']}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def encoder(ranks_path: str, tokenizer_path: str | None = None):
     """Byte-level BPE ids of a text, from a file of merge ranks: the ids that
-    the same vocabulary gives in ``tokenizers``."""
+    the same vocabulary gives in ``tokenizers`` without special tokens put
+    round the text.  The added tokens of ``tokenizer_path`` (as a rule those of
+    byte_bpe_50k.json) cut a text; what lies between them is encoded by itself."""
 
     def make():
         import public_tokenizers
         import tiktoken
 
+        added = added_tokens(tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"))
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         full, plain = (tiktoken.Encoding(p[:9], pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (public_tokenizers.PATTERN, public_tokenizers.PATTERN.replace(LOOKAHEAD, "")))
         two = re.compile(r"\s\s")
-        return lambda text: (full if two.search(text) else plain).encode_ordinary(text)
+        between = lambda text: (full if two.search(text) else plain).encode_ordinary(text)
+        if not added:
+            return between
+        strings = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+        def ids(text: str) -> list[int]:
+            parts = strings.split(text)
+            if len(parts) == 1:
+                return between(text)
+            return [i for n, part in enumerate(parts) for i in ([added[part]] if n % 2 else between(part))]
+
+        return ids
 
-    return cached(f"bpe {ranks_path}", make)
+    return cached(f"bpe {ranks_path} {tokenizer_path}", make)
 
 
 class FirstFit:

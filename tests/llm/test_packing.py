@@ -49,6 +49,21 @@ def test_ids_equal_the_tokenizer_library(text):
     assert encoder(RANKS)(text) == HF.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", "|>", "<", " ", "  ", "\n", "a", "word", "é", "1's"]), max_size=12).map("".join))
+def test_ids_of_added_tokens_equal_the_tokenizer_library(text):
+    assert encoder(RANKS)(text) == HF.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_keep_their_id(spark):
+    assert encoder(RANKS)("a<|endoftext|>b") == [64, 50256, 65]
+    text = "one  <|endoftext|><|endoftext|> two <|endoftext|>"
+    own = np.array([*HF.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    got = pack_documents(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert (own == 50256).sum() == 3 and {r.doc_tokens for r in got} == {len(own)}
+    assert all(r.ids_crc32 == zlib.crc32(own[r.start : r.start + r.length].tobytes()) for r in got)
+
+
 def test_documents(spark):
     rows = [(1, "a b c", "x"), (1, "a b c", "x"), (None, "odd  one\n\n end", "y"), (3, None, "z"), (4, "", "z"), (5, "word " * 3000, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, length string")
