@@ -16,6 +16,8 @@ similarity of at least 0.75.  Steps:
    first rounds compare a large group's blocks with themselves and one hub, the
    last compares all pairs of blocks; a component that makes up much of a group
    meets the others once, not once for each key.
+5. Where the numbers of links are wanted, each component's classes are compared
+   once more, all pairs of them, by a dual traversal without that shortcut.
 
 Sets travel only for classes that share a key with another one.
 """
@@ -39,6 +41,8 @@ BANDS = 40
 ROUNDS = (2, 6, BANDS)
 #: Classes of a unit; members of a group that is compared as a whole.
 UNIT = 512
+#: Node pairs whose bitmaps are compared in one step.
+PAIRS = 1 << 13
 #: Members of a group from which one component is set apart from the rest.
 MAIN = 16
 LEAF, FANOUT = 8, 4
@@ -197,6 +201,91 @@ def links(sets: list[np.ndarray], groups: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def link_counts(sets: list[np.ndarray], weights: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """For each member the summed weights of all members it links with, by a dual
+    traversal that leaves out nothing but what can't link.  Members of one side
+    aren't compared; side -1 is compared with every member."""
+    out = np.zeros(len(sets), np.int64)
+    if len(sets) < 2:
+        return out
+    order = np.array(sorted(range(len(sets)), key=lambda i: (len(sets[i]).bit_length(), int(sets[i][0]), len(sets[i]))))
+    sets, weights, sides = [sets[i] for i in order], weights[order], sides[order]
+    tree = Tree(sets)
+    a = b = np.zeros(1, np.int64)
+    for level in reversed(range(1, len(tree.low))):
+        step = LEAF if level == 1 else FANOUT
+        x, y = (n.ravel() for n in np.broadcast_arrays((a[:, None] * step + np.arange(step))[:, :, None], (b[:, None] * step + np.arange(step))[:, None, :]))
+        inside = (np.maximum(x, y) < len(tree.low[level - 1])) & ((x < y) | (x == y) & (level > 1))
+        if level == 1:
+            inside[inside] = (sides[x[inside]] != sides[y[inside]]) | (sides[x[inside]] < 0)
+        x, y = x[inside], y[inside]
+        cuts = range(0, len(x), PAIRS)
+        keep = np.concatenate([tree.may_link(level - 1, x[i : i + PAIRS], y[i : i + PAIRS]) for i in cuts]) if len(x) else np.empty(0, bool)
+        a, b = x[keep], y[keep]
+    turn = np.argsort(a, kind="stable")
+    a, b = a[turn], b[turn]
+    tokens, places = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    own = [places[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+    edges = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
+    marks, sums = np.zeros(len(tokens), bool), np.zeros(len(sets), np.int64)
+    for start, stop in zip(edges[:-1], edges[1:], strict=True):
+        one, others = a[start], b[start:stop]
+        marks[own[one]] = True
+        met = np.concatenate([own[i] for i in others])
+        common = np.add.reduceat(marks[met], np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+        marks[own[one]] = False
+        linked = others[100 * common >= LINK * (sizes[one] + sizes[others] - common)]
+        sums[one] += weights[linked].sum()
+        sums[linked] += weights[one]
+    out[order] = sums
+    return out
+
+
+def unit_counts(rows: DataFrame) -> DataFrame:
+    """(class, n) from rows (unit, class, weight, side, tokens): what each class links with in each unit."""
+
+    def counts(member: list) -> Iterator[tuple[int, int]]:
+        names, weights, sides, sets = zip(*member, strict=True)
+        for c, n in zip(names, link_counts(list(sets), np.array(weights), np.array(sides)).tolist(), strict=True):
+            if n:
+                yield c, n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, member = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            found = list(counts(member)) if len(member) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["class", "n"])
+
+        for batch in batches:
+            for u, c, w, s, t in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
+                if u != unit:
+                    yield from out()
+                    unit, member = u, []
+                member.append((c, w, s, np.frombuffer(t.as_buffer(), _U).copy()))
+        yield from out()
+
+    return rows.select("unit", "class", "weight", "side", "tokens").repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "class long, n long")
+
+
+def all_links(now: DataFrame, weights: DataFrame, sets: DataFrame) -> DataFrame:
+    """(class, n): the weights of all classes that each class links with.
+
+    Every link lies within a component.  One of at most UNIT classes is a unit;
+    a larger one is cut into blocks of half a unit, and every pair of blocks is
+    a unit in which only classes of different blocks are compared."""
+    sizes = now.groupBy("component").agg(F.count("*").alias("m")).where("m > 1")
+    blocks = F.when(F.col("m") <= UNIT, 1).otherwise(_blocks("m", UNIT // 2))
+    rows = now.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("class"), blocks).cast("int"))
+    rows = rows.select("component", "class", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    unit = F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("unit")
+    side = F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side")
+    return unit_counts(rows.select(unit, "class", side).join(weights, "class").join(sets, "class")).groupBy("class").agg(F.sum("n").alias("n"))
+
+
 def unit_links(rows: DataFrame) -> DataFrame:
     """Edges (a, b) between classes from rows (unit, class, component, tokens)."""
 
@@ -282,8 +371,9 @@ def units(groups: DataFrame, last: bool) -> DataFrame:
     return _cut(rest, last).unionByName(met.select(F.explode(unit).alias("unit"), "class", "component"))
 
 
-def linked(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_key, n_shingles, component_id) of every row.
+def linked(docs: DataFrame, counts: bool = False) -> DataFrame:
+    """(doc_id, row_key, n_shingles, component_id) of every row, and with counts
+    n_links, the number of other rows that it links with.
 
     component_id is the smallest doc_id that links reach, the row's own
     included; rows without words or text link with nothing and keep their own
@@ -310,7 +400,12 @@ def linked(docs: DataFrame) -> DataFrame:
     firsts = classes.select("class", "first").join(now, "class").groupBy("component").agg(F.min("first").alias("least"))
     joined = now.join(firsts, "component").select("class", "least")
     own = classes.select("class", "first").join(joined, "class", "left").select("class", F.coalesce("least", "first").alias("least"))
-    return rows.drop("keys").join(own, "class", "left").select("doc_id", "row_key", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    more = []
+    if counts:
+        weights = stored(rows.where("class is not null").groupBy("class").agg(F.count("*").alias("weight")), "weights")
+        own = own.join(weights, "class").join(all_links(now, weights, sets), "class", "left").select("class", "least", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+        more = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
+    return rows.drop("keys").join(own, "class", "left").select("doc_id", "row_key", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), *more)
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -318,6 +413,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return linked(docs).drop("row_key")
 
 
+def jaccard_links(docs: DataFrame) -> DataFrame:
+    """``jaccard_components`` with n_links: how many other rows each row links
+    with.  Rows of equal sets link with each other; every link counts, not only
+    those of a spanning forest; rows without words have none."""
+    return linked(docs, counts=True).drop("row_key")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component: that of the smallest doc_id (among
     equal ids, of the smallest row key); rows without words all stay."""

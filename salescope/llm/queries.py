@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salescope.llm.fingerprint import fingerprints
 from salescope.llm.inner_product import top_inner_products
-from salescope.llm.jaccard_join import jaccard_components
+from salescope.llm.jaccard_join import jaccard_components, jaccard_links
 from salescope.llm.language_id import identify
 from salescope.llm.language_model import score_documents
 from salescope.llm.licenses import BASE, COVER, GAP, NOTICES, STRETCH, VOTES, scan_licenses
@@ -63,6 +63,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op8_jaccard_join, with the number of links of every document."""
+    return jaccard_links(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, packed into sequences of 1024 ids."""
     return pack_documents(_table(spark, sf_dir, "documents"))
@@ -91,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_segmentation": op10_segmentation,
 }
+#: Further forms of an operator.
+MORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_jaccard_links": op8_jaccard_links}
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PAIRS = ", ".join(
     f"({t}, {base}, '{label}', {len(words)}, {j}, '{a}', '{b}')"

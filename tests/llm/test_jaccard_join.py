@@ -6,7 +6,7 @@ import pytest
 
 import salescope.llm.jaccard_join as J
 from salescope.llm.hashing import shingle_sets, word_hashes
-from salescope.llm.jaccard_join import Tree, jaccard_components, keep_one, links
+from salescope.llm.jaccard_join import Tree, jaccard_components, jaccard_links, keep_one, link_counts, links
 
 
 def shingles(text):
@@ -122,3 +122,31 @@ def test_shingles_have_the_exact_count():
     offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
     got = shingle_sets(*word_hashes(data, offsets))
     assert [len(s) for s in got] == [len(shingles(t)) for t in texts]
+
+
+def n_links(rows):
+    sets = [shingles(t) for _, t in rows]
+    return sorted((-1 if k is None else k, sum(i != j and bool(sets[i]) and 100 * len(sets[i] & s) >= 75 * len(sets[i] | s) for j, s in enumerate(sets))) for i, (k, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("unit", [512, 16])
+def test_every_link_counts(spark, unit, monkeypatch):
+    monkeypatch.setattr(J, "UNIT", unit)
+    monkeypatch.setattr(J, "MAIN", unit // 4)
+    rows = rows_with_groups()
+    docs = spark.createDataFrame([(k, t, 1, "z") for k, t in rows], "doc_id long, text string, n int, weight string")
+    got = jaccard_links(docs)
+    assert result(got) == brute(rows)
+    want = n_links(rows)
+    assert sorted((r.doc_id, r.n_links) for r in got.collect()) == want and max(n for _, n in want) > 40
+    assert jaccard_links(docs.limit(0)).count() == 0
+
+
+def test_link_counts_by_side_and_weight():
+    rng = np.random.default_rng(6)
+    pool = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
+    sets = [np.sort(rng.choice(pool, rng.integers(20, 200), replace=False)) for _ in range(40)]
+    sets += [np.sort(rng.permutation(s)[: max(1, int(len(s) * f))]) for s in sets for f in (0.95, 0.85, 0.75)]
+    weights, sides = rng.integers(1, 5, len(sets)), rng.integers(-1, 3, len(sets))
+    want = [sum(int(weights[j]) for j, t in enumerate(sets) if j != i and (sides[i] != sides[j] or sides[i] < 0) and 100 * len(np.intersect1d(s, t)) >= 75 * len(np.union1d(s, t))) for i, s in enumerate(sets)]
+    assert link_counts(sets, weights, sides).tolist() == want and sum(w > 0 for w in want) > 60
