@@ -13,7 +13,10 @@ The posterior of a row's language is, up to a constant,
   is smoothed towards the whole table's.
 
 A row whose text has no trigrams, or whose best posterior is below
-``LEAST_CONFIDENCE``, is rejected.
+``LEAST_CONFIDENCE``, is rejected.  So is one that is like no language: the mean
+log likelihood of its trigrams of letters must, for one language at least, be
+above that of a uniform model and not far below what texts of that language get
+from a model that hasn't seen them.
 """
 
 from __future__ import annotations
@@ -29,12 +32,15 @@ from pyspark.sql import functions as F
 
 from salescope.llm.common import prepare, stored, text_bytes, text_steps, whole_text
 
-#: Table entries per language, and the most languages.
-BUCKETS, MOST_LANGUAGES = 1 << 16, 64
+#: Table entries per language.
+BUCKETS = 1 << 16
 #: The training sample: documents of each language, in hash order of their ids, of at most so many characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 800, 12_000
 TEMPER, SMOOTH, HOST_WEIGHT, DOMAIN_WEIGHT = 0.1, 1.0, 5.0, 20.0
 LEAST_CONFIDENCE = 0.5
+#: Standard deviations below a language's mean from which a text isn't of it; texts from which they can be told;
+#: trigrams that share a byte.
+OUTLYING, LEAST_SAMPLE, OVERLAP = 6.0, 20, 3
 _U = np.uint64
 
 DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,8})", re.I)
@@ -57,6 +63,46 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return code[inside], np.maximum(np.diff(offsets) - 2, 0)
 
 
+def lettered(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each trigram of ``trigrams`` whether two of its bytes at least are letters (a-z, or beyond ASCII)."""
+    if len(data) < 3:
+        return np.empty(0, bool)
+    low = data | 32
+    letter = ((low >= 97) & (low <= 122) | (data >= 128)).astype(np.int8)
+    inside = np.ones(len(data) - 2, bool)
+    for back in (1, 2):
+        cut = offsets[1:] - back
+        inside[cut[(cut >= 0) & (cut < len(inside))]] = False
+    return (letter[:-2] + letter[1:-1] + letter[2:])[inside] >= 2
+
+
+def floors(texts: list[str], labels: list[str]) -> np.ndarray:
+    """For each language (in order) the mean of its texts' mean log likelihoods,
+    their variance, and that of a single trigram.  Each half of the texts is
+    scored by a model of the other; with too few texts nothing is told (-inf)."""
+    names = sorted(set(labels))
+    found: list[list[tuple[float, float]]] = [[] for _ in names]
+    half, seen = [], dict.fromkeys(names, 0)
+    for label in labels:  # every language's texts in turn
+        half.append(seen[label] % 2)
+        seen[label] += 1
+    for side in (0, 1):
+        own, table = train([t for t, h in zip(texts, half, strict=True) if h != side], [x for x, h in zip(labels, half, strict=True) if h != side])
+        for text, label, h in zip(texts, labels, half, strict=True):
+            if h == side and label in own:
+                data = np.frombuffer(text.encode(), np.uint8)
+                ends = np.array([0, len(data)])
+                logs = table[own.index(label)][trigrams(data, ends)[0][lettered(data, ends)]].astype(float)
+                if len(logs):
+                    found[names.index(label)].append((logs.mean(), logs.var()))
+    out = np.array([(-np.inf, 0.0, 0.0)] * len(names)).reshape(-1, 3)
+    for i, rows in enumerate(found):
+        if len(rows) >= LEAST_SAMPLE:
+            means, single = np.array(rows).T
+            out[i] = means.mean(), means.var(), single.mean()
+    return out
+
+
 def train(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray]:
     """Languages and the log probability of each bucket under each."""
     names = sorted(set(labels))
@@ -68,17 +114,17 @@ def train(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray]:
     return names, np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
 
 
-def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Train on a bounded sample of each of the table's commonest languages."""
+def fit(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Train on a bounded sample of each language that occurs in the table, and calibrate its floor."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    names = [r.lang for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
+    names = [r.lang for r in known.select("lang").distinct().orderBy("lang").collect()]  # a row for each language
     texts, labels = [], []
     for name in names:
         ids = known.where((F.col("lang") == name) & (F.char_length("text") <= SAMPLE_CHARS)).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
         rows = known.where(F.col("lang") == name).select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id", "left_semi").where(F.char_length("text") <= SAMPLE_CHARS).orderBy("doc_id", "text").limit(SAMPLE_DOCS).collect()
         texts += [r.text for r in rows]
         labels += [name] * len(rows)
-    return train(texts, labels)
+    return *train(texts, labels), floors(texts, labels)
 
 
 def page_text(html: str | None) -> tuple[str, str | None]:
@@ -102,29 +148,39 @@ def page_rows(pages: DataFrame) -> DataFrame:
     return rows.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
 
 
-def with_text_evidence(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """rows (their last column is text) with ``trigrams`` and ``evidence``, the
-    tempered log likelihoods, in place of the text."""
+def with_text_evidence(rows: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
+    """rows (their last column is text) with ``trigrams``, ``evidence``, the
+    tempered log likelihoods, and ``known``, whether the text is like one of the
+    languages, in place of the text."""
     spark = prepare(rows.sparkSession)
-    names, table = model
-    spread = spark.sparkContext.broadcast(table)  # at most MOST_LANGUAGES * BUCKETS numbers
+    names, table, usual = model
+    spread = spark.sparkContext.broadcast(table)  # BUCKETS numbers a language
     keep = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = spread.value
         for step in text_steps(batches, "text", 1 << 20):
-            codes, counts = trigrams(*text_bytes(step.column("text")))
+            data, offsets = text_bytes(step.column("text"))
+            codes, counts = trigrams(data, offsets)
+            letters = lettered(data, offsets)
+            known = np.zeros(len(counts), bool)
             sums = np.zeros((len(counts), len(logs)))
             full = np.flatnonzero(counts)
             if len(full):
                 starts = (np.cumsum(counts) - counts)[full]
+                n = np.add.reduceat(letters, starts, dtype=np.int64)
+                some = np.maximum(n, 1)
                 for i, row in enumerate(logs):
-                    sums[full, i] = np.add.reduceat(row[codes].astype(float), starts)
+                    single = row[codes].astype(float)
+                    sums[full, i] = np.add.reduceat(single, starts)
+                    mean, between, within = usual[i]
+                    floor = np.maximum(mean - OUTLYING * np.sqrt(between + OVERLAP * within / some), -np.log(BUCKETS))
+                    known[full] |= (n > 0) & (np.add.reduceat(single * letters, starts) / some > floor)
             columns = [step.column(f.name) for f in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array((TEMPER * sums).tolist(), pa.list_(pa.float64()))], names=[*[f.name for f in keep], "trigrams", "evidence"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array((TEMPER * sums).tolist(), pa.list_(pa.float64())), pa.array(known)], names=[*[f.name for f in keep], "trigrams", "evidence", "known"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return rows.mapInArrow(run, f"{kinds}, trigrams long, evidence array<double>")
+    return rows.mapInArrow(run, f"{kinds}, trigrams long, evidence array<double>, known boolean")
 
 
 def _softmax(logs: Column) -> Column:
@@ -134,7 +190,8 @@ def _softmax(logs: Column) -> Column:
 
 def fuse(rows: DataFrame, names: list[str]) -> DataFrame:
     """rows (declared, host, domain, suffix, trigrams, evidence, ...) with lang,
-    confidence, posterior and kept.  Null evidence columns add nothing.
+    confidence, posterior and kept.  Null evidence columns add nothing.  Rows
+    that have known, and it false, aren't kept.
     """
     span = range(len(names))
     if not names:
@@ -165,7 +222,7 @@ def fuse(rows: DataFrame, names: list[str]) -> DataFrame:
     out = out.withColumn("fused", logs).withColumn("posterior", _softmax(F.col("fused")))
     best = F.array_max("posterior")
     at = F.array_position("posterior", best).cast("int")
-    kept = (F.col("trigrams") > 0) & (best >= LEAST_CONFIDENCE)
+    kept = (F.col("trigrams") > 0) & (best >= LEAST_CONFIDENCE) & (F.col("known") if "known" in rows.columns else F.lit(True))
     return out.withColumns({"lang": F.element_at(F.array(*map(F.lit, names)), at), "confidence": best, "kept": kept}).drop("fused", "soft", "declared_logs", "suffix_logs", "host_logs")
 
 

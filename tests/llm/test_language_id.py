@@ -1,7 +1,10 @@
+import base64
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from salescope.llm.language_id import fuse, identify, keep_identified, page_text, trigrams
+from salescope.llm.language_id import fit, fuse, identify, keep_identified, page_text, trigrams
 
 SF = "/root/testdata/sf0.01"
 
@@ -65,3 +68,33 @@ def test_edge_rows(spark):
     assert kept.columns == docs.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 4, 4]
     assert identify(docs.limit(0), pages).where("lang is not null").count() == 0
     assert identify(docs.limit(0), pages.limit(0)).count() == 0
+
+
+def test_foreign_and_other_texts_are_rejected(spark):
+    rng = random.Random(3)
+    others = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        base64.b64encode(rng.randbytes(600)).decode(),
+        "".join(rng.choice("0123456789") for _ in range(600)),
+        "".join(rng.choice("!@#$%^&*(){}[]<>?/|~") for _ in range(600)),
+    ]
+    docs, pages = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "pages"))
+    docs = docs.select("doc_id", "text", "lang", "source")
+    source = docs.first().source
+    more = spark.createDataFrame([(-1 - i, t, None, source) for i, t in enumerate(others)], "doc_id long, text string, lang string, source string")
+    both = docs.unionByName(more)
+    got = [(r.doc_id, r.kept) for r in identify(both, pages.limit(0)).collect()]
+    assert [k for k in got if k[0] < 0 and k[1]] == []
+    clean = [kept for k, kept in got if k >= 0]
+    assert np.mean(clean) > 0.995
+    assert sorted(r.doc_id for r in keep_identified(both).where("doc_id < 0").collect()) == []
+
+
+def test_more_than_64_languages(spark):
+    rng = random.Random(4)
+    rows = [(100 * i + n, f"{chr(97 + i // 26)}{chr(97 + i % 26)}" * 40, f"l{i:02}", "s") for i in range(70) for n in range(1 + (i % 3))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert len(fit(docs)[0]) == 70
