@@ -1,22 +1,24 @@
 """LM scoring: interpolated modified Kneser-Ney, counted in Spark, stored as
 sorted hash arrays and memory-mapped by workers.
 
-Tokens are words (A-Z read as a-z) and one end per text; a text's first token
-follows a start mark.  The model has two orders, as each further one would
-multiply what is shuffled and stored by the number of distinct n-grams:
+Tokens are words (A-Z read as a-z) and one end per text; a text's first tokens
+follow start marks.  A model of order N has for k = N to 2, h being the k - 1
+tokens before w and h' the last k - 2 of them,
 
-    P(w | v) = max(c(vw) - D(c(vw)), 0) / c(v) + g(v) P(w)
+    P(w | h) = max(c(hw) - D(c(hw)), 0) / c(h) + g(h) P(w | h')
     P(w)     = max(n(w) - D'(n(w)), 0) / n + g' / (V + 1)
 
-with c counts, n(w) the number of distinct words before w, D three discounts of
-each order from the counts of counts, g what they leave over, and V the number
-of distinct tokens, so that the probabilities over all known tokens and one
-unknown one sum to 1.
-
-Counting: each task sorts its own pairs and sends, for each shard, one packed
-row of distinct pairs and counts; a shard's task merges them.  Pairs are dealt
-by their own hash, so a frequent word's pairs spread over all shards; what a
-shard knows of a word (count, kinds of pairs) is summed in a second shuffle.
+with c counts in the highest order and else the number of distinct tokens before
+hw, c(h) their sum over w, n(w) the number of distinct tokens before w, D three
+discounts of each order from the counts of counts, g what they leave over, and V
+the number of distinct tokens, so that the probabilities over all known tokens
+and one unknown one sum to 1.
+
+Counting: each task sorts its own n-grams and sends, for each shard, one packed
+row of distinct n-grams and counts; a shard's task merges them and sends on the
+n-grams of the next lower order.  N-grams are dealt by their own hash, so a
+frequent word's spread over all shards; what a shard knows of a context (count,
+kinds of n-grams) is summed in the next shuffle.
 Each shard is written to the shared folder as arrays sorted by hash (a task
 that runs again writes the same file and moves it into place); scoring tasks
 map the files and look their tokens up by binary search, so the pages are
@@ -48,14 +50,19 @@ END, START = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
 SHARD_TOKENS, HELD_TOKENS = 2_000_000, 3_000_000
 #: Bytes that one scoring step reads of text.
 SCORE_BYTES = 4 << 20
-#: The model's files and their arrays: pairs; words and how many words come before them; first words and their pairs by count.
+#: The model's files and their arrays: n-grams of two and more; words and how many words come before them; contexts and their n-grams by count.
 FILES = {
-    "pair": {"hash": _U, "count": np.uint32},
+    "gram": {"hash": _U, "count": np.uint32},
     "word": {"hash": _U, "count": np.int64, "lead": np.uint32},
-    "first": {"hash": _U, "total": np.int64, "one": np.uint32, "two": np.uint32, "more": np.uint32},
+    "context": {"hash": _U, "total": np.int64, "one": np.uint32, "two": np.uint32, "more": np.uint32},
 }
 
 
+def files(order: int) -> list[str]:
+    """The names of a model's files: words, then n-grams and contexts of each order."""
+    return ["word", *(f"{kind}{k}" for k in range(2, order + 1) for kind in ("gram", "context"))]
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a row is kept from training; a null id's is not."""
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % 7 == 2, F.lit(False))
@@ -65,16 +72,26 @@ def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(before * _U(0x9E3779B97F4A7C15) + word)
 
 
-def tokens_of(step: pa.RecordBatch, text: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts' token hashes end to end (each text closed by END), the tokens
-    before them, and the number of tokens of each text."""
+def chain_hash(columns: list[np.ndarray]) -> np.ndarray:
+    """The hash of each row of tokens, first to last."""
+    out = columns[0]
+    for c in columns[1:]:
+        out = pair_hash(out, c)
+    return out
+
+
+def tokens_of(step: pa.RecordBatch, order: int, text: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts' token hashes end to end (each text closed by END), the
+    order - 1 tokens before each, and the number of tokens of each text."""
     words, counts = word_hashes(*text_bytes(step.column(text)))
     ends = np.cumsum(counts)
     tokens = np.insert(words, ends, END)
     counts = counts + 1
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.cumsum(counts) - counts] = START
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(counts) - counts, counts)
+    before = np.full((len(tokens), order - 1), START)
+    for back in range(1, order):
+        far = np.flatnonzero(place >= back)
+        before[far, order - 1 - back] = tokens[far - back]
     return tokens, before, counts
 
 
@@ -119,7 +136,7 @@ class Shards:
 
     def __init__(self, folder: str, kind: str, shards: int):
         self.shards = shards
-        values = {k: t for k, t in FILES[kind].items() if k != "hash"}
+        values = {k: t for k, t in FILES[kind.rstrip("0123456789")].items() if k != "hash"}
         self.keys = [map_array(folder, f"{kind}-{i}", "hash", _U) for i in range(shards)]
         self.values = {v: [map_array(folder, f"{kind}-{i}", v, t) for i in range(shards)] for v, t in values.items()}
 
@@ -143,34 +160,59 @@ class Shards:
 # ---- counting ---------------------------------------------------------------
 
 
-def _packed(shards: int, parts: np.ndarray, fields: dict[str, np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """One row per shard that has any: the fields' values of its rows, as bytes."""
-    order = np.argsort(parts, kind="stable")
-    edges = np.searchsorted(parts[order], np.arange(shards + 1))
-    rows = [s for s in range(shards) if edges[s] < edges[s + 1]]
-    columns = [pa.array(rows, pa.int64())]
-    for values in fields.values():
-        values = values[order]
-        columns.append(pa.array([values[edges[s] : edges[s + 1]].tobytes() for s in rows], pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, names=names)
-
-
-def _by_shard(batches: Iterator[pa.RecordBatch], dtypes: list) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """The joined arrays of each shard, from rows sorted by shard."""
-    shard, parts = None, []
+#: What a packed row holds: n-grams; contexts of the order above; words and their counts; numbers for the driver.
+GRAMS, CONTEXTS, WORDS, NUMBERS = range(4)
+PACKED = "shard long, role int, parts array<binary>"
+
+
+def _packed(shards: int, keys: np.ndarray, role: int, columns: list[np.ndarray], context: int = 0) -> Iterator[pa.RecordBatch]:
+    """One row per shard that has any: the columns' values of its rows, as bytes.
+    Where the first ``context`` columns repeat, they are sent once, with the number of rows."""
+    if not len(keys):
+        return
+    shard = (keys % _U(shards)).astype(np.int64)
+    order = np.lexsort((chain_hash(columns[:context]), shard)) if context else np.argsort(shard, kind="stable")
+    shard, columns = shard[order], [c[order] for c in columns]
+    edges, rows, parts = np.searchsorted(shard, np.arange(shards + 1)), [], []
+    for s in range(shards):
+        at = slice(edges[s], edges[s + 1])
+        n = edges[s + 1] - edges[s]
+        if n:
+            own = [c[at] for c in columns]
+            if context:
+                new = np.ones(n, bool)
+                new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in own[:context]])
+                cut = np.flatnonzero(new)
+                own = [*(c[cut] for c in own[:context]), np.diff(np.append(cut, n)).astype(np.uint32), *own[context:]]
+            rows.append(s)
+            parts.append([c.tobytes() for c in own])
+    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array([role] * len(rows), pa.int32()), pa.array(parts, pa.list_(pa.binary()))], names=["shard", "role", "parts"])
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[list[bytes]]]]]:
+    """The rows of each shard by their role, from rows sorted by shard."""
+    shard, held = None, {}
     for batch in batches:
         for row in range(batch.num_rows):
             s = batch.column(0)[row].as_py()
-            if s != shard and parts:
-                yield shard, [np.concatenate(p) for p in zip(*parts, strict=True)]
-                parts = []
+            if s != shard and held:
+                yield shard, held
+                held = {}
             shard = s
-            parts.append([np.frombuffer(batch.column(i + 1)[row].as_buffer(), t) for i, t in enumerate(dtypes)])
-    if parts:
-        yield shard, [np.concatenate(p) for p in zip(*parts, strict=True)]
+            held.setdefault(batch.column(1)[row].as_py(), []).append(batch.column(2)[row].as_py())
+    if held:
+        yield shard, held
+
+
+def _joined(rows: list[list[bytes]] | None, dtypes: list) -> list[np.ndarray]:
+    """The columns of packed rows, end to end."""
+    return [np.concatenate([np.frombuffer(r[i], t) for r in rows]) if rows else np.empty(0, t) for i, t in enumerate(dtypes)]
 
 
-DTYPES = (_U, np.uint32, np.uint32, np.uint32, np.uint32)
+def _summed(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys, ascending, and the sums of their values."""
+    unique, at = np.unique(keys, return_inverse=True)
+    return unique, [np.bincount(at, weights=c, minlength=len(unique)).astype(np.int64) for c in columns]
 
 
 def narrow(counts: np.ndarray) -> np.ndarray:
@@ -197,9 +239,15 @@ def _kinds(counts: np.ndarray) -> list[int]:
     return [int((counts == i).sum()) for i in (1, 2, 3, 4)]
 
 
-def fit(rows: DataFrame) -> dict:
+def _numbers(shard: int, numbers: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([NUMBERS], pa.int32()), pa.array([[numbers.astype(np.int64).tobytes()]], pa.list_(pa.binary()))], names=["shard", "role", "parts"])
+
+
+def fit(rows: DataFrame, order: int = 2) -> dict:
     """Count, write the model's files and return what is left: numbers, the
     folder and the number of shards.  rows: (text) of the training texts."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = prepare(rows.sparkSession)
     folder = shared_dir(spark, "kneser-ney")
     n_tokens = rows.select(F.coalesce(F.sum(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")) + 1), F.lit(0)).alias("n")).first().n
@@ -207,105 +255,90 @@ def fit(rows: DataFrame) -> dict:
     fs, root = _store(folder)
     fs.create_dir(root, recursive=True)
     for s in range(shards):  # a shard that gets no rows stays empty
-        for name, kinds in FILES.items():
-            write_arrays(folder, f"{name}-{s}", {k: np.empty(0, t) for k, t in kinds.items()})
+        for name in files(order):
+            write_arrays(folder, f"{name}-{s}", {k: np.empty(0, t) for k, t in FILES[name.rstrip("0123456789")].items()})
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def out() -> pa.RecordBatch:
+        def out() -> Iterator[pa.RecordBatch]:
             before, word = (np.concatenate(x) for x in zip(*held, strict=True))
-            pair = pair_hash(before, word)
-            order = np.argsort(pair, kind="stable")
-            first = np.flatnonzero(np.concatenate(([True], pair[order][1:] != pair[order][:-1])))
-            at, count = order[first], np.diff(np.append(first, len(order))).astype(np.uint32)
-            shard = (pair[at] % _U(shards)).astype(np.int64)
-            order = np.lexsort((before[at], shard))  # a shard's pairs by first word, which is sent once
-            shard, before, word, count = shard[order], before[at[order]], word[at[order]], count[order]
-            edges, rows = np.searchsorted(shard, np.arange(shards + 1)), []
-            for s in np.unique(shard).tolist():
-                part = slice(edges[s], edges[s + 1])
-                cut = np.flatnonzero(np.concatenate(([True], before[part][1:] != before[part][:-1])))
-                runs = np.diff(np.append(cut, edges[s + 1] - edges[s])).astype(np.uint32)
-                rows.append((s, before[part][cut].tobytes(), runs.tobytes(), word[part].tobytes(), count[part].tobytes()))
-            kinds = [pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["shard", "before", "runs", "word", "count"])
+            columns = [*before.T, word]
+            grams, first, count = np.unique(chain_hash(columns), return_index=True, return_counts=True)
+            yield from _packed(shards, grams, GRAMS, [*(c[first] for c in columns), count.astype(np.uint32)], order - 1)
 
         for step in text_steps(batches, "text"):
-            tokens, before, _ = tokens_of(step)
+            tokens, before, _ = tokens_of(step, order)
             held.append((before, tokens))
             size += len(tokens)
             if size >= HELD_TOKENS:
-                yield out()
+                yield from out()
                 held, size = [], 0
         if held:
-            yield out()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Write the shard's pairs; send on what it knows of each word."""
-        for shard, (firsts, runs, word, count) in _by_shard(batches, [_U, np.uint32, _U, np.uint32]):
-            before = np.repeat(firsts, runs)
-            pair = pair_hash(before, word)
-            order = np.argsort(pair, kind="stable")
-            pair = pair[order]
-            first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-            total = np.add.reduceat(count[order].astype(np.int64), first)
-            write_arrays(folder, f"pair-{shard}", {"hash": pair[first], "count": np.minimum(total, 2**32 - 1).astype(np.uint32)})
-            before, word = before[order[first]], word[order[first]]
-            # one record per word: as the second word (pairs), its count; as the first: pairs of counts 1, 2, 3 or more and their count
-            for role, names in ((0, word), (1, before)):
-                keys, inverse = np.unique(names, return_inverse=True)
-                add = lambda w: np.bincount(inverse, weights=w, minlength=len(keys)).astype(np.uint32)  # noqa: B023, E731
-                zero = np.zeros(len(keys), np.uint32)
-                fields = [add(np.ones(len(names))), zero, zero] if role == 0 else [add(total == 1), add(total == 2), add(total >= 3)]
-                sums = np.bincount(inverse, weights=total, minlength=len(keys)).astype(np.int64)
-                batch = _packed(shards, (keys % _U(shards)).astype(np.int64), {"hash": keys, "a": fields[0], "b": fields[1], "c": fields[2], "n": narrow(sums)}, ["shard", "hash", "a", "b", "c", "n"])
-                kinds = pa.array([_kinds(total) if role == 0 and i == 0 else None for i in range(batch.num_rows)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([role] * batch.num_rows, pa.int32()), kinds], names=[*batch.schema.names, "role", "kinds"])
-
-    sent = rows.select("text").mapInArrow(send, "shard long, before binary, runs binary, word binary, count binary")
-    words = _dealt(sent, shards).mapInArrow(merge, "shard long, hash binary, a binary, b binary, c binary, n binary, role int, kinds array<long>")
+            yield from out()
+
+    def contexts(shard: int, held: dict, k: int) -> None:
+        if k <= order:
+            hashes, *values = _joined(held.get(CONTEXTS), [_U, np.int64, np.uint32, np.uint32, np.uint32])
+            hashes, (total, *kinds) = _summed(hashes, values)
+            write_arrays(folder, f"context{k}-{shard}", {"hash": hashes, "total": total, **{n: narrow(c) for n, c in zip(("one", "two", "more"), kinds, strict=True)}})
+
+    def merge(k: int):
+        """Write the shard's n-grams of k tokens and the contexts of the order
+        above; send on the n-grams of the order below and what it knows of contexts."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for shard, held in _by_shard(batches):
+                contexts(shard, held, k + 1)
+                for row in held.get(NUMBERS, []):
+                    yield _numbers(shard, np.frombuffer(row[0], np.int64))
+                words, counts = _joined(held.get(WORDS), [_U, np.int64])
+                *firsts, runs, word, count = _joined(held.get(GRAMS), [*[_U] * (k - 1), np.uint32, _U, np.uint32])
+                columns = [*(np.repeat(c, runs) for c in firsts), word]
+                grams, first, at = np.unique(chain_hash(columns), return_index=True, return_inverse=True)
+                total = np.bincount(at, weights=count, minlength=len(grams)).astype(np.int64)
+                columns = [c[first] for c in columns]
+                write_arrays(folder, f"gram{k}-{shard}", {"hash": grams, "count": np.minimum(total, 2**32 - 1).astype(np.uint32)})
+                yield _numbers(shard, np.array([k, *_kinds(total)]))
+                if k == order:
+                    words, (counts,) = _summed(columns[-1], [total])
+                yield from _packed(shards, words, WORDS, [words, counts])
+                below, first, n = np.unique(chain_hash(columns[1:]), return_index=True, return_counts=True)
+                yield from _packed(shards, below, GRAMS, [*(c[first] for c in columns[1:]), n.astype(np.uint32)], k - 2)
+                before, sums = _summed(chain_hash(columns[:-1]), [total, total == 1, total == 2, total >= 3])
+                yield from _packed(shards, before, CONTEXTS, [before, sums[0], *(narrow(c) for c in sums[1:])])
+
+        return run
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Write the shard's words; return sums and counts of counts."""
-        roles: dict[int, list] = {0: [], 1: []}
-        shard, kinds = None, np.zeros(4, np.int64)
-
-        def close() -> tuple:
-            out = []
-            for role in (0, 1):
-                parts = [np.concatenate(p) for p in zip(*roles[role], strict=True)] if roles[role] else [np.empty(0, t) for t in DTYPES]
-                keys, inverse = np.unique(parts[0], return_inverse=True)
-                out.append((keys, *(np.bincount(inverse, weights=p, minlength=len(keys)).astype(np.int64) for p in parts[1:])))
-            (words, lead, _, _, count), (firsts, one, two, more, total) = out
+
+        def counted(rows: list | None, dtype) -> tuple[np.ndarray, list[np.ndarray]]:
+            hashes, n = _joined(rows, [_U, dtype])
+            return _summed(hashes, [n])
+
+        found = []
+        for shard, held in _by_shard(batches):
+            contexts(shard, held, 2)
+            found += [np.frombuffer(row[0], np.int64).tolist() for row in held.get(NUMBERS, [])]
+            words, (count,) = counted(held.get(WORDS), np.int64)
+            same, (lead,) = counted(held.get(GRAMS), np.uint32)
+            if not np.array_equal(words, same):
+                raise ValueError("words and their n-grams differ")
             write_arrays(folder, f"word-{shard}", {"hash": words, "count": count, "lead": narrow(lead)})
-            write_arrays(folder, f"first-{shard}", {"hash": firsts, "total": total, "one": narrow(one), "two": narrow(two), "more": narrow(more)})
-            return (shard, len(words), int(count.sum()), int(lead.sum()), int((lead == 1).sum()), int((lead == 2).sum()), int((lead >= 3).sum()), _kinds(lead), kinds.tolist())
-
-        results = []
-        for batch in batches:
-            cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            for row in range(batch.num_rows):
-                s = cols["shard"][row].as_py()
-                if shard is not None and s != shard:
-                    results.append(close())
-                    roles, kinds = {0: [], 1: []}, np.zeros(4, np.int64)
-                shard = s
-                roles[cols["role"][row].as_py()].append([np.frombuffer(cols[n][row].as_buffer(), t) for n, t in zip(("hash", "a", "b", "c", "n"), DTYPES, strict=True)])
-                if (k := cols["kinds"][row].as_py()) is not None:
-                    kinds += np.array(k)
-        if shard is not None:
-            results.append(close())
-        if results:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*results, strict=True)], names=["shard", "v", "n", "pairs", "k1", "k2", "k3", "lead_kinds", "pair_kinds"])
-
-    done = _dealt(words, shards).mapInArrow(finish, "shard long, v long, n long, pairs long, k1 long, k2 long, k3 long, lead_kinds array<long>, pair_kinds array<long>")
-    got = done.collect()  # a row of a dozen numbers for each shard
-    total = lambda name: sum(r[name] for r in got)
-    kinds = lambda name: [sum(r[name][i] for r in got) for i in range(4)]
+            found.append([1, len(words), int(count.sum()), int(lead.sum()), int((lead == 1).sum()), int((lead == 2).sum()), int((lead >= 3).sum()), *_kinds(lead)])
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64()))], names=["numbers"])
+
+    sent = rows.select("text").mapInArrow(send, PACKED)
+    for k in range(order, 1, -1):
+        sent = _dealt(sent, shards).mapInArrow(merge(k), PACKED)
+    got = [r.numbers for r in _dealt(sent, shards).mapInArrow(finish, "numbers array<long>").collect()]  # a dozen numbers for each shard and order
+    total = lambda k, n: [sum(r[i] for r in got if r[0] == k) for i in range(1, n)]
+    types, tokens, pairs, one, two, more, *low = total(1, 11)
     return {
-        "folder": folder, "shards": shards, "tokens": total("n"), "types": total("v"), "pairs": total("pairs"),
-        "lead_types": [total(k) for k in ("k1", "k2", "k3")], "low": _discounts(kinds("lead_kinds")), "high": _discounts(kinds("pair_kinds")),
+        "folder": folder, "shards": shards, "order": order, "tokens": tokens, "types": types, "pairs": pairs,
+        "lead_types": [one, two, more], "low": _discounts(low), "high": {k: _discounts(total(k, 5)) for k in range(2, order + 1)},
     }
 
 
@@ -314,7 +347,7 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.model = model
-        self.pairs, self.words, self.firsts = (Shards(model["folder"], kind, model["shards"]) for kind in FILES)
+        self.files = {kind: Shards(model["folder"], kind, model["shards"]) for kind in files(model["order"])}
 
     def low(self, lead: np.ndarray) -> np.ndarray:
         """P(w) of words with so many words before them."""
@@ -325,29 +358,33 @@ class Scorer:
         return np.maximum(lead - d, 0) / n + rest / (m["types"] + 1)
 
     def log10(self, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 P of each token after the one before, its base log10, and whether it is known."""
+        """log10 P of each token after those before it (one, or a row of order - 1),
+        its base log10, and whether it is known."""
         m = self.model
         unique, at = np.unique(tokens, return_inverse=True)
-        word = self.words.find(unique)
+        word = self.files["word"].find(unique)
         known = word["count"] > 0
         base = np.log10((word["count"] + 1) / (m["tokens"] + m["types"] + 1))
-        firsts, first_at = np.unique(before, return_inverse=True)
-        first = self.firsts.find(firsts)
-        d = m["high"]
-        seen = first["total"] > 0
-        rest = np.where(seen, (d[0] * first["one"].astype(float) + d[1] * first["two"] + d[2] * first["more"]) / np.maximum(first["total"], 1), 1.0)
-        pairs, pair_at = np.unique(pair_hash(before, tokens), return_inverse=True)
-        count = self.pairs.find(pairs)["count"][pair_at].astype(np.int64)
-        high = np.maximum(count - np.array([0.0, *d])[np.minimum(count, 3)], 0) / np.maximum(first["total"][first_at], 1)
-        return np.log10(high + rest[first_at] * self.low(word["lead"].astype(np.int64))[at]), base[at], known[at]
+        p = self.low(word["lead"].astype(np.int64))[at]
+        columns = list(before.reshape(len(tokens), -1).T)
+        for k, d in m["high"].items():
+            context = chain_hash(columns[1 - k :])
+            hashes, context_at = np.unique(context, return_inverse=True)
+            found = self.files[f"context{k}"].find(hashes)
+            total = np.maximum(found["total"], 1)
+            rest = np.where(found["total"] > 0, (d[0] * found["one"].astype(float) + d[1] * found["two"] + d[2] * found["more"]) / total, 1.0)
+            grams, gram_at = np.unique(pair_hash(context, tokens), return_inverse=True)
+            count = self.files[f"gram{k}"].find(grams)["count"][gram_at].astype(np.int64)
+            p = np.maximum(count - np.array([0.0, *d])[np.minimum(count, 3)], 0) / total[context_at] + rest[context_at] * p
+        return np.log10(p), base[at], known[at]
 
 
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Train on the rows that aren't held out and score every row (``SCHEMA``);
-    perplexity is 10 ** (-score / n_tokens).
+def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
+    """Train a model of n-grams of up to ``order`` tokens on the rows that aren't
+    held out and score every row (``SCHEMA``); perplexity is 10 ** (-score / n_tokens).
 
     A null or empty text is one end token.  A null doc_id stays null and is not
     held out; repeated rows count and score each for itself; an empty table
@@ -355,12 +392,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     model and log10(1) as base.  Other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), whole_text(docs).alias("text"))
-    model = fit(rows.where(~F.col("held_out")).select("text"))
+    model = fit(rows.where(~F.col("held_out")).select("text"), order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for step in text_steps(batches, "text", SCORE_BYTES):
-            tokens, before, counts = tokens_of(step)
+            tokens, before, counts = tokens_of(step, order)
             starts = np.cumsum(counts) - counts
             score, base, known = scorer.log10(tokens, before)
             yield pa.RecordBatch.from_arrays(

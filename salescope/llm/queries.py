@@ -39,8 +39,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kneser-Ney score of every document."""
-    return score_documents(_table(spark, sf_dir, "documents"))
+    """Kneser-Ney score of every document, by n-grams of up to three words."""
+    return score_documents(_table(spark, sf_dir, "documents"), order=3)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

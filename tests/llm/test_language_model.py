@@ -86,3 +86,40 @@ def test_probabilities_sum_to_one(spark):
     for before in [*hashes, L.START]:
         logs, _, _ = scorer.log10(every, np.full(len(every), before))
         assert abs((10**logs).sum() - 1) < 1e-9
+
+
+def brute_scores(rows, order):
+    """The score of each text by a recursive definition of the model."""
+    out = lambda k: k is not None and zlib.crc32(str(k).encode()) % 7 == 2
+    pad = ("\t",) * (order - 1)
+    grams = lambda t: [tuple([*pad, *t][i : i + order]) for i in range(len(t))]
+    counts = {order: Counter(g for k, t in rows if not out(k) for g in grams(tokens(t)))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    d = {k: discounts([sum(n == i for n in c.values()) for i in (1, 2, 3, 4)]) for k, c in counts.items()}
+    after = {}
+    for c in counts.values():
+        for g, n in c.items():
+            after.setdefault(g[:-1], []).append(n)
+
+    def p(g):
+        k, ns = len(g), after.get(g[:-1], [])
+        lower = p(g[1:]) if k > 1 else 1 / (len(counts[1]) + 1)
+        if not ns:
+            return lower
+        n = counts[k][g]
+        return (max(n - d[k][min(n, 3) - 1], 0) if n else 0) / sum(ns) + sum(d[k][min(x, 3) - 1] for x in ns) / sum(ns) * lower
+
+    return sorted((-1 if k is None else k, sum(math.log10(p(g)) for g in grams(tokens(t)))) for k, t in rows)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_orders_against_brute_force(spark, order, monkeypatch):
+    monkeypatch.setattr(L, "SHARD_TOKENS", 5_000)
+    monkeypatch.setattr(L, "HELD_TOKENS", 3_000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "the a the b"), (10**6, None), (10**6 + 1, "")]
+    got = score_documents(spark.createDataFrame(rows, "doc_id long, text string"), order=order).collect()
+    want = brute_scores(rows, order)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got)
+    assert [k for k, _ in got] == [k for k, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-9)
