@@ -5,9 +5,13 @@ and in the text after a chain of transducers has undone common disguises:
 
 1. invisible characters vanish; full-width forms, foreign decimal digits and
    look-alike letters become ASCII,
-2. runs of spelled digits ("four one five ...") become digits,
+2. runs of spelled digits ("four one five ...") become digits, also where
+   dots or brackets part them, in four parts joined by dots, and after a plus,
 3. "(at)", "[dot]", " at ... dot ..." become ``@`` and ``.``.
 
+They only make candidates: numbers of digits, octets, checksums and the shape
+of an address decide.
+
 Every transducer keeps, for each character it writes, the source span that it
 stands for.  A detection in the normalised text is mapped back through these
 spans, so results are always code point offsets of the source text.  Work and
@@ -50,17 +54,28 @@ DIGIT_NAMES = (
     "cero uno dos tres cuatro cinco seis siete ocho nueve",
 )
 VALUES = {name: str(i) for names in DIGIT_NAMES for i, name in enumerate(names.split())}
-#: Last parts of an address that a wholly spoken one must end in.
-TOP_DOMAINS = "com org net edu gov io co uk de fr es eu info biz dev app us ca test example"
-#: Spelled digits count as disguise from so many in a row.
+#: Words that end no wholly spoken address (none is a top-level domain), and words that aren't a part of one's host.
+NO_ENDING = "there here then than that this these those and but or the where when while with which who whose what they them he she we you his her our your their was were will would not very too also just again"
+NO_HOST = "this that these those the a an my your his her its our their each every some any no which what"
+#: Spelled digits count as disguise from so many in a row, dots and brackets between them or not.
 SPELLED_RUN = 4
 
 _NAME = "(?:" + "|".join(sorted(VALUES, key=len, reverse=True)) + ")"
 ODD = re.compile(f"[{''.join(LOOKALIKES)}{INVISIBLE}！-～]|(?![0-9])\\d")
-SPELLED = re.compile(rf"(?<!\w){_NAME}(?:[ \t,-]{{1,3}}{_NAME}){{{SPELLED_RUN - 1},}}(?!\w)", re.I)
+_GAP = r"[ \t,-]{1,3}"
+_DOT = r"(?:\.|[ \t]{1,3}dot[ \t]{1,3}|[ \t]{0,3}(?:\[[ \t]?dot[ \t]?\]|\([ \t]?dot[ \t]?\)|\{[ \t]?dot[ \t]?\}|<[ \t]?dot[ \t]?>)[ \t]{0,3})"
+_BRACKET = r"[ \t,-]{0,3}[()][ \t,-]{0,3}[()]?[ \t,-]{0,3}"
+SPELLED = re.compile(rf"(?<!\w){_NAME}(?:(?:{_DOT}|{_GAP}|{_BRACKET}){_NAME}){{{SPELLED_RUN - 1},}}(?!\w)", re.I)
+#: Four octets, spelled or not; a plus and digits, spelled or not; the runs of names in either, and what parts a run's names.
+_OCTET = rf"(?:[0-9]{{1,3}}|{_NAME}(?:{_GAP}{_NAME}){{0,2}})"
+SPELLED_IP = re.compile(rf"(?<![\w.]){_OCTET}(?:{_DOT}{_OCTET}){{3}}(?!\w)", re.I)
+SPELLED_PHONE = re.compile(rf"\+[ \t]?(?:[0-9]{{1,15}}|{_NAME}(?!\w))(?:[ \t,.()-]{{1,4}}(?:[0-9]{{1,15}}|{_NAME}(?!\w))){{1,20}}", re.I)
+NAMES = re.compile(rf"(?<!\w){_NAME}(?:{_GAP}{_NAME})*(?!\w)", re.I)
+JOINED = re.compile(_GAP)
 WORD = re.compile(r"\w+")
 SIGN = re.compile(r"[ \t]*(?:\[[ \t]?(at|dot)[ \t]?\]|\([ \t]?(at|dot)[ \t]?\)|\{[ \t]?(at|dot)[ \t]?\}|<[ \t]?(at|dot)[ \t]?>)[ \t]*", re.I)
-SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9-]+[ \t]+dot[ \t]+(?:[A-Za-z0-9-]+(?:[ \t]+dot[ \t]+|\.)){{0,6}}(?:{'|'.join(TOP_DOMAINS.split())})\b)", re.I)
+_HOST = rf"(?!(?:{NO_HOST.replace(' ', '|')})\b)[A-Za-z0-9-]+"
+SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?={_HOST}[ \t]+dot[ \t]+(?:[A-Za-z0-9-]+(?:[ \t]+dot[ \t]+|\.)){{0,6}}(?!(?:{NO_ENDING.replace(' ', '|')})\b)[A-Za-z]{{2,63}}\b)", re.I)
 SPOKEN_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
 AFTER_AT = re.compile(r"@[A-Za-z0-9-]+(?:(?:\.|[ \t]+dot[ \t]+)[A-Za-z0-9-]+)+", re.I)
 DOTTED_DIGITS = re.compile(r"(?<![A-Za-z0-9])[0-9]{1,3}(?:(?:\.|[ \t]+dot[ \t]+)[0-9]{1,3}){3}(?![A-Za-z0-9])", re.I)
@@ -118,13 +133,26 @@ def _folded(text: str) -> list[Edit]:
 
 def _spelled(text: str) -> list[Edit]:
     edits = []
+
+    def digits(start: int, end: int) -> None:
+        last = end  # where the name before ends
+        for m in WORD.finditer(text, start, end):
+            if m[0].lower() in VALUES:
+                if JOINED.fullmatch(text, last, m.start()):
+                    edits.append((last, m.start(), ""))
+                edits.append((m.start(), m.end(), VALUES[m[0].lower()]))
+                last = m.end()
+
     for run in SPELLED.finditer(text):
-        last = run.start()
-        for m in WORD.finditer(text, run.start(), run.end()):
-            if m.start() > last:
-                edits.append((last, m.start(), ""))
-            edits.append((m.start(), m.end(), VALUES[m[0].lower()]))
-            last = m.end()
+        digits(*run.span())
+    for run in SPELLED_IP.finditer(text):
+        for names in NAMES.finditer(text, *run.span()):
+            digits(*names.span())
+    for run in SPELLED_PHONE.finditer(text):
+        for names in NAMES.finditer(text, *run.span()):  # a single name amid figures is a word of its own, as in "+33 1 23 45 67 89 un ami"
+            a, b = names.span()
+            if WORD.fullmatch(names[0]) is None or text[run.start() : a].strip(" \t") == "+" or "(" in text[max(0, a - 1) : a] and ")" in text[b : b + 1]:
+                digits(a, b)
     return edits
 
 

@@ -88,3 +88,33 @@ def test_documents(spark):
     assert clean.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text, r.n_chars) for r in clean.collect() if r.text) == [(1, "x [EMAIL] y [CARD]", 18)] * 2
     assert redacted("to jane (at) mail (dot) com.") == "to [EMAIL]." and joined([]) == ""
+
+
+def test_short_runs_and_any_ending():
+    cases = {
+        "host one nine two dot one six eight dot zero dot one is up": ("ip", "one nine two dot one six eight dot zero dot one"),
+        "host one nine two.one six eight.zero.one is up": ("ip", "one nine two.one six eight.zero.one"),
+        "host one zero [dot] zero [dot] zero [dot] seven is up": ("ip", "one zero [dot] zero [dot] zero [dot] seven"),
+        "host 192 dot one six eight dot 0 dot one is up": ("ip", "192 dot one six eight dot 0 dot one"),
+        "call +one (four five six) five five five two one eight six soon": ("phone", "+one (four five six) five five five two one eight six"),
+        "call +1 (four five six) 555-2186 soon": ("phone", "+1 (four five six) 555-2186"),
+        "call +one (456) 555-2186 soon": ("phone", "+one (456) 555-2186"),
+        "write to jan at voorbeeld dot nl please": ("email", "jan at voorbeeld dot nl"),
+        "write to anna at esempio dot it please": ("email", "anna at esempio dot it"),
+        "write to li at mail dot voorbeeld dot museum please": ("email", "li at mail dot voorbeeld dot museum"),
+    }
+    for text, (kind, source) in cases.items():
+        at = text.index(source)
+        assert (kind, at, at + len(source)) in detect(text)[1], (text, detect(text))
+
+
+def test_candidates_that_are_no_identifiers():
+    for text in ("nine nine nine dot one dot two dot three", "one two (three four) five six", "+one (two) three", "meet at the dot on time", "stop at one dot then go", "one. two. three. four"):
+        assert detect(text) == ([], []), (text, detect(text))
+    text = "tel +33 1 23 45 67 89 un ami"
+    assert detect(text) == ([("phone", 4, 21)], [])
+
+
+def test_new_runs_are_linear():
+    for piece in ("one.", "one dot ", "+one ", "one(", "1 dot ", "x at y dot ", "+1 "):
+        detect(piece * 40_000)
