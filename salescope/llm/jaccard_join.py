@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import prepare, stored, text_bytes, text_steps, whole_text
+from salescope.llm.common import SPACE_WORD, prepare, stored, text_bytes, text_steps, whole_text
 from salescope.llm.hashing import mix, shingle_sets, word_hashes
 
 SHINGLE, LINK = 5, 75  # words; least similarity in hundredths
@@ -425,13 +425,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     equal ids, of the smallest row key); rows without words all stay."""
     found = stored(linked(docs), "linked")
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
-    lone = found.where("n_shingles = 0").select("row_key")
     firsts = found.where("n_shingles > 0").groupBy("component_id").agg(pick.alias("pick")).select(F.col("pick.row_key").alias("row_key"))
     names = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
     doc, text = (F.col(f"c{names.index(n)}") for n in ("doc_id", "text"))
-    rows = rows.withColumn("row_key", F.xxhash64(doc.cast("long"), F.coalesce(text, F.lit(""))))
-    kept = rows.join(lone.unionByName(firsts).distinct(), "row_key", "left_semi")
+    text = F.coalesce(text, F.lit(""))
+    wordless = ~text.rlike(SPACE_WORD)
+    kept = rows.where(~wordless).withColumn("row_key", F.xxhash64(doc.cast("long"), text)).join(firsts.distinct(), "row_key", "left_semi")
     nth = F.row_number().over(Window.partitionBy("row_key").orderBy(F.lit(0)))
-    return kept.withColumn("nth", nth).where("nth = 1").drop("row_key", "nth").toDF(*names)
-
+    return kept.withColumn("nth", nth).where("nth = 1").drop("row_key", "nth").unionByName(rows.where(wordless)).toDF(*names)

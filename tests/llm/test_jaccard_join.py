@@ -150,3 +150,11 @@ def test_link_counts_by_side_and_weight():
     weights, sides = rng.integers(1, 5, len(sets)), rng.integers(-1, 3, len(sets))
     want = [sum(int(weights[j]) for j, t in enumerate(sets) if j != i and (sides[i] != sides[j] or sides[i] < 0) and 100 * len(np.intersect1d(s, t)) >= 75 * len(np.union1d(s, t))) for i, s in enumerate(sets)]
     assert link_counts(sets, weights, sides).tolist() == want and sum(w > 0 for w in want) > 60
+
+
+def test_rows_without_words_all_stay(spark):
+    rows = [(1, ""), (1, ""), (None, None), (None, ""), (None, " \t\n"), (None, " \t\n"), (2, "a b c d e f"), (2, "a b c d e f"), (3, "a b c d e f"), (4, "x")]
+    docs = spark.createDataFrame([(t, k) for k, t in rows], "text string, doc_id long")
+    kept = keep_one(docs)
+    want = [*rows[:6], (2, "a b c d e f"), (4, "x")]
+    assert kept.columns == docs.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
