@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescope.llm.fill_in_middle import middle_digests
 from salescope.llm.fingerprint import fingerprints
 from salescope.llm.inner_product import top_inner_products
 from salescope.llm.jaccard_join import jaccard_components, jaccard_links
@@ -84,6 +85,11 @@ def op10_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_documents.select("doc_id", nothing.alias("conv_id"), nothing.alias("turn"), *more).unionByName(of_turns.withColumn("doc_id", nothing))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and put in fill-in-middle order, and restored."""
+    return middle_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_top_inner_products": op2_top_inner_products,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_segmentation": op10_segmentation,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 #: Further forms of an operator.
 MORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_jaccard_links": op8_jaccard_links}
@@ -182,4 +189,23 @@ ORACLE_SQL: dict[str, str] = {
             FROM scored
         )
         SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 20""",
+    "op13_fill_in_middle": """
+        WITH docs AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS h
+            FROM docs
+        ), cuts AS (
+            SELECT doc_id, text, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                        WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), parts AS (
+            SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1) AS suffix FROM cuts
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts""",
 }
