@@ -17,6 +17,7 @@ from salescope.llm.licenses import BASE, COVER, GAP, NOTICES, STRETCH, VOTES, sc
 from salescope.llm.packing import pack_documents
 from salescope.llm.pii import find_personal_data
 from salescope.llm.segmentation import sample_segmentations
+from salescope.llm.token_files import token_digests
 from salescope.llm.toxicity import score_toxicity
 
 
@@ -85,6 +86,11 @@ def op10_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_documents.select("doc_id", nothing.alias("conv_id"), nothing.alias("turn"), *more).unionByName(of_turns.withColumn("doc_id", nothing))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to Simple-8b files and read back."""
+    return token_digests(_table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and put in fill-in-middle order, and restored."""
     return middle_digests(_table(spark, sf_dir, "documents"))
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_segmentation": op10_segmentation,
+    "op12_token_files": op12_token_files,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 #: Further forms of an operator.
