@@ -23,11 +23,9 @@ one file.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import cached, prepare, shared_dir
+from salescope.llm.common import prepare, shared_dir
+from salescope.llm.packing import encoder
 
 END_ID = 0
 MAGIC = b"S8B1"
@@ -43,13 +42,11 @@ MAGIC = b"S8B1"
 BLOCK, PART_IDS, TASK_BYTES = 1024, 8 << 20, 32 << 20
 #: Ids that are encoded or decoded in one numpy step.
 STEP_IDS = 1 << 20
-#: Cached pieces of text of a worker, and the longest that is kept.
-PIECES, PIECE_CHARS = 300_000, 64
+#: Ids below this are counted in a table, others by sorting.
+DENSE = 1 << 22
 #: Codes and bits of each selector; selector 0 is one escaped code.
 SELECTORS = ((1, 60), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 _COUNTS = np.array([count for count, _ in SELECTORS], np.int64)
-#: A space that white space or the text's end follows.
-STRAY_SPACE = re.compile(r" (?:\s|\Z)")
 _U = np.uint64
 _HEAD = struct.Struct("<4s6Q")
 _DOC = np.dtype([("id", "<i8"), ("none", "u1"), ("n", "<u8")])
@@ -77,9 +74,12 @@ def pack_words(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     choice = np.zeros((blocks, BLOCK), np.int8)
     for s in range(len(SELECTORS) - 1, 0, -1):
         count, bits = SELECTORS[s]
-        wide = np.where(widths > bits, place, np.int16(2 * BLOCK))
-        ahead = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
-        choice[ahead - place >= count] = s
+        if bits >= widths.max():
+            choice[:] = s
+            continue
+        ahead = np.where(widths > bits, place, np.int16(2 * BLOCK))[:, ::-1]
+        ahead = np.minimum.accumulate(ahead, axis=1)[:, ::-1]
+        np.copyto(choice, np.int8(s), where=ahead >= place + np.int16(count))
     # walk all blocks word by word
     rows, at = np.arange(blocks), np.zeros(blocks, np.int64)
     row_steps, at_steps = [], []
@@ -134,21 +134,28 @@ def unpack_words(words: np.ndarray, firsts: np.ndarray, escapes: np.ndarray, n:
 
 def part_bytes(keys: list[int | None], ids: list[np.ndarray]) -> bytes:
     """The record of some documents."""
-    whole = np.concatenate(ids).astype(_U) if ids else np.empty(0, _U)
-    names, ranks, counts = np.unique(whole, return_inverse=True, return_counts=True)
+    whole = np.concatenate(ids) if ids else np.empty(0, _U)
+    if len(whole) and whole.max() < DENSE:
+        counts = np.bincount(whole.astype(np.int64))
+        names = np.flatnonzero(counts)
+        counts, place = counts[names], np.zeros(len(counts), np.int64)
+        place[names] = np.arange(len(names))
+        places = place[whole]
+    else:
+        names, places, counts = np.unique(whole, return_inverse=True, return_counts=True)
     order = np.argsort(-counts, kind="stable")
     rank = np.empty(len(names), _U)
     rank[order] = np.arange(len(names), dtype=_U)
-    codes, words, firsts, escapes, done = rank[ranks], [], [], [], 0
-    for i in range(0, len(codes), STEP_IDS):
-        w, f, e = pack_words(codes[i : i + STEP_IDS])
+    words, firsts, escapes, done = [], [], [], 0
+    for i in range(0, len(whole), STEP_IDS):
+        w, f, e = pack_words(rank[places[i : i + STEP_IDS]])
         words.append(w)
         firsts.append(f + _U(done))
         escapes.append(e)
         done += len(w)
     docs = np.zeros(len(keys), _DOC)
     docs["id"], docs["none"], docs["n"] = [k or 0 for k in keys], [k is None for k in keys], [len(x) for x in ids]
-    arrays = [docs, names[order], *(np.concatenate(x) if x else np.empty(0, _U) for x in (firsts, words, escapes))]
+    arrays = [docs, names[order].astype(_U), *(np.concatenate(x) if x else np.empty(0, _U) for x in (firsts, words, escapes))]
     head = _HEAD.pack(MAGIC, len(keys), len(whole), *(len(a) for a in arrays[1:]))
     body = b"".join([head, *(np.ascontiguousarray(a.astype(a.dtype.newbyteorder("<"))).tobytes() for a in arrays)])
     return body + struct.pack("<I", zlib.crc32(body))
@@ -185,94 +192,45 @@ def part_documents(record: memoryview) -> Iterator[tuple[int | None, np.ndarray]
         yield None if none else key, ids
 
 
-def encoder(tokenizer_path: str):
-    """Ids of texts by a ``tokenizers`` file, without special tokens put round them.
-
-    A text is cut before every single space that a visible character follows:
-    byte-level pre-tokenisation always begins a token there, so the ids of the
-    pieces, end to end, are those of the text.  Pieces are kept over texts and
-    only new ones are encoded."""
-
-    def make():
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        known: dict[str, bytes] = {}
-
-        def learn(pieces: list[str]) -> dict[str, bytes]:
-            found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            return {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(pieces, found, strict=True)}
-
-        def ids(texts: list[str]) -> list[np.ndarray]:
-            cut = [pieces_of(t) for t in texts]
-            new = list(set(chain.from_iterable(cut)) - known.keys())
-            if len(known) + len(new) > PIECES:
-                known.clear()
-                new = list(set(chain.from_iterable(cut)))
-            made = learn(new)
-            known.update((p, b) for p, b in made.items() if len(p) <= PIECE_CHARS and len(known) < PIECES)
-            return [np.frombuffer(b"".join([known[p] if p in known else made[p] for p in pieces]), "<u4") for pieces in cut]
-
-        return ids
-
-    return cached(f"tokenizers {tokenizer_path}", make)
-
-
-def pieces_of(text: str) -> list[str]:
-    """The text cut before single spaces between visible characters."""
-    words = text.split(" ")
-    if not STRAY_SPACE.search(text):
-        return [words[0], *map(" ".__add__, words[1:])]
-    pieces = [words[0]]
-    for w in words[1:]:
-        # a space that white space (or another space) follows stays with what is before it
-        if w and not w[0].isspace():
-            pieces.append(" " + w)
-        else:
-            pieces[-1] += " " + w
-    return pieces
-
-
-def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, task_bytes: int = TASK_BYTES) -> None:
+def write_token_ids(docs: DataFrame, path: str, ranks_path: str | None = None, tokenizer_path: str | None = None, task_bytes: int = TASK_BYTES) -> None:
     """Write the ids of all documents to files under ``path``, in ascending
-    doc_id order (nulls first, equal ones by their text's hash).
+    doc_id order (nulls first, equal ones in the table's order).
 
     A null or empty text is the end id alone; rows that repeat an id or a text
     are written each for itself; an empty table writes no part; other columns
-    are not read.  ``tokenizer_path`` is a path on every worker.
+    are not read.  The ids are those of ``tokenizers`` with the file
+    ``tokenizer_path``, no special tokens put round a text; they are found from
+    the same vocabulary's ranks, ``ranks_path``.  Both are paths on every worker.
     """
     import public_tokenizers
 
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     tokenizer_path = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
+    ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(tokenizer_path), TaskContext.get().partitionId()
-        end, before = np.array([END_ID], "<u4"), 0
-        keys, ids, held = [], [], 0
+        encode, task = encoder(ranks_path, tokenizer_path), TaskContext.get().partitionId()
+        before, keys, ids, held = 0, [], [], 0
 
         def part() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([f"{task}_{before}_{held}"]), pa.array([part_bytes(keys, ids)], pa.binary())], names=["part", "bytes"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                some = batch.slice(i, 64)
-                for key, own in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), strict=True):
-                    keys.append(key)
-                    ids.append(np.concatenate((own, end)))
-                    held += len(ids[-1])
-                    if held >= PART_IDS:
-                        yield part()
-                        before, held, keys, ids = before + held, 0, [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys.append(key)
+                ids.append(np.array([*encode(text.as_py()), END_ID], "<u4"))
+                held += len(ids[-1])
+                if held >= PART_IDS:
+                    yield part()
+                    before, held, keys, ids = before + held, 0, [], []
         if keys:
             yield part()
 
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("nth"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # equal rows may be parted: which of them comes first makes no difference
-    order = ["doc_id", "nth", F.monotonically_increasing_id().alias("row")]
-    dealt = rows.select("doc_id", "text", *order[1:]).repartitionByRange(max(1, -(-size // task_bytes)), "doc_id", "nth", "row").sortWithinPartitions("doc_id", "nth")
+    # with the row's place, rows of one id are dealt to many tasks too
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(max(1, -(-size // task_bytes)), "doc_id", "row").sortWithinPartitions("doc_id", "row")
     parts = dealt.select("doc_id", "text").mapInArrow(run, "part string, bytes binary")
     parts.select("part", F.col("bytes").cast("string").alias("value")).write.partitionBy("part").option("lineSep", "\n").text(path)
 
@@ -318,9 +276,9 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "start", "n_tokens", "ids"])
 
 
-def token_digests(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+def token_digests(docs: DataFrame) -> DataFrame:
     """Write the ids of all documents to the session's shared folder, read them
     back, and return (doc_id, start, n_tokens, ids_crc32)."""
     path = shared_dir(docs.sparkSession, "token-ids")
-    write_token_ids(docs, path, tokenizer_path)
+    write_token_ids(docs, path)
     return read_token_ids(docs.sparkSession, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
