@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescope.llm.conversation_repair import repair_damaged
 from salescope.llm.fill_in_middle import middle_digests
 from salescope.llm.fingerprint import fingerprints
 from salescope.llm.inner_product import top_inner_products
@@ -86,6 +87,11 @@ def op10_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_documents.select("doc_id", nothing.alias("conv_id"), nothing.alias("turn"), *more).unionByName(of_turns.withColumn("doc_id", nothing))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired."""
+    return repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written to Simple-8b files and read back."""
     return token_digests(_table(spark, sf_dir, "documents"))
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_segmentation": op10_segmentation,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_token_files": op12_token_files,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
@@ -196,6 +203,66 @@ ORACLE_SQL: dict[str, str] = {
             FROM scored
         )
         SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 20""",
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE source AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+            FROM conversations
+        ), summed AS (
+            SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b:
+                       list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 20 AS kind
+            FROM source
+        ), hurt AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM summed)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+            FROM hurt
+        ), faulty AS (
+            SELECT *, left(role, 1) AS initial,
+                   CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                        WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed
+        ), fit(state, role, after) AS (VALUES ('', 'user', 'u'), ('s', 'user', 'u'), ('u', 'assistant', 'a'), ('a', 'user', 'u')
+        ), keep(state, initial) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('a', 'u'), ('u', 'a')
+        ), inserted AS (
+            SELECT state, state AS after, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM fit
+            UNION ALL SELECT state, after, 5, 'I', [role || ':'] FROM fit
+            UNION ALL SELECT x.state, y.after, 10, 'II', [x.role || ':', y.role || ':'] FROM fit x JOIN fit y ON y.state = x.after
+        ), best AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS state, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} AS way FROM hurt
+            UNION ALL
+            SELECT conv_id, i, state, min(way) FROM (
+                SELECT f.conv_id, f.i, e.after AS state,
+                       {'cost': b.way.cost + n.cost + e.cost, 'audit': b.way.audit || n.audit || e.edit,
+                        'lines': b.way.lines || n.lines || CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text] ELSE [e.role || ':' || f.text] END} AS way
+                FROM best b JOIN inserted n ON n.state = b.state
+                JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1
+                JOIN (SELECT 'D' AS edit, state, '' AS initial, state AS after, 2 AS cost, '' AS role FROM fit
+                      UNION ALL SELECT 'K', state, initial, initial, 0, '' FROM keep
+                      UNION ALL SELECT 'R', state, '', after, 1, role FROM fit) k
+                  ON k.state = n.after AND (k.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate') AND (k.edit = 'R' OR k.initial = f.initial)),
+                LATERAL (SELECT k.edit, k.after, k.role, k.cost + CASE WHEN k.edit <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END AS cost) e
+            ) GROUP BY conv_id, i, state
+        ), ended AS (
+            SELECT b.conv_id, min({'cost': b.way.cost + n.cost, 'audit': b.way.audit || n.audit, 'lines': b.way.lines || n.lines}) AS way
+            FROM best b JOIN inserted n ON n.state = b.state AND n.after IN ('', 'a')
+            JOIN (SELECT conv_id, max(i) AS n FROM faulty GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM b.conv_id AND l.n = b.i
+            GROUP BY b.conv_id
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulty GROUP BY conv_id
+        )
+        SELECT s.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.cost, 0)::BIGINT AS cost,
+               coalesce(way.audit, '') AS audit, sha256(coalesce(array_to_string(way.lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) s
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM s.conv_id""",
     "op13_fill_in_middle": """
         WITH docs AS (
             SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
