@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import prepare, shared_dir
+from salescope.llm.common import prepare, shared_dir, stored
 from salescope.llm.packing import encoder
 
 END_ID = 0
@@ -252,7 +252,8 @@ def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
     steps = tasks.groupBy("step").agg(F.sum("n").alias("n"))
     ahead = steps.select("step", (F.sum("n").over(Window.orderBy("step")) - F.col("n")).alias("ahead"))
     inside = F.sum("n").over(Window.partitionBy("step").orderBy("task")) - F.col("n")
-    bases = tasks.join(ahead, "step").select("task", (F.col("ahead") + inside).alias("base"))
+    # written out, its size is known before the join: no part is shuffled while a row a task can be broadcast
+    bases = stored(tasks.join(ahead, "step").select("task", (F.col("ahead") + inside).alias("base")), "token-id-tasks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
