@@ -49,9 +49,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _kept() -> dict:
+    return sys.modules.setdefault("_salescope_llm_cache", types.ModuleType("_salescope_llm_cache")).__dict__
+
+
+def begin(operator: str) -> None:
+    """Called where an operator's task begins: lets go what the worker process
+    has kept for another operator."""
+    store = _kept()
+    if store.get("operator") != operator:
+        for key in [k for k in store if not k.startswith("__")]:
+            del store[key]
+        store["operator"] = operator
+
+
 def cached(key: str, make: Callable[[], object]) -> object:
-    """One value per worker process, kept over tasks."""
-    store = sys.modules.setdefault("_salescope_llm_cache", types.ModuleType("_salescope_llm_cache")).__dict__
+    """One value per worker process, kept over tasks until another operator begins."""
+    store = _kept()
     if key not in store:
         store[key] = make()
     return store[key]

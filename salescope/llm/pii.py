@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import prepare
+from salescope.llm.common import begin, prepare
 
 Span = tuple[str, int, int]
 Edit = tuple[int, int, str]
@@ -73,7 +73,7 @@ SPELLED_PHONE = re.compile(rf"\+[ \t]?(?:[0-9]{{1,15}}|{_NAME}(?!\w))(?:[ \t,.()
 NAMES = re.compile(rf"(?<!\w){_NAME}(?:{_GAP}{_NAME})*(?!\w)", re.I)
 JOINED = re.compile(_GAP)
 WORD = re.compile(r"\w+")
-SIGN = re.compile(r"[ \t]*(?:\[[ \t]?(at|dot)[ \t]?\]|\([ \t]?(at|dot)[ \t]?\)|\{[ \t]?(at|dot)[ \t]?\}|<[ \t]?(at|dot)[ \t]?>)[ \t]*", re.I)
+SIGN = re.compile(r"(?:\[[ \t]?(at|dot)[ \t]?\]|\([ \t]?(at|dot)[ \t]?\)|\{[ \t]?(at|dot)[ \t]?\}|<[ \t]?(at|dot)[ \t]?>)[ \t]*", re.I)
 _HOST = rf"(?!(?:{NO_HOST.replace(' ', '|')})\b)[A-Za-z0-9-]+"
 SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?={_HOST}[ \t]+dot[ \t]+(?:[A-Za-z0-9-]+(?:[ \t]+dot[ \t]+|\.)){{0,6}}(?!(?:{NO_ENDING.replace(' ', '|')})\b)[A-Za-z]{{2,63}}\b)", re.I)
 SPOKEN_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
@@ -157,7 +157,14 @@ def _spelled(text: str) -> list[Edit]:
 
 
 def _signs(text: str) -> list[Edit]:
-    return [(m.start(), m.end(), "@" if (m[1] or m[2] or m[3] or m[4]).lower() == "at" else ".") for m in SIGN.finditer(text)]
+    edits, done = [], 0
+    for m in SIGN.finditer(text):
+        start = m.start()
+        while start > done and text[start - 1] in " \t":  # blanks after a sign are its own, so each is looked at once
+            start -= 1
+        done = m.end()
+        edits.append((start, done, "@" if (m[1] or m[2] or m[3] or m[4]).lower() == "at" else "."))
+    return edits
 
 
 def _spoken_at(text: str) -> list[Edit]:
@@ -256,6 +263,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -279,6 +287,7 @@ def redact(docs: DataFrame) -> DataFrame:
     chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
         for batch in batches:
             old = batch.column(text_at)
             texts = [None if (t := x.as_py()) is None else redacted(t) for x in old]

@@ -1,6 +1,8 @@
 import hashlib
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -118,3 +120,14 @@ def test_candidates_that_are_no_identifiers():
 def test_new_runs_are_linear():
     for piece in ("one.", "one dot ", "+one ", "one(", "1 dot ", "x at y dot ", "+1 "):
         detect(piece * 40_000)
+
+
+@pytest.mark.parametrize("piece", [" ", "\t", " \t", " [", "[ ", " a", "at ", " [at] "])
+def test_blanks_are_linear(piece):
+    started = time.time()
+    detect(piece * (1_000_000 // len(piece)))
+    assert time.time() - started < (6 if "at" in piece else 2)
+
+
+def test_signs_take_the_blanks_around_them():
+    assert [s[0:3] for s in detect("mail jo  [at]\t(dot) x")[1]] == [] and redacted("jo  [at]\t mail   {dot}\t\tnet,") == "[EMAIL],"
