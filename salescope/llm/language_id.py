@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import prepare, stored, text_bytes, text_steps, whole_text
+from salescope.llm.common import begin, prepare, stored, text_bytes, text_steps, whole_text
 
 #: Table entries per language.
 BUCKETS = 1 << 16
@@ -43,9 +43,10 @@ LEAST_CONFIDENCE = 0.5
 OUTLYING, LEAST_SAMPLE, OVERLAP = 6.0, 20, 3
 _U = np.uint64
 
-DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,8})", re.I)
-HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.I | re.S)
-TAG = re.compile(r"<[^>]*>")
+HTML = re.compile(r"<html\b", re.I)
+DECLARED = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]{2,8})", re.I)
+HIDDEN = re.compile(r"<(script|style)\b", re.I)
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,10 +129,41 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def page_text(html: str | None) -> tuple[str, str | None]:
-    """A page's visible text and its declared language (main part, small letters)."""
+    """A page's visible text and its declared language (main part, small letters).
+
+    One pass: tags, comments, scripts and styles become a space.  What isn't
+    closed is a plain tag, and text if no ``>`` follows.  Once an end isn't found
+    it isn't looked for again, so work is linear in the page."""
     html = html or ""
-    declared = DECLARED.search(html)
-    return markup.unescape(TAG.sub(" ", HIDDEN.sub(" ", html))), declared[1].lower() if declared else None
+    out, at, language, missing = [], 0, None, set()
+
+    def end(kind: str, start: int) -> int:
+        if kind in missing:
+            return -1
+        if kind in CLOSING:
+            found = CLOSING[kind].search(html, start)
+            stop = found.end() if found else -1
+        else:
+            stop = html.find(kind, start)
+            stop = stop + len(kind) if stop >= 0 else -1
+        if stop < 0:
+            missing.add(kind)
+        return stop
+
+    while (start := html.find("<", at)) >= 0:
+        hidden = HIDDEN.match(html, start)
+        stop = end("-->", start + 4) if html.startswith("<!--", start) else end(hidden[1].lower(), hidden.end()) if hidden else -1
+        if stop < 0:
+            stop = end(">", start)
+            if language is None and HTML.match(html, start):
+                found = DECLARED.search(html, start, stop if stop >= 0 else len(html))
+                language = found[1].lower() if found else None
+            if stop < 0:
+                break
+        out += (html[at:start], " ")
+        at = stop
+    out.append(html[at:])
+    return markup.unescape("".join(out)), language
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -139,6 +171,7 @@ def page_rows(pages: DataFrame) -> DataFrame:
     prepare(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language")
         for step in text_steps(batches, "html"):
             found = [page_text(x) for x in step.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([step.column("page_id"), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.string()), step.column("host")], names=["page_id", "text", "declared", "host"])
@@ -158,6 +191,7 @@ def with_text_evidence(rows: DataFrame, model: tuple[list[str], np.ndarray, np.n
     keep = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language")
         logs = spread.value
         for step in text_steps(batches, "text", 1 << 20):
             data, offsets = text_bytes(step.column("text"))
@@ -215,7 +249,8 @@ def fuse(rows: DataFrame, names: list[str]) -> DataFrame:
     n = sum((F.col(f"s{i}") for i in span), F.lit(0.0))
     domains = sums("domain").select("domain", F.array(*[(F.col(f"s{i}") + DOMAIN_WEIGHT * share[i]) / (n + DOMAIN_WEIGHT) for i in span]).alias("domain_share"))
     hosts = sums("host", "domain").join(domains, "domain", "left").select("host", "domain", F.array(*[F.log((F.col(f"s{i}") + HOST_WEIGHT * F.coalesce(F.col("domain_share")[i], F.lit(share[i]))) / (n + HOST_WEIGHT)) for i in span]).alias("host_logs"))
-    out = out.join(hosts, ["host", "domain"], "left")
+    # written out, so that a few hosts are broadcast by their size, and of many a hot one's rows can be split
+    out = out.join(stored(hosts, "hosts"), ["host", "domain"], "left")
     none = F.array(*[F.lit(0.0)] * len(names))
     parts = [F.col("evidence"), F.coalesce("declared_logs", none), F.coalesce("suffix_logs", none), F.coalesce("host_logs", F.array(*[F.lit(float(np.log(x))) for x in share]))]
     logs = F.array(*[sum((p[i] for p in parts[1:]), parts[0][i]) for i in span])

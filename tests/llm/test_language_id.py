@@ -1,7 +1,9 @@
 import base64
 import random
+import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from salescope.llm.language_id import fit, fuse, identify, keep_identified, page_text, trigrams
@@ -23,6 +25,19 @@ def test_page_text():
     assert declared == "fr" and text.split() == ["un", "&", "deux"] and page_text(None) == ("", None)
 
 
+def test_page_text_of_odd_markup():
+    assert page_text("a<!-- x > y --> b")[0] == "a  b" and page_text("a <b")[0] == "a <b" and page_text("a<!-- b> c")[0] == "a  c"
+    assert page_text("<SCRIPT a>x<p></Script >y<style>z")[0] == " y z" and page_text("<!-- <html lang=xx> --><html lang='de'>")[1] == "de"
+    assert page_text("<html lang=fr")[1] == "fr" and page_text("<htmls lang=fr>")[1] is None
+
+
+@pytest.mark.parametrize("piece", ["<", "<!--", "<html ", "<script ", "<style>", "</script ", "<html lang", "lang ", "<!-->", "<a>"])
+def test_markup_is_linear(piece):
+    started = time.time()
+    page_text(piece * (1_000_000 // len(piece)))
+    assert time.time() - started < 2
+
+
 def test_posterior_against_brute_force(spark):
     names = ["aa", "bb"]
     rows = [("aa", "h1.x.com", "x.com", "com", 5, [0.0, -2.0]), ("bb", "h1.x.com", "x.com", "com", 5, [-1.0, 0.0]), (None, "h2.x.com", "x.com", "com", 4, [-0.1, 0.0]), ("aa", None, None, None, 0, [0.0, 0.0])]
