@@ -29,18 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import SPACE_WORD, prepare, stored, text_bytes, text_steps, whole_text
+from salescope.llm.common import SPACE_WORD, begin, prepare, stored, text_bytes, text_steps, whole_text
 from salescope.llm.hashing import mix, shingle_sets, word_hashes
 
 SHINGLE, LINK = 5, 75  # words; least similarity in hundredths
 BANDS = 40
 #: Keys of each round; the last has all.
 ROUNDS = (2, 6, BANDS)
-#: Classes of a unit; members of a group that is compared as a whole.
-UNIT = 512
+#: Classes of a unit: members of a group that is compared as a whole.
+UNIT = 1024
+#: Tokens of a unit's sets, about.
+UNIT_TOKENS = 1 << 20
+#: Keys that a linked pair has in common at least: of 40 it shares 0.5625 each.
+SHARED = 3
 #: Node pairs whose bitmaps are compared in one step.
 PAIRS = 1 << 13
 #: Members of a group from which one component is set apart from the rest.
@@ -79,6 +83,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     kinds = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
         for step in text_steps(batches, "text"):
             sets = shingle_sets(*word_hashes(*text_bytes(step.column("text"))), SHINGLE)
             full = [s for s in sets if len(s)]
@@ -106,6 +111,7 @@ def wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     spread = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
         bits = spread.value
         for step in text_steps(batches, "text"):
             at = np.asarray(step.column("row_key")) % FILTER_BITS
@@ -277,36 +283,34 @@ def all_links(now: DataFrame, weights: DataFrame, sets: DataFrame) -> DataFrame:
     Every link lies within a component.  One of at most UNIT classes is a unit;
     a larger one is cut into blocks of half a unit, and every pair of blocks is
     a unit in which only classes of different blocks are compared."""
-    sizes = now.groupBy("component").agg(F.count("*").alias("m")).where("m > 1")
-    blocks = F.when(F.col("m") <= UNIT, 1).otherwise(_blocks("m", UNIT // 2))
+    sizes = now.join(weights, "class").groupBy("component").agg(F.count("*").alias("m"), F.sum("size").alias("tokens")).where("m > 1")
+    blocks = F.when((F.col("m") <= UNIT) & (F.col("tokens") <= UNIT_TOKENS), 1).otherwise(_blocks("m", "tokens", 2))
     rows = now.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("class"), blocks).cast("int"))
     rows = rows.select("component", "class", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     unit = F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("unit")
     side = F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side")
-    return unit_counts(rows.select(unit, "class", side).join(weights, "class").join(sets, "class")).groupBy("class").agg(F.sum("n").alias("n"))
+    return unit_counts(rows.select(unit, "class", side).join(weights.drop("size"), "class").join(sets, "class")).groupBy("class").agg(F.sum("n").alias("n"))
 
 
 def unit_links(rows: DataFrame) -> DataFrame:
     """Edges (a, b) between classes from rows (unit, class, component, tokens)."""
 
-    def forest(member: dict[int, tuple[int, np.ndarray]]) -> Iterator[tuple[int, int]]:
+    def edges(member: dict[int, tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         names = list(member)
-        for i, j in links([member[c][1] for c in names], [member[c][0] for c in names]):
-            yield names[i], names[j]
+        found = links([member[c][1] for c in names], [member[c][0] for c in names]) if len(names) > 1 else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in x], pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, member, edges = None, {}, []
+        begin("jaccard")
+        unit, member = None, {}
         for batch in batches:
             for u, c, p, t in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
                 if u != unit:
-                    if len(member) > 1:
-                        edges += forest(member)
+                    yield from edges(member)
                     unit, member = u, {}
                 member[c] = (p, np.frombuffer(t.as_buffer(), _U).copy())
-        if len(member) > 1:
-            edges += forest(member)
-        if edges:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], names=["a", "b"])
+        yield from edges(member)
 
     return rows.select("unit", "class", "component", "tokens").repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
 
@@ -327,21 +331,23 @@ def components(edges: DataFrame) -> DataFrame:
     return now
 
 
-def _blocks(n: str, size: int):
-    return F.ceil(F.col(n) / size).cast("int")
+def _blocks(n: str, tokens: str, part: int = 1) -> Column:
+    """Blocks of at most a part of UNIT members and UNIT_TOKENS tokens, about."""
+    return F.greatest(F.ceil(F.col(n) * part / UNIT), F.ceil(F.col(tokens) * part / UNIT_TOKENS)).cast("int")
 
 
 def _cut(groups: DataFrame, last: bool) -> DataFrame:
     """(unit, class, component) of groups that span several components.
 
-    A group of at most UNIT members is a unit, equal ones once.  A larger one
+    A group within the bounds of a unit is one, equal ones once.  A larger one
     is cut into blocks: in the early rounds each block with the group's hub, in
     the last every pair of blocks."""
-    by_key = groups.groupBy("key").agg(F.count("*").alias("m"), F.min("class").alias("hub"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.bit_xor(F.xxhash64("class")).alias("list"))
+    by_key = groups.groupBy("key").agg(F.count("*").alias("m"), F.sum("size").alias("tokens"), F.min("class").alias("hub"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.bit_xor(F.xxhash64("class")).alias("list"))
     rows = groups.join(by_key.where("c0 <> c1").drop("c0", "c1"), "key")
-    small = rows.where(F.col("m") <= UNIT).select(F.xxhash64("list", "m", "hub").alias("unit"), "class", "component").distinct()
-    large = rows.where(F.col("m") > UNIT)
-    blocks = _blocks("m", UNIT // 2 if last else UNIT)
+    fits = (F.col("m") <= UNIT) & (F.col("tokens") <= UNIT_TOKENS)
+    small = rows.where(fits).select(F.xxhash64("list", "m", "hub").alias("unit"), "class", "component").distinct()
+    large = rows.where(~fits)
+    blocks = _blocks("m", "tokens", 2 if last else 1)
     large = large.withColumn("i", F.pmod(F.xxhash64("class"), blocks).cast("int"))
     every = F.sequence(F.lit(0), blocks - 1)
     if last:
@@ -352,8 +358,8 @@ def _cut(groups: DataFrame, last: bool) -> DataFrame:
 
 
 def units(groups: DataFrame, last: bool) -> DataFrame:
-    """(unit, class, component) from rows (key, class, component): what is to be
-    compared in groups that span several components.
+    """(unit, class, component) from rows (key, class, component,
+    size): what is to be compared in groups that span several components.
 
     Where one component has MAIN or more members of a group, the rest of the
     group is compared with itself, and with that component once for all the
@@ -362,15 +368,26 @@ def units(groups: DataFrame, last: bool) -> DataFrame:
     by_key = groups.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("parts"), most.alias("most"))
     by_key = by_key.where("parts > 1").select("key", F.when(F.col("most.n") >= MAIN, F.col("most.component")).alias("main"))
     rows = groups.join(by_key, "key").withColumn("in_main", F.coalesce(F.col("component") == F.col("main"), F.lit(False)))
-    rest = rows.where(~F.col("in_main")).select("key", "class", "component")
-    met = rows.where("main is not null").select("main", "class", "component", "in_main").distinct()
-    sizes = met.groupBy("main").agg(F.count_if("in_main").alias("inner"), F.count_if(~F.col("in_main")).alias("outer"))
-    met = met.join(sizes, "main").withColumn("own", F.pmod(F.xxhash64("class"), F.when(F.col("in_main"), _blocks("inner", UNIT // 2)).otherwise(_blocks("outer", UNIT // 2))).cast("int"))
-    others = F.sequence(F.lit(0), F.when(F.col("in_main"), _blocks("outer", UNIT // 2)).otherwise(_blocks("inner", UNIT // 2)) - 1)
+    rest = rows.where(~F.col("in_main")).select("key", "class", "component", "size")
+    met = rows.where("main is not null").select("main", "class", "component", "size", "in_main").distinct()
+    sums = [F.sum(F.when(side, n)).alias(name) for side, names in ((F.col("in_main"), ("inner", "inner_tokens")), (~F.col("in_main"), ("outer", "outer_tokens"))) for n, name in zip((F.lit(1), F.col("size")), names, strict=True)]
+    inner, outer = _blocks("inner", "inner_tokens", 2), _blocks("outer", "outer_tokens", 2)
+    met = met.join(met.groupBy("main").agg(*sums), "main").withColumn("own", F.pmod(F.xxhash64("class"), F.when(F.col("in_main"), inner).otherwise(outer)).cast("int"))
+    others = F.sequence(F.lit(0), F.when(F.col("in_main"), outer).otherwise(inner) - 1)
     unit = F.transform(others, lambda j: F.when(F.col("in_main"), F.xxhash64("main", F.col("own"), j, F.lit(0))).otherwise(F.xxhash64("main", j, F.col("own"), F.lit(0))))
     return _cut(rest, last).unionByName(met.select(F.explode(unit).alias("unit"), "class", "component"))
 
 
+def often_met(groups: DataFrame) -> DataFrame:
+    """Rows of ``groups`` over all BANDS keys, without classes that meet other
+    components under fewer than SHARED keys: a linked pair shares fewer with a
+    probability below 1e-11."""
+    parts = groups.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
+    rows = groups.join(parts, "key")
+    enough = rows.groupBy("class").agg(F.count("*").alias("keys")).where(F.col("keys") >= SHARED).select("class")
+    return rows.join(enough, "class", "left_semi")
+
+
 def linked(docs: DataFrame, counts: bool = False) -> DataFrame:
     """(doc_id, row_key, n_shingles, component_id) of every row, and with counts
     n_links, the number of other rows that it links with.
@@ -382,19 +399,20 @@ def linked(docs: DataFrame, counts: bool = False) -> DataFrame:
     gives no rows; other columns are not read.
     """
     rows = stored(signatures(docs), "signatures")
-    classes = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"), F.min("row_key").alias("row_key"), F.min_by("keys", "row_key").alias("keys"))
-    keyed = classes.select("class", "row_key", F.posexplode("keys").alias("band", "key"))
+    classes = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"), F.min("row_key").alias("row_key"), F.min_by("keys", "row_key").alias("keys"), F.max("n_shingles").alias("size"))
+    keyed = classes.select("class", "row_key", "size", F.posexplode("keys").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").drop("m")
     members = stored(keyed.join(shared, "key"), "members")
     sets = stored(wanted_sets(docs, members.select("row_key").distinct()), "sets")
     now, edges = None, None
     for bands in ROUNDS:
-        groups = members.where(F.col("band") < bands).select("key", "class")
+        groups = members.where(F.col("band") < bands).select("key", "class", "size")
         if now is None:
             groups = groups.withColumn("component", F.col("class"))
         else:
-            groups = groups.join(now, "class", "left").select("key", "class", F.coalesce("component", "class").alias("component"))
-        found = stored(unit_links(units(groups, bands == BANDS).join(sets, "class")), "links")
+            groups = groups.join(now, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        last = bands == BANDS
+        found = stored(unit_links(units(often_met(groups) if last else groups, last).join(sets, "class")), "links")
         edges = found if edges is None else edges.unionByName(found)
         now = components(edges)
     firsts = classes.select("class", "first").join(now, "class").groupBy("component").agg(F.min("first").alias("least"))
@@ -402,7 +420,7 @@ def linked(docs: DataFrame, counts: bool = False) -> DataFrame:
     own = classes.select("class", "first").join(joined, "class", "left").select("class", F.coalesce("least", "first").alias("least"))
     more = []
     if counts:
-        weights = stored(rows.where("class is not null").groupBy("class").agg(F.count("*").alias("weight")), "weights")
+        weights = stored(rows.where("class is not null").groupBy("class").agg(F.count("*").alias("weight"), F.max("n_shingles").alias("size")), "weights")
         own = own.join(weights, "class").join(all_links(now, weights, sets), "class", "left").select("class", "least", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
         more = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     return rows.drop("keys").join(own, "class", "left").select("doc_id", "row_key", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), *more)

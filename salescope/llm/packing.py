@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import cached, prepare
+from salescope.llm.common import begin, cached, prepare
 
 SEQ_LEN = 1024
 END_ID = 0
@@ -182,6 +182,7 @@ def pack_documents(docs: DataFrame, ranks_path: str | None = None, seq_len: int
         return batch, first + pieces[-1][3] + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         encode = encoder(ranks_path)
         first = TaskContext.get().partitionId() << 40
         ids, keys, held = [], [], 0

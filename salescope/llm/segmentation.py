@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import cached, latest, prepare
+from salescope.llm.common import begin, cached, latest, prepare
 
 K, ALPHA, SEED = 3, 0.5, 17
 SPACE = "▁"
@@ -175,6 +175,7 @@ def sample_segmentations(table: DataFrame, keys: list[str], k: int = K, alpha: f
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("segmentation")
         vocabulary = latest("vocabulary", name, lambda: Vocabulary(model_path, counts.value, alpha))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -33,13 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import prepare, shared_dir, stored
+from salescope.llm.common import begin, prepare, shared_dir, stored
 from salescope.llm.packing import encoder
 
 END_ID = 0
 MAGIC = b"S8B1"
 #: Ids of a block and, about, of a part (a longer document is a part of its own); bytes of text of a writing task.
-BLOCK, PART_IDS, TASK_BYTES = 1024, 8 << 20, 32 << 20
+BLOCK, PART_IDS, TASK_BYTES = 1024, 4 << 20, 32 << 20
 #: Ids that are encoded or decoded in one numpy step.
 STEP_IDS = 1 << 20
 #: Ids below this are counted in a table, others by sorting.
@@ -209,6 +209,7 @@ def write_token_ids(docs: DataFrame, path: str, ranks_path: str | None = None, t
     ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         encode, task = encoder(ranks_path, tokenizer_path), TaskContext.get().partitionId()
         before, keys, ids, held = 0, [], [], 0
 

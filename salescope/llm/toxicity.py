@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from salescope.llm.common import latest, prepare, whole_text
+from salescope.llm.common import begin, latest, prepare, whole_text
 
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 3
 #: The training sample: at most so many documents of each label, in hash order of their ids, of at most so many characters.
@@ -38,7 +38,7 @@ RANDOM_STEPS, TOP_STEPS, STEP, RATE, DECAY = 18, 36, 2048, 300.0, 1e-6
 THRESHOLD = 0.3
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”„…"
 #: Words whose numbers a worker keeps.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 def subwords(token: str) -> list[int]:
@@ -205,6 +205,7 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         score = latest("toxicity", name, model.scorer)
         for batch in batches:
             scores = pa.array([score(t.as_py() or "") for t in batch.column(at)], pa.float64())
