@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -95,13 +96,17 @@ def two_highest(values: np.ndarray) -> tuple[float, float]:
 class Trainer:
     """Joint training by gradient steps of the embedding table and the softmax."""
 
-    def __init__(self, texts: list[str], labels: np.ndarray, seed: int = 7):
+    def __init__(self, texts: Iterable[str], labels: np.ndarray, seed: int = 7):
         self.rng, self.labels, vocabulary = np.random.default_rng(seed), labels, {}
-        self.docs = [np.array([vocabulary.setdefault(t, len(vocabulary)) for t in text.split()], dtype=np.int64) for text in texts]
-        bags = [subwords(t) for t in vocabulary] or [[0]]
-        self.sizes = np.array([len(b) for b in bags])
+        self.docs = [np.array([vocabulary.setdefault(t, len(vocabulary)) for t in text.split()], dtype=np.int32) for text in texts]
+        bags, sizes = array("i"), array("i")  # all words' rows end to end: the driver holds four bytes for each
+        for word in vocabulary or [""]:
+            own = subwords(word)
+            bags.extend(own)
+            sizes.append(len(own))
+        self.sizes = np.array(sizes, np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
-        self.bags = np.concatenate([np.array(b) for b in bags])
+        self.bags = np.frombuffer(bags, np.int32)
         self.table = self.rng.normal(0, 0.1, (BUCKETS, DIM))
         self.soft = np.stack([-np.ones(DIM), np.ones(DIM)]) * 0.3 + self.rng.normal(0, 0.1, (2, DIM))
         self.bias = np.zeros(2)
@@ -194,7 +199,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     parts = [known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for label, n in ((1, TOXIC_DOCS), (0, OTHER_DOCS))]
     ids = parts[0].unionByName(parts[1])  # at most TOXIC_DOCS + OTHER_DOCS rows of two numbers
     rows = short.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    return Trainer([r.text for r in rows], np.array([int(r.toxic > 0) for r in rows], dtype=np.int64)).train()
+    labelled = np.array([int(r.toxic > 0) for r in rows], dtype=np.int64)
+    rows.reverse()
+    trainer = Trainer((rows.pop().text for _ in labelled), labelled)  # a text goes once its words have numbers
+    return trainer.train()
 
 
 def with_score(docs: DataFrame, model: Model) -> DataFrame:
