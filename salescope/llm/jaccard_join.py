@@ -412,7 +412,8 @@ def linked(docs: DataFrame, counts: bool = False) -> DataFrame:
         else:
             groups = groups.join(now, "class", "left").withColumn("component", F.coalesce("component", "class"))
         last = bands == BANDS
-        found = stored(unit_links(units(often_met(groups) if last else groups, last).join(sets, "class")), "links")
+        groups = stored(often_met(groups) if last else groups, "groups")  # units reads them several times
+        found = stored(unit_links(units(groups, last).join(sets, "class")), "links")
         edges = found if edges is None else edges.unionByName(found)
         now = components(edges)
     firsts = classes.select("class", "first").join(now, "class").groupBy("component").agg(F.min("first").alias("least"))
