@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import D, dec, rows
 from salescope import operators as op
+from salescope.operators import rank
 from salescope.operators.rank import rank_within, top_dense_rank
 
 
@@ -23,7 +24,9 @@ def windowed(df, kinds=("rnk", "drnk", "row_num")):
     return df.select("*", *[made[k].cast("long").alias(k) for k in kinds])
 
 
-def test_rank_golden(qty):
+@pytest.mark.parametrize("split", [1_000_000, 2, 1])
+def test_rank_golden(qty, split, monkeypatch):
+    monkeypatch.setattr(rank, "SPLIT_ROWS", split)
     out = rank_within(qty, ["division"], "total_qty", ["product"])
     got = {r.product: (r.rnk, r.drnk, r.row_num) for r in out.collect()}
     # RANK 1,2,2,4 / DENSE_RANK 1,2,2,3 / ROW_NUMBER 1,2,3,4 (ties by product)
@@ -33,10 +36,12 @@ def test_rank_golden(qty):
     assert got["z1"] == (1, 1, 1) and got["z2"] == (1, 1, 2)  # NULL division is one group
 
 
+@pytest.mark.parametrize("split", [1_000_000, 300, 3, 1])
 @pytest.mark.parametrize("kinds", [("rnk", "drnk", "row_num"), ("drnk",), ("rnk",), ("row_num",), ("drnk", "rnk")])
-def test_equals_window_on_many_partitions(spark, kinds):
+def test_equals_window_on_many_partitions(spark, kinds, split, monkeypatch):
+    monkeypatch.setattr(rank, "SPLIT_ROWS", split)
     # one hot group holding most rows, many ties, spread over many partitions
-    df = spark.range(0, 5000, 1, 16).select(
+    df = spark.range(0, 2000, 1, 16).select(
         F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 13).cast("string"))).alias("division"),
         F.concat(F.lit("p"), F.col("id").cast("string")).alias("product"),
         (F.col("id") * 7919 % 97).alias("total_qty"),
@@ -50,7 +55,8 @@ def test_equals_window_on_many_partitions(spark, kinds):
 @pytest.mark.slow
 @pytest.mark.parametrize("reuse", ["true", "false"])
 @pytest.mark.parametrize("extra", [[], ["note"]])
-def test_equals_window_with_many_values(spark, extra, reuse):
+def test_equals_window_with_many_values(spark, extra, reuse, monkeypatch):
+    monkeypatch.setattr(rank, "SPLIT_ROWS", 2000)
     # 200,000 distinct values in 12 partitions, one group with most rows, one value with a third of them
     h = F.abs(F.xxhash64("id"))
     df = spark.range(0, 300_000, 1, 12).select(
