@@ -56,11 +56,45 @@ def text_equals(col: str | Column, value: str | None) -> Column:
     return F.collate(c, TEXT_COLLATION) == F.collate(F.lit(value).cast("string"), TEXT_COLLATION)
 
 
+def same_text(c: str) -> Column:
+    """A key that is equal for names that differ only in case or accents."""
+    return F.collate(F.col(c), TEXT_COLLATION)
+
+
 def merge_names(df: DataFrame, names: Sequence[str], keys: Sequence[str] = (), **sums: Column) -> DataFrame:
     """Merge rows whose ``names`` differ only in case or accents, as the
     reference engine's default collation does when it groups: one row per
     (names, ``keys``) with the smallest spelling and the given aggregates.
     ``df`` is already aggregated by the exact names, so this reads few rows."""
-    same = [F.collate(F.col(c), TEXT_COLLATION).alias(f"_{c}") for c in names]
+    same = [same_text(c).alias(f"_{c}") for c in names]
     out = df.groupBy(*same, *keys).agg(*[F.min(c).alias(c) for c in names], *[a.alias(k) for k, a in sums.items()])
     return out.drop(*[f"_{c}" for c in names])
+
+
+# Bits of a code filter: 128 KB, whatever the number of codes.
+FILTER_BITS = 1 << 20
+
+
+def code_filter(codes: DataFrame, code: str) -> Column:
+    """A condition on ``code`` that holds for every value in ``codes`` and for
+    few others: a bitmap of hashed codes as a scalar subquery.
+
+    Unlike a semi-join it needs neither a broadcast of all codes nor an exchange
+    of the rows it is put on, so it can stand on a fact scan whatever the
+    number of codes.  It is no replacement for the exact join."""
+    words = FILTER_BITS // 64
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+
+    def bit(c: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), (place(c) % 64).cast("int"))
+
+    def word(c: Column) -> Column:
+        return F.shiftright(place(c), 6).cast("int")
+
+    own = codes.select(word(F.col(code)).alias("word"), bit(F.col(code)).alias("bits"))
+    every = codes.sparkSession.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
+    table = own.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    bitmap = table.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"])).scalar()
+    return F.get(bitmap, word(F.col(code))).bitwiseAND(bit(F.col(code))) != 0

@@ -104,8 +104,9 @@ def forecast_accuracy_by_market(t: SalesTables, fiscal_year: int) -> DataFrame:
     customers, best first.
     -> (market, customer_count, total_sold_qty, ..., forecast_accuracy_pct)"""
     sums = _customer_sums(t, fiscal_year).where(_has_sales_through(t, fiscal_year))
-    per_market = sums.groupBy("market").agg(F.count("customer_code").alias("customer_count"), *[F.sum(k).alias(k) for k in SUMS])
-    merged = merge_names(per_market, ["market"], customer_count=F.sum("customer_count"), **{k: F.sum(k) for k in SUMS})
+    # one row per market and code first, so a code counts once however often dim_customer holds it
+    codes = merge_names(sums, ["market"], ["customer_code"], **{k: F.sum(k) for k in SUMS})
+    merged = merge_names(codes, ["market"], customer_count=F.count("customer_code"), **{k: F.sum(k) for k in SUMS})
     return _with_accuracy(merged).orderBy(F.col("forecast_accuracy_pct").desc_nulls_last(), F.col("market").asc())
 
 

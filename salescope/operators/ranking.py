@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.money import gross_amount, to_millions
-from salescope.operators.common import date_bounds_filter, fiscal_dates, merge_names, text_equals
+from salescope.operators.common import date_bounds_filter, fiscal_dates, merge_names, same_text, text_equals
 from salescope.operators.rank import rank_within, top_dense_rank
 from salescope.operators.revenue import net_sales_by_keys
 from salescope.sources.tables import SalesTables
@@ -59,22 +59,20 @@ def top_products_by_net_sales(t: SalesTables, market: str, fiscal_year: int, n:
 
 # ------------------------------------------------------------ quantity ranks
 
-def _product_rows(t: SalesTables, fiscal_year: int) -> DataFrame:
+def _product_sums(t: SalesTables, fiscal_year: int) -> DataFrame:
+    """Σsold_quantity per product code in one fiscal year, with its names: the
+    sales are summed before dim_product is joined. -> (product_code, product,
+    division, total_qty)"""
     sales = t.sales.where(date_bounds_filter(t, F.col("date"), fiscal_year))
-    return (
-        sales.join(fiscal_dates(t, fiscal_year), "date")
-        .join(t.dim_product.select("product_code", "product", "division"), "product_code")
-    )
+    sums = sales.join(fiscal_dates(t, fiscal_year), "date").groupBy("product_code").agg(F.sum("sold_quantity").cast("long").alias("total_qty"))
+    return sums.join(t.dim_product.select("product_code", "product", "division"), "product_code")
 
 
 def product_qty(t: SalesTables, fiscal_year: int) -> DataFrame:
-    """B-6: Σsold_quantity per (division, product name) in one fiscal year.
-    -> (division, product, total_qty)"""
-    return (
-        _product_rows(t, fiscal_year)
-        .groupBy("division", "product")
-        .agg(F.sum("sold_quantity").cast("long").alias("total_qty"))
-    )
+    """B-6: Σsold_quantity per (division, product name) in one fiscal year;
+    names that differ only in case or accents are one, under the smallest
+    spelling. -> (division, product, total_qty)"""
+    return merge_names(_product_sums(t, fiscal_year), ["division", "product"], total_qty=F.sum("total_qty"))
 
 
 def top_products_per_division(t: SalesTables, fiscal_year: int, n: int = 3) -> DataFrame:
@@ -85,8 +83,8 @@ def top_products_per_division(t: SalesTables, fiscal_year: int, n: int = 3) -> D
     Ranked on the distinct quantities with a partial WindowGroupLimit, so a
     hot division never reaches one task whole (see ``top_dense_rank``).
     """
-    return top_dense_rank(product_qty(t, fiscal_year), ["division"], "total_qty", n).select(
-        "division", "product", "total_qty", "drnk")
+    qty = product_qty(t, fiscal_year).withColumn("_division", same_text("division"))
+    return top_dense_rank(qty, ["_division"], "total_qty", n).select("division", "product", "total_qty", "drnk")
 
 
 def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: bool = True) -> DataFrame:
@@ -95,16 +93,17 @@ def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: boo
     -> (division, product, total_qty_by_division)
 
     The window has no order and no frame, so it equals a per-division
-    aggregate joined back.  The aggregate is combined map-side (one row per
-    division per task); how it is joined back is left to statistics and AQE.
-    A window would instead send each division whole to one task.
+    aggregate joined back.  Sales are summed per product, then per division
+    (names under the collation), and the totals meet the sale rows with the
+    other columns of their product, in one join by its code.  A window would
+    instead send each division whole to one task.
     """
-    rows = _product_rows(t, fiscal_year).select(
-        "division", "product", "sold_quantity", "customer_code", "date", "product_code")
-    totals = rows.groupBy(F.col("division").alias("d")).agg(
-        F.sum("sold_quantity").cast("long").alias("total_qty_by_division"))
+    totals = _product_sums(t, fiscal_year).groupBy(same_text("division").alias("_d")).agg(F.sum("total_qty").alias("total_qty_by_division"))
+    products = t.dim_product.select("product_code", "product", "division")
     # null-safe: a NULL division is one window partition too
-    out = rows.join(totals, rows["division"].eqNullSafe(totals["d"]))
+    products = products.join(totals, same_text("division").eqNullSafe(F.col("_d"))).drop("_d")
+    sales = t.sales.where(date_bounds_filter(t, F.col("date"), fiscal_year)).join(fiscal_dates(t, fiscal_year), "date")
+    out = sales.select("product_code", "customer_code", "date").join(products, "product_code")
     if ordered:
         # the sale key after (division, product) keeps the range-partitioned
         # sort splittable when one product holds many rows
@@ -113,7 +112,8 @@ def division_total_alongside_rows(t: SalesTables, fiscal_year: int, ordered: boo
 
 
 def _ranked(t: SalesTables, fiscal_year: int, kinds: tuple[str, ...], ordered: bool) -> DataFrame:
-    out = rank_within(product_qty(t, fiscal_year), ["division"], "total_qty", ["product"], kinds)
+    qty = product_qty(t, fiscal_year).withColumn("_division", same_text("division"))
+    out = rank_within(qty, ["_division"], "total_qty", ["product"], kinds).drop("_division")
     return out.orderBy("division", kinds[0], "product") if ordered else out
 
 

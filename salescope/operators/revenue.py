@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.fiscal import fiscal_year as fiscal_year_of
 from salescope.functions.money import NET_INVOICE_TYPE, gross_amount, net_amount, net_invoice_amount, to_money
-from salescope.operators.common import date_bounds_filter, fiscal_dates, text_equals
+from salescope.operators.common import code_filter, date_bounds_filter, fiscal_dates, text_equals
 from salescope.sources.tables import SalesTables
 
 KEYS3 = ["customer_code", "date", "product_code"]
@@ -85,9 +85,15 @@ def net_sales_by_keys(t: SalesTables, fiscal_year: int, keys: list[str], custome
     and a customer in the year, so only the quantity kept after the
     post-invoice deductions is summed per (customer, product), and rates meet
     those sums: qty * (1 - post) * price * (1 - pre) is the same exact decimal
-    as the layered chain of :func:`net_sales_lines`."""
+    as the layered chain of :func:`net_sales_lines`.
+
+    The customers asked for reach both fact scans as a filter of fixed size, so
+    the fact-fact join sees their rows and few others even where they are too
+    many to broadcast; the exact semi-join is on the sums."""
     sales = t.sales.where(date_bounds_filter(t, F.col("date"), fiscal_year))
     post = t.post_invoice.where(date_bounds_filter(t, F.col("date"), fiscal_year))
+    if customers is not None:
+        sales, post = (x.where(code_filter(customers, "customer_code")) for x in (sales, post))
     left_over = F.lit(1).cast("decimal(1,0)") - (F.col("discounts_pct") + F.col("other_deductions_pct"))
     kept = (
         sales.join(post, KEYS3).join(fiscal_dates(t, fiscal_year), "date")

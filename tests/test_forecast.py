@@ -97,3 +97,12 @@ def test_lag_and_pivot_find_same_customers(spark):
     a = rows(op.forecast_decline_lag(t, 1998, 1999), "customer_code")
     b = rows(op.forecast_decline_pivot(t, 1998, 1999), "customer_code")
     assert a == b and len(a) == 704
+
+
+def test_market_report_counts_a_code_once(make_tables):
+    # a code that dim_customer holds twice (and once more under another spelling of the market) is one customer
+    day = D("2020-10-01")
+    customers = [(1, "Acme", "India", "APAC"), (1, "Acme", "India", "APAC"), (1, "Acme", "INDIA", "APAC"), (2, "Globex", "india", "APAC"), (3, "Initech", "USA", "NA")]
+    t = _t(make_tables, [(day, c, 10, 5) for c in (1, 2, 3)], [(day, c, 10, 10) for c in (1, 2, 3)], customers)
+    got = {r.market: (r.customer_count, r.total_forecast_qty) for r in op.forecast_accuracy_by_market(t, 2021).collect()}
+    assert got == {"INDIA": (2, 40), "USA": (1, 10)}

@@ -64,7 +64,26 @@ def test_full_rank_has_no_window_over_division(saved):
     # a window is never partitioned by the (possibly hot) group alone
     plan = physical_plan(op.rank_comparison(saved, 1998))
     windows = re.findall(r"windowspecdefinition\(([^)]*?) (?:ASC|DESC)", plan)
-    assert windows and not any(re.fullmatch(r"_g#\d+, total_qty#\d+L", w) for w in windows)
+    assert windows and all("_range#" in w for w in windows)
+
+
+def test_full_rank_shuffles_its_rows_once(saved):
+    from salescope.plans.inspect import final_plan, plan_summary
+
+    for report in (op.rank_products, op.row_number_products, op.rank_comparison):
+        s = plan_summary(final_plan(report(saved, 1998)))
+        assert s["hash_exchanges"] <= 4 and s["sort_merge_joins"] == 0
+
+
+def test_market_filter_stands_on_the_fact_scans(no_broadcast):
+    # whatever the broadcast threshold: below the fact-fact join, on both sides, and without an exchange
+    for report in (op.top_customers_by_net_sales(no_broadcast, "NATION_19", 1998, 5), op.top_products_by_net_sales(no_broadcast, "NATION_19", 1998, 5)):
+        plan = physical_plan(report).splitlines()
+        join = next(i for i, x in enumerate(plan) if "SortMergeJoin [customer_code" in x and "date" in x)
+        for table in ("fact_sales_monthly", "fact_post_invoice_deductions"):
+            scan = next(i for i, x in enumerate(plan) if "FileScan" in x and table in x and i > join)
+            assert any("Filter" in x and "xxhash64(customer_code" in x for x in plan[join:scan])
+            join = scan
 
 
 def test_forecast_scalar_subquery_not_cross_join(saved):

@@ -113,6 +113,16 @@ def test_division_total_alongside_rows(make_tables):
         ("X", "a", 28), ("X", "b", 28), ("X", "c", 28), ("X", "d", 28), ("Y", "e", 2)]
 
 
+def test_names_of_divisions_and_products_ignore_case_and_accents(make_tables):
+    # one rule for every report: "Café" = "CAFE", "x" = "X"
+    s = [(D("2020-10-01"), 1, code, qty) for code, qty in ((1, 5), (2, 4), (3, 7), (4, 1))]
+    t = make_tables(fact_sales_monthly=s, dim_product=[(1, "Café", "X"), (2, "CAFE", "x"), (3, "tea", "X"), (4, "Tea", "Y")])
+    assert rows(op.product_qty(t, 2021), "product", "total_qty") == [("CAFE", 9), ("Tea", 1), ("tea", 7)]
+    assert [(r.product, r.rnk, r.drnk, r.row_num) for r in op.rank_comparison(t, 2021, ordered=False).orderBy("total_qty").collect()] == [("Tea", 1, 1, 1), ("tea", 2, 2, 2), ("CAFE", 1, 1, 1)]
+    assert rows(op.top_products_per_division(t, 2021, 1), "product") == [("CAFE",), ("Tea",)]
+    assert rows(op.division_total_alongside_rows(t, 2021), "product", "total_qty_by_division") == [("CAFE", 16), ("Café", 16), ("Tea", 1), ("tea", 16)]
+
+
 def test_division_total_equals_window(make_tables, spark):
     t = _division_tables(make_tables)
     rows_ = t.sales.join(t.dim_product, "product_code").join(

@@ -1,6 +1,10 @@
-from conftest import D, dec, rows
+from pyspark.sql import functions as F
+
+from conftest import SF001, D, dec, rows
 from salescope import operators as op
-from salescope.operators.revenue import parse_code_list
+from salescope.operators.common import code_filter
+from salescope.operators.revenue import net_sales_by_keys, parse_code_list
+from salescope.sources.tables import load_tables
 
 P20 = dec("20.0000")
 
@@ -143,3 +147,22 @@ def test_round_half_away_from_zero(spark):
     from salescope.functions.money import to_money
     df = spark.createDataFrame([(dec("0.125"),), (dec("-0.125"),), (dec("2.345"),), (dec("0.135"),)], "x decimal(10,3)")
     assert [r.m for r in df.select(to_money("x").alias("m")).collect()] == [dec("0.13"), dec("-0.13"), dec("2.35"), dec("0.14")]
+
+
+def test_layers_equal_the_sums_on_sf001(spark):
+    # B-1 to B-3 line by line against the aggregate-first form of the reports
+    t = load_tables(spark, SF001)
+    for keys in (["customer_code"], ["product_code"], ["customer_code", "product_code"]):
+        lines = op.net_sales_lines(t, 1998).groupBy(*keys).agg(F.sum("total_net_sales").alias("total_net_sales"))
+        sums = net_sales_by_keys(t, 1998, keys)
+        assert lines.count() > 0 and rows(lines, *keys, "total_net_sales") == rows(sums, *keys, "total_net_sales")
+    some = t.dim_customer.where("customer_code % 7 = 2").select("customer_code")
+    assert rows(net_sales_by_keys(t, 1998, ["customer_code"], some)) == rows(net_sales_by_keys(t, 1998, ["customer_code"]).join(some, "customer_code"))
+
+
+def test_code_filter_keeps_every_code_and_few_others(spark):
+    codes = spark.range(-500, 100_000, 7).select(F.col("id").alias("code")).union(spark.sql("SELECT CAST(NULL AS LONG)"))
+    kept = spark.range(-1000, 100_000).select(F.col("id").alias("code")).where(code_filter(codes, "code"))
+    own = codes.where("code IS NOT NULL")
+    assert kept.join(own, "code").count() == own.count() and kept.count() < 1.3 * own.count()
+    assert spark.range(10).select(F.col("id").alias("code")).where(code_filter(codes.where("false"), "code")).count() == 0
