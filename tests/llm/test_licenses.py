@@ -1,6 +1,7 @@
+import random
 import re
 
-from salescope.llm.licenses import BASE, NOTICES, scan_licenses
+from salescope.llm.licenses import BASE, COVER, GAP, NOTICES, STRETCH, VOTES, scan_licenses
 
 
 def brute(text):
@@ -11,6 +12,44 @@ def brute(text):
     return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
 
 
+def near(text):
+    """Labels and best cover of the notices and base phrases, by trying every template at every place."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    labels, score = set(filter(None, brute(text)[4].split(","))), float(bool(brute(text)[1]))
+    for label, notice in NOTICES:
+        own = notice.split()
+        rows = []
+        for d in range(-len(own), len(words) + 1):
+            hits = [j for j in range(len(own) - 1) if 0 <= d + j < len(words) - 1 and words[d + j : d + j + 2] == own[j : j + 2]]
+            if len(hits) >= VOTES:
+                if rows and d - rows[-1][-1][0] <= GAP:
+                    rows[-1].append((d, hits))
+                else:
+                    rows.append([(d, hits)])
+        for run in rows:
+            low, high = min(d + h[0] for d, h in run), max(d + h[-1] + 2 for d, h in run)
+            votes = len({j for _, h in run for j in h}) if high - low <= STRETCH * len(own) else max(len(h) for _, h in run)
+            if votes / (len(own) - 1) >= COVER:
+                labels.add(label)
+                score = max(score, votes / (len(own) - 1))
+    return ",".join(sorted(labels)), score
+
+
+def test_notices_against_brute_force(spark):
+    rng = random.Random(3)
+    texts = []
+    for _, notice in NOTICES:
+        words = notice.split()
+        for changes in (0, 1, 2, 5):
+            own = list(words)
+            for _ in range(changes):
+                at = rng.randrange(len(own))
+                own[at : at + rng.randrange(2)] = rng.choice([["the"], ["of", "the"], []])
+            texts.append(" ".join([*rng.choices(words, k=5), *own, *rng.choices(words, k=9)]))
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == len(texts) and {r.doc_id: (r.labels, r.score) for r in got} == {i: near(t) for i, t in enumerate(texts)}
+
+
 def base(rows):
     return sorted(((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows), key=str)
 
