@@ -8,19 +8,23 @@ Cauchy-Schwarz pruning.
    quantiles of length, split by a hash where a band is large.
 3. The blocks of the longest vectors score all queries first.  The k-th best
    score so far is each query's bar.
-4. A query meets another block only if its length times the block's greatest
-   length reaches the bar.  In a block, vectors come by descending length in
+4. Queries travel in parts of like length.  A part meets a band only if, for one
+   of its queries, length times the band's greatest length reaches the bar; only
+   then do the band's blocks move to it.  In a block, vectors come by descending length in
    steps; the leading components' partial product plus the product of the
    residual lengths bounds each score, and only pairs that reach the bar, which
    rises with each step, are scored, in whole numbers.
 
-Queries travel in blocks, each with its bar; a block pair is one group of
-bounded size, and its results are at most k rows a query.
+A block and a part are one group of bounded size, and its results are at most k
+rows a query.  Products that may pass 64 bits are taken in whole numbers of any
+size.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -30,8 +34,10 @@ from pyspark.sql import functions as F
 from salescope.llm.common import prepare, stored
 
 K, EVERY, SCALE = 20, 20, 64
-#: Largest component, after scaling, that takes part: products then fit 64 bits for up to 2**15 components.
-LARGEST = 1 << 24
+#: Below this length two vectors' product fits 64 bits.
+NARROW = 2.0**30.5
+#: Largest score that is ranked exactly, and what the result can hold.
+WIDEST, LONGEST = 10**38 - 1, (1 << 63) - 1
 #: Vectors of a candidate block and of a query block; steps within a block; bands of length at most.
 BLOCK, QUERIES, STEP, BANDS = 4096, 1024, 512, 200
 #: Share of the squared length that the leading components hold.
@@ -39,10 +45,16 @@ LEADING = 0.8
 
 
 def whole(vector: Column) -> Column:
-    """floor(64 * x) of each component; null if the vector is null or empty, or
-    a component is null, not finite or beyond ``LARGEST``."""
-    scaled = F.transform(vector, lambda x: F.floor(F.when(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < LARGEST), x.cast("double") * SCALE)))
-    return F.when((F.size(vector) > 0) & ~F.exists(scaled, lambda x: x.isNull()), F.transform(scaled, lambda x: x.cast("int")))
+    """floor(64 * x) of each component, exact as a double; null if the vector is
+    null or empty, or a component is null or not finite."""
+
+    def floored(x: Column) -> Column:
+        x = x.cast("double")
+        large = F.greatest(F.least(x * SCALE, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))  # whole already
+        return F.when(F.abs(x) < 2.0**46, F.floor(x * SCALE).cast("double")).when(~F.isnan(x) & (F.abs(x) < float("inf")), large)
+
+    scaled = F.transform(vector, floored)
+    return F.when((F.size(vector) > 0) & ~F.exists(scaled, lambda x: x.isNull()), scaled)
 
 
 def gram(vectors: DataFrame) -> dict[int, np.ndarray]:
@@ -53,7 +65,8 @@ def gram(vectors: DataFrame) -> dict[int, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for f in frames:
             for dim, part in f.groupby("dim"):
-                m = np.stack(part["v"].to_numpy()).astype(float)
+                m = np.stack(part["v"].to_numpy())
+                m = m[np.abs(m).max(1) < NARROW]  # the rotation only steers; huge vectors would drown all others
                 sums[dim] = sums.get(dim, 0) + m.T @ m
         yield pd.DataFrame([(dim, i, row.tolist()) for dim, m in sums.items() for i, row in enumerate(m)], columns=["dim", "i", "row"])
 
@@ -73,32 +86,48 @@ def rotation(m: np.ndarray) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(vectors), min(len(values), int(np.searchsorted(share, LEADING)) + 1)
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Lengths, finite whatever the components."""
+    top = np.maximum(np.abs(vectors).max(1), 1.0)
+    with np.errstate(over="ignore"):
+        return np.minimum(top * np.linalg.norm(vectors / top[:, None], axis=1), sys.float_info.max)
+
+
 def search_block(queries: np.ndarray, query_ids: np.ndarray, bars: np.ndarray, vectors: np.ndarray, ids: np.ndarray, turn: np.ndarray, lead: int, k: int) -> list[tuple[int, int, int]]:
     """(query, id, score) of each query's best k in the block that reach its bar."""
-    length = np.sqrt((vectors.astype(float) ** 2).sum(1))
+    length, q_length = (lengths(x) for x in (vectors, queries))
     order = np.lexsort((ids, -length))
     vectors, ids, length = vectors[order], ids[order], length[order]
-    q_length = np.sqrt((queries.astype(float) ** 2).sum(1))
-    q_turned, turned = queries @ turn, vectors @ turn
+    narrow, q_narrow = length < NARROW, q_length < NARROW
+    small, q_small = (np.where(n[:, None], x, 0).astype(np.int64) for n, x in ((narrow, vectors), (q_narrow, queries)))
+    q_turned, turned = q_small.astype(float) @ turn, small.astype(float) @ turn
     q_rest, rest = (np.sqrt((x[:, lead:] ** 2).sum(1)) for x in (q_turned, turned))
     bars = bars.astype(float)
     best: list[list[tuple[int, int]]] = [[] for _ in query_ids]  # (-score, id), ascending
     for at in range(0, len(ids), STEP):
-        live = np.flatnonzero(q_length * length[at] * (1 + 1e-9) + 1e-6 >= bars)
+        with np.errstate(over="ignore"):
+            live = np.flatnonzero(q_length * length[at] * (1 + 1e-9) + 1e-6 >= bars)
         if not len(live):
             break
         part = slice(at, at + STEP)
+        exact = q_narrow[live][:, None] & narrow[part]
         bound = q_turned[live, :lead] @ turned[part, :lead].T + np.outer(q_rest[live], rest[part])
-        slack = 1e-6 + 1e-9 * np.outer(q_length[live], length[part])
-        i, j = np.nonzero(bound + slack >= bars[live][:, None])
+        slack = 1e-6 + 1e-9 * np.outer(np.minimum(q_length[live], NARROW), np.minimum(length[part], NARROW))
+        i, j = np.nonzero(~exact | (bound + slack >= bars[live][:, None]))
         own = query_ids[live[i]] == ids[at + j]
         i, j = live[i[~own]], at + j[~own]
         for cut in range(0, len(i), 1 << 16):
             a, b = i[cut : cut + (1 << 16)], j[cut : cut + (1 << 16)]
-            scores = np.einsum("ij,ij->i", queries[a], vectors[b])
-            good = scores >= bars[a]
+            scores = np.einsum("ij,ij->i", q_small[a], small[b])
+            wide = np.flatnonzero(~(q_narrow[a] & narrow[b]))
+            if len(wide):
+                scores = scores.astype(object)
+                for n in wide.tolist():
+                    x = sum(int(p) * int(q) for p, q in zip(queries[a[n]].tolist(), vectors[b[n]].tolist(), strict=True))
+                    scores[n] = max(-WIDEST, min(WIDEST, x))
+            good = (scores >= bars[a]).astype(bool)
             a, b, scores = a[good], b[good], scores[good]
-            rank = np.lexsort((ids[b], -scores, a))
+            rank = np.array(sorted(range(len(a)), key=lambda n: (a[n], -scores[n], ids[b[n]])), np.int64) if scores.dtype == object else np.lexsort((ids[b], -scores, a))
             a, b, scores = a[rank], b[rank], scores[rank]
             first = np.searchsorted(a, a)
             near = np.arange(len(a)) - first < k
@@ -107,7 +136,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, bars: np.ndarray, v
             for x in np.unique(a).tolist():
                 best[x] = sorted(best[x])[:k]
                 if len(best[x]) == k:
-                    bars[x] = max(bars[x], -best[x][-1][0])
+                    bars[x] = max(bars[x], float(-best[x][-1][0]))
     return [(int(query_ids[x]), v, -s) for x, rows in enumerate(best) for s, v in rows]
 
 
@@ -116,22 +145,33 @@ def _top(rows: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _meet(queries: DataFrame, vectors: DataFrame, turns: dict[int, tuple[np.ndarray, int]], blocks: list, query_blocks: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score) of the given blocks and the queries that can reach them."""
+def live_pairs(queries: DataFrame, bands: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(part, block, greatest): the parts of queries and the blocks in which one of
+    their vectors may reach a query's bar, from bands (dim, band, greatest), of
+    which there are at most ``BANDS`` a dimension, and blocks (dim, band, block)."""
+    need = F.when(F.col("length") > 0, (F.col("bar") - 1e-6) / (F.col("length") * (1 + 1e-9))).when(F.col("bar") <= 1e-6, F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    parts = queries.groupBy("dim", "part").agg(F.min(need).alias("need"))
+    live = parts.join(F.broadcast(bands), "dim").where(F.col("greatest") >= F.col("need"))
+    return live.join(blocks, ["dim", "band"]).select("part", "block", "greatest")
+
+
+def _meet(queries: DataFrame, vectors: DataFrame, turns: dict[int, tuple[np.ndarray, int]], bands: DataFrame, k: int, score: str) -> DataFrame:
+    """(query_id, vec_id, score) of the vectors in the given bands and the queries that can reach them."""
+    wide = score != "long"
 
     def pair(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(q) and len(v):
             turn, lead = turns[int(v["dim"].iloc[0])]
-            rows = search_block(np.stack(q["query"].to_numpy()).astype(np.int64), q["query_id"].to_numpy(), q["bar"].to_numpy(), np.stack(v["v"].to_numpy()).astype(np.int64), v["vec_id"].to_numpy(), turn, lead, k)
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
+            rows = search_block(np.stack(q["query"].to_numpy()), q["query_id"].to_numpy(), q["bar"].to_numpy(), np.stack(v["v"].to_numpy()), v["vec_id"].to_numpy(), turn, lead, k)
+        return pd.DataFrame([(a, b, Decimal(s)) for a, b, s in rows] if wide else rows, columns=["query_id", "vec_id", "score"])
 
-    places = queries.sparkSession.createDataFrame(blocks, "block long, dim int, greatest double")  # a row per BLOCK vectors
-    near = queries.join(F.broadcast(places) if len(blocks) <= 50_000 else places, "dim").where(F.col("length") * F.col("greatest") * (1 + 1e-9) + 1e-6 >= F.col("bar"))
-    left = near.select("block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("part"), F.col("vec_id").alias("query_id"), "bar", F.col("v").alias("query"))
-    right = vectors.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select("block", F.col("part").cast("long").alias("part"), "vec_id", "dim", "v")
-    right = right.join(places.select("block"), "block", "left_semi")
-    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(pair, "query_id long, vec_id long, score long")
+    blocks = vectors.select("dim", "band", "block").distinct()
+    pairs = stored(live_pairs(queries, bands, blocks), "live-pairs")
+    near = queries.join(pairs, "part").where(F.col("length") * F.col("greatest") * (1 + 1e-9) + 1e-6 >= F.col("bar"))
+    left = near.select("block", "part", F.col("vec_id").alias("query_id"), "bar", F.col("v").alias("query"))
+    right = vectors.join(pairs.select("part", "block"), "block").select("block", "part", "vec_id", "dim", "v")
+    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(pair, f"query_id long, vec_id long, score {score}")
 
 
 def top_inner_products(table: DataFrame, k: int = K, every: int = EVERY, block: int = BLOCK) -> DataFrame:
@@ -140,17 +180,21 @@ def top_inner_products(table: DataFrame, k: int = K, every: int = EVERY, block:
     to the smaller vec_id, over components floor(64 * x).
 
     Rows take no part if vec_id or the vector is null, the vector is empty, or a
-    component is null, not finite or beyond ``LARGEST``.  Vectors of different
-    dimension don't meet.  Rows that share a vec_id are one query each but not
-    each other's candidates; rows repeated exactly are one row.  An empty table
-    gives no rows; other columns are not read.
+    component is null or not finite; all others do, however long.  Scores are
+    ranked exactly up to 38 digits; a score beyond 64 bits is returned as the
+    nearest that fits.  Vectors of different dimension don't meet.  Rows that
+    share a vec_id are one query each but not each other's candidates; rows
+    repeated exactly are one row.  An empty table gives no rows; other columns
+    are not read.
     """
     prepare(table.sparkSession)
     vectors = table.select(F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v")).where("vec_id is not null and v is not null")
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    top = F.greatest(F.array_max(F.transform("v", F.abs)), F.lit(1.0))  # squares of any component stay finite
+    length = F.least(top * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))), F.lit(sys.float_info.max))
     vectors = stored(vectors.dropDuplicates(["vec_id", "v"]).select("vec_id", "v", F.size("v").alias("dim"), length.alias("length")), "vectors")
     turns = {dim: rotation(m) for dim, m in gram(vectors).items()}
-    marks = vectors.groupBy("dim").agg(F.count("*").alias("n"), F.percentile_approx("length", [i / BANDS for i in range(1, BANDS)], 10_000).alias("marks")).collect()
+    marks = vectors.groupBy("dim").agg(F.count("*").alias("n"), F.percentile_approx("length", [i / BANDS for i in range(1, BANDS)], 10_000).alias("marks"), F.max("length").alias("longest")).collect()
+    score = "long" if all(r.longest < NARROW for r in marks) else "decimal(38,0)"
     band = F.lit(0)
     for r in marks:  # at most BANDS numbers a dimension; longest first
         wanted = max(1, min(BANDS, r.n // block))
@@ -160,21 +204,23 @@ def top_inner_products(table: DataFrame, k: int = K, every: int = EVERY, block:
     counts = banded.groupBy("dim", "band").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / block))
     placed = banded.join(F.broadcast(counts.select("dim", "band", "parts")), ["dim", "band"])
     blocked = stored(placed.withColumn("block", F.xxhash64("dim", "band", F.pmod(F.xxhash64("vec_id"), "parts"))).drop("parts"), "blocks")
-    places = blocked.groupBy("block", "dim", "band").agg(F.max("length").alias("greatest")).collect()  # a row per block
-    if not places:
+    bands = blocked.groupBy("dim", "band").agg(F.max("length").alias("greatest"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).collect()  # at most BANDS a dimension
+    if not bands:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     first: dict[int, int] = {}
-    for r in places:
+    for r in bands:
         first[r.dim] = min(r.band, first.get(r.dim, r.band))
-    head = [(r.block, r.dim, r.greatest) for r in places if r.band == first[r.dim]]
-    tail = [(r.block, r.dim, r.greatest) for r in places if r.band != first[r.dim]]
-    queries = blocked.where(F.col("vec_id") % every == 0).select("vec_id", "v", "dim", "length")
-    parts = max(1, -(-queries.count() // QUERIES))
-    lowest = F.lit(float(-(1 << 62)))
-    best = _top(_meet(queries.withColumn("bar", lowest), blocked, turns, head, parts, k), k)
+    table_of = lambda rows: table.sparkSession.createDataFrame([(r.dim, r.band, r.greatest, -(-r.queries // QUERIES)) for r in rows], "dim int, band int, greatest double, parts long")
+    head, tail = ([r for r in bands if (r.band == first[r.dim]) == longest] for longest in (True, False))
+    sizes = F.broadcast(table_of(bands).select("dim", "band", "parts"))
+    queries = blocked.where(F.col("vec_id") % every == 0).join(sizes, ["dim", "band"])
+    queries = queries.select("vec_id", "v", "dim", "length", F.xxhash64("dim", "band", F.pmod(F.xxhash64("vec_id", F.lit(1)), "parts")).alias("part"))
+    lowest = F.lit(-1e300)
+    best = _top(_meet(queries.withColumn("bar", lowest), blocked, turns, table_of(head), k, score), k)
     if tail:
         best = stored(best, "best")
         bars = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("bar"))
         barred = queries.join(bars, "vec_id", "left").withColumn("bar", F.coalesce("bar", lowest))
-        best = _top(best.drop("rank").unionByName(_meet(barred, blocked, turns, tail, parts, k)), k)
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        best = _top(best.drop("rank").unionByName(_meet(barred, blocked, turns, table_of(tail), k, score)), k)
+    fits = F.greatest(F.least(F.col("score"), F.lit(LONGEST)), F.lit(-LONGEST - 1)).cast("long")
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", fits.alias("score"))
