@@ -155,6 +155,18 @@ def live_pairs(queries: DataFrame, bands: DataFrame, blocks: DataFrame) -> DataF
     return live.join(blocks, ["dim", "band"]).select("part", "block", "greatest")
 
 
+def query_groups(bands: list) -> list[tuple[int, int, int, int]]:
+    """(dim, band, group, parts): neighbouring bands share a group until it has
+    QUERIES queries; a band of more is a group that is split in parts."""
+    out, group, held, last = [], 0, 0, None
+    for r in sorted(bands, key=lambda r: (r.dim, r.band)):
+        if r.dim != last or held + r.queries > QUERIES:
+            group, held, last = group + 1, 0, r.dim
+        held += r.queries
+        out.append((r.dim, r.band, group, max(1, -(-r.queries // QUERIES))))
+    return out
+
+
 def _meet(queries: DataFrame, vectors: DataFrame, turns: dict[int, tuple[np.ndarray, int]], bands: DataFrame, k: int, score: str) -> DataFrame:
     """(query_id, vec_id, score) of the vectors in the given bands and the queries that can reach them."""
     wide = score != "long"
@@ -163,7 +175,7 @@ def _meet(queries: DataFrame, vectors: DataFrame, turns: dict[int, tuple[np.ndar
         rows = []
         if len(q) and len(v):
             turn, lead = turns[int(v["dim"].iloc[0])]
-            rows = search_block(np.stack(q["query"].to_numpy()), q["query_id"].to_numpy(), q["bar"].to_numpy(), np.stack(v["v"].to_numpy()), v["vec_id"].to_numpy(), turn, lead, k)
+            rows = search_block(np.stack(q["query"].to_numpy()).astype(float), q["query_id"].to_numpy(), q["bar"].to_numpy(), np.stack(v["v"].to_numpy()).astype(float), v["vec_id"].to_numpy(), turn, lead, k)
         return pd.DataFrame([(a, b, Decimal(s)) for a, b, s in rows] if wide else rows, columns=["query_id", "vec_id", "score"])
 
     blocks = vectors.select("dim", "band", "block").distinct()
@@ -189,8 +201,8 @@ def top_inner_products(table: DataFrame, k: int = K, every: int = EVERY, block:
     """
     prepare(table.sparkSession)
     vectors = table.select(F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v")).where("vec_id is not null and v is not null")
-    top = F.greatest(F.array_max(F.transform("v", F.abs)), F.lit(1.0))  # squares of any component stay finite
-    length = F.least(top * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))), F.lit(sys.float_info.max))
+    # beyond the range of doubles a length is the greatest of them, which prunes nothing
+    length = F.least(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)), F.lit(sys.float_info.max))
     vectors = stored(vectors.dropDuplicates(["vec_id", "v"]).select("vec_id", "v", F.size("v").alias("dim"), length.alias("length")), "vectors")
     turns = {dim: rotation(m) for dim, m in gram(vectors).items()}
     marks = vectors.groupBy("dim").agg(F.count("*").alias("n"), F.percentile_approx("length", [i / BANDS for i in range(1, BANDS)], 10_000).alias("marks"), F.max("length").alias("longest")).collect()
@@ -203,6 +215,8 @@ def top_inner_products(table: DataFrame, k: int = K, every: int = EVERY, block:
     banded = vectors.withColumn("band", band)
     counts = banded.groupBy("dim", "band").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / block))
     placed = banded.join(F.broadcast(counts.select("dim", "band", "parts")), ["dim", "band"])
+    if score == "long":
+        placed = placed.withColumn("v", F.col("v").cast("array<int>"))
     blocked = stored(placed.withColumn("block", F.xxhash64("dim", "band", F.pmod(F.xxhash64("vec_id"), "parts"))).drop("parts"), "blocks")
     bands = blocked.groupBy("dim", "band").agg(F.max("length").alias("greatest"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).collect()  # at most BANDS a dimension
     if not bands:
@@ -210,11 +224,11 @@ def top_inner_products(table: DataFrame, k: int = K, every: int = EVERY, block:
     first: dict[int, int] = {}
     for r in bands:
         first[r.dim] = min(r.band, first.get(r.dim, r.band))
-    table_of = lambda rows: table.sparkSession.createDataFrame([(r.dim, r.band, r.greatest, -(-r.queries // QUERIES)) for r in rows], "dim int, band int, greatest double, parts long")
+    table_of = lambda rows: table.sparkSession.createDataFrame([(r.dim, r.band, r.greatest) for r in rows], "dim int, band int, greatest double")
     head, tail = ([r for r in bands if (r.band == first[r.dim]) == longest] for longest in (True, False))
-    sizes = F.broadcast(table_of(bands).select("dim", "band", "parts"))
+    sizes = F.broadcast(table.sparkSession.createDataFrame(query_groups(bands), "dim int, band int, group int, parts long"))
     queries = blocked.where(F.col("vec_id") % every == 0).join(sizes, ["dim", "band"])
-    queries = queries.select("vec_id", "v", "dim", "length", F.xxhash64("dim", "band", F.pmod(F.xxhash64("vec_id", F.lit(1)), "parts")).alias("part"))
+    queries = queries.select("vec_id", "v", "dim", "length", F.xxhash64("group", F.pmod(F.xxhash64("vec_id", F.lit(1)), "parts")).alias("part"))
     lowest = F.lit(-1e300)
     best = _top(_meet(queries.withColumn("bar", lowest), blocked, turns, table_of(head), k, score), k)
     if tail:
