@@ -41,7 +41,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import prepare, shared_dir, text_bytes, text_steps, whole_text
+from salescope.llm.common import begin, prepare, shared_dir, text_bytes, text_steps, whole_text
 from salescope.llm.hashing import mix, word_hashes
 
 _U = np.uint64
@@ -117,18 +117,24 @@ def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
         fs.move(part, path)
 
 
-def map_array(folder: str, name: str, kind: str, dtype) -> np.ndarray:
-    """Memory-map an array.  A store that can't be mapped is copied first, to a
+def _kind_of(dtype, size: int, n: int | None) -> np.dtype:
+    """The type of n numbers in so many bytes: the given one, or 64 bits (see ``narrow``)."""
+    return np.dtype(np.uint64) if n and size == 8 * n and np.dtype(dtype).itemsize == 4 else np.dtype(dtype)
+
+
+def map_array(folder: str, name: str, kind: str, dtype, n: int | None = None) -> np.ndarray:
+    """Memory-map an array (of n numbers).  A store that can't be mapped is copied first, to a
     local file that is unlinked at once and goes with the mapping."""
     fs, root = _store(folder)
     path = f"{root}/{name}.{kind}"
     if isinstance(fs, pafs.LocalFileSystem):
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.empty(0, dtype)
+        size = os.path.getsize(path)
+        return np.memmap(path, _kind_of(dtype, size, n), "r") if size else np.empty(0, dtype)
     with tempfile.NamedTemporaryFile() as local:
         with fs.open_input_stream(path) as source:
             shutil.copyfileobj(source, local, 1 << 22)
         local.flush()
-        return np.memmap(local.name, dtype, "r") if local.tell() else np.empty(0, dtype)
+        return np.memmap(local.name, _kind_of(dtype, local.tell(), n), "r") if local.tell() else np.empty(0, dtype)
 
 
 class Shards:
@@ -138,11 +144,11 @@ class Shards:
         self.shards = shards
         values = {k: t for k, t in FILES[kind.rstrip("0123456789")].items() if k != "hash"}
         self.keys = [map_array(folder, f"{kind}-{i}", "hash", _U) for i in range(shards)]
-        self.values = {v: [map_array(folder, f"{kind}-{i}", v, t) for i in range(shards)] for v, t in values.items()}
+        self.values = {v: [map_array(folder, f"{kind}-{i}", v, t, len(self.keys[i])) for i in range(shards)] for v, t in values.items()}
 
     def find(self, hashes: np.ndarray) -> dict[str, np.ndarray]:
         """The values of ascending hashes; 0 for those that aren't there."""
-        out = {v: np.zeros(len(hashes), parts[0].dtype) for v, parts in self.values.items()}
+        out = {v: np.zeros(len(hashes), np.result_type(*parts)) for v, parts in self.values.items()}
         shard = (hashes % _U(self.shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
@@ -216,10 +222,8 @@ def _summed(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, li
 
 
 def narrow(counts: np.ndarray) -> np.ndarray:
-    """Counts in 32 bits; raises where one doesn't fit (4 billion distinct neighbours of a word, or tokens of a shard)."""
-    if len(counts) and counts.max() >= 1 << 32:
-        raise OverflowError("a count beyond 32 bits")
-    return counts.astype(np.uint32)
+    """Counts in 32 bits, or in 64 where one doesn't fit: who reads them tells by the bytes of each."""
+    return counts.astype(np.uint64 if len(counts) and counts.max() >= 1 << 32 else np.uint32)
 
 
 def _dealt(df: DataFrame, shards: int) -> DataFrame:
@@ -279,7 +283,10 @@ def fit(rows: DataFrame, order: int = 2) -> dict:
 
     def contexts(shard: int, held: dict, k: int) -> None:
         if k <= order:
-            hashes, *values = _joined(held.get(CONTEXTS), [_U, np.int64, np.uint32, np.uint32, np.uint32])
+            rows = held.get(CONTEXTS) or []
+            kinds = [np.result_type(t, *(_kind_of(t, len(r[i]), len(r[0]) // 8) for r in rows)) for i, t in enumerate([_U, np.int64, np.uint32, np.uint32, np.uint32])]
+            rows = [[x if len(x) == t.itemsize * (len(r[0]) // 8) else np.frombuffer(x, np.uint32).astype(t).tobytes() for x, t in zip(r, kinds, strict=True)] for r in rows]
+            hashes, *values = _joined(rows, kinds)
             hashes, (total, *kinds) = _summed(hashes, values)
             write_arrays(folder, f"context{k}-{shard}", {"hash": hashes, "total": total, **{n: narrow(c) for n, c in zip(("one", "two", "more"), kinds, strict=True)}})
 
@@ -298,7 +305,7 @@ def fit(rows: DataFrame, order: int = 2) -> dict:
                 grams, first, at = np.unique(chain_hash(columns), return_index=True, return_inverse=True)
                 total = np.bincount(at, weights=count, minlength=len(grams)).astype(np.int64)
                 columns = [c[first] for c in columns]
-                write_arrays(folder, f"gram{k}-{shard}", {"hash": grams, "count": np.minimum(total, 2**32 - 1).astype(np.uint32)})
+                write_arrays(folder, f"gram{k}-{shard}", {"hash": grams, "count": narrow(total)})
                 yield _numbers(shard, np.array([k, *_kinds(total)]))
                 if k == order:
                     words, (counts,) = _summed(columns[-1], [total])
@@ -395,6 +402,7 @@ def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
     model = fit(rows.where(~F.col("held_out")).select("text"), order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language model")
         scorer = Scorer(model)
         for step in text_steps(batches, "text", SCORE_BYTES):
             tokens, before, counts = tokens_of(step, order)

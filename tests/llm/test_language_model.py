@@ -123,3 +123,13 @@ def test_orders_against_brute_force(spark, order, monkeypatch):
     want = brute_scores(rows, order)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got)
     assert [k for k, _ in got] == [k for k, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-9)
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    assert L.narrow(np.array([1, 2**32 - 1])).dtype == np.uint32 and L.narrow(np.array([1, 2**32])).dtype == np.uint64
+    counts = {2: 7, 3: 2**33 + 1, 4: 2**32 - 1, 5: 9}
+    for shard in (0, 1):
+        own = np.array([h for h in counts if h % 2 == shard], np.uint64)
+        L.write_arrays(str(tmp_path), f"gram2-{shard}", {"hash": own, "count": L.narrow(np.array([counts[int(h)] for h in own]))})
+    found = L.Shards(str(tmp_path), "gram2", 2).find(np.arange(1, 7, dtype=np.uint64))["count"]
+    assert found.tolist() == [0, 7, 2**33 + 1, 2**32 - 1, 9, 0]
