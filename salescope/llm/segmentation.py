@@ -32,9 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import begin, cached, latest, prepare
+from salescope.llm.common import begin, cached, latest, prepare, text_steps
 
 K, ALPHA, SEED = 3, 0.5, 17
+#: Bytes of text whose samples are held at once.
+STEP_BYTES = 1 << 18
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Word lattices that a worker keeps, and the longest word kept.
@@ -100,7 +102,7 @@ class Vocabulary:
 
 def sample(vocabulary: Vocabulary, text: str, k: int, rng: random.Random) -> list[tuple[list[int], float, float, float]]:
     """Up to k distinct segmentations (ids, log probability, perturbed log
-    probability, inclusion probability) in falling perturbed order."""
+    probability, log inclusion probability) in falling perturbed order."""
     words = [vocabulary.lattice(w) for w in WORD.findall(marked(text))]
     log, exp, log1p, uniform = math.log, math.exp, math.log1p, rng.random
     order = count()
@@ -134,7 +136,16 @@ def sample(vocabulary: Vocabulary, text: str, k: int, rng: random.Random) -> lis
             parts.append(ids)
         out.append(([i for ids in reversed(parts) for i in ids], phi, top))
     threshold = -heap[0][0] if heap else -math.inf
-    return [(ids, phi, top, 1.0 if threshold == -math.inf else -math.expm1(-exp(min(700.0, phi - threshold)))) for ids, phi, top in out]
+    return [(ids, phi, top, log_inclusion(phi - threshold)) for ids, phi, top in out]
+
+
+def log_inclusion(above: float) -> float:
+    """log(1 - exp(-exp(above))): that of a segmentation whose log probability
+    lies so far above the threshold.  It stays finite where the probability of a
+    long text's segmentation is too small for a number."""
+    if above > 6:
+        return -math.exp(-math.exp(min(above, 700.0)))
+    return math.log(-math.expm1(-math.exp(above))) if above > -30 else above
 
 
 def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
@@ -157,7 +168,8 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
 
 def sample_segmentations(table: DataFrame, keys: list[str], k: int = K, alpha: float = ALPHA, seed: int = SEED, model_path: str | None = None) -> DataFrame:
     """k distinct sampled segmentations of every row's text: the keys, sample
-    (from 1), ids, log_prob, perturbed, inclusion, and whether decoding the ids
+    (from 1), ids, log_prob, perturbed, inclusion, log_inclusion (finite where a long
+    text's inclusion is too small for a number), and whether decoding the ids
     gives the text back (false only where the text holds a space mark itself).
 
     keys are integer columns.  A null text counts as empty: its one segmentation
@@ -177,18 +189,18 @@ def sample_segmentations(table: DataFrame, keys: list[str], k: int = K, alpha: f
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("segmentation")
         vocabulary = latest("vocabulary", name, lambda: Vocabulary(model_path, counts.value, alpha))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, out = batch.slice(at, 256), []
+        for step in text_steps(batches, "text", STEP_BYTES):
+            for at in range(0, step.num_rows, 256):
+                part, out = step.slice(at, 256), []
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     digest = hashlib.blake2b(repr((seed, key, text)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                    for n, (ids, phi, top, inclusion) in enumerate(sample(vocabulary, text, k, random.Random(int.from_bytes(digest, "little")))):
-                        out.append((key, n + 1, ids, phi, top, inclusion, vocabulary.decode(ids) == text))
+                    for n, (ids, phi, top, included) in enumerate(sample(vocabulary, text, k, random.Random(int.from_bytes(digest, "little")))):
+                        out.append((key, n + 1, ids, phi, top, math.exp(included), included, vocabulary.decode(ids) == text))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), KINDS, strict=True)], names=NAMES)
 
-    done = rows.mapInArrow(run, "keys array<long>, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, round_trip boolean")
+    done = rows.mapInArrow(run, "keys array<long>, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, log_inclusion double, round_trip boolean")
     return done.select(*[F.col("keys")[i].alias(c) for i, c in enumerate(keys)], *NAMES[1:])
 
 
-NAMES = ["keys", "sample", "ids", "log_prob", "perturbed", "inclusion", "round_trip"]
-KINDS = [pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
+NAMES = ["keys", "sample", "ids", "log_prob", "perturbed", "inclusion", "log_inclusion", "round_trip"]
+KINDS = [pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]

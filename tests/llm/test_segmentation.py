@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from salescope.llm.queries import op10_segmentation
-from salescope.llm.segmentation import Vocabulary, marked, piece_counts, sample, sample_segmentations
+from salescope.llm.segmentation import Vocabulary, log_inclusion, marked, piece_counts, sample, sample_segmentations
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 SP = sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -43,9 +43,9 @@ def test_samples_follow_the_distribution_without_replacement():
     for n in range(rounds):
         got = sample(VOCABULARY, text, 3, random.Random(n))
         assert len({tuple(g[0]) for g in got}) == 3 and [g[2] for g in got] == sorted((g[2] for g in got), reverse=True)
-        for ids, phi, _, inclusion in got:
-            assert abs(phi - true[tuple(ids)]) < 1e-9 and 0 < inclusion <= 1
-            seen += math.exp(phi) / inclusion / rounds
+        for ids, phi, _, included in got:
+            assert abs(phi - true[tuple(ids)]) < 1e-9 and included <= 0
+            seen += math.exp(phi - included) / rounds
         first[tuple(got[0][0])] += 1
     assert abs(seen - 1) < 0.05  # the inclusion scores make an unbiased sum
     for ids, phi in true.items():
@@ -56,7 +56,7 @@ def test_samples_follow_the_distribution_without_replacement():
 def test_all_segmentations_when_there_are_few():
     true = every(VOCABULARY, "ab")
     got = sample(VOCABULARY, "ab", 1000, random.Random(1))
-    assert {tuple(g[0]) for g in got} == set(true) and all(g[3] == 1 for g in got)
+    assert {tuple(g[0]) for g in got} == set(true) and all(g[3] == 0 for g in got)
     assert [SP.decode(g[0]) for g in got] == ["ab"] * len(true)
 
 
@@ -68,6 +68,25 @@ def test_round_trip(text):
     assert VOCABULARY.decode(SP.encode(text)) == text or "\0" in text or SP.unk_id() in SP.encode(text)
 
 
+def test_log_inclusion_stays_finite():
+    for above in (-5.0, -1.0, 0.0, 2.0):
+        assert math.isclose(log_inclusion(above), math.log(1 - math.exp(-math.exp(above))), rel_tol=1e-9)
+    assert log_inclusion(math.inf) == 0 and log_inclusion(-2000.0) == -2000.0 and log_inclusion(800.0) == 0 and math.isclose(log_inclusion(-30.1), -30.1)
+
+
+def test_samples_of_a_table_against_enumeration(spark):
+    texts = ["a then", "on the", "ab", "é a", "", "hello"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    own = Vocabulary(PATH, piece_counts(table, PATH))
+    got = sample_segmentations(table, ["doc_id"], k=4).collect()
+    for i, text in enumerate(texts):
+        true, rows = every(own, text), sorted((r for r in got if r.doc_id == i), key=lambda r: r["sample"])
+        assert len(rows) == min(4, len(true)) == len({tuple(r.ids) for r in rows}) and [r["sample"] for r in rows] == list(range(1, len(rows) + 1))
+        assert [r.perturbed for r in rows] == sorted((r.perturbed for r in rows), reverse=True)
+        for r in rows:
+            assert abs(r.log_prob - true[tuple(r.ids)]) < 1e-9 and math.isclose(r.inclusion, math.exp(r.log_inclusion)) and (len(true) > 4 or r.inclusion == 1)
+
+
 def test_rows(spark):
     rows = [(1, 0, "hello  there\n", "x"), (1, 0, "hello  there\n", "x"), (None, 1, None, "x"), (2, 0, "", "x"), (3, 0, "w" * 30_000, "x"), (4, 0, "a▁b", "x")]
     table = spark.createDataFrame(rows, "conv_id long, turn int, text string, ids string").repartition(3)
