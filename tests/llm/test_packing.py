@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from salescope.llm.packing import encoder, pack, pack_documents
+from salescope.llm.packing import FirstFit, encoder, pack, pack_documents
 
 HF = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -38,6 +38,17 @@ def test_pack_cuts_every_document_once_and_pads_nothing(lengths, seq_len):
     check_pieces(lengths, pack(lengths, seq_len), seq_len)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 100), min_size=1, max_size=70))
+def test_tree_places_as_plain_first_fit(sizes):
+    sizes.sort(reverse=True)
+    tree, rooms = FirstFit(len(sizes), 100), [100] * len(sizes)
+    for size in sizes:
+        first = next(i for i, room in enumerate(rooms) if room >= size)
+        rooms[first] -= size
+        assert tree.place(size) == first
+
+
 def test_first_fit_keeps_most_remainders_whole():
     lengths = np.random.default_rng(1).integers(1, 1024, 4000).tolist()
     assert len(pack(lengths)) < 1.25 * len(lengths)

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from salescope.llm.toxicity import Trainer, highest, keep_clean, score_toxicity, two_highest, with_score
+from salescope.llm.toxicity import BUCKETS, WINDOW, Model, Trainer, highest, keep_clean, score_toxicity, subwords, two_highest, with_score
 
 BAD = ["scumbag", "worthless", "pathetic", "disgusting"]
 
@@ -62,3 +62,24 @@ def test_edge_rows(spark):
     assert score_toxicity(docs, known.limit(0)).count() == len(rows)
     model = Trainer([], np.array([], dtype=np.int64)).train()
     assert with_score(docs, model).count() == len(rows)
+
+
+def test_scores_against_plain_windows(spark):
+    # every window of a text scored word by word, as the operator's caches and sums must
+    rng = np.random.default_rng(2)
+    model = Model(rng.normal(size=BUCKETS).astype(np.float32), (2.0, 0.7), -0.3)
+    texts = ["", "one", "one two", "One, two! three", "a b c d e f g h a b c", " x  y " * 40]
+
+    def plain(text):
+        words = [float(model.rows[subwords(w)].mean()) for w in text.split()]
+        if len(words) <= WINDOW:
+            first, at = (sum(words) / len(words) if words else 0.0), 0
+        else:
+            means = [sum(words[i : i + WINDOW]) / WINDOW for i in range(len(words) - WINDOW + 1)]
+            first, at = max(means), int(np.argmax(np.round(means, 9)))
+        rest = [max(sum(p[i : i + WINDOW]) / len(p[i : i + WINDOW]) for i in range(max(1, len(p) - WINDOW + 1))) for p in (words[:at], words[at + WINDOW :]) if len(p) >= WINDOW]
+        return 1 / (1 + np.exp(-(model.slopes[0] * first + model.slopes[1] * max(rest, default=0.0) + model.shift)))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.toxicity_score for r in with_score(docs, model).collect()}
+    assert all(abs(got[i] - plain(t)) < 1e-6 for i, t in enumerate(texts))
