@@ -24,8 +24,9 @@ import math
 import random
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.llm.common import begin, cached, latest, prepare, text_steps
+from salescope.llm.hashing import mix
 
+_U = np.uint64
 K, ALPHA, SEED = 3, 0.5, 17
-#: Bytes of text whose samples are held at once.
-STEP_BYTES = 1 << 18
+#: Bytes of text whose lattices and samples are held at once.
+STEP_BYTES = 1 << 20
+#: Lock-step rounds with fewer rows than this go on row by row.
+FEW = 24
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-#: Word lattices that a worker keeps, and the longest word kept.
-CACHE_WORDS, CACHE_CHARS = 60_000, 40
 BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -58,8 +61,15 @@ def marked(text: str) -> str:
     return SPACE + text.replace(" ", SPACE)
 
 
+def words_of(text: str) -> list[str]:
+    """The text's words without the space mark that each begins with."""
+    if "  " in text or SPACE in text or text[:1] == " ":
+        return [w[1:] for w in WORD.findall(marked(text))]
+    return text.split(" ")
+
+
 class Vocabulary:
-    """Pieces and their log probabilities; ``decode`` undoes any segmentation."""
+    """Pieces, their log probabilities and their trie; ``decode`` undoes any segmentation."""
 
     def __init__(self, model_path: str, counts: dict[int, int], alpha: float = ALPHA):
         sp = processor(model_path)
@@ -67,76 +77,280 @@ class Vocabulary:
         total = math.log(sum(counts.values()) + n)
         self.names = [sp.id_to_piece(i) for i in range(n)]
         self.bytes = {int(BYTE.fullmatch(p)[1], 16): i for i, p in enumerate(self.names) if sp.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        byte_of = {i: b for b, i in self.bytes.items()}
+        self.data = [bytes([byte_of[i]]) if i in byte_of else p.replace(SPACE, " ").encode() for i, p in enumerate(self.names)]
         self.log = [alpha * (math.log(counts.get(i, 0) + 1) - total) for i in range(n)]
         self.ids = {p: i for i, p in enumerate(self.names) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
-        self.longest = max(map(len, self.ids))
-        self.kept: dict[str, list] = {}
-
-    def lattice(self, word: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """For each place in the word its edges: end, ids, log of the branching probability."""
-        if word in self.kept:
-            return self.kept[word]
-        n, onward = len(word), [0.0] * (len(word) + 1)
-        out: list = [None] * n
-        for at in reversed(range(n)):
-            edges = [(end, (i,), self.log[i]) for end in range(at + 1, min(n, at + self.longest) + 1) if (i := self.ids.get(word[at:end])) is not None]
-            if not edges or edges[0][0] != at + 1:
-                ids = tuple(self.bytes[b] for b in word[at].encode())
-                edges.insert(0, (at + 1, ids, sum(self.log[i] for i in ids)))
-            logs = [p + onward[end] for end, _, p in edges]
-            most = max(logs)
-            onward[at] = most + math.log(sum(math.exp(x - most) for x in logs))
-            out[at] = [(end, ids, x - onward[at]) for (end, ids, _), x in zip(edges, logs, strict=True)]
-        if n <= CACHE_CHARS:
-            if len(self.kept) >= CACHE_WORDS:
-                self.kept.clear()
-            self.kept[word] = out
-        return out
+        nodes: dict[tuple[int, int], int] = {}
+        piece = [-1]
+        for name, i in self.ids.items():
+            node = 0
+            for c in map(ord, name):
+                if (node, c) not in nodes:
+                    nodes[node, c] = len(piece)
+                    piece.append(-1)
+                node = nodes[node, c]
+            piece[node] = i
+        #: The piece that ends at a node (-1: none), whether it has children, and its children by node and character.
+        self.piece, self.inner = np.array(piece, np.int64), np.zeros(len(piece), bool)
+        self.inner[[node for node, _ in nodes]] = True
+        keys = sorted((node << 21 | c, child) for (node, c), child in nodes.items())
+        self.keys, self.child = (np.array(x, np.int64) for x in zip(*keys, strict=True))
+
+    def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The child of each node by a character; 0 where there is none."""
+        key = node << 21 | char
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.child[at], 0)
 
     def decode(self, ids: list[int]) -> str:
         """The text of any segmentation (a space mark in the source reads as a space)."""
-        data = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.names[i].encode() for i in ids)
-        return data.decode(errors="replace").replace(SPACE, " ")[1:]
+        return self.join(ids)[1:].decode(errors="replace")
+
+    def join(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.data.__getitem__, ids))
+
+
+class Lattices:
+    """The lattices of distinct words in flat arrays.
+
+    Places (characters) are numbered by their distance from the word's end, so
+    that the sums over all ways onward are one vectorised round per distance;
+    END is the place behind every word.  The edges of a place stand together:
+    ``first`` and ``counts`` by place, ``owner`` (place), ``target`` (place),
+    ``piece`` (an id, or beyond the vocabulary a character spelled in bytes) and
+    ``steps`` (log of the branching probability) by edge.  ``marks`` holds the
+    place in its upper half and the running probability in its lower one, in
+    units of 2**-32, so that one binary search draws an edge of any place.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, words: list[str]):
+        v, lengths = vocabulary, np.fromiter(map(len, words), np.int64, len(words)) + 1
+        chars = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64)
+        ends, n = np.cumsum(lengths), len(chars)
+        left = np.repeat(ends, lengths) - np.arange(n)
+        distinct, which = np.unique(chars, return_inverse=True)
+        node = v.step(np.zeros_like(distinct), distinct)
+        odd = np.flatnonzero(v.piece[node] < 0)  # characters without a piece
+        spelled = [[v.bytes[b] for b in chr(c).encode()] for c in distinct[odd].tolist()]
+        number = np.full(len(distinct), -1)
+        number[odd] = len(v.names) + np.arange(len(odd))
+        at = np.flatnonzero(number[which] >= 0)
+        parts, node, depth = [(at, np.ones_like(at), number[which[at]])], node[which], 1
+        at = np.flatnonzero(node)
+        node = node[at]
+        while len(at):
+            hit = v.piece[node] >= 0
+            parts.append((at[hit], np.full(int(hit.sum()), depth), v.piece[node[hit]]))
+            more = v.inner[node] & (left[at] > depth)
+            at = at[more]
+            node = v.step(node[more], chars[at + depth])
+            at, node, depth = at[node > 0], node[node > 0], depth + 1
+        place, size, piece = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by = np.argsort(left, kind="stable")
+        rank = np.empty(n + 1, np.int64)
+        rank[by], rank[n] = np.arange(n), n
+        order = np.lexsort((size, rank[place]))
+        place, size, self.piece = place[order], size[order], piece[order]
+        self.end, self.start, self.owner = n, rank[ends - lengths], rank[place]
+        self.target = np.where(size == left[place], n, rank[np.minimum(place + size, n)])
+        self.counts = np.bincount(self.owner, minlength=n)
+        self.first = np.cumsum(self.counts) - self.counts
+        self.width = np.array([1] * len(v.names) + [len(x) for x in spelled], np.int64)
+        self.spelling = np.array([*range(len(v.names)), *chain(*spelled)], np.int32)
+        self.spelled_at = np.cumsum(self.width) - self.width
+        logs = np.array([*v.log, *(sum(v.log[i] for i in x) for x in spelled)])[self.piece]
+        self._onward(logs, np.append(np.searchsorted(left[by], np.arange(1, left.max(initial=0) + 1)), n))
+        self._draws()
+
+    def _onward(self, logs: np.ndarray, cuts: np.ndarray) -> None:
+        """steps, from the places nearest to a word's end to the farthest."""
+        onward, edge = np.zeros(self.end + 1), np.append(self.first, len(logs))
+        for low, high in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+            a, b = edge[low], edge[high]
+            x = logs[a:b] + onward[self.target[a:b]]
+            starts = self.first[low:high] - a
+            most = np.maximum.reduceat(x, starts)
+            onward[low:high] = most + np.log(np.add.reduceat(np.exp(x - most[self.owner[a:b] - low]), starts))
+        self.steps = np.minimum(logs + onward[self.target] - onward[self.owner], 0.0)
+
+    def _draws(self) -> None:
+        part, at, j = np.exp(self.steps), np.flatnonzero(self.counts > 1), 1
+        while len(at):
+            part[self.first[at] + j] += part[self.first[at] + j - 1]
+            j += 1
+            at = at[self.counts[at] > j]
+        part[self.first + self.counts - 1] = 1.0
+        self.marks = (self.owner << 32) + np.minimum(part * 2.0**32, 2.0**32).astype(np.int64)
+
+    def walk(self, place: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Draw a way from each place to its word's end: the edges, end to end,
+        and how many each has.  state (64 bits each) seeds the draws."""
+        size, rounds, row = np.zeros(len(place), np.int64), [], np.arange(len(place))
+        while len(row) >= FEW:
+            state = state * _U(6364136223846793005) + _U(1442695040888963407)
+            edge = np.searchsorted(self.marks, (place << 32) + ((state ^ state >> _U(29)) >> _U(32)).astype(np.int64), side="right")
+            rounds.append((row, edge))
+            size[row] += 1
+            place = self.target[edge]
+            on = place != self.end
+            row, place, state = row[on], place[on], state[on]
+        tails = [self._tail(*x) for x in zip(place.tolist(), state.tolist(), strict=True)]
+        size[row] += np.fromiter(map(len, tails), np.int64, len(tails))
+        starts = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.int64)
+        for n, (rows, edge) in enumerate(rounds):
+            out[starts[rows] + n] = edge
+        for r, edges in zip(row.tolist(), tails, strict=True):
+            out[starts[r] + len(rounds) : starts[r] + size[r]] = edges
+        return out, size
+
+    def _tail(self, place: int, state: int) -> list[int]:
+        """``walk`` of one row."""
+        out = []
+        while place != self.end:
+            state = (state * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
+            low = int(self.first[place])
+            high = low + int(self.counts[place])
+            edge = low + int(np.searchsorted(self.marks[low:high], (place << 32) + ((state ^ state >> 29) >> 32 & 0xFFFFFFFF), side="right"))
+            out.append(edge)
+            place = int(self.target[edge])
+        return out
+
+    def ids(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of edges end to end, and how many each edge has."""
+        piece = self.piece[edges]
+        width = self.width[piece]
+        return self.spelling[np.repeat(self.spelled_at[piece] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))], width
+
+
+class Search:
+    """Perturbed best-first search over one text's lattice.
+
+    A node of the queue is either a branch (all ways through one edge off a
+    path already sampled) or what is left beside a sampled way behind some place
+    of it, split only when it comes up: at the next branching into the edges
+    beside the way and the rest behind it.
+    """
+
+    def __init__(self, lattices: Lattices, seed: int):
+        self.lattices, self.uniform, self.order = lattices, random.Random(seed).random, count()
+        self.queue: list = []
+        self.found: list[tuple[np.ndarray, float, float]] = []
+        self.top, self.from_, self.phi = self.gumbel(), 0, 0.0
+
+    def gumbel(self) -> float:
+        return -math.log(-math.log(self.uniform() or 1e-300))
+
+    def push(self, value: float, phi: float, way: int, at: int, edge: int | None) -> None:
+        heapq.heappush(self.queue, (-value, next(self.order), phi, way, at, edge))
+
+    def branching(self, edges: np.ndarray, at: int) -> int | None:
+        """The first place of a way from ``at`` on that has a choice."""
+        x = self.lattices
+        while at < len(edges):
+            ahead = np.flatnonzero(x.counts[x.owner[edges[at : at + 16]]] > 1)
+            if len(ahead):
+                return at + int(ahead[0])
+            at += 16
+        return None
+
+    def beside(self, way: int, at: int, phi: float) -> float:
+        """Log probability of all ways that part from a sampled one behind ``at``."""
+        edges, total, _ = self.found[way]
+        x = total - phi
+        if x > -1e-3:
+            x = float(self.lattices.steps[edges[at:]].sum())
+            if x > -1e-12:  # nearly all goes the same way: add up what doesn't
+                lat, off = self.lattices, 0.0
+                for e in edges[at:].tolist():
+                    low = int(lat.first[lat.owner[e]])
+                    off += sum(math.exp(lat.steps[i]) for i in range(low, low + int(lat.counts[lat.owner[e]])) if i != e)
+                return phi + math.log(off) if off else -math.inf
+        return phi + math.log(-math.expm1(x))
+
+    def add(self, edges: np.ndarray) -> None:
+        """Take the whole way sampled for the branch that came up last."""
+        self.found.append((edges, float(self.lattices.steps[edges].sum()), self.top))
+        at = self.branching(edges, self.from_)
+        if at is not None:
+            left = self.beside(len(self.found) - 1, at, self.phi)
+            if left > -math.inf:
+                self.push(-float(np.logaddexp(-self.top, math.log(-math.log(self.uniform() or 1e-300)) - left)), self.phi, len(self.found) - 1, at, None)
+
+    def advance(self) -> tuple[np.ndarray, int] | None:
+        """The beginning of the next way and the edge behind it; None when there is none."""
+        x = self.lattices
+        while self.queue:
+            minus, _, phi, way, at, edge = heapq.heappop(self.queue)
+            edges = self.found[way][0]
+            if edge is not None:
+                self.top, self.from_, self.phi = -minus, at + 1, phi
+                return edges[:at], edge
+            taken = int(edges[at])
+            low = int(x.first[x.owner[taken]])
+            steps = x.steps[low : low + int(x.counts[x.owner[taken]])].tolist()
+            nodes = [(phi + s, at, low + i) for i, s in enumerate(steps) if low + i != taken]
+            after = phi + steps[taken - low]
+            behind = self.branching(edges, at + 1)
+            if behind is not None:
+                nodes.append((after, behind, None))
+            draws = [(p if e is not None else self.beside(way, a, p)) + self.gumbel() for p, a, e in nodes]
+            z, top = max(draws), -minus
+            for g, (p, a, e) in zip(draws, nodes, strict=True):
+                if g == z:
+                    self.push(top, p, way, a, e)
+                elif g > -math.inf:
+                    d = top - g + math.log1p(-math.exp(g - z))
+                    self.push(top - max(0.0, d) - math.log1p(math.exp(-abs(d))), p, way, a, e)
+        return None
+
+    def threshold(self) -> float:
+        return -self.queue[0][0] if self.queue else -math.inf
+
+
+def sample_texts(vocabulary: Vocabulary, texts: list[str], k: int, seeds: list[int]) -> tuple[Lattices, list[Search]]:
+    """Sample up to k ways through the lattice of each text.  The first ways of
+    all texts are drawn in lock-step, then the second, and so on."""
+    words = [words_of(t) for t in texts]
+    number = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(words)))}
+    lattices = Lattices(vocabulary, list(number))
+    places = [lattices.start[np.fromiter(map(number.__getitem__, w), np.int64, len(w))] for w in words]
+    del words, number
+    searches = [Search(lattices, s) for s in seeds]
+    nothing = np.empty(0, np.int64)
+    live = [(i, nothing, 0, places[i]) for i in range(len(texts))]
+    for n in range(k):
+        if n:
+            todo = [(i, x) for i, *_ in live if (x := searches[i].advance()) is not None]
+            live = []
+            for i, (before, edge) in todo:
+                before = np.append(before, edge)
+                word = int(np.count_nonzero(lattices.target[before] == lattices.end))
+                ahead = places[i][word:]
+                if lattices.target[edge] != lattices.end:
+                    ahead = ahead.copy()
+                    ahead[0] = lattices.target[edge]
+                live.append((i, before, word, ahead))
+        if not live:
+            break
+        sizes = np.array([len(x[3]) for x in live])
+        starts = np.cumsum(sizes) - sizes
+        at = np.arange(int(sizes.sum())) + np.repeat(np.array([x[2] for x in live]) - starts, sizes)
+        base = mix(np.array([seeds[i] for i, *_ in live], _U) + _U(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        edges, size = lattices.walk(np.concatenate([x[3] for x in live]), mix(np.repeat(base, sizes) + at.astype(_U) * _U(0xD6E8FEB86659FD93)))
+        cuts = np.append(0, np.cumsum(size))
+        for (i, before, _, _), low, high in zip(live, cuts[starts], cuts[starts + sizes], strict=True):
+            searches[i].add(np.concatenate([before, edges[low:high]]))
+    return lattices, searches
 
 
 def sample(vocabulary: Vocabulary, text: str, k: int, rng: random.Random) -> list[tuple[list[int], float, float, float]]:
-    """Up to k distinct segmentations (ids, log probability, perturbed log
-    probability, log inclusion probability) in falling perturbed order."""
-    words = [vocabulary.lattice(w) for w in WORD.findall(marked(text))]
-    log, exp, log1p, uniform = math.log, math.exp, math.log1p, rng.random
-    order = count()
-    # a node: -perturbed, tie breaker, log probability, word, place, path (before, ids)
-    heap: list = [(log(-log(uniform() or 1e-300)), next(order), 0.0, 0, 0, None)]
-    out: list = []
-    while heap and len(out) < k:
-        minus, _, phi, w, at, path = heapq.heappop(heap)
-        top = -minus
-        while w < len(words):
-            edges = words[w][at]
-            if len(edges) == 1:
-                end, ids, step = edges[0]
-            else:
-                draws = [phi + e[2] - log(-log(uniform() or 1e-300)) for e in edges]
-                z = max(draws)
-                best = draws.index(z)
-                for i, g in enumerate(draws):
-                    if i != best:
-                        end, ids, step = edges[i]
-                        v = top - g + log1p(-exp(g - z)) if g < z else -math.inf
-                        value = top - max(0.0, v) - log1p(exp(-abs(v)))
-                        last = end == len(words[w])
-                        heapq.heappush(heap, (-value, next(order), phi + step, w + last, 0 if last else end, (path, ids)))
-                end, ids, step = edges[best]
-            phi, path = phi + step, (path, ids)
-            w, at = (w + 1, 0) if end == len(words[w]) else (w, end)
-        parts = []
-        while path is not None:
-            path, ids = path
-            parts.append(ids)
-        out.append(([i for ids in reversed(parts) for i in ids], phi, top))
-    threshold = -heap[0][0] if heap else -math.inf
-    return [(ids, phi, top, log_inclusion(phi - threshold)) for ids, phi, top in out]
+    """Up to k distinct segmentations of one text (ids, log probability, perturbed
+    log probability, log inclusion probability) in falling perturbed order."""
+    lattices, (search,) = sample_texts(vocabulary, [text], k, [rng.getrandbits(64)])
+    return [(lattices.ids(edges)[0].tolist(), phi, top, log_inclusion(phi - search.threshold())) for edges, phi, top in search.found]
 
 
 def log_inclusion(above: float) -> float:
@@ -154,11 +368,15 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
     prepare(table.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("segmentation")
         sp = processor(model_path)
         total = np.zeros(sp.get_piece_size(), np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                total += np.bincount(np.array(sp.encode(text.as_py()), dtype=np.int64), minlength=len(total))
+        for step in text_steps(batches, "text", STEP_BYTES):
+            # pieces never cross words, so each distinct word is segmented once
+            words = Counter(chain.from_iterable(map(words_of, step.column(0).to_pylist())))
+            pieces = sp.encode(list(words))
+            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, pieces), np.int64, len(words)))
+            np.add.at(total, np.fromiter(chain.from_iterable(pieces), np.int64, len(times)), times)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids])], names=["id", "n"])
 
@@ -166,6 +384,22 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
     return {r.id: r.n for r in texts.mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
+def _batch(vocabulary: Vocabulary, lattices: Lattices, searches: list[Search], keys: list, texts: list[str]) -> pa.RecordBatch:
+    """The rows of some texts."""
+    out, parts, sizes = [], [], []
+    for search, key, text in zip(searches, keys, texts, strict=True):
+        data, threshold = text.encode(), search.threshold()
+        for n, (edges, phi, top) in enumerate(search.found):
+            ids, _ = lattices.ids(edges)
+            included = log_inclusion(phi - threshold)
+            parts.append(ids)
+            sizes.append(len(ids))
+            out.append((key, n + 1, phi, top, math.exp(included), included, vocabulary.join(ids.tolist())[1:] == data))
+    columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), KINDS[:2] + KINDS[3:], strict=True)]
+    columns.insert(2, pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(np.concatenate(parts), pa.int32())))
+    return pa.RecordBatch.from_arrays(columns, names=NAMES)
+
+
 def sample_segmentations(table: DataFrame, keys: list[str], k: int = K, alpha: float = ALPHA, seed: int = SEED, model_path: str | None = None) -> DataFrame:
     """k distinct sampled segmentations of every row's text: the keys, sample
     (from 1), ids, log_prob, perturbed, inclusion, log_inclusion (finite where a long
@@ -190,13 +424,11 @@ def sample_segmentations(table: DataFrame, keys: list[str], k: int = K, alpha: f
         begin("segmentation")
         vocabulary = latest("vocabulary", name, lambda: Vocabulary(model_path, counts.value, alpha))
         for step in text_steps(batches, "text", STEP_BYTES):
-            for at in range(0, step.num_rows, 256):
-                part, out = step.slice(at, 256), []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    digest = hashlib.blake2b(repr((seed, key, text)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                    for n, (ids, phi, top, included) in enumerate(sample(vocabulary, text, k, random.Random(int.from_bytes(digest, "little")))):
-                        out.append((key, n + 1, ids, phi, top, math.exp(included), included, vocabulary.decode(ids) == text))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), KINDS, strict=True)], names=NAMES)
+            texts, row_keys = step.column(1).to_pylist(), step.column(0).to_pylist()
+            seeds = [int.from_bytes(hashlib.blake2b(repr((seed, key, text)).encode(), digest_size=8).digest(), "little") for key, text in zip(row_keys, texts, strict=True)]
+            lattices, searches = sample_texts(vocabulary, texts, k, seeds)
+            for low in range(0, len(texts), 256):
+                yield _batch(vocabulary, lattices, searches[low : low + 256], row_keys[low : low + 256], texts[low : low + 256])
 
     done = rows.mapInArrow(run, "keys array<long>, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, log_inclusion double, round_trip boolean")
     return done.select(*[F.col("keys")[i].alias(c) for i, c in enumerate(keys)], *NAMES[1:])
