@@ -39,7 +39,7 @@ from salescope.llm.hashing import mix
 _U = np.uint64
 K, ALPHA, SEED = 3, 0.5, 17
 #: Bytes of text whose lattices and samples are held at once.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 2 << 20
 #: Lock-step rounds with fewer rows than this go on row by row.
 FEW = 24
 SPACE = "▁"
@@ -91,11 +91,15 @@ class Vocabulary:
                     piece.append(-1)
                 node = nodes[node, c]
             piece[node] = i
-        #: The piece that ends at a node (-1: none), whether it has children, and its children by node and character.
+        #: The piece that ends at a node (-1: none), whether it has children, its children by node and character, and the root's.
         self.piece, self.inner = np.array(piece, np.int64), np.zeros(len(piece), bool)
         self.inner[[node for node, _ in nodes]] = True
         keys = sorted((node << 21 | c, child) for (node, c), child in nodes.items())
         self.keys, self.child = (np.array(x, np.int64) for x in zip(*keys, strict=True))
+        self.root = np.zeros(0x110000, np.int64)
+        for (node, c), child in nodes.items():
+            if not node:
+                self.root[c] = child
 
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         """The child of each node by a character; 0 where there is none."""
@@ -118,11 +122,11 @@ class Lattices:
     Places (characters) are numbered by their distance from the word's end, so
     that the sums over all ways onward are one vectorised round per distance;
     END is the place behind every word.  The edges of a place stand together:
-    ``first`` and ``counts`` by place, ``owner`` (place), ``target`` (place),
-    ``piece`` (an id, or beyond the vocabulary a character spelled in bytes) and
+    ``first`` and ``counts`` by place, ``owner`` (place), ``choice``
+    (whether it has others), ``target`` (place), ``piece`` (an id, or beyond the vocabulary a character spelled in bytes) and
     ``steps`` (log of the branching probability) by edge.  ``marks`` holds the
-    place in its upper half and the running probability in its lower one, in
-    units of 2**-32, so that one binary search draws an edge of any place.
+    running probability of a place's edges in units of 2**-32: a draw takes the
+    first edge whose mark is above it.
     """
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]):
@@ -130,38 +134,42 @@ class Lattices:
         chars = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64)
         ends, n = np.cumsum(lengths), len(chars)
         left = np.repeat(ends, lengths) - np.arange(n)
-        distinct, which = np.unique(chars, return_inverse=True)
-        node = v.step(np.zeros_like(distinct), distinct)
-        odd = np.flatnonzero(v.piece[node] < 0)  # characters without a piece
-        spelled = [[v.bytes[b] for b in chr(c).encode()] for c in distinct[odd].tolist()]
-        number = np.full(len(distinct), -1)
-        number[odd] = len(v.names) + np.arange(len(odd))
-        at = np.flatnonzero(number[which] >= 0)
-        parts, node, depth = [(at, np.ones_like(at), number[which[at]])], node[which], 1
+        top = int(left.max(initial=0))
+        by = np.argsort(left.astype(np.uint16) if top < 1 << 16 else left, kind="stable")
+        rank = np.empty(n + 1, np.int64)
+        rank[by], rank[n] = np.arange(n), n
+        node = v.root[chars]
+        at = np.flatnonzero(v.piece[node] < 0)  # characters without a piece
+        odd, which = np.unique(chars[at], return_inverse=True)
+        spelled = [[v.bytes[b] for b in chr(c).encode()] for c in odd.tolist()]
+        held = np.zeros(n, np.int64)  # edges of a place so far
+        held[at] = 1
+        parts, depth = [(at, held[at] - 1, 1, len(v.names) + which)], 1
         at = np.flatnonzero(node)
         node = node[at]
         while len(at):
-            hit = v.piece[node] >= 0
-            parts.append((at[hit], np.full(int(hit.sum()), depth), v.piece[node[hit]]))
+            piece = v.piece[node]
+            hit = np.flatnonzero(piece >= 0)
+            parts.append((at[hit], held[at[hit]], depth, piece[hit]))
+            held[at[hit]] += 1
             more = v.inner[node] & (left[at] > depth)
             at = at[more]
             node = v.step(node[more], chars[at + depth])
             at, node, depth = at[node > 0], node[node > 0], depth + 1
-        place, size, piece = (np.concatenate(x) for x in zip(*parts, strict=True))
-        by = np.argsort(left, kind="stable")
-        rank = np.empty(n + 1, np.int64)
-        rank[by], rank[n] = np.arange(n), n
-        order = np.lexsort((size, rank[place]))
-        place, size, self.piece = place[order], size[order], piece[order]
-        self.end, self.start, self.owner = n, rank[ends - lengths], rank[place]
-        self.target = np.where(size == left[place], n, rank[np.minimum(place + size, n)])
-        self.counts = np.bincount(self.owner, minlength=n)
+        self.end, self.start, self.counts = n, rank[ends - lengths], held[by]
         self.first = np.cumsum(self.counts) - self.counts
+        self.owner = np.repeat(np.arange(n, dtype=np.int32), self.counts)
+        self.choice = np.repeat(self.counts > 1, self.counts)
+        self.target, self.piece = np.empty(len(self.owner), np.int32), np.empty(len(self.owner), np.int32)
+        for at, nth, depth, piece in parts:
+            slot = self.first[rank[at]] + nth
+            self.piece[slot] = piece
+            self.target[slot] = np.where(left[at] == depth, n, rank[np.minimum(at + depth, n)])
         self.width = np.array([1] * len(v.names) + [len(x) for x in spelled], np.int64)
         self.spelling = np.array([*range(len(v.names)), *chain(*spelled)], np.int32)
         self.spelled_at = np.cumsum(self.width) - self.width
         logs = np.array([*v.log, *(sum(v.log[i] for i in x) for x in spelled)])[self.piece]
-        self._onward(logs, np.append(np.searchsorted(left[by], np.arange(1, left.max(initial=0) + 1)), n))
+        self._onward(logs, np.append(np.searchsorted(left[by], np.arange(1, top + 1)), n))
         self._draws()
 
     def _onward(self, logs: np.ndarray, cuts: np.ndarray) -> None:
@@ -181,8 +189,9 @@ class Lattices:
             part[self.first[at] + j] += part[self.first[at] + j - 1]
             j += 1
             at = at[self.counts[at] > j]
+        np.minimum(part, 1.0, out=part)
         part[self.first + self.counts - 1] = 1.0
-        self.marks = (self.owner << 32) + np.minimum(part * 2.0**32, 2.0**32).astype(np.int64)
+        self.marks = (part * 2.0**32).astype(np.int64)
 
     def walk(self, place: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draw a way from each place to its word's end: the edges, end to end,
@@ -190,7 +199,11 @@ class Lattices:
         size, rounds, row = np.zeros(len(place), np.int64), [], np.arange(len(place))
         while len(row) >= FEW:
             state = state * _U(6364136223846793005) + _U(1442695040888963407)
-            edge = np.searchsorted(self.marks, (place << 32) + ((state ^ state >> _U(29)) >> _U(32)).astype(np.int64), side="right")
+            draw, edge = ((state ^ state >> _U(29)) >> _U(32)).astype(np.int64), self.first[place]
+            on = np.flatnonzero(draw >= self.marks[edge])
+            while len(on):
+                edge[on] += 1
+                on = on[draw[on] >= self.marks[edge[on]]]
             rounds.append((row, edge))
             size[row] += 1
             place = self.target[edge]
@@ -213,7 +226,7 @@ class Lattices:
             state = (state * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
             low = int(self.first[place])
             high = low + int(self.counts[place])
-            edge = low + int(np.searchsorted(self.marks[low:high], (place << 32) + ((state ^ state >> 29) >> 32 & 0xFFFFFFFF), side="right"))
+            edge = low + int(np.searchsorted(self.marks[low:high], (state ^ state >> 29) >> 32, side="right"))
             out.append(edge)
             place = int(self.target[edge])
         return out
@@ -248,11 +261,10 @@ class Search:
 
     def branching(self, edges: np.ndarray, at: int) -> int | None:
         """The first place of a way from ``at`` on that has a choice."""
-        x = self.lattices
         while at < len(edges):
-            ahead = np.flatnonzero(x.counts[x.owner[edges[at : at + 16]]] > 1)
-            if len(ahead):
-                return at + int(ahead[0])
+            ahead = self.lattices.choice[edges[at : at + 16]]
+            if ahead.any():
+                return at + int(ahead.argmax())
             at += 16
         return None
 
