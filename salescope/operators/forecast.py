@@ -52,8 +52,20 @@ def _errors(t: SalesTables, fiscal_years: int | Iterable[int] | None) -> DataFra
 
 def last_sale_date(t: SalesTables) -> Column:
     """MAX(date) of the whole sales table as a scalar subquery (evaluated
-    once per query; identical uses are shared by Spark)."""
-    return t.sales.agg(F.max("date")).scalar()
+    once per query; identical uses are shared by Spark).
+
+    Where a catalog lists the sales table's date folders, only those from its
+    newest one on are read.  The folders before it are read only if those hold
+    no row: the second subquery's bound is null otherwise, which selects no
+    folder at run time.
+    """
+    dates = t.sales.select("date")
+    if t.newest_sales_date is None:
+        return dates.agg(F.max("date")).scalar()
+    newest = F.lit(t.newest_sales_date)
+    last = dates.where(F.col("date") >= newest).agg(F.max("date")).scalar()
+    before = dates.where(F.col("date") < F.when(last.isNull(), newest)).agg(F.max("date")).scalar()
+    return F.coalesce(last, before)
 
 
 SUMS = {"total_sold_qty": "sold_quantity", "total_forecast_qty": "forecast_quantity",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,7 +104,20 @@ def catalog_tables(spark: SparkSession, database: str) -> SalesTables:
         df = spark.table(f"{database}.{name}")
         return df.select(*[c for c in SCHEMAS[name].fieldNames() if c in df.columns or c not in OPTIONAL])
 
-    return SalesTables(**{name: table(name) for name in TABLE_NAMES})
+    return SalesTables(**{name: table(name) for name in TABLE_NAMES}, newest_sales_date=newest_date(spark, f"{database}.fact_sales_monthly"))
+
+
+def newest_date(spark: SparkSession, table: str) -> dt.date | None:
+    """The newest of the date folders that the catalog lists for a table
+    (metadata only, no job); None where it isn't partitioned by date or the
+    catalog doesn't track its folders."""
+    if [c.name for c in spark.catalog.listColumns(table) if c.isPartition] != ["date"]:
+        return None
+    try:
+        folders = [r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    except AnalysisException:
+        return None
+    return max((dt.date.fromisoformat(f) for f in folders if f[:1].isdigit()), default=None)
 
 
 # Columns that no operator reads.

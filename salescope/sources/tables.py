@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ class SalesTables:
     dim_customer: DataFrame
     dim_product: DataFrame
     dim_date: DataFrame
+    #: Newest date folder of the sales table where a catalog lists them; it says where to look first, results don't hang on it.
+    newest_sales_date: dt.date | None = None
 
     # short aliases used by the operators
     @property
@@ -52,7 +55,7 @@ class SalesTables:
         return self.fact_post_invoice_deductions
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in TABLE_NAMES}
 
     def register_views(self, prefix: str = "") -> None:
         """For SQL users: every table and the view ``forecast_accuracy_base`` as

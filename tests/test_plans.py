@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF001
 from salescope import operators as op
-from salescope.plans.inspect import forbidden_operators, physical_plan, pushed_filters, scans
+from salescope.operators.forecast import last_sale_date
+from salescope.plans.inspect import final_plan, forbidden_operators, physical_plan, pushed_filters, scans
 from salescope.sources.parquet import save_tables
 from salescope.sources.tpch import derive_tables
 
@@ -159,3 +161,22 @@ def test_calendar_enrichment_is_map_only(spark, name):
     s = plan_summary(final_plan(QUERIES[name](spark, SF001)))
     assert s["hash_exchanges"] == s["range_exchanges"] == s["single_partition_exchanges"] == 0
     assert s["python_udf"] == 0
+
+
+def _files_read(plan) -> list[int]:
+    """Files read by each scan of a plan that has run, subqueries included."""
+    cls = plan.getClass().getSimpleName()
+    if cls == "AdaptiveSparkPlanExec":
+        return _files_read(plan.executedPlan())
+    if cls.endswith("QueryStageExec"):
+        return _files_read(plan.plan())
+    own = [plan.metrics().apply("numFiles").value()] if cls == "FileSourceScanExec" else []
+    below = [*(plan.children().apply(i) for i in range(plan.children().size())), *(plan.subqueries().apply(i) for i in range(plan.subqueries().size()))]
+    return own + [n for x in below for n in _files_read(x)]
+
+
+def test_last_sale_date_reads_the_newest_folder(spark, saved):
+    df = spark.range(1).select(last_sale_date(saved).alias("last"))
+    assert df.first().last == saved.sales.agg({"date": "max"}).first()[0] == saved.newest_sales_date
+    newest = [f for f in saved.sales.inputFiles() if f"date={saved.newest_sales_date}" in f]
+    assert sorted(_files_read(final_plan(df))) == [0, len(newest)]

@@ -1,11 +1,15 @@
 """Sources: derived tables, Parquet round trip, catalog layout, keys."""
 
+import datetime as dt
+from dataclasses import replace
+
 import pytest
 
 from conftest import SF001, rows
 from salescope import operators as op
+from salescope.operators.forecast import last_sale_date
 from salescope.schema import SCHEMAS
-from salescope.sources.parquet import save_tables, write_tables
+from salescope.sources.parquet import newest_date, save_tables, write_tables
 from salescope.sources.tables import TABLE_NAMES, load_tables
 from salescope.sources.tpch import derive_tables
 
@@ -81,3 +85,24 @@ def test_catalog_without_unused_columns(spark, derived, tmp_path):
     spark.sql(f"CREATE TABLE lean_checks.dim_customer USING parquet LOCATION '{tmp_path / 'dim_customer'}'")
     t = load_tables(spark, "catalog:lean_checks")
     assert rows(op.top_markets_by_net_sales(t, 1998, 5)) == rows(op.top_markets_by_net_sales(derived, 1998, 5))
+
+
+def test_newest_folder_without_rows(spark, derived, tmp_path):
+    t = save_tables(derived, "empty_newest", str(tmp_path / "w"))
+    want, last = _reports(t), t.newest_sales_date
+    spark.sql("ALTER TABLE empty_newest.fact_sales_monthly ADD PARTITION (date = DATE'2090-01-01')")
+    spark.sql("ALTER TABLE empty_newest.fact_sales_monthly ADD PARTITION (date = DATE'2090-02-01')")
+    again = load_tables(spark, "catalog:empty_newest")
+    assert again.newest_sales_date.year == 2090 > last.year
+    assert spark.range(1).select(last_sale_date(again)).first()[0] == last
+    assert _reports(again) == want
+    # a folder newer than the listing is read as well; a table without the listing gives the same
+    assert spark.range(1).select(last_sale_date(replace(again, newest_sales_date=dt.date(1999, 1, 1)))).first()[0] == last
+    assert spark.range(1).select(last_sale_date(replace(again, newest_sales_date=None))).first()[0] == last
+
+
+def test_tables_without_date_folders_have_no_newest(spark, derived, tmp_path):
+    assert derived.newest_sales_date is None and write_tables(derived, str(tmp_path)).newest_sales_date is None
+    derived.dim_date.limit(3).write.mode("overwrite").option("path", str(tmp_path / "plain")).saveAsTable("plain_dates")
+    assert newest_date(spark, "plain_dates") is None
+    spark.sql("DROP TABLE plain_dates")
