@@ -40,6 +40,8 @@ _U = np.uint64
 K, ALPHA, SEED = 3, 0.5, 17
 #: Bytes of text whose lattices and samples are held at once.
 STEP_BYTES = 2 << 20
+#: Distinct words that a counting task holds before it segments them.
+HELD_WORDS = 200_000
 #: Lock-step rounds with fewer rows than this go on row by row.
 FEW = 24
 SPACE = "▁"
@@ -383,12 +385,20 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
         begin("segmentation")
         sp = processor(model_path)
         total = np.zeros(sp.get_piece_size(), np.int64)
-        for step in text_steps(batches, "text", STEP_BYTES):
+        words, mark = Counter(), sp.piece_to_id(SPACE)
+
+        def flush() -> None:
             # pieces never cross words, so each distinct word is segmented once
-            words = Counter(chain.from_iterable(map(words_of, step.column(0).to_pylist())))
-            pieces = sp.encode(list(words))
+            pieces = [p or [mark] for p in sp.encode(list(words))]  # a space at a text's end is a word of its mark alone
             times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, pieces), np.int64, len(words)))
             np.add.at(total, np.fromiter(chain.from_iterable(pieces), np.int64, len(times)), times)
+            words.clear()
+
+        for step in text_steps(batches, "text", STEP_BYTES):
+            words.update(chain.from_iterable(map(words_of, filter(None, step.column(0).to_pylist()))))
+            if len(words) >= HELD_WORDS:
+                flush()
+        flush()
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids])], names=["id", "n"])
 

@@ -7,6 +7,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import salescope.llm.segmentation as S
 from salescope.llm.queries import op10_segmentation
 from salescope.llm.segmentation import Vocabulary, log_inclusion, marked, piece_counts, sample, sample_segmentations
 
@@ -74,6 +75,22 @@ def test_log_inclusion_stays_finite():
     assert log_inclusion(math.inf) == 0 and log_inclusion(-2000.0) == -2000.0 and log_inclusion(800.0) == 0 and math.isclose(log_inclusion(-30.1), -30.1)
 
 
+def test_piece_counts_are_those_of_whole_texts(spark, monkeypatch):
+    texts = ["a then  b", " on the", "the the ", "", "é\n\tb", "a▁b  c", "   ", "wwww " * 9]
+    monkeypatch.setattr(S, "HELD_WORDS", 3)
+    got = piece_counts(spark.createDataFrame([(t,) for t in texts], "text string"), PATH)
+    assert got == Counter(i for t in texts for i in SP.encode(t))
+
+
+def test_samples_dont_depend_on_other_texts():
+    texts = ["hello there", "a then", "", "w" * 300, "on the\nhouse é  x", "hello hello"] * 6
+    lattices, together = S.sample_texts(VOCABULARY, texts, 3, list(range(len(texts))))
+    for i, text in enumerate(texts):
+        own, (alone,) = S.sample_texts(VOCABULARY, [text], 3, [i])
+        assert [own.ids(f[0])[0].tolist() for f in alone.found] == [lattices.ids(f[0])[0].tolist() for f in together[i].found]
+        assert [f[1:] for f in alone.found] == [f[1:] for f in together[i].found] and alone.threshold() == together[i].threshold()
+
+
 def test_samples_of_a_table_against_enumeration(spark):
     texts = ["a then", "on the", "ab", "é a", "", "hello"]
     table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
