@@ -27,6 +27,16 @@ def fiscal_dates(t: SalesTables, fiscal_years: int | Iterable[int] | None = None
     return F.broadcast(dd)
 
 
+def every_price(t: SalesTables) -> DataFrame:
+    """fact_gross_price of all years, joined by sort-merge.
+
+    It has a row per product and year, so nothing bounds it, and Spark's
+    estimate (compressed bytes, or those of the products where years are
+    generated) may lie below the broadcast threshold although the driver
+    can't hold its rows.  Reports join it to sums, never to single sales."""
+    return t.gross_price.hint("merge")
+
+
 def date_bounds_filter(t: SalesTables, date_col: Column, fiscal_years: int | Iterable[int]) -> Column:
     """``min <= date <= max`` over the dim_date rows of ``fiscal_years``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.money import gross_amount, to_millions
-from salescope.operators.common import date_bounds_filter, fiscal_dates, merge_names, same_text, text_equals
+from salescope.operators.common import date_bounds_filter, every_price, fiscal_dates, merge_names, same_text, text_equals
 from salescope.operators.rank import rank_within, top_dense_rank
 from salescope.operators.revenue import net_sales_by_keys
 from salescope.sources.tables import SalesTables
@@ -156,7 +156,7 @@ def market_year_gross(t: SalesTables) -> DataFrame:
         .groupBy("customer_code", "product_code", "fiscal_year").agg(F.sum("sold_quantity").alias("qty"))
     )
     gross = (
-        qty.join(t.gross_price, ["product_code", "fiscal_year"])
+        qty.join(every_price(t), ["product_code", "fiscal_year"])
         .groupBy("customer_code", "fiscal_year").agg(F.sum(gross_amount("qty", "gross_price")).alias("gross"))
         .join(t.dim_customer.select("customer_code", "market"), "customer_code")
         .groupBy("market", "fiscal_year").agg(F.sum("gross").alias("gross"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.fiscal import fiscal_year as fiscal_year_of
 from salescope.functions.money import NET_INVOICE_TYPE, gross_amount, net_amount, net_invoice_amount, to_money
-from salescope.operators.common import code_filter, date_bounds_filter, fiscal_dates, text_equals
+from salescope.operators.common import code_filter, date_bounds_filter, every_price, fiscal_dates, text_equals
 from salescope.sources.tables import SalesTables
 
 KEYS3 = ["customer_code", "date", "product_code"]
@@ -124,7 +124,7 @@ def _monthly_gross(sales: DataFrame, t: SalesTables) -> DataFrame:
         .withColumn("fiscal_year", fiscal_year_of("date"))
     )
     return (
-        qty.join(t.gross_price, ["product_code", "fiscal_year"])
+        qty.join(every_price(t), ["product_code", "fiscal_year"])
         .groupBy("date").agg(F.sum(gross_amount("qty", "gross_price")).alias("gross"))
     )
 

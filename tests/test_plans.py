@@ -147,6 +147,14 @@ def test_facts_are_summed_before_rates_and_dimensions(no_broadcast):
                 assert "partial" in below or "fact_sales" not in below and "fact_forecast" not in below, below
 
 
+def test_prices_of_all_years_are_not_broadcast(spark, saved):
+    # products x years: an estimate below the threshold must not bring them to the driver
+    for t in (saved, derive_tables(spark, SF001)):
+        for report in (op.gross_sales_one_customer(t, 8), op.gross_sales_named_customer(t, "FURNITURE-6", "NATION_19"), op.gross_sales_monthly(t, "8,9"), op.gross_sales_prev_year(t), op.gross_sales_next_year(t)):
+            for plan in (physical_plan(report), final_plan(report).toString()):
+                assert "SortMergeJoin [product_code" in plan and "BroadcastHashJoin [product_code" not in plan
+
+
 def test_plan_summary_counts_final_plan(saved):
     from salescope.plans.inspect import final_plan, plan_summary
     s = plan_summary(final_plan(op.top_markets_by_net_sales(saved, 1998, 5)))
