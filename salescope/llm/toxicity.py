@@ -21,6 +21,7 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from salescope.llm.common import begin, latest, prepare, whole_text
+from salescope.llm.common import begin, latest, prepare, text_steps, whole_text
 
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 3
 #: The training sample: at most so many documents of each label, in hash order of their ids, of at most so many characters.
@@ -38,8 +39,8 @@ RANDOM_WINDOWS = 2
 RANDOM_STEPS, TOP_STEPS, STEP, RATE, DECAY = 18, 36, 2048, 300.0, 1e-6
 THRESHOLD = 0.3
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”„…"
-#: Words whose numbers a worker keeps.
-CACHE_WORDS = 300_000
+#: Words whose numbers a worker keeps; words looked up at once, characters of new words worked out at once.
+CACHE_WORDS, NEW_WORDS, MEAN_CHARS = 300_000, 100_000, 1 << 18
 
 
 def subwords(token: str) -> list[int]:
@@ -49,6 +50,58 @@ def subwords(token: str) -> list[int]:
     return [zlib.crc32(g.encode()) % BUCKETS for g in grams]
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, table >> 1 ^ 0xEDB88320, table >> 1).astype(np.uint32)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def _gram_crcs(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """CRC-32 of the UTF-8 bytes of the 3 and of the 4 characters from each place on."""
+    size = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0], np.uint32)[size] | chars >> (6 * (size - 1)).astype(np.uint32)
+    far = [(n, at := np.flatnonzero(size > n), 0x80 | chars[at] >> (6 * (size[at] - 1 - n)).astype(np.uint32) & 0x3F) for n in (1, 2, 3)]
+    state, out = np.full(len(chars), 0xFFFFFFFF, np.uint32), []
+    for j in range(4):
+        n = max(0, len(chars) - j)
+        state = state[:n]
+        state = _CRC[(state ^ lead[j:]) & 0xFF] ^ state >> 8
+        for _, at, byte in far:
+            late = int(np.searchsorted(at, j))
+            own = at[late:] - j
+            state[own] = _CRC[(state[own] ^ byte[late:]) & 0xFF] ^ state[own] >> 8
+        out.append(~state)
+    return out[2], out[3]
+
+
+def word_means(rows: np.ndarray, tokens: list[str]) -> np.ndarray:
+    """``rows[subwords(token)].mean()`` of each token, to the last bit."""
+    words = [f"<{t.strip(PUNCTUATION).lower()}>" for t in tokens]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    out, ends, low = np.empty(len(words)), np.cumsum(lengths), 0
+    while low < len(words):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + MEAN_CHARS, side="right")))
+        three, four = _gram_crcs(np.frombuffer("".join(words[low:high]).encode("utf-32-le"), np.uint32))
+        three, four = rows[three % BUCKETS], rows[four % BUCKETS]
+        size = lengths[low:high]
+        starts, by = ends[low:high] - size - before, np.argsort(size, kind="stable")
+        cuts = np.append(np.flatnonzero(np.diff(size[by], prepend=-1)), len(by))
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+            own, n = by[a:b], int(size[by[a]])
+            if n < 3:  # no gram: the word itself
+                out[low + own] = rows[zlib.crc32(words[low + own[0]].encode()) % BUCKETS]
+            else:
+                at = starts[own][:, None]
+                out[low + own] = np.concatenate([three[at + np.arange(n - 2)], four[at + np.arange(n - 3)]], axis=1).mean(axis=1)
+        low = high
+    return out
+
+
 @dataclass
 class Model:
     rows: np.ndarray  # one number per table row: its part of the classes' difference
@@ -56,24 +109,38 @@ class Model:
     shift: float
 
     def scorer(self):
-        """text -> score, keeping the numbers of recent words."""
-        rows, cache = self.rows, {}
-
-        class Words(dict):
-            def __missing__(self, token: str) -> float:
-                if len(self) > CACHE_WORDS:
-                    self.clear()
-                value = self[token] = float(rows[subwords(token)].mean())
-                return value
-
-        cache = Words()
-
-        def score(text: str) -> float:
-            tokens = text.split()
-            first, second = two_highest(np.fromiter(map(cache.__getitem__, tokens), float, len(tokens)))
-            return float(1 / (1 + np.exp(-np.clip(self.slopes[0] * first + self.slopes[1] * second + self.shift, -60, 60))))
-
-        return score
+        """text -> score, keeping the numbers of recent words; ``scorer().many`` takes a list of texts."""
+        return Scorer(self)
+
+
+class Scorer:
+    def __init__(self, model: Model):
+        self.model, self.cache = model, {}
+
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        """The number of each word; a step's new words are worked out together."""
+        out, cache = np.empty(len(tokens)), self.cache
+        for low in range(0, len(tokens), NEW_WORDS):
+            part = tokens[low : low + NEW_WORDS]
+            new = set(part).difference(cache)
+            if len(cache) + len(new) > CACHE_WORDS:
+                cache.clear()
+                new = set(part)
+            new = list(new)
+            cache.update(zip(new, word_means(self.model.rows, new).tolist(), strict=True))
+            out[low : low + len(part)] = np.fromiter(map(cache.__getitem__, part), float, len(part))
+        return out
+
+    def many(self, texts: list[str]) -> list[float]:
+        tokens = [t.split() for t in texts]
+        ends = np.cumsum([len(t) for t in tokens], dtype=np.int64)
+        values = self.numbers([*chain.from_iterable(tokens)])
+        top = np.array([two_highest(v) for v in np.split(values, ends[:-1])]).reshape(-1, 2) if texts else np.empty((0, 2))
+        (first, second), shift = self.model.slopes, self.model.shift
+        return (1 / (1 + np.exp(-np.clip(first * top[:, 0] + second * top[:, 1] + shift, -60, 60)))).tolist()
+
+    def __call__(self, text: str) -> float:
+        return self.many([text])[0]
 
 
 def highest(values: np.ndarray) -> tuple[float, int]:
@@ -215,9 +282,9 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("toxicity")
         score = latest("toxicity", name, model.scorer)
-        for batch in batches:
-            scores = pa.array([score(t.as_py() or "") for t in batch.column(at)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[f"c{i}" for i in range(len(batch.columns))] + ["toxicity_score"])
+        for step in text_steps(batches, f"c{at}"):
+            scores = pa.array(score.many([t or "" for t in step.column(at).to_pylist()]), pa.float64())
+            yield pa.RecordBatch.from_arrays([*step.columns, scores], names=[f"c{i}" for i in range(len(step.columns))] + ["toxicity_score"])
 
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # names may clash

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from salescope.llm.toxicity import BUCKETS, WINDOW, Model, Trainer, highest, keep_clean, score_toxicity, subwords, two_highest, with_score
+from salescope.llm.toxicity import BUCKETS, WINDOW, Model, Trainer, highest, keep_clean, score_toxicity, subwords, two_highest, with_score, word_means
 
 BAD = ["scumbag", "worthless", "pathetic", "disgusting"]
 
@@ -40,6 +40,22 @@ def test_windows_against_brute_force():
         assert abs(two_highest(v)[1] - max(apart, default=0.0)) < 1e-9
 
 
+def test_new_words_are_worked_out_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["", "...", "a", "«x»", "ß", "İstanbul", "日本語のテキスト", "😀😀a😀", "é" * 50, "x" * 300_000, "\x00", "(ok)"]
+    words += ["".join(chr(int(c)) for c in rng.integers(1, 0x3000, rng.integers(1, 12))) for _ in range(500)]
+    rows = rng.normal(size=BUCKETS).astype(np.float32)
+    assert word_means(rows, words).tolist() == [float(rows[subwords(w)].mean()) for w in words]  # to the last bit
+    texts = ["", " ".join(w for w in words), "worthless", *(" ".join(rng.choice(words, 20)) for _ in range(30))]
+    values = [np.array([rows[subwords(t)].mean() for t in text.split()], float) for text in texts]
+    want = [1 / (1 + np.exp(-(first + 0.5 * second + 0.1))) for first, second in map(two_highest, values)]
+    monkeypatch.setattr("salescope.llm.toxicity.subwords", None)  # not one by one
+    monkeypatch.setattr("salescope.llm.toxicity.CACHE_WORDS", 40)
+    monkeypatch.setattr("salescope.llm.toxicity.NEW_WORDS", 30)
+    score = Model(rows, (1.0, 0.5), 0.1).scorer()
+    assert np.allclose([score(t) for t in texts], want, atol=1e-12) and np.allclose(score.many(texts), want, atol=1e-12)
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = score_toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
