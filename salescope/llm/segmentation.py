@@ -42,6 +42,8 @@ K, ALPHA, SEED = 3, 0.5, 17
 STEP_BYTES = 2 << 20
 #: Distinct words that a counting task holds before it segments them.
 HELD_WORDS = 200_000
+#: Ids that are turned into text at once.
+JOIN_IDS = 1 << 18
 #: Lock-step rounds with fewer rows than this go on row by row.
 FEW = 24
 SPACE = "▁"
@@ -81,6 +83,8 @@ class Vocabulary:
         self.bytes = {int(BYTE.fullmatch(p)[1], 16): i for i, p in enumerate(self.names) if sp.is_byte(i)}
         byte_of = {i: b for b, i in self.bytes.items()}
         self.data = [bytes([byte_of[i]]) if i in byte_of else p.replace(SPACE, " ").encode() for i, p in enumerate(self.names)]
+        self.size = np.fromiter(map(len, self.data), np.int64, n)
+        self.flat, self.flat_at = np.frombuffer(b"".join(self.data), np.uint8), np.cumsum(self.size) - self.size
         self.log = [alpha * (math.log(counts.get(i, 0) + 1) - total) for i in range(n)]
         self.ids = {p: i for i, p in enumerate(self.names) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
         nodes: dict[tuple[int, int], int] = {}
@@ -117,6 +121,15 @@ class Vocabulary:
     def join(self, ids: list[int]) -> bytes:
         return b"".join(map(self.data.__getitem__, ids))
 
+    def joined(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """``join`` of an array, and where each id's bytes end."""
+        size, out = self.size[ids], []
+        for low in range(0, len(ids), JOIN_IDS):
+            own = size[low : low + JOIN_IDS]
+            place = np.repeat(self.flat_at[ids[low : low + JOIN_IDS]] - np.cumsum(own) + own, own)
+            out.append(self.flat[place + np.arange(len(place))].tobytes())
+        return b"".join(out), np.cumsum(size)
+
 
 class Lattices:
     """The lattices of distinct words in flat arrays.
@@ -167,6 +180,7 @@ class Lattices:
             slot = self.first[rank[at]] + nth
             self.piece[slot] = piece
             self.target[slot] = np.where(left[at] == depth, n, rank[np.minimum(at + depth, n)])
+        self.plain = len(v.names)
         self.width = np.array([1] * len(v.names) + [len(x) for x in spelled], np.int64)
         self.spelling = np.array([*range(len(v.names)), *chain(*spelled)], np.int32)
         self.spelled_at = np.cumsum(self.width) - self.width
@@ -237,6 +251,8 @@ class Lattices:
         """The ids of edges end to end, and how many each edge has."""
         piece = self.piece[edges]
         width = self.width[piece]
+        if piece.max(initial=0) < self.plain:
+            return piece, width
         return self.spelling[np.repeat(self.spelled_at[piece] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))], width
 
 
@@ -408,17 +424,20 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
 
 def _batch(vocabulary: Vocabulary, lattices: Lattices, searches: list[Search], keys: list, texts: list[str]) -> pa.RecordBatch:
     """The rows of some texts."""
-    out, parts, sizes = [], [], []
+    out = []
+    ids, width = lattices.ids(np.concatenate([edges for search in searches for edges, _, _ in search.found]))
+    ends = np.cumsum([len(edges) for search in searches for edges, _, _ in search.found])
+    ends = np.cumsum(width)[ends - 1]  # a way has an edge at least
+    data, places = vocabulary.joined(ids)
+    low, cuts = 0, iter(places[ends - 1].tolist())
     for search, key, text in zip(searches, keys, texts, strict=True):
-        data, threshold = text.encode(), search.threshold()
-        for n, (edges, phi, top) in enumerate(search.found):
-            ids, _ = lattices.ids(edges)
-            included = log_inclusion(phi - threshold)
-            parts.append(ids)
-            sizes.append(len(ids))
-            out.append((key, n + 1, phi, top, math.exp(included), included, vocabulary.join(ids.tolist())[1:] == data))
+        own, threshold = text.encode(), search.threshold()
+        for n, (_, phi, top) in enumerate(search.found):
+            included, high = log_inclusion(phi - threshold), next(cuts)
+            out.append((key, n + 1, phi, top, math.exp(included), included, data[low + 1 : high] == own))
+            low = high
     columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), KINDS[:2] + KINDS[3:], strict=True)]
-    columns.insert(2, pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(np.concatenate(parts), pa.int32())))
+    columns.insert(2, pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32())))
     return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
 

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
@@ -126,3 +127,14 @@ def test_query_covers_documents_and_turns(spark):
     for r in got:
         if r.doc_id is not None:
             assert r.round_trip and VOCABULARY.decode(r.ids) == texts[r.doc_id] and r["sample"] in (1, 2, 3)
+
+
+def test_many_ways_are_decoded_at_once(monkeypatch):
+    v = VOCABULARY
+    monkeypatch.setattr("salescope.llm.segmentation.JOIN_IDS", 7)
+    for texts in (["", "plain words", "  two  spaces "], ["", "日本 \U0001f9ff\U0001f9ff x", "\u2581", "a" * 40]):
+        lattices, searches = S.sample_texts(v, texts, 3, [5] * len(texts))
+        ways = [lattices.ids(edges)[0] for s in searches for edges, _, _ in s.found]
+        data, ends = v.joined(np.concatenate(ways))
+        cuts = [0, *ends[np.cumsum([len(w) for w in ways]) - 1].tolist()]
+        assert [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] == [v.join(w.tolist()) for w in ways]
