@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import begin, prepare
+from salescope.llm.common import begin, prepare, text_steps
 
 Span = tuple[str, int, int]
 Edit = tuple[int, int, str]
@@ -61,14 +61,16 @@ NO_HOST = "this that these those the a an my your his her its our their each eve
 SPELLED_RUN = 4
 
 _NAME = "(?:" + "|".join(sorted(VALUES, key=len, reverse=True)) + ")"
+#: What a name begins with: looked at first, so that the names are tried in few places.
+_INITIAL = "".join(sorted({name[0] for name in VALUES}))
 ODD = re.compile(f"[{''.join(LOOKALIKES)}{INVISIBLE}！-～]|(?![0-9])\\d")
 _GAP = r"[ \t,-]{1,3}"
 _DOT = r"(?:\.|[ \t]{1,3}dot[ \t]{1,3}|[ \t]{0,3}(?:\[[ \t]?dot[ \t]?\]|\([ \t]?dot[ \t]?\)|\{[ \t]?dot[ \t]?\}|<[ \t]?dot[ \t]?>)[ \t]{0,3})"
 _BRACKET = r"[ \t,-]{0,3}[()][ \t,-]{0,3}[()]?[ \t,-]{0,3}"
-SPELLED = re.compile(rf"(?<!\w){_NAME}(?:(?:{_DOT}|{_GAP}|{_BRACKET}){_NAME}){{{SPELLED_RUN - 1},}}(?!\w)", re.I)
+SPELLED = re.compile(rf"(?=[{_INITIAL}])(?<!\w){_NAME}(?:(?:{_DOT}|{_GAP}|{_BRACKET}){_NAME}){{{SPELLED_RUN - 1},}}(?!\w)", re.I)
 #: Four octets, spelled or not; a plus and digits, spelled or not; the runs of names in either, and what parts a run's names.
 _OCTET = rf"(?:[0-9]{{1,3}}|{_NAME}(?:{_GAP}{_NAME}){{0,2}})"
-SPELLED_IP = re.compile(rf"(?<![\w.]){_OCTET}(?:{_DOT}{_OCTET}){{3}}(?!\w)", re.I)
+SPELLED_IP = re.compile(rf"(?=[0-9{_INITIAL}])(?<![\w.]){_OCTET}(?:{_DOT}{_OCTET}){{3}}(?!\w)", re.I)
 SPELLED_PHONE = re.compile(rf"\+[ \t]?(?:[0-9]{{1,15}}|{_NAME}(?!\w))(?:[ \t,.()-]{{1,4}}(?:[0-9]{{1,15}}|{_NAME}(?!\w))){{1,20}}", re.I)
 NAMES = re.compile(rf"(?<!\w){_NAME}(?:{_GAP}{_NAME})*(?!\w)", re.I)
 JOINED = re.compile(_GAP)
@@ -264,14 +266,13 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("pii")
-        for batch in batches:
+        for step in text_steps(batches, "text"):
             rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for key, text in zip(step.column(0).to_pylist(), step.column(1), strict=True):
                 base, more = detect(text.as_py())
                 counts = {f"n_{k}": sum(x[0] == k for x in base) for k in KINDS}
                 rows.append({"doc_id": key, **counts, "base_sha256": hashlib.sha256(joined(base).encode()).hexdigest(), "spans": joined([*base, *more]), "n_disguised": len(more)})
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
+            yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SCHEMA)
 
@@ -279,6 +280,20 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_email", "n_ip", "n_card", "n_phone")] + [("base_sha256", pa.string()), ("spans", pa.string()), ("n_disguised", pa.int64())])
 
 
+def redact_steps(batches: Iterator[pa.RecordBatch], text_at: int, chars_at: int | None) -> Iterator[pa.RecordBatch]:
+    """The batches with their texts redacted, some at a time: a batch may hold 10,000
+    texts, and only a step's are held as strings and as a new column at once."""
+    for step in text_steps(batches, text_at):
+        old = step.column(text_at)
+        texts = [None if (t := x.as_py()) is None else redacted(t) for x in old]
+        columns = list(step.columns)
+        columns[text_at] = pa.array(texts, old.type)
+        if chars_at is not None:
+            n = step.column(chars_at)
+            columns[chars_at] = pa.array([v if t is None else len(t) for t, v in zip(texts, n.to_pylist(), strict=True)], n.type)
+        yield pa.RecordBatch.from_arrays(columns, schema=step.schema)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """The same rows and columns with personal data in ``text`` replaced, and
     ``n_chars`` (if there) counting the new text; a null text stays null."""
@@ -288,14 +303,6 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("pii")
-        for batch in batches:
-            old = batch.column(text_at)
-            texts = [None if (t := x.as_py()) is None else redacted(t) for x in old]
-            columns = list(batch.columns)
-            columns[text_at] = pa.array(texts, old.type)
-            if chars_at is not None:
-                n = batch.column(chars_at)
-                columns[chars_at] = pa.array([v if t is None else len(t) for t, v in zip(texts, n.to_pylist(), strict=True)], n.type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+        yield from redact_steps(batches, text_at, chars_at)
 
     return docs.mapInArrow(run, docs.schema)

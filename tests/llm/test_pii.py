@@ -1,12 +1,14 @@
 import hashlib
 import re
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from salescope.llm.pii import KINDS, detect, find, find_personal_data, joined, luhn, normalise, redact, redacted
+from salescope.llm.pii import KINDS, detect, find, find_personal_data, joined, luhn, normalise, redact, redact_steps, redacted
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -131,3 +133,27 @@ def test_blanks_are_linear(piece):
 
 def test_signs_take_the_blanks_around_them():
     assert [s[0:3] for s in detect("mail jo  [at]\t(dot) x")[1]] == [] and redacted("jo  [at]\t mail   {dot}\t\tnet,") == "[EMAIL],"
+
+
+def test_redaction_holds_a_step_of_a_batch():
+    texts = [f"mail jo@x{i}.org or nine words of text " * 300 if i % 7 else None for i in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"n_chars": pa.array([len(t or "") for t in texts], pa.int64()), "text": texts, "doc_id": list(range(3000))})
+    assert batch.nbytes > 25_000_000
+    tracemalloc.start()
+    steps = list(redact_steps(iter([batch]), 1, 0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert max(s.nbytes for s in steps) < 4_000_000 and peak < 12_000_000, (len(steps), peak)
+    rows = pa.Table.from_batches(steps).to_pydict()
+    new = [t and redacted(t) for t in texts]
+    assert rows == {"n_chars": [len(t or "") for t in new], "text": new, "doc_id": list(range(3000))}
+
+
+@pytest.mark.parametrize("text", ["ZERO Zéro null, uno six", "ſix ſeven ſix ſeven", "sıx six six six", "call +One Two THREE four five six seven eight", "İ one two three four", "ÉINS eins cinq Fünf zwei", "one two three 4 dot Five dot six dot 7"])
+def test_names_are_found_where_they_began_before(text):
+    from salescope.llm import pii
+
+    for pattern in (pii.SPELLED, pii.SPELLED_IP):
+        plain = re.compile(re.sub(r"^\(\?=\[[^]]*\]\)", "", pattern.pattern), re.I)
+        assert plain.pattern != pattern.pattern
+        assert [m.span() for m in plain.finditer(text)] == [m.span() for m in pattern.finditer(text)]
