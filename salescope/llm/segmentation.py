@@ -39,7 +39,7 @@ from salescope.llm.hashing import mix
 _U = np.uint64
 K, ALPHA, SEED = 3, 0.5, 17
 #: Bytes of text whose lattices and samples are held at once.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 #: Distinct words that a counting task holds before it segments them.
 HELD_WORDS = 200_000
 #: Ids that are turned into text at once.
@@ -72,6 +72,14 @@ def words_of(text: str) -> list[str]:
     return text.split(" ")
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Vocabulary:
     """Pieces, their log probabilities and their trie; ``decode`` undoes any segmentation."""
 
@@ -100,19 +108,42 @@ class Vocabulary:
         #: The piece that ends at a node (-1: none), whether it has children, its children by node and character, and the root's.
         self.piece, self.inner = np.array(piece, np.int64), np.zeros(len(piece), bool)
         self.inner[[node for node, _ in nodes]] = True
-        keys = sorted((node << 21 | c, child) for (node, c), child in nodes.items())
-        self.keys, self.child = (np.array(x, np.int64) for x in zip(*keys, strict=True))
+        self._hashed(np.array([node << 21 | c for node, c in nodes], np.int64), np.array(list(nodes.values()), np.int32))
         self.root = np.zeros(0x110000, np.int64)
         for (node, c), child in nodes.items():
             if not node:
                 self.root[c] = child
 
+    def _hashed(self, keys: np.ndarray, children: np.ndarray) -> None:
+        """A hash table, at most a quarter full, of the children: a key stands in its own place or in the next free one."""
+        bits = max(4, (4 * len(keys) - 1).bit_length())
+        self.shift, self.keys, self.child = _U(64 - bits), np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        place = self._place(keys)
+        while len(keys):
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[free]
+            own = self.keys[place] == keys
+            self.child[place[own]] = children[own]
+            keys, children, place = keys[~own], children[~own], place[~own] + 1 & len(self.keys) - 1
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(_U) * _U(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         """The child of each node by a character; 0 where there is none."""
         key = node << 21 | char
-        at = np.searchsorted(self.keys, key)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == key, self.child[at], 0)
+        place = self._place(key)
+        there = self.keys.take(place)
+        out = np.where(there == key, self.child.take(place), 0).astype(np.int64)
+        on = np.flatnonzero((there != key) & (there >= 0))
+        key, place = key[on], place[on]
+        while len(on):  # another key's place
+            place = place + 1 & len(self.keys) - 1
+            there = self.keys[place]
+            hit, more = there == key, (there != key) & (there >= 0)
+            out[on[hit]] = self.child[place[hit]]
+            on, key, place = on[more], key[more], place[more]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of any segmentation (a space mark in the source reads as a space)."""
@@ -215,16 +246,19 @@ class Lattices:
         size, rounds, row = np.zeros(len(place), np.int64), [], np.arange(len(place))
         while len(row) >= FEW:
             state = state * _U(6364136223846793005) + _U(1442695040888963407)
-            draw, edge = ((state ^ state >> _U(29)) >> _U(32)).astype(np.int64), self.first[place]
-            on = np.flatnonzero(draw >= self.marks[edge])
+            draw, edge = ((state ^ state >> _U(29)) >> _U(32)).astype(np.int64), self.first.take(place)
+            on = np.flatnonzero(draw >= self.marks.take(edge))
+            high, at = draw.take(on), edge.take(on)
             while len(on):
-                edge[on] += 1
-                on = on[draw[on] >= self.marks[edge[on]]]
+                at += 1
+                edge[on] = at
+                more = np.flatnonzero(high >= self.marks.take(at))
+                on, high, at = on.take(more), high.take(more), at.take(more)
             rounds.append((row, edge))
             size[row] += 1
-            place = self.target[edge]
-            on = place != self.end
-            row, place, state = row[on], place[on], state[on]
+            place = self.target.take(edge)
+            on = np.flatnonzero(place != self.end)
+            row, place, state = row.take(on), place.take(on), state.take(on)
         tails = [self._tail(*x) for x in zip(place.tolist(), state.tolist(), strict=True)]
         size[row] += np.fromiter(map(len, tails), np.int64, len(tails))
         starts = np.cumsum(size) - size
@@ -343,10 +377,10 @@ class Search:
 def sample_texts(vocabulary: Vocabulary, texts: list[str], k: int, seeds: list[int]) -> tuple[Lattices, list[Search]]:
     """Sample up to k ways through the lattice of each text.  The first ways of
     all texts are drawn in lock-step, then the second, and so on."""
-    words = [words_of(t) for t in texts]
-    number = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(words)))}
+    number = Numbers()
+    words = [np.fromiter(map(number.__getitem__, w), np.int64, len(w)) for w in map(words_of, texts)]
     lattices = Lattices(vocabulary, list(number))
-    places = [lattices.start[np.fromiter(map(number.__getitem__, w), np.int64, len(w))] for w in words]
+    places = [lattices.start.take(w) for w in words]
     del words, number
     searches = [Search(lattices, s) for s in seeds]
     nothing = np.empty(0, np.int64)
@@ -405,12 +439,12 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
 
         def flush() -> None:
             # pieces never cross words, so each distinct word is segmented once
-            pieces = [p or [mark] for p in sp.encode(list(words))]  # a space at a text's end is a word of its mark alone
+            pieces = [p or [mark] for p in sp.encode(list(words), num_threads=1)]  # a space at a text's end is a word of its mark alone
             times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, pieces), np.int64, len(words)))
             np.add.at(total, np.fromiter(chain.from_iterable(pieces), np.int64, len(times)), times)
             words.clear()
 
-        for step in text_steps(batches, "text", STEP_BYTES):
+        for step in text_steps(batches, "text"):
             words.update(chain.from_iterable(map(words_of, filter(None, step.column(0).to_pylist()))))
             if len(words) >= HELD_WORDS:
                 flush()

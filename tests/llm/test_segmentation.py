@@ -138,3 +138,29 @@ def test_many_ways_are_decoded_at_once(monkeypatch):
         data, ends = v.joined(np.concatenate(ways))
         cuts = [0, *ends[np.cumsum([len(w) for w in ways]) - 1].tolist()]
         assert [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] == [v.join(w.tolist()) for w in ways]
+
+
+def test_trie_steps_are_looked_up_in_one_place_mostly():
+    rng = np.random.default_rng(3)
+    children = {}
+    for name in VOCABULARY.ids:
+        for i in range(1, len(name)):
+            children.setdefault(name[:i], set()).add(name[i])
+
+    def node_of(prefix):
+        node = np.array([VOCABULARY.root[ord(prefix[0])]])
+        for c in prefix[1:]:
+            node = VOCABULARY.step(node, np.array([ord(c)]))
+        return int(node[0])
+
+    prefixes = sorted(children)
+    for prefix in rng.choice(len(prefixes), 200):
+        prefix = prefixes[prefix]
+        chars = [*children[prefix], *map(chr, rng.integers(1, 0x3000, 40))]
+        got = VOCABULARY.step(np.full(len(chars), node_of(prefix)), np.array([ord(c) for c in chars]))
+        for c, node in zip(chars, got.tolist(), strict=True):
+            assert (node > 0) == (c in children[prefix])
+            assert prefix + c not in VOCABULARY.ids or VOCABULARY.piece[node] == VOCABULARY.ids[prefix + c]
+    filled = np.flatnonzero(VOCABULARY.keys >= 0)
+    assert len(filled) * 4 <= len(VOCABULARY.keys)  # before: keys stood in order and every step searched them all
+    assert (VOCABULARY._place(VOCABULARY.keys[filled]) == filled).mean() > 0.8
