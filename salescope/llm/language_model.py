@@ -1,5 +1,5 @@
 """LM scoring: interpolated modified Kneser-Ney, counted in Spark, stored as
-sorted hash arrays and memory-mapped by workers.
+sorted hash tables and memory-mapped by workers.
 
 Tokens are words (A-Z read as a-z) and one end per text; a text's first tokens
 follow start marks.  A model of order N has for k = N to 2, h being the k - 1
@@ -14,23 +14,27 @@ discounts of each order from the counts of counts, g what they leave over, and V
 the number of distinct tokens, so that the probabilities over all known tokens
 and one unknown one sum to 1.
 
-Counting: each task sorts its own n-grams and sends, for each shard, one packed
-row of distinct n-grams and counts; a shard's task merges them and sends on the
-n-grams of the next lower order.  N-grams are dealt by their own hash, so a
-frequent word's spread over all shards; what a shard knows of a context (count,
-kinds of n-grams) is summed in the next shuffle.
-Each shard is written to the shared folder as arrays sorted by hash (a task
+Counting: words are counted first and numbered, frequent ones low.  Then each
+task sorts its own n-grams of numbers and sends, for each shard, one packed row
+of distinct n-grams (as differences, by byte and compressed) and counts; a
+shard's task merges them and sends on the n-grams of the next lower order.
+N-grams are dealt by their own hash, so a frequent word's spread over all
+shards; what a shard knows of a context (count, kinds of n-grams) is summed in
+the next shuffle, where the context is itself an n-gram of that order.
+Each shard is written to the shared folder as one table sorted by hash (a task
 that runs again writes the same file and moves it into place); scoring tasks
-map the files and look their tokens up by binary search, so the pages are
-shared by all workers of a machine and the heap holds none of the model.
+map the files and look their tokens up, so the pages are shared by all workers
+of a machine and the heap holds none of the model.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
 import shutil
+import struct
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,21 +50,14 @@ from salescope.llm.hashing import mix, word_hashes
 
 _U = np.uint64
 END, START = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
-#: Training tokens of a shard on average; pairs that a task holds before it sends them.
-SHARD_TOKENS, HELD_TOKENS = 2_000_000, 3_000_000
+#: Numbers of words: one that isn't known, the start mark, and the first of the others.
+UNKNOWN, BEGIN, FIRST = range(3)
+#: Training tokens of a shard on average; tokens (or distinct words) that a task holds before it sends them; shards of the words.
+SHARD_TOKENS, HELD_TOKENS, WORD_SHARDS = 2_000_000, 3_000_000, 32
 #: Bytes that one scoring step reads of text.
 SCORE_BYTES = 4 << 20
-#: The model's files and their arrays: n-grams of two and more; words and how many words come before them; contexts and their n-grams by count.
-FILES = {
-    "gram": {"hash": _U, "count": np.uint32},
-    "word": {"hash": _U, "count": np.int64, "lead": np.uint32},
-    "context": {"hash": _U, "total": np.int64, "one": np.uint32, "two": np.uint32, "more": np.uint32},
-}
-
-
-def files(order: int) -> list[str]:
-    """The names of a model's files: words, then n-grams and contexts of each order."""
-    return ["word", *(f"{kind}{k}" for k in range(2, order + 1) for kind in ("gram", "context"))]
+#: The model's tables and their fields: words by their own hash; n-grams by that of their numbers, also as contexts (n-grams one longer by count).
+FIELDS = {"word": ("id", "count"), "gram": ("count", "total", "one", "two", "more")}
 
 
 def held_out(doc_id: Column) -> Column:
@@ -74,28 +71,32 @@ def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 def chain_hash(columns: list[np.ndarray]) -> np.ndarray:
     """The hash of each row of tokens, first to last."""
-    out = columns[0]
+    out = columns[0].astype(_U)
     for c in columns[1:]:
         out = pair_hash(out, c)
     return out
 
 
-def tokens_of(step: pa.RecordBatch, order: int, text: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts' token hashes end to end (each text closed by END), the
-    order - 1 tokens before each, and the number of tokens of each text."""
+def tokens_of(step: pa.RecordBatch, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """All texts' token hashes end to end (each text closed by END) and the
+    number of tokens of each text."""
     words, counts = word_hashes(*text_bytes(step.column(text)))
-    ends = np.cumsum(counts)
-    tokens = np.insert(words, ends, END)
-    counts = counts + 1
-    place = np.arange(len(tokens)) - np.repeat(np.cumsum(counts) - counts, counts)
-    before = np.full((len(tokens), order - 1), START)
-    for back in range(1, order):
+    return np.insert(words, np.cumsum(counts), END), counts + 1
+
+
+def windows(ids: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
+    """The order - 1 numbers before each token of texts end to end, first to last, and its own."""
+    place = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
+    columns = []
+    for back in range(order - 1, 0, -1):
         far = np.flatnonzero(place >= back)
-        before[far, order - 1 - back] = tokens[far - back]
-    return tokens, before, counts
+        before = np.full(len(ids), BEGIN, ids.dtype)
+        before[far] = ids[far - back]
+        columns.append(before)
+    return [*columns, ids]
 
 
-# ---- files of sorted arrays -------------------------------------------------
+# ---- tables sorted by hash --------------------------------------------------
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -104,94 +105,224 @@ def _store(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
 
 
-def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
-    """Write each array to folder/name.kind; moved into place when whole."""
-    fs, root = _store(folder)
-    for kind, values in arrays.items():
-        path = f"{root}/{name}.{kind}"
-        part = f"{root}/.{name}.{kind}.{uuid.uuid4().hex}"
-        with fs.open_output_stream(part) as out:
-            out.write(np.ascontiguousarray(values).tobytes())
-        if not isinstance(fs, pafs.LocalFileSystem) and fs.get_file_info(path).type != pafs.FileType.NotFound:
-            fs.delete_file(path)  # some stores don't move onto a file
-        fs.move(part, path)
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits, or in 64 where one doesn't fit."""
+    return counts.astype(np.uint64 if len(counts) and counts.max() >= 1 << 32 else np.uint32)
 
 
-def _kind_of(dtype, size: int, n: int | None) -> np.dtype:
-    """The type of n numbers in so many bytes: the given one, or 64 bits (see ``narrow``)."""
-    return np.dtype(np.uint64) if n and size == 8 * n and np.dtype(dtype).itemsize == 4 else np.dtype(dtype)
+def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct row of some numbers (of 63 bits) stands first, and which one each row is."""
+    out, span = np.zeros(len(columns[0]), np.int64), 1
+    for c in columns:
+        c, wide = c.astype(np.int64), int(c.max(initial=0)) + 1
+        if span * wide >= 1 << 62:
+            out, span = np.unique(out, return_inverse=True)[1], len(out)
+            c, wide = np.unique(c, return_inverse=True)[1], len(c)
+        out, span = out * wide + c, span * wide
+    return np.unique(out, return_index=True, return_inverse=True)[1:]
 
 
-def map_array(folder: str, name: str, kind: str, dtype, n: int | None = None) -> np.ndarray:
-    """Memory-map an array (of n numbers).  A store that can't be mapped is copied first, to a
-    local file that is unlinked at once and goes with the mapping."""
+def _coded(name: str, columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Columns as numbers of their distinct rows, or as they are where that is no shorter."""
+    first, code = _distinct(list(columns.values()))
+    if 4 * len(first) > len(code):
+        return {f"plain {k}": narrow(c) for k, c in columns.items()}
+    code = code.astype(np.uint8 if len(first) <= 1 << 8 else np.uint16 if len(first) <= 1 << 16 else np.uint32)
+    return {f"code {name}": code} | {f"book {name} {k}": narrow(c[first]) for k, c in columns.items()}
+
+
+def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
+    """Write a table (distinct hashes and values) to folder/name; moved into place when whole.
+
+    A hash is mixed; its first bits choose a bucket of about 16 entries, the next 40 are stored.
+    """
+    key = mix(arrays["hash"])
+    key, values = key[order := np.argsort(key)], {k: v[order] for k, v in arrays.items() if k != "hash"}
+    bits = min(24, (len(key) // 16).bit_length())
+    bucket = (key >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+    rest = key >> _U(24 - bits)
+    parts = {"edges": narrow(np.searchsorted(bucket, np.arange((1 << bits) + 1))), "high": (rest >> _U(8)).astype(np.uint32), "low": rest.astype(np.uint8)}
+    # a word's number is its own, so its count is coded apart
+    for kind in [["id"], [k for k in values if k != "id"]]:
+        if own := {k: values[k] for k in kind if k in values}:
+            parts |= _coded(kind[0], own)
+    head = json.dumps([[k, c.dtype.str, len(c)] for k, c in parts.items()]).encode()
+    head += b" " * (-len(head) % 64)
+    fs, root = _store(folder)
+    path, part = f"{root}/{name}", f"{root}/.{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(part) as out:
+        out.write(struct.pack("<Q56x", len(head)) + head)
+        for c in parts.values():
+            out.write(c.tobytes() + bytes(-c.nbytes % 64))
+    if not isinstance(fs, pafs.LocalFileSystem) and fs.get_file_info(path).type != pafs.FileType.NotFound:
+        fs.delete_file(path)  # some stores don't move onto a file
+    fs.move(part, path)
+
+
+def _mapped(folder: str, name: str) -> np.ndarray | None:
+    """Memory-map a file; None if the folder doesn't have it.  One in a store that can't be mapped
+    is copied first, to a local file that is unlinked at once and goes with the mapping."""
     fs, root = _store(folder)
-    path = f"{root}/{name}.{kind}"
+    path = f"{root}/{name}"
+    if fs.get_file_info(path).type == pafs.FileType.NotFound:
+        if fs.get_file_info(root).type != pafs.FileType.Directory:
+            raise FileNotFoundError(f"the folder of the model can't be seen here: {folder}")
+        return None
     if isinstance(fs, pafs.LocalFileSystem):
-        size = os.path.getsize(path)
-        return np.memmap(path, _kind_of(dtype, size, n), "r") if size else np.empty(0, dtype)
+        return np.memmap(path, np.uint8, "r")
     with tempfile.NamedTemporaryFile() as local:
         with fs.open_input_stream(path) as source:
             shutil.copyfileobj(source, local, 1 << 22)
         local.flush()
-        return np.memmap(local.name, _kind_of(dtype, local.tell(), n), "r") if local.tell() else np.empty(0, dtype)
+        return np.memmap(local.name, np.uint8, "r")
+
+
+class Table:
+    """A mapped table; one that isn't there is empty (a shard that got no rows)."""
+
+    def __init__(self, folder: str, name: str):
+        data, self.parts, self.n = _mapped(folder, name), {}, 0
+        if data is None:
+            return
+        size = struct.unpack("<Q", bytes(data[:8]))[0]
+        at = 64 + size
+        for part, kind, n in json.loads(bytes(data[64:at])):
+            kind = np.dtype(kind)
+            self.parts[part] = np.asarray(data[at : at + n * kind.itemsize]).view(kind)
+            at += n * kind.itemsize + -n * kind.itemsize % 64
+        self.n = len(self.parts["high"])
+        self.bits = (len(self.parts["edges"]) - 1).bit_length() - 1
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are there, and where."""
+        key, high, low = mix(hashes), self.parts["high"], self.parts["low"]
+        bucket = (key >> _U(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(key), np.int64)
+        rest = key >> _U(24 - self.bits)
+        want, tail = (rest >> _U(8)).astype(np.uint32), rest.astype(np.uint8)
+        at, end = self.parts["edges"].take(bucket).astype(np.int64), self.parts["edges"].take(bucket + 1).astype(np.int64)
+        span, last = end - at, self.n - 1
+        for _ in range(int(span.max(initial=0)).bit_length()):
+            half = span >> 1
+            less = (high.take(np.minimum(at + half, last)) < want) & (span > 0)
+            at += np.where(less, half + 1, 0)
+            span = np.where(less, span - half - 1, half)
+        on = np.flatnonzero((at < end) & (high.take(np.minimum(at, last)) == want))
+        while True:  # equal in the first 32 of the 40 bits
+            on = on[low.take(at[on]) < tail[on]]
+            if not len(on):
+                break
+            at[on] += 1
+            on = on[at[on] < end[on]]
+            on = on[high.take(at[on]) == want[on]]
+        found = np.flatnonzero(at < end)
+        found = found[(high.take(at[found]) == want[found]) & (low.take(at[found]) == tail[found])]
+        return found, at[found]
+
+    def value(self, field: str, at: np.ndarray) -> np.ndarray | None:
+        for part, values in self.parts.items():
+            if part == f"plain {field}":
+                return values.take(at)
+            if part.startswith("book ") and part.endswith(f" {field}"):
+                return values.take(self.parts[f"code {part.split(' ')[1]}"].take(at))
+        return None
 
 
 class Shards:
-    """Arrays sorted by hash, cut into shards by the hash's remainder."""
+    """Tables cut into shards by the hash's remainder, opened when they are first asked."""
 
     def __init__(self, folder: str, kind: str, shards: int):
-        self.shards = shards
-        values = {k: t for k, t in FILES[kind.rstrip("0123456789")].items() if k != "hash"}
-        self.keys = [map_array(folder, f"{kind}-{i}", "hash", _U) for i in range(shards)]
-        self.values = {v: [map_array(folder, f"{kind}-{i}", v, t, len(self.keys[i])) for i in range(shards)] for v, t in values.items()}
-
-    def find(self, hashes: np.ndarray) -> dict[str, np.ndarray]:
-        """The values of ascending hashes; 0 for those that aren't there."""
-        out = {v: np.zeros(len(hashes), np.result_type(*parts)) for v, parts in self.values.items()}
-        shard = (hashes % _U(self.shards)).astype(np.int64)
+        self.folder, self.kind, self.shards, self.tables = folder, kind, shards, {}
+        self.fields = FIELDS[kind.rstrip("0123456789")]
+
+    def find(self, hashes: np.ndarray, fields: tuple[str, ...] | None = None) -> dict[str, np.ndarray]:
+        """The values of hashes; 0 for those that aren't there."""
+        out = {v: np.zeros(len(hashes), np.int64) for v in fields or self.fields}
+        shard = (hashes % _U(self.shards)).astype(np.min_scalar_type(self.shards))
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for s in range(self.shards):
-            rows, keys = order[edges[s] : edges[s + 1]], self.keys[s]
-            if len(rows) and len(keys):
-                at = np.searchsorted(keys, hashes[rows])
-                at[at == len(keys)] = 0
-                hit = keys[at] == hashes[rows]
-                for v, parts in self.values.items():
-                    out[v][rows[hit]] = parts[s][at[hit]]
+        for s in np.flatnonzero(np.diff(edges)).tolist():
+            if s not in self.tables:
+                self.tables[s] = Table(self.folder, f"{self.kind}-{s}")
+            rows, table = order[edges[s] : edges[s + 1]], self.tables[s]
+            if table.n:
+                found, at = table.places(hashes[rows])
+                for v, values in out.items():
+                    if (own := table.value(v, at)) is not None:
+                        values[rows[found]] = own
         return out
 
 
 # ---- counting ---------------------------------------------------------------
 
 
-#: What a packed row holds: n-grams; contexts of the order above; words and their counts; numbers for the driver.
-GRAMS, CONTEXTS, WORDS, NUMBERS = range(4)
+#: What a packed row holds: n-grams (or words) and counts; contexts of the order above; numbers for the driver.
+GRAMS, CONTEXTS, NUMBERS = range(3)
 PACKED = "shard long, role int, parts array<binary>"
 
 
-def _packed(shards: int, keys: np.ndarray, role: int, columns: list[np.ndarray], context: int = 0) -> Iterator[pa.RecordBatch]:
-    """One row per shard that has any: the columns' values of its rows, as bytes.
-    Where the first ``context`` columns repeat, they are sent once, with the number of rows."""
-    if not len(keys):
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: the lowest byte of each, then the next of each, as far as any has one."""
+    values = values.astype(_U)
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<QB", len(values), width) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    n, width = struct.unpack_from("<QB", data)
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(data[9:], n * width, codec="zstd"), np.uint8).reshape(width, n).T
+    return out.view(_U).ravel()
+
+
+def _runs(new: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ in this column or one before it."""
+    new = new.copy()
+    new[1:] |= column[1:] != column[:-1]
+    return new
+
+
+def pack_sorted(columns: list[np.ndarray]) -> list[bytes]:
+    """Columns of sorted rows, each number as its distance from the one above where all columns before are equal."""
+    out, new = [], np.arange(len(columns[0])) == 0
+    for c in columns:
+        c = c.astype(_U)
+        out.append(squeeze(np.where(new, c, c - np.concatenate((c[:1], c[:-1])))))
+        new = _runs(new, c)
+    return out
+
+
+def unpack_sorted(parts: list[bytes]) -> list[np.ndarray]:
+    """``pack_sorted`` undone."""
+    out, new = [], None
+    for part in parts:
+        far = unsqueeze(part)
+        new = np.arange(len(far)) == 0 if new is None else new
+        sums, starts = np.cumsum(far, dtype=_U), np.flatnonzero(new)
+        out.append(sums - np.repeat(sums[starts] - far[starts], np.diff(np.append(starts, len(far)))))
+        new = _runs(new, out[-1])
+    return out
+
+
+def _packed(shards: int, role: int, columns: list[np.ndarray], values: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row per shard that has any: its distinct rows of columns, sorted, and the sums of their values."""
+    if not len(columns[0]):
         return
-    shard = (keys % _U(shards)).astype(np.int64)
-    order = np.lexsort((chain_hash(columns[:context]), shard)) if context else np.argsort(shard, kind="stable")
+    shard = (chain_hash(columns) % _U(shards)).astype(np.min_scalar_type(shards))
+    order = np.lexsort((*columns[::-1], shard))
     shard, columns = shard[order], [c[order] for c in columns]
+    new = _runs(np.arange(len(shard)) == 0, shard)
+    for c in columns:
+        new = _runs(new, c)
+    cut = np.flatnonzero(new)
+    values = [np.add.reduceat(v[order].astype(np.int64), cut) for v in values]
+    shard, columns = shard[cut], [c[cut] for c in columns]
     edges, rows, parts = np.searchsorted(shard, np.arange(shards + 1)), [], []
-    for s in range(shards):
+    for s in np.flatnonzero(np.diff(edges)).tolist():
         at = slice(edges[s], edges[s + 1])
-        n = edges[s + 1] - edges[s]
-        if n:
-            own = [c[at] for c in columns]
-            if context:
-                new = np.ones(n, bool)
-                new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in own[:context]])
-                cut = np.flatnonzero(new)
-                own = [*(c[cut] for c in own[:context]), np.diff(np.append(cut, n)).astype(np.uint32), *own[context:]]
-            rows.append(s)
-            parts.append([c.tobytes() for c in own])
+        rows.append(s)
+        parts.append(pack_sorted([c[at] for c in columns]) + [squeeze(v[at]) for v in values])
     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array([role] * len(rows), pa.int32()), pa.array(parts, pa.list_(pa.binary()))], names=["shard", "role", "parts"])
 
 
@@ -210,20 +341,16 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int
         yield shard, held
 
 
-def _joined(rows: list[list[bytes]] | None, dtypes: list) -> list[np.ndarray]:
+def _joined(rows: list[list[bytes]] | None, keys: int, values: int) -> list[np.ndarray]:
     """The columns of packed rows, end to end."""
-    return [np.concatenate([np.frombuffer(r[i], t) for r in rows]) if rows else np.empty(0, t) for i, t in enumerate(dtypes)]
+    parts = [unpack_sorted(r[:keys]) + [unsqueeze(x) for x in r[keys:]] for r in rows or []]
+    return [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0, _U)] * (keys + values)
 
 
-def _summed(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Distinct keys, ascending, and the sums of their values."""
-    unique, at = np.unique(keys, return_inverse=True)
-    return unique, [np.bincount(at, weights=c, minlength=len(unique)).astype(np.int64) for c in columns]
-
-
-def narrow(counts: np.ndarray) -> np.ndarray:
-    """Counts in 32 bits, or in 64 where one doesn't fit: who reads them tells by the bytes of each."""
-    return counts.astype(np.uint64 if len(counts) and counts.max() >= 1 << 32 else np.uint32)
+def _summed(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys, ascending, where each stands first, and the sums of their values."""
+    unique, first, at = np.unique(keys, return_index=True, return_inverse=True)
+    return unique, first, [np.bincount(at, weights=c, minlength=len(unique)).astype(np.int64) for c in columns]
 
 
 def _dealt(df: DataFrame, shards: int) -> DataFrame:
@@ -247,6 +374,42 @@ def _numbers(shard: int, numbers: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([NUMBERS], pa.int32()), pa.array([[numbers.astype(np.int64).tobytes()]], pa.list_(pa.binary()))], names=["shard", "role", "parts"])
 
 
+def number_words(rows: DataFrame, folder: str) -> tuple[int, int]:
+    """Count the words of all texts and write them with their numbers, which rise
+    as counts fall in each shard; return the number of tokens and of words."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for step in text_steps(batches, "text"):
+            held.append(np.unique(tokens_of(step)[0], return_counts=True))
+            size += len(held[-1][0])
+            if size >= HELD_TOKENS:
+                words, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+                words, _, (counts,) = _summed(words, [counts])
+                held, size = [(words, counts)], len(words)
+                if 2 * size >= HELD_TOKENS:
+                    yield from _packed(WORD_SHARDS, GRAMS, [words], [counts])
+                    held, size = [], 0
+        if held:
+            words, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield from _packed(WORD_SHARDS, GRAMS, [words], [counts])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for shard, held in _by_shard(batches):
+            words, counts = _joined(held.get(GRAMS), 1, 1)
+            words, _, (counts,) = _summed(words, [counts])
+            ids = np.empty(len(words), np.int64)
+            ids[np.lexsort((words, -counts))] = np.arange(len(words)) * WORD_SHARDS + shard + FIRST
+            write_arrays(folder, f"word-{shard}", {"hash": words, "id": ids, "count": counts})
+            found.append([int(counts.sum()), len(words)])
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64()))], names=["numbers"])
+
+    got = [r.numbers for r in _dealt(rows.mapInArrow(send, PACKED), WORD_SHARDS).mapInArrow(number, "numbers array<long>").collect()]  # two numbers for each shard
+    return sum(n for n, _ in got), sum(n for _, n in got)
+
+
 def fit(rows: DataFrame, order: int = 2) -> dict:
     """Count, write the model's files and return what is left: numbers, the
     folder and the number of shards.  rows: (text) of the training texts."""
@@ -254,26 +417,24 @@ def fit(rows: DataFrame, order: int = 2) -> dict:
         raise ValueError("order must be 2 or more")
     spark = prepare(rows.sparkSession)
     folder = shared_dir(spark, "kneser-ney")
-    n_tokens = rows.select(F.coalesce(F.sum(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")) + 1), F.lit(0)).alias("n")).first().n
-    shards = max(1, math.ceil(n_tokens / SHARD_TOKENS))
     fs, root = _store(folder)
     fs.create_dir(root, recursive=True)
-    for s in range(shards):  # a shard that gets no rows stays empty
-        for name in files(order):
-            write_arrays(folder, f"{name}-{s}", {k: np.empty(0, t) for k, t in FILES[name.rstrip("0123456789")].items()})
+    rows = rows.select("text")
+    tokens, types = number_words(rows, folder)
+    shards = max(1, math.ceil(tokens / SHARD_TOKENS))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        begin("language model")
+        words, held, size = Shards(folder, "word", WORD_SHARDS), [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            before, word = (np.concatenate(x) for x in zip(*held, strict=True))
-            columns = [*before.T, word]
-            grams, first, count = np.unique(chain_hash(columns), return_index=True, return_counts=True)
-            yield from _packed(shards, grams, GRAMS, [*(c[first] for c in columns), count.astype(np.uint32)], order - 1)
+            ids, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield from _packed(shards, GRAMS, windows(narrow(ids), counts, order), [np.ones(len(ids), bool)])
 
         for step in text_steps(batches, "text"):
-            tokens, before, _ = tokens_of(step, order)
-            held.append((before, tokens))
+            tokens, counts = tokens_of(step)
+            unique, at = np.unique(tokens, return_inverse=True)
+            held.append((narrow(words.find(unique, ("id",))["id"])[at], counts))
             size += len(tokens)
             if size >= HELD_TOKENS:
                 yield from out()
@@ -281,71 +442,41 @@ def fit(rows: DataFrame, order: int = 2) -> dict:
         if held:
             yield from out()
 
-    def contexts(shard: int, held: dict, k: int) -> None:
-        if k <= order:
-            rows = held.get(CONTEXTS) or []
-            kinds = [np.result_type(t, *(_kind_of(t, len(r[i]), len(r[0]) // 8) for r in rows)) for i, t in enumerate([_U, np.int64, np.uint32, np.uint32, np.uint32])]
-            rows = [[x if len(x) == t.itemsize * (len(r[0]) // 8) else np.frombuffer(x, np.uint32).astype(t).tobytes() for x, t in zip(r, kinds, strict=True)] for r in rows]
-            hashes, *values = _joined(rows, kinds)
-            hashes, (total, *kinds) = _summed(hashes, values)
-            write_arrays(folder, f"context{k}-{shard}", {"hash": hashes, "total": total, **{n: narrow(c) for n, c in zip(("one", "two", "more"), kinds, strict=True)}})
-
     def merge(k: int):
-        """Write the shard's n-grams of k tokens and the contexts of the order
+        """Write the shard's n-grams of k tokens, with what is known of them as contexts of the order
         above; send on the n-grams of the order below and what it knows of contexts."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for shard, held in _by_shard(batches):
-                contexts(shard, held, k + 1)
                 for row in held.get(NUMBERS, []):
                     yield _numbers(shard, np.frombuffer(row[0], np.int64))
-                words, counts = _joined(held.get(WORDS), [_U, np.int64])
-                *firsts, runs, word, count = _joined(held.get(GRAMS), [*[_U] * (k - 1), np.uint32, _U, np.uint32])
-                columns = [*(np.repeat(c, runs) for c in firsts), word]
-                grams, first, at = np.unique(chain_hash(columns), return_index=True, return_inverse=True)
-                total = np.bincount(at, weights=count, minlength=len(grams)).astype(np.int64)
+                own, above = _joined(held.get(GRAMS), k, 1), _joined(held.get(CONTEXTS), k, 4)
+                columns = [np.concatenate(c) for c in zip(own[:k], above[:k], strict=True)]
+                n = [len(own[k]), len(above[k])]
+                values = [np.concatenate([own[k], np.zeros(n[1], _U)]), *(np.concatenate([np.zeros(n[0], _U), c]) for c in above[k:])]
+                hashes, first, values = _summed(chain_hash(columns), values)
                 columns = [c[first] for c in columns]
-                write_arrays(folder, f"gram{k}-{shard}", {"hash": grams, "count": narrow(total)})
-                yield _numbers(shard, np.array([k, *_kinds(total)]))
-                if k == order:
-                    words, (counts,) = _summed(columns[-1], [total])
-                yield from _packed(shards, words, WORDS, [words, counts])
-                below, first, n = np.unique(chain_hash(columns[1:]), return_index=True, return_counts=True)
-                yield from _packed(shards, below, GRAMS, [*(c[first] for c in columns[1:]), n.astype(np.uint32)], k - 2)
-                before, sums = _summed(chain_hash(columns[:-1]), [total, total == 1, total == 2, total >= 3])
-                yield from _packed(shards, before, CONTEXTS, [before, sums[0], *(narrow(c) for c in sums[1:])])
+                write_arrays(folder, f"gram{k}-{shard}", {"hash": hashes} | dict(zip(FIELDS["gram"][: 1 if k == order else 5], values, strict=False)))
+                whole = np.flatnonzero(values[0])  # the others are contexts only: start marks
+                total, columns = values[0][whole], [narrow(c[whole]) for c in columns]
+                yield _numbers(shard, np.array([k, len(total), total.sum(), *_kinds(total), (total >= 3).sum()]))
+                if k > 1:
+                    yield from _packed(shards, GRAMS, columns[1:], [np.ones(len(total), bool)])
+                    yield from _packed(shards, CONTEXTS, columns[:-1], [total, total == 1, total == 2, total >= 3])
 
         return run
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Write the shard's words; return sums and counts of counts."""
-
-        def counted(rows: list | None, dtype) -> tuple[np.ndarray, list[np.ndarray]]:
-            hashes, n = _joined(rows, [_U, dtype])
-            return _summed(hashes, [n])
-
-        found = []
-        for shard, held in _by_shard(batches):
-            contexts(shard, held, 2)
-            found += [np.frombuffer(row[0], np.int64).tolist() for row in held.get(NUMBERS, [])]
-            words, (count,) = counted(held.get(WORDS), np.int64)
-            same, (lead,) = counted(held.get(GRAMS), np.uint32)
-            if not np.array_equal(words, same):
-                raise ValueError("words and their n-grams differ")
-            write_arrays(folder, f"word-{shard}", {"hash": words, "count": count, "lead": narrow(lead)})
-            found.append([1, len(words), int(count.sum()), int(lead.sum()), int((lead == 1).sum()), int((lead == 2).sum()), int((lead >= 3).sum()), *_kinds(lead)])
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64()))], names=["numbers"])
-
-    sent = rows.select("text").mapInArrow(send, PACKED)
-    for k in range(order, 1, -1):
+    sent = rows.mapInArrow(send, PACKED)
+    for k in range(order, 0, -1):
         sent = _dealt(sent, shards).mapInArrow(merge(k), PACKED)
-    got = [r.numbers for r in _dealt(sent, shards).mapInArrow(finish, "numbers array<long>").collect()]  # a dozen numbers for each shard and order
-    total = lambda k, n: [sum(r[i] for r in got if r[0] == k) for i in range(1, n)]
-    types, tokens, pairs, one, two, more, *low = total(1, 11)
+    got = [np.frombuffer(r.parts[0], np.int64).tolist() for r in sent.collect()]  # eight numbers for each shard and order
+    total = {k: [sum(r[i] for r in got if r[0] == k) for i in range(1, 8)] for k in range(1, order + 1)}
+    if total[1][0] != types:
+        raise ValueError("words and their n-grams differ")
+    pairs, kinds, more = total[1][1], total[1][2:6], total[1][6]
     return {
         "folder": folder, "shards": shards, "order": order, "tokens": tokens, "types": types, "pairs": pairs,
-        "lead_types": [one, two, more], "low": _discounts(low), "high": {k: _discounts(total(k, 5)) for k in range(2, order + 1)},
+        "lead_types": [*kinds[:2], more], "low": _discounts(kinds), "high": {k: _discounts(total[k][2:6]) for k in range(2, order + 1)},
     }
 
 
@@ -354,7 +485,8 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.model = model
-        self.files = {kind: Shards(model["folder"], kind, model["shards"]) for kind in files(model["order"])}
+        self.words = Shards(model["folder"], "word", WORD_SHARDS)
+        self.grams = {k: Shards(model["folder"], f"gram{k}", model["shards"]) for k in range(1, model["order"] + 1)}
 
     def low(self, lead: np.ndarray) -> np.ndarray:
         """P(w) of words with so many words before them."""
@@ -364,26 +496,32 @@ class Scorer:
         rest = sum(k * x for k, x in zip(m["lead_types"], m["low"], strict=True)) / n if m["pairs"] else 1.0
         return np.maximum(lead - d, 0) / n + rest / (m["types"] + 1)
 
-    def log10(self, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 P of each token after those before it (one, or a row of order - 1),
-        its base log10, and whether it is known."""
+    def number(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each token, its base log10, and whether it is known."""
         m = self.model
         unique, at = np.unique(tokens, return_inverse=True)
-        word = self.files["word"].find(unique)
-        known = word["count"] > 0
+        word = self.words.find(unique)
         base = np.log10((word["count"] + 1) / (m["tokens"] + m["types"] + 1))
-        p = self.low(word["lead"].astype(np.int64))[at]
-        columns = list(before.reshape(len(tokens), -1).T)
-        for k, d in m["high"].items():
-            context = chain_hash(columns[1 - k :])
-            hashes, context_at = np.unique(context, return_inverse=True)
-            found = self.files[f"context{k}"].find(hashes)
+        return narrow(np.where(unique == START, BEGIN, word["id"]))[at], base[at], (word["count"] > 0)[at]
+
+    def logs(self, columns: list[np.ndarray]) -> np.ndarray:
+        """log10 P of each token after those before it, by their numbers (see ``windows``)."""
+        unique, at = np.unique(columns[-1], return_inverse=True)
+        p = self.low(self.grams[1].find(unique.astype(_U), ("count",))["count"])[at]
+        for k, d in self.model["high"].items():
+            hashes, at = np.unique(chain_hash(columns[-k:-1]), return_inverse=True)
+            found = self.grams[k - 1].find(hashes, FIELDS["gram"][1:])
             total = np.maximum(found["total"], 1)
             rest = np.where(found["total"] > 0, (d[0] * found["one"].astype(float) + d[1] * found["two"] + d[2] * found["more"]) / total, 1.0)
-            grams, gram_at = np.unique(pair_hash(context, tokens), return_inverse=True)
-            count = self.files[f"gram{k}"].find(grams)["count"][gram_at].astype(np.int64)
-            p = np.maximum(count - np.array([0.0, *d])[np.minimum(count, 3)], 0) / total[context_at] + rest[context_at] * p
-        return np.log10(p), base[at], known[at]
+            count = self.grams[k].find(chain_hash(columns[-k:]), ("count",))["count"]
+            p = np.maximum(count - np.array([0.0, *d])[np.minimum(count, 3)], 0) / total[at] + rest[at] * p
+        return np.log10(p)
+
+    def log10(self, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 P of each token after those before it (one, or a row of order - 1; all as hashes),
+        its base log10, and whether it is known."""
+        ids, base, known = self.number(tokens)
+        return self.logs([*(self.number(c)[0] for c in before.reshape(len(tokens), -1).T), ids]), base, known
 
 
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -405,9 +543,10 @@ def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
         begin("language model")
         scorer = Scorer(model)
         for step in text_steps(batches, "text", SCORE_BYTES):
-            tokens, before, counts = tokens_of(step, order)
+            tokens, counts = tokens_of(step)
             starts = np.cumsum(counts) - counts
-            score, base, known = scorer.log10(tokens, before)
+            ids, base, known = scorer.number(tokens)
+            score = scorer.logs(windows(ids, counts, order))
             yield pa.RecordBatch.from_arrays(
                 [step.column("doc_id"), step.column("held_out"), pa.array(counts, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array([model["tokens"]] * len(counts), pa.int64()), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(score, starts))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],

@@ -133,3 +133,41 @@ def test_counts_beyond_32_bits(tmp_path):
         L.write_arrays(str(tmp_path), f"gram2-{shard}", {"hash": own, "count": L.narrow(np.array([counts[int(h)] for h in own]))})
     found = L.Shards(str(tmp_path), "gram2", 2).find(np.arange(1, 7, dtype=np.uint64))["count"]
     assert found.tolist() == [0, 7, 2**33 + 1, 2**32 - 1, 9, 0]
+
+
+def test_disk_of_a_model(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, 2_000) % 50_000) for _ in range(100)]
+    model = fit(spark.createDataFrame([(t,) for t in texts], "text string"), 3)
+    root = L._store(model["folder"])[1]
+    stored = sum(f.size for f in L.pafs.LocalFileSystem().get_file_info(L.pafs.FileSelector(root)))
+    assert model["tokens"] == 200_100
+    assert stored < 22 * model["tokens"]  # before: 8-byte hashes, counts and contexts of 28 bytes, 35 for each token
+    columns = L.windows(np.sort(rng.integers(2, 1 << 16, 100_000).astype(np.uint32)), np.full(100, 1_000), 3)
+    sent = sum(len(p) for batch in L._packed(3, L.GRAMS, columns, [np.ones(100_000, bool)]) for parts in batch.column(2).to_pylist() for p in parts)
+    assert sent < 6 * 100_000
+
+
+def test_packed_rows_and_tables_come_back(tmp_path):
+    rng = np.random.default_rng(2)
+    rows = np.unique(np.concatenate([rng.integers(0, 9, (500, 3)), rng.integers(0, 1 << 62, (50, 3))]).astype(np.uint64), axis=0)
+    rows[-1] = 2**64 - 1
+    columns = [np.ascontiguousarray(c) for c in rows.T]
+    assert all((a == b).all() for a, b in zip(L.unpack_sorted(L.pack_sorted(columns)), columns, strict=True))
+    assert L.unsqueeze(L.squeeze(np.empty(0, np.uint64))).tolist() == []
+    hashes = rng.integers(0, 1 << 63, 5_000).astype(np.uint64)
+    hashes = hashes[hashes % 2 == 0]
+    values = {"count": rng.integers(1, 300, len(hashes)), "total": rng.integers(0, 1 << 40, len(hashes))}
+    L.write_arrays(str(tmp_path), "gram3-0", {"hash": hashes} | values)
+    found = L.Shards(str(tmp_path), "gram3", 2).find(np.concatenate([hashes, hashes + np.uint64(1), hashes + np.uint64(2)]))
+    n = len(hashes)
+    assert all((found[k][:n] == v).all() and not found[k][n:].any() for k, v in values.items()) and not found["one"].any()
+    with pytest.raises(FileNotFoundError):
+        L.Shards(str(tmp_path / "nowhere"), "gram3", 2).find(hashes)
+
+
+def test_hashes_with_equal_beginnings_are_told_apart(tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "mix", lambda h: h << np.uint64(24))  # entries differ in the last 8 stored bits
+    hashes = np.arange(0, 10, dtype=np.uint64)
+    L.write_arrays(str(tmp_path), "gram2-0", {"hash": hashes, "count": hashes + np.uint64(1)})
+    assert L.Shards(str(tmp_path), "gram2", 1).find(np.arange(12, dtype=np.uint64))["count"].tolist() == [*range(1, 11), 0, 0]
