@@ -24,12 +24,12 @@ import math
 import random
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +40,12 @@ _U = np.uint64
 K, ALPHA, SEED = 3, 0.5, 17
 #: Bytes of text whose lattices and samples are held at once.
 STEP_BYTES = 1 << 20
-#: Distinct words that a counting task holds before it segments them.
-HELD_WORDS = 200_000
+#: Distinct words that a counting task holds (as Arrow, some 20 bytes each) before it segments them.
+HELD_WORDS = 500_000
 #: Ids that are turned into text at once.
 JOIN_IDS = 1 << 18
+#: Distinct words that are segmented at once.
+ENCODED = 50_000
 #: Lock-step rounds with fewer rows than this go on row by row.
 FEW = 24
 SPACE = "▁"
@@ -72,12 +74,27 @@ def words_of(text: str) -> list[str]:
     return text.split(" ")
 
 
-class Numbers(dict):
-    """Numbers words in the order in which they are first asked for."""
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of all texts (see ``words_of``), where each text's begin and how many it has."""
+    texts = texts.cast(pa.large_string())
+    odd = pc.or_(pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE)), pc.starts_with(texts, " "))
+    lists = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+    words, size = lists.flatten(), np.empty(len(texts), np.int64)
+    odd = np.asarray(odd.to_numpy(zero_copy_only=False), bool)
+    size[~odd] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    starts = np.empty(len(texts), np.int64)
+    starts[~odd] = np.cumsum(size[~odd]) - size[~odd]
+    if odd.any():
+        own = [words_of(texts[i].as_py()) for i in np.flatnonzero(odd).tolist()]
+        size[odd] = [len(w) for w in own]
+        starts[odd] = len(words) + np.cumsum(size[odd]) - size[odd]
+        words = pa.concat_arrays([words, pa.array(chain.from_iterable(own), pa.large_string())])
+    return words, starts, size
 
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
+
+def joined_words(words: pa.Array, between: str) -> str:
+    """All words in one string; none of them holds a space (they are marks)."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.scalar(between, pa.large_string()))[0].as_py()
 
 
 class Vocabulary:
@@ -154,11 +171,11 @@ class Vocabulary:
 
     def joined(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """``join`` of an array, and where each id's bytes end."""
-        size, out = self.size[ids], []
+        size, out = self.size.take(ids), []
         for low in range(0, len(ids), JOIN_IDS):
             own = size[low : low + JOIN_IDS]
-            place = np.repeat(self.flat_at[ids[low : low + JOIN_IDS]] - np.cumsum(own) + own, own)
-            out.append(self.flat[place + np.arange(len(place))].tobytes())
+            place = np.repeat(self.flat_at.take(ids[low : low + JOIN_IDS]) - np.cumsum(own) + own, own)
+            out.append(self.flat.take(place + np.arange(len(place))).tobytes())
         return b"".join(out), np.cumsum(size)
 
 
@@ -175,48 +192,51 @@ class Lattices:
     first edge whose mark is above it.
     """
 
-    def __init__(self, vocabulary: Vocabulary, words: list[str]):
-        v, lengths = vocabulary, np.fromiter(map(len, words), np.int64, len(words)) + 1
-        chars = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64)
+    def __init__(self, vocabulary: Vocabulary, words: pa.Array):
+        v, lengths = vocabulary, pc.utf8_length(words).to_numpy() + 1
+        chars = np.frombuffer((SPACE + joined_words(words, SPACE)).encode("utf-32-le"), np.uint32).astype(np.int64)
         ends, n = np.cumsum(lengths), len(chars)
         left = np.repeat(ends, lengths) - np.arange(n)
         top = int(left.max(initial=0))
         by = np.argsort(left.astype(np.uint16) if top < 1 << 16 else left, kind="stable")
         rank = np.empty(n + 1, np.int64)
         rank[by], rank[n] = np.arange(n), n
-        node = v.root[chars]
-        at = np.flatnonzero(v.piece[node] < 0)  # characters without a piece
+        node = v.root.take(chars)
+        at = np.flatnonzero(v.piece.take(node) < 0)  # characters without a piece
         odd, which = np.unique(chars[at], return_inverse=True)
         spelled = [[v.bytes[b] for b in chr(c).encode()] for c in odd.tolist()]
         held = np.zeros(n, np.int64)  # edges of a place so far
         held[at] = 1
         parts, depth = [(at, held[at] - 1, 1, len(v.names) + which)], 1
         at = np.flatnonzero(node)
-        node = node[at]
+        node = node.take(at)
         while len(at):
-            piece = v.piece[node]
+            piece = v.piece.take(node)
             hit = np.flatnonzero(piece >= 0)
-            parts.append((at[hit], held[at[hit]], depth, piece[hit]))
-            held[at[hit]] += 1
-            more = v.inner[node] & (left[at] > depth)
-            at = at[more]
-            node = v.step(node[more], chars[at + depth])
-            at, node, depth = at[node > 0], node[node > 0], depth + 1
-        self.end, self.start, self.counts = n, rank[ends - lengths], held[by]
+            ending = at.take(hit)
+            nth = held.take(ending)
+            parts.append((ending, nth, depth, piece.take(hit)))
+            held[ending] = nth + 1
+            more = np.flatnonzero(v.inner.take(node) & (left.take(at) > depth))
+            at = at.take(more)
+            node = v.step(node.take(more), chars.take(at + depth))
+            there = np.flatnonzero(node)
+            at, node, depth = at.take(there), node.take(there), depth + 1
+        self.end, self.start, self.counts = n, rank.take(ends - lengths), held.take(by)
         self.first = np.cumsum(self.counts) - self.counts
         self.owner = np.repeat(np.arange(n, dtype=np.int32), self.counts)
         self.choice = np.repeat(self.counts > 1, self.counts)
         self.target, self.piece = np.empty(len(self.owner), np.int32), np.empty(len(self.owner), np.int32)
         for at, nth, depth, piece in parts:
-            slot = self.first[rank[at]] + nth
+            slot = self.first.take(rank.take(at)) + nth
             self.piece[slot] = piece
-            self.target[slot] = np.where(left[at] == depth, n, rank[np.minimum(at + depth, n)])
+            self.target[slot] = np.where(left.take(at) == depth, n, rank.take(np.minimum(at + depth, n)))
         self.plain = len(v.names)
         self.width = np.array([1] * len(v.names) + [len(x) for x in spelled], np.int64)
         self.spelling = np.array([*range(len(v.names)), *chain(*spelled)], np.int32)
         self.spelled_at = np.cumsum(self.width) - self.width
-        logs = np.array([*v.log, *(sum(v.log[i] for i in x) for x in spelled)])[self.piece]
-        self._onward(logs, np.append(np.searchsorted(left[by], np.arange(1, top + 1)), n))
+        logs = np.array([*v.log, *(sum(v.log[i] for i in x) for x in spelled)]).take(self.piece)
+        self._onward(logs, np.append(np.searchsorted(left.take(by), np.arange(1, top + 1)), n))
         self._draws()
 
     def _onward(self, logs: np.ndarray, cuts: np.ndarray) -> None:
@@ -224,18 +244,20 @@ class Lattices:
         onward, edge = np.zeros(self.end + 1), np.append(self.first, len(logs))
         for low, high in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
             a, b = edge[low], edge[high]
-            x = logs[a:b] + onward[self.target[a:b]]
+            x = logs[a:b] + onward.take(self.target[a:b])
             starts = self.first[low:high] - a
             most = np.maximum.reduceat(x, starts)
-            onward[low:high] = most + np.log(np.add.reduceat(np.exp(x - most[self.owner[a:b] - low]), starts))
-        self.steps = np.minimum(logs + onward[self.target] - onward[self.owner], 0.0)
+            onward[low:high] = most + np.log(np.add.reduceat(np.exp(x - np.repeat(most, self.counts[low:high])), starts))
+        self.steps = np.minimum(logs + onward.take(self.target) - np.repeat(onward[:-1], self.counts), 0.0)
 
     def _draws(self) -> None:
         part, at, j = np.exp(self.steps), np.flatnonzero(self.counts > 1), 1
+        edge = self.first.take(at) + 1
         while len(at):
-            part[self.first[at] + j] += part[self.first[at] + j - 1]
+            part[edge] += part.take(edge - 1)
             j += 1
-            at = at[self.counts[at] > j]
+            more = np.flatnonzero(self.counts.take(at) > j)
+            at, edge = at.take(more), edge.take(more) + 1
         np.minimum(part, 1.0, out=part)
         part[self.first + self.counts - 1] = 1.0
         self.marks = (part * 2.0**32).astype(np.int64)
@@ -283,8 +305,8 @@ class Lattices:
 
     def ids(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of edges end to end, and how many each edge has."""
-        piece = self.piece[edges]
-        width = self.width[piece]
+        piece = self.piece.take(edges)
+        width = self.width.take(piece)
         if piece.max(initial=0) < self.plain:
             return piece, width
         return self.spelling[np.repeat(self.spelled_at[piece] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))], width
@@ -374,17 +396,27 @@ class Search:
         return -self.queue[0][0] if self.queue else -math.inf
 
 
+def lattices_of(vocabulary: Vocabulary, texts: pa.Array) -> tuple[Lattices, list[np.ndarray]]:
+    """The lattices of all texts' distinct words, and where those of each text's words begin."""
+    words, starts, size = words_in(texts)
+    words = words.dictionary_encode()
+    lattices = Lattices(vocabulary, words.dictionary)
+    places = lattices.start.take(words.indices.to_numpy())
+    return lattices, [places[a : a + n] for a, n in zip(starts.tolist(), size.tolist(), strict=True)]
+
+
 def sample_texts(vocabulary: Vocabulary, texts: list[str], k: int, seeds: list[int]) -> tuple[Lattices, list[Search]]:
-    """Sample up to k ways through the lattice of each text.  The first ways of
+    """Sample up to k ways through the lattice of each text."""
+    lattices, places = lattices_of(vocabulary, pa.array(texts, pa.large_string()))
+    return lattices, draw(lattices, places, k, seeds)
+
+
+def draw(lattices: Lattices, places: list[np.ndarray], k: int, seeds: list[int]) -> list[Search]:
+    """Sample up to k ways through each text's places.  The first ways of
     all texts are drawn in lock-step, then the second, and so on."""
-    number = Numbers()
-    words = [np.fromiter(map(number.__getitem__, w), np.int64, len(w)) for w in map(words_of, texts)]
-    lattices = Lattices(vocabulary, list(number))
-    places = [lattices.start.take(w) for w in words]
-    del words, number
     searches = [Search(lattices, s) for s in seeds]
     nothing = np.empty(0, np.int64)
-    live = [(i, nothing, 0, places[i]) for i in range(len(texts))]
+    live = [(i, nothing, 0, places[i]) for i in range(len(places))]
     for n in range(k):
         if n:
             todo = [(i, x) for i, *_ in live if (x := searches[i].advance()) is not None]
@@ -407,7 +439,7 @@ def sample_texts(vocabulary: Vocabulary, texts: list[str], k: int, seeds: list[i
         cuts = np.append(0, np.cumsum(size))
         for (i, before, _, _), low, high in zip(live, cuts[starts], cuts[starts + sizes], strict=True):
             searches[i].add(np.concatenate([before, edges[low:high]]))
-    return lattices, searches
+    return searches
 
 
 def sample(vocabulary: Vocabulary, text: str, k: int, rng: random.Random) -> list[tuple[list[int], float, float, float]]:
@@ -435,20 +467,32 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
         begin("segmentation")
         sp = processor(model_path)
         total = np.zeros(sp.get_piece_size(), np.int64)
-        words, mark = Counter(), sp.piece_to_id(SPACE)
+        mark, held, size = sp.piece_to_id(SPACE), [], 0
+
+        def grouped() -> tuple[pa.Array, np.ndarray]:
+            words, times = (pa.concat_arrays([w for w, _ in held]).dictionary_encode(), np.concatenate([n for _, n in held]))
+            return words.dictionary, np.bincount(words.indices.to_numpy(), times, len(words.dictionary)).astype(np.int64)
 
-        def flush() -> None:
+        def flush(words: pa.Array, counts: np.ndarray) -> None:
             # pieces never cross words, so each distinct word is segmented once
-            pieces = [p or [mark] for p in sp.encode(list(words), num_threads=1)]  # a space at a text's end is a word of its mark alone
-            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, pieces), np.int64, len(words)))
-            np.add.at(total, np.fromiter(chain.from_iterable(pieces), np.int64, len(times)), times)
-            words.clear()
+            for low in range(0, len(words), ENCODED):
+                pieces = [p or [mark] for p in sp.encode(joined_words(words[low : low + ENCODED], " ").split(" "), num_threads=1)]  # a space at a text's end is a word of its mark alone
+                times = np.repeat(counts[low : low + ENCODED], np.fromiter(map(len, pieces), np.int64, len(pieces)))
+                np.add.at(total, np.fromiter(chain.from_iterable(pieces), np.int64, len(times)), times)
 
         for step in text_steps(batches, "text"):
-            words.update(chain.from_iterable(map(words_of, filter(None, step.column(0).to_pylist()))))
-            if len(words) >= HELD_WORDS:
-                flush()
-        flush()
+            texts = step.column(0)
+            found = pc.value_counts(words_in(texts.filter(pc.greater(pc.binary_length(texts), 0)))[0])
+            held.append((found.field(0), found.field(1).to_numpy()))
+            size += len(found)
+            if size >= 2 * HELD_WORDS:
+                held = [grouped()]
+                size = len(held[0][0])
+                if size >= HELD_WORDS:
+                    flush(*held[0])
+                    held, size = [], 0
+        if held:
+            flush(*grouped())
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids])], names=["id", "n"])
 

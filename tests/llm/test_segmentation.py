@@ -164,3 +164,15 @@ def test_trie_steps_are_looked_up_in_one_place_mostly():
     filled = np.flatnonzero(VOCABULARY.keys >= 0)
     assert len(filled) * 4 <= len(VOCABULARY.keys)  # before: keys stood in order and every step searched them all
     assert (VOCABULARY._place(VOCABULARY.keys[filled]) == filled).mean() > 0.8
+
+
+def test_words_of_a_step_are_split_at_once(monkeypatch):
+    texts = ["a then b", "", "  two  spaces ", " first", "a▁b c", "▁", "é\n\tb a", "last "]
+    words, starts, sizes = S.words_in(S.pa.array(texts))
+    got = words.to_pylist()
+    assert [got[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)] == [S.words_of(t) for t in texts]
+    assert S.words_in(S.pa.array([], S.pa.string()))[0].to_pylist() == []
+    split = []
+    monkeypatch.setattr(S, "words_of", lambda text, words_of=S.words_of: split.append(text) or words_of(text))
+    S.sample_texts(VOCABULARY, texts, 2, list(range(len(texts))))
+    assert split == ["  two  spaces ", " first", "a▁b c", "▁"]  # before: every text, one by one
