@@ -142,7 +142,7 @@ def test_disk_of_a_model(spark):
     root = L._store(model["folder"])[1]
     stored = sum(f.size for f in L.pafs.LocalFileSystem().get_file_info(L.pafs.FileSelector(root)))
     assert model["tokens"] == 200_100
-    assert stored < 22 * model["tokens"]  # before: 8-byte hashes, counts and contexts of 28 bytes, 35 for each token
+    assert stored < 22 * model["tokens"]  # before: 12 bytes for each n-gram and 28 for each context
     columns = L.windows(np.sort(rng.integers(2, 1 << 16, 100_000).astype(np.uint32)), np.full(100, 1_000), 3)
     sent = sum(len(p) for batch in L._packed(3, L.GRAMS, columns, [np.ones(100_000, bool)]) for parts in batch.column(2).to_pylist() for p in parts)
     assert sent < 6 * 100_000
