@@ -39,9 +39,11 @@ from salescope.llm.hashing import mix
 _U = np.uint64
 K, ALPHA, SEED = 3, 0.5, 17
 #: Bytes of text whose lattices and samples are held at once.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 2 << 20
 #: Distinct words that a counting task holds (as Arrow, some 20 bytes each) before it segments them.
 HELD_WORDS = 500_000
+#: Segmented words that a worker process keeps for the tasks to come (some 40 bytes each).
+KNOWN_WORDS = 600_000
 #: Ids that are turned into text at once.
 JOIN_IDS = 1 << 18
 #: Distinct words that are segmented at once.
@@ -108,9 +110,9 @@ class Vocabulary:
         self.bytes = {int(BYTE.fullmatch(p)[1], 16): i for i, p in enumerate(self.names) if sp.is_byte(i)}
         byte_of = {i: b for b, i in self.bytes.items()}
         self.data = [bytes([byte_of[i]]) if i in byte_of else p.replace(SPACE, " ").encode() for i, p in enumerate(self.names)]
-        self.size = np.fromiter(map(len, self.data), np.int64, n)
-        self.flat, self.flat_at = np.frombuffer(b"".join(self.data), np.uint8), np.cumsum(self.size) - self.size
+        self.size, self.bytes_of = np.fromiter(map(len, self.data), np.int64, n), pa.array(self.data, pa.large_binary())
         self.log = [alpha * (math.log(counts.get(i, 0) + 1) - total) for i in range(n)]
+        self.logs = np.array(self.log)
         self.ids = {p: i for i, p in enumerate(self.names) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
         nodes: dict[tuple[int, int], int] = {}
         piece = [-1]
@@ -173,70 +175,93 @@ class Vocabulary:
         """``join`` of an array, and where each id's bytes end."""
         size, out = self.size.take(ids), []
         for low in range(0, len(ids), JOIN_IDS):
-            own = size[low : low + JOIN_IDS]
-            place = np.repeat(self.flat_at.take(ids[low : low + JOIN_IDS]) - np.cumsum(own) + own, own)
-            out.append(self.flat.take(place + np.arange(len(place))).tobytes())
+            own = self.bytes_of.take(pa.array(ids[low : low + JOIN_IDS]))
+            out.append(memoryview(own.buffers()[2])[: int(size[low : low + JOIN_IDS].sum())])
         return b"".join(out), np.cumsum(size)
 
 
+def common_ends(chars: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How many characters the end of each word (where it ends in chars, its length) has in common with the word before it."""
+    common, on, depth = np.zeros(len(ends), np.int64), np.arange(1, len(ends)), 1
+    most = np.minimum(lengths[1:], lengths[:-1])
+    while len(on):
+        on = on.compress((most.take(on - 1) >= depth) & (chars.take(ends.take(on) - depth) == chars.take(ends.take(on - 1) - depth)))
+        common[on] = depth
+        depth += 1
+    return common
+
+
 class Lattices:
     """The lattices of distinct words in flat arrays.
 
-    Places (characters) are numbered by their distance from the word's end, so
-    that the sums over all ways onward are one vectorised round per distance;
-    END is the place behind every word.  The edges of a place stand together:
+    The ways onward from a character are the same in all words that are alike
+    from there on, so a place stands for a distinct end of words.  Places are
+    numbered by their distance from the word's end, so that the sums over all
+    ways onward are one vectorised round per distance; END is the place behind
+    every word.  The edges of a place stand together:
     ``first`` and ``counts`` by place, ``owner`` (place), ``choice``
     (whether it has others), ``target`` (place), ``piece`` (an id, or beyond the vocabulary a character spelled in bytes) and
     ``steps`` (log of the branching probability) by edge.  ``marks`` holds the
-    running probability of a place's edges in units of 2**-32: a draw takes the
-    first edge whose mark is above it.
+    running probability of a place's edges in units of 2**-32, less one: a draw
+    takes the first edge whose mark is no less.
     """
 
     def __init__(self, vocabulary: Vocabulary, words: pa.Array):
-        v, lengths = vocabulary, pc.utf8_length(words).to_numpy() + 1
+        v, order = vocabulary, pc.sort_indices(pc.utf8_reverse(words))  # equal ends side by side
+        words, order = words.take(order), order.to_numpy()
+        lengths = pc.utf8_length(words).to_numpy() + 1
         chars = np.frombuffer((SPACE + joined_words(words, SPACE)).encode("utf-32-le"), np.uint32).astype(np.int64)
-        ends, n = np.cumsum(lengths), len(chars)
-        left = np.repeat(ends, lengths) - np.arange(n)
+        ends = np.cumsum(lengths)
+        left = np.repeat(ends, lengths) - np.arange(len(chars))
         top = int(left.max(initial=0))
         by = np.argsort(left.astype(np.uint16) if top < 1 << 16 else left, kind="stable")
-        rank = np.empty(n + 1, np.int64)
-        rank[by], rank[n] = np.arange(n), n
-        node = v.root.take(chars)
-        at = np.flatnonzero(v.piece.take(node) < 0)  # characters without a piece
-        odd, which = np.unique(chars[at], return_inverse=True)
-        spelled = [[v.bytes[b] for b in chr(c).encode()] for c in odd.tolist()]
-        held = np.zeros(n, np.int64)  # edges of a place so far
-        held[at] = 1
-        parts, depth = [(at, held[at] - 1, 1, len(v.names) + which)], 1
-        at = np.flatnonzero(node)
-        node = node.take(at)
-        while len(at):
-            piece = v.piece.take(node)
+        new = (left > np.repeat(common_ends(chars, ends, lengths), lengths)).take(by)
+        place = np.empty(len(chars), np.int64)  # of every character
+        place[by] = np.cumsum(new) - 1
+        at = by.compress(new)  # a character of every place
+        self.end = n = len(at)
+        self.start = np.empty(len(words), np.int64)
+        self.start[order] = place.take(ends - lengths)
+        left = left.take(at)
+        cuts = np.append(np.searchsorted(left, np.arange(1, top + 1)), n)
+        node, own = v.root.take(chars.take(at)), np.arange(n)
+        odd = np.flatnonzero(v.piece.take(node) < 0)  # characters without a piece
+        which, inverse = np.unique(chars.take(at.take(odd)), return_inverse=True)
+        spelled = [[v.bytes[b] for b in chr(c).encode()] for c in which.tolist()]
+        self.counts = np.zeros(n, np.int64)  # edges of a place so far
+        self.counts[odd] = 1
+        behind = place.take(at.take(odd) + 1, mode="clip")
+        behind[left.take(odd) == 1] = n
+        parts, depth = [(odd, 0, behind, len(v.names) + inverse)], 1
+        on = np.flatnonzero(node)
+        own, at, node, left = own.take(on), at.take(on), node.take(on), left.take(on)
+        while len(own):
+            piece, last = v.piece.take(node), left == depth
             hit = np.flatnonzero(piece >= 0)
-            ending = at.take(hit)
-            nth = held.take(ending)
-            parts.append((ending, nth, depth, piece.take(hit)))
-            held[ending] = nth + 1
-            more = np.flatnonzero(v.inner.take(node) & (left.take(at) > depth))
-            at = at.take(more)
-            node = v.step(node.take(more), chars.take(at + depth))
-            there = np.flatnonzero(node)
-            at, node, depth = at.take(there), node.take(there), depth + 1
-        self.end, self.start, self.counts = n, rank.take(ends - lengths), held.take(by)
+            ending = own.take(hit)
+            nth = self.counts.take(ending)
+            behind = place.take(at.take(hit) + depth, mode="clip")
+            behind[last.take(hit)] = n
+            parts.append((ending, nth, behind, piece.take(hit)))
+            self.counts[ending] = nth + 1
+            on = np.flatnonzero(v.inner.take(node) & ~last)
+            own, at, left = own.take(on), at.take(on), left.take(on)
+            node = v.step(node.take(on), chars.take(at + depth))
+            on = np.flatnonzero(node)
+            own, at, node, left, depth = own.take(on), at.take(on), node.take(on), left.take(on), depth + 1
         self.first = np.cumsum(self.counts) - self.counts
         self.owner = np.repeat(np.arange(n, dtype=np.int32), self.counts)
         self.choice = np.repeat(self.counts > 1, self.counts)
         self.target, self.piece = np.empty(len(self.owner), np.int32), np.empty(len(self.owner), np.int32)
-        for at, nth, depth, piece in parts:
-            slot = self.first.take(rank.take(at)) + nth
+        for own, nth, behind, piece in parts:
+            slot = self.first.take(own) + nth
             self.piece[slot] = piece
-            self.target[slot] = np.where(left.take(at) == depth, n, rank.take(np.minimum(at + depth, n)))
+            self.target[slot] = behind
         self.plain = len(v.names)
-        self.width = np.array([1] * len(v.names) + [len(x) for x in spelled], np.int64)
-        self.spelling = np.array([*range(len(v.names)), *chain(*spelled)], np.int32)
+        self.width = np.array([len(x) for x in spelled], np.int64)
+        self.spelling = np.array([*chain(*spelled)], np.int32)
         self.spelled_at = np.cumsum(self.width) - self.width
-        logs = np.array([*v.log, *(sum(v.log[i] for i in x) for x in spelled)]).take(self.piece)
-        self._onward(logs, np.append(np.searchsorted(left.take(by), np.arange(1, top + 1)), n))
+        self._onward(np.append(v.logs, [sum(v.log[i] for i in x) for x in spelled]).take(self.piece), cuts)
         self._draws()
 
     def _onward(self, logs: np.ndarray, cuts: np.ndarray) -> None:
@@ -260,7 +285,7 @@ class Lattices:
             at, edge = at.take(more), edge.take(more) + 1
         np.minimum(part, 1.0, out=part)
         part[self.first + self.counts - 1] = 1.0
-        self.marks = (part * 2.0**32).astype(np.int64)
+        self.marks = np.maximum((part * 2.0**32).astype(np.int64) - 1, 0).astype(np.uint32)
 
     def walk(self, place: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draw a way from each place to its word's end: the edges, end to end,
@@ -268,16 +293,16 @@ class Lattices:
         size, rounds, row = np.zeros(len(place), np.int64), [], np.arange(len(place))
         while len(row) >= FEW:
             state = state * _U(6364136223846793005) + _U(1442695040888963407)
-            draw, edge = ((state ^ state >> _U(29)) >> _U(32)).astype(np.int64), self.first.take(place)
-            on = np.flatnonzero(draw >= self.marks.take(edge))
+            draw, edge = ((state ^ state >> _U(29)) >> _U(32)).astype(np.uint32), self.first.take(place)
+            on = np.flatnonzero(draw > self.marks.take(edge))
             high, at = draw.take(on), edge.take(on)
             while len(on):
                 at += 1
                 edge[on] = at
-                more = np.flatnonzero(high >= self.marks.take(at))
+                more = np.flatnonzero(high > self.marks.take(at))
                 on, high, at = on.take(more), high.take(more), at.take(more)
             rounds.append((row, edge))
-            size[row] += 1
+            size[row] = len(rounds)
             place = self.target.take(edge)
             on = np.flatnonzero(place != self.end)
             row, place, state = row.take(on), place.take(on), state.take(on)
@@ -298,7 +323,7 @@ class Lattices:
             state = (state * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
             low = int(self.first[place])
             high = low + int(self.counts[place])
-            edge = low + int(np.searchsorted(self.marks[low:high], (state ^ state >> 29) >> 32, side="right"))
+            edge = low + int(np.searchsorted(self.marks[low:high], np.uint32((state ^ state >> 29) >> 32)))
             out.append(edge)
             place = int(self.target[edge])
         return out
@@ -306,10 +331,14 @@ class Lattices:
     def ids(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of edges end to end, and how many each edge has."""
         piece = self.piece.take(edges)
-        width = self.width.take(piece)
-        if piece.max(initial=0) < self.plain:
+        width, at = np.ones(len(piece), np.int64), np.flatnonzero(piece >= self.plain)
+        if not len(at):
             return piece, width
-        return self.spelling[np.repeat(self.spelled_at[piece] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))], width
+        odd = piece.take(at) - self.plain
+        width[at] = own = self.width.take(odd)
+        out, nth = np.repeat(piece, width), np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+        out[np.repeat(np.cumsum(width).take(at) - own, own) + nth] = self.spelling.take(np.repeat(self.spelled_at.take(odd), own) + nth)
+        return out, width
 
 
 class Search:
@@ -335,6 +364,8 @@ class Search:
 
     def branching(self, edges: np.ndarray, at: int) -> int | None:
         """The first place of a way from ``at`` on that has a choice."""
+        if at < len(edges) and self.lattices.choice[edges[at]]:  # mostly
+            return at
         while at < len(edges):
             ahead = self.lattices.choice[edges[at : at + 16]]
             if ahead.any():
@@ -358,7 +389,7 @@ class Search:
 
     def add(self, edges: np.ndarray) -> None:
         """Take the whole way sampled for the branch that came up last."""
-        self.found.append((edges, float(self.lattices.steps[edges].sum()), self.top))
+        self.found.append((edges, float(self.lattices.steps.take(edges).sum()), self.top))
         at = self.branching(edges, self.from_)
         if at is not None:
             left = self.beside(len(self.found) - 1, at, self.phi)
@@ -367,29 +398,32 @@ class Search:
 
     def advance(self) -> tuple[np.ndarray, int] | None:
         """The beginning of the next way and the edge behind it; None when there is none."""
-        x = self.lattices
-        while self.queue:
-            minus, _, phi, way, at, edge = heapq.heappop(self.queue)
+        x, uniform, queue, order = self.lattices, self.uniform, self.queue, self.order
+        log, log1p, exp = math.log, math.log1p, math.exp
+        while queue:
+            minus, _, phi, way, at, edge = heapq.heappop(queue)
             edges = self.found[way][0]
             if edge is not None:
                 self.top, self.from_, self.phi = -minus, at + 1, phi
                 return edges[:at], edge
             taken = int(edges[at])
-            low = int(x.first[x.owner[taken]])
-            steps = x.steps[low : low + int(x.counts[x.owner[taken]])].tolist()
-            nodes = [(phi + s, at, low + i) for i, s in enumerate(steps) if low + i != taken]
+            place = x.owner[taken]
+            low = int(x.first[place])
+            steps = x.steps[low : low + int(x.counts[place])].tolist()
+            nodes = [(phi + s, at, e) for e, s in enumerate(steps, low) if e != taken]
             after = phi + steps[taken - low]
             behind = self.branching(edges, at + 1)
+            draws = [p - log(-log(uniform() or 1e-300)) for p, _, _ in nodes]
             if behind is not None:
                 nodes.append((after, behind, None))
-            draws = [(p if e is not None else self.beside(way, a, p)) + self.gumbel() for p, a, e in nodes]
+                draws.append(self.beside(way, behind, after) + self.gumbel())
             z, top = max(draws), -minus
             for g, (p, a, e) in zip(draws, nodes, strict=True):
                 if g == z:
-                    self.push(top, p, way, a, e)
+                    heapq.heappush(queue, (minus, next(order), p, way, a, e))
                 elif g > -math.inf:
-                    d = top - g + math.log1p(-math.exp(g - z))
-                    self.push(top - max(0.0, d) - math.log1p(math.exp(-abs(d))), p, way, a, e)
+                    d = top - g + log1p(-exp(g - z))
+                    heapq.heappush(queue, (-(top - max(0.0, d) - log1p(exp(-abs(d)))), next(order), p, way, a, e))
         return None
 
     def threshold(self) -> float:
@@ -423,7 +457,7 @@ def draw(lattices: Lattices, places: list[np.ndarray], k: int, seeds: list[int])
             live = []
             for i, (before, edge) in todo:
                 before = np.append(before, edge)
-                word = int(np.count_nonzero(lattices.target[before] == lattices.end))
+                word = int(np.count_nonzero(lattices.target.take(before) == lattices.end))
                 ahead = places[i][word:]
                 if lattices.target[edge] != lattices.end:
                     ahead = ahead.copy()
@@ -475,10 +509,24 @@ def piece_counts(table: DataFrame, model_path: str) -> dict[int, int]:
 
         def flush(words: pa.Array, counts: np.ndarray) -> None:
             # pieces never cross words, so each distinct word is segmented once
+            kept = cached(f"segmented {model_path}", lambda: {"words": (pa.array([], words.type), np.empty(0, np.int64), np.empty(0, np.int32))})
+            known = kept["words"]
+            found = pc.index_in(words, value_set=known[0])
+            old = found.is_valid().to_numpy(zero_copy_only=False)
+            times = np.zeros(len(known[0]), np.int64)
+            times[found.drop_null().to_numpy()] = counts[old]
+            np.add.at(total, known[2], np.repeat(times, known[1]))
+            words, counts, parts = words.filter(pa.array(~old)), counts[~old], [known]
             for low in range(0, len(words), ENCODED):
-                pieces = [p or [mark] for p in sp.encode(joined_words(words[low : low + ENCODED], " ").split(" "), num_threads=1)]  # a space at a text's end is a word of its mark alone
-                times = np.repeat(counts[low : low + ENCODED], np.fromiter(map(len, pieces), np.int64, len(pieces)))
-                np.add.at(total, np.fromiter(chain.from_iterable(pieces), np.int64, len(times)), times)
+                own = words[low : low + ENCODED]
+                pieces = [p or [mark] for p in sp.encode(joined_words(own, " ").split(" "), num_threads=1)]  # a space at a text's end is a word of its mark alone
+                size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+                flat = np.fromiter(chain.from_iterable(pieces), np.int32, int(size.sum()))
+                np.add.at(total, flat, np.repeat(counts[low : low + ENCODED], size))
+                if sum(len(x[0]) for x in parts) + len(own) <= KNOWN_WORDS:
+                    parts.append((own, size, flat))
+            if len(parts) > 1:
+                kept["words"] = (pa.concat_arrays([x[0] for x in parts]), *(np.concatenate([x[i] for x in parts]) for i in (1, 2)))
 
         for step in text_steps(batches, "text"):
             texts = step.column(0)

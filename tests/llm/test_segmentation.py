@@ -176,3 +176,29 @@ def test_words_of_a_step_are_split_at_once(monkeypatch):
     monkeypatch.setattr(S, "words_of", lambda text, words_of=S.words_of: split.append(text) or words_of(text))
     S.sample_texts(VOCABULARY, texts, 2, list(range(len(texts))))
     assert split == ["  two  spaces ", " first", "a▁b c", "▁"]  # before: every text, one by one
+
+
+def test_equal_ends_of_words_share_their_places():
+    words = ["landing", "standing", "ing", "", "▁x", "日ing", "ing\U0001f9ff", "w" * 50, "w" * 40, "landing's"]
+    lattices = S.Lattices(VOCABULARY, S.pa.array(words, S.pa.large_string()))
+    ends = {w[i:] for w in map(marked, words) for i in range(len(w))}
+    assert lattices.end == len(lattices.counts) == len(ends)  # before: a place for each character of every word
+    assert len(set(lattices.start.tolist())) == len(words)
+    for word, place in zip(words, lattices.start.tolist(), strict=True):
+        alone = S.Lattices(VOCABULARY, S.pa.array([word], S.pa.large_string()))
+        for _ in range(8):  # along the last edges
+            edge, own = int(lattices.first[place] + lattices.counts[place]) - 1, int(alone.first[alone.start[0]] + alone.counts[alone.start[0]]) - 1
+            assert lattices.steps[edge] == alone.steps[own] and lattices.counts[place] == alone.counts[alone.start[0]]
+            assert lattices.ids(np.array([edge]))[0].tolist() == alone.ids(np.array([own]))[0].tolist()
+            place, alone.start[0] = lattices.target[edge], alone.target[own]
+            if place == lattices.end:
+                assert alone.start[0] == alone.end
+                break
+
+
+def test_words_that_a_process_knows_are_counted_again(spark, monkeypatch):
+    texts = ["a then  b", " on the", "the the ", "", "é\n\tb", "a▁b  c", "   ", "wwww " * 9, "the a then on wwww"]
+    monkeypatch.setattr(S, "KNOWN_WORDS", 6)
+    for more in ([], ["other words then"], ["other words on the"]):
+        got = piece_counts(spark.createDataFrame([(t,) for t in texts + more], "text string").coalesce(1), PATH)
+        assert got == Counter(i for t in texts + more for i in SP.encode(t))
